@@ -67,7 +67,19 @@ def classify(raw: DataFrame, item: str = "item", required: dict | None = None) -
         .when(bad_type, "output_invalid_types")
         .otherwise(VALID)
     )
-    return staged.select(*cols, "doc", label.alias("label"))
+    return once(staged.select(*cols, "doc", label.alias("label")))
+
+
+def once(df: DataFrame) -> DataFrame:
+    """Materialise every column of ``df`` exactly once per row.
+
+    Catalyst pushes a filter on a computed column down through projections
+    and exchanges, substituting the column's definition; a later projection of
+    the same columns then evaluates the parse a second time. A filter cannot
+    move below a row generator, so emitting the row through a one-element
+    ``inline`` keeps the label computed once, where the projection runs.
+    """
+    return df.select(F.inline(F.array(F.struct(*df.columns))))
 
 
 def clean(classified: DataFrame) -> DataFrame:

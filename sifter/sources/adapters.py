@@ -12,8 +12,24 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def spread(df: DataFrame) -> DataFrame:
+    """Use every core when a scan has fewer splits than the cluster has slots.
+
+    A small table stored as one row group scans as one partition, so all the
+    per-row parsing would run on one core. Large inputs already scan as many
+    splits; for them this is a no-op (checked on the plan, no job runs).
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < slots:
+        return df.repartition(slots)
+    return df
+
+
+def table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None) -> DataFrame:
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    if columns:
+        df = df.select(*columns)
+    return spread(df)
 
 
 def _s(x) -> Column:
@@ -59,11 +75,22 @@ def _doc(e: DataFrame, task_type: Column | str = None, agents: Column | str = No
 
 def raw_records_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(pos, item_text): one JSON record text per event."""
-    e = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "props")
+    e = table(spark, sf_dir, "events", ["event_id", "user_id", "event_type", "props"])
+    # shared pieces first, so the CASE below refers to them instead of
+    # repeating the builders in every branch (keeps generated code small)
+    e = e.select(
+        "event_id",
+        "user_id",
+        "event_type",
+        "props",
+        _doc(e).alias("d"),
+        qs(cat("Intent ", F.col("event_type"), " from user ", F.col("user_id").cast("string"))).alias("inp"),
+    ).withColumn("qd", qs(F.col("d")))
     m = F.col("event_id") % 20
     ins = qs(F.lit(INSTRUCTION))
-    inp = qs(cat("Intent ", F.col("event_type"), " from user ", F.col("user_id").cast("string")))
-    d = _doc(e)
+    inp = F.col("inp")
+    d = F.col("d")
+    qd = F.col("qd")
 
     def rec(output: Column, instruction: Column = ins, input_: Column = inp, extra: Column | None = None) -> Column:
         parts = ['{"instruction": ', instruction, ', "input": ', input_, ', "output": ', output]
@@ -74,8 +101,8 @@ def raw_records_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     item = (
         F.when(m == 0, qs(F.col("event_type")))
         .when(m == 1, cat("[", F.col("props"), "]"))
-        .when(m == 2, cat('{"instruction": ', ins, ', "output": ', qs(d), "}"))
-        .when(m == 3, rec(F.lit('" 　\\t "')))
+        .when(m == 2, cat('{"instruction": ', ins, ', "output": ', qd, "}"))
+        .when(m == 3, rec(F.lit('" \u3000\\t "')))
         .when(m == 4, rec(F.lit("null")))
         .when(m == 5, rec(F.col("props")))
         .when(m == 6, rec(qs(cat('{"task_type": "', F.col("event_type"), '"'))))
@@ -84,11 +111,11 @@ def raw_records_text(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(m == 9, rec(qs(_doc(e, task_type=F.col("user_id").cast("string")))))
         .when(m == 10, rec(qs(_doc(e, agents=F.col("props")))))
         .when(m == 11, rec(qs(_doc(e, params=F.lit("null")))))
-        .when(m == 12, rec(qs(d), instruction=F.lit("null"), input_=F.lit("null")))
-        .when(m == 13, rec(qs(d), extra=cat('"meta": ', F.col("props"))))
-        .when(m == 14, rec(qs(cat(F.substring(d, 1, F.length(d) - 1), ', "note": "额外"}'))))
+        .when(m == 12, rec(qd, instruction=F.lit("null"), input_=F.lit("null")))
+        .when(m == 13, rec(qd, extra=cat('"meta": ', F.col("props"))))
+        .when(m == 14, rec(qs(cat(F.substring(d, F.lit(1), F.length(d) - 1), ', "note": "额外"}'))))
         .when(m == 15, rec(qs(cat("[", d, "]"))))
-        .otherwise(rec(qs(d)))
+        .otherwise(rec(qd))
     )
     return e.select(F.col("event_id").alias("pos"), item.alias("item_text"))
 
