@@ -11,7 +11,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import text as X
 from ..operators import clean as C
+from ..operators import responses as R
 from ..sources import adapters as A
 from . import jobs as J
 
@@ -65,3 +67,39 @@ def c11_clean_job(spark, sf):
     return kept.select(
         "pos", "instruction", "input", "output", C.J.field(F.col("item"), "meta").isNotNull().alias("has_extra")
     )
+
+
+# ---------------------------------------------------------------- responses
+
+
+@query("g1_response_content")
+def g1_response_content(spark, sf):
+    return R.response_content(A.responses(spark, sf)).select("run_id", "request_id", "envelope_error", "content")
+
+
+@query("g3_extract_json_text")
+def g3_extract_json_text(spark, sf):
+    c = R.response_content(A.responses(spark, sf))
+    return c.select(
+        "request_id",
+        X.strip_fence(F.col("content")).alias("stripped"),
+        X.extract_json_text(F.col("content")).alias("extracted"),
+    )
+
+
+@query("g6_items")
+def g6_items(spark, sf):
+    items, _ = R.parse_responses(A.responses(spark, sf))
+    return items
+
+
+@query("g7_response_stats")
+def g7_response_stats(spark, sf):
+    _, stats = R.parse_responses(A.responses(spark, sf))
+    return stats
+
+
+@query("a2_dropped_per_run")
+def a2_dropped_per_run(spark, sf):
+    _, stats = R.parse_responses(A.responses(spark, sf))
+    return R.dropped_per_run(stats)

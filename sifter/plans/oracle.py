@@ -136,3 +136,130 @@ SELECT pos, item ->> '$.instruction' AS instruction, item ->> '$.input' AS input
   regexp_replace(item ->> '$.output', {MINIFY}) AS output,
   json_extract(item, '$.meta') IS NOT NULL AS has_extra
 FROM classified WHERE label = 'valid'"""
+
+
+# ------------------------------------------------------------------ responses
+
+
+def jstr(x: str) -> str:
+    return f"""('"' || replace(replace(replace({x}, '\\', '\\\\'), '"', '\\"'), chr(10), '\\n') || '"')"""
+
+
+def _good(n: int) -> str:
+    return (
+        f"""('{{"instruction": ' || {jstr(lit(INSTRUCTION))} || ', "input": ' || """
+        f"""{jstr("'Intent ' || event_type || ' #" + str(n) + " from user ' || CAST(user_id AS VARCHAR)")} """
+        f"""|| ', "output": ' || od || '}}')"""
+    )
+
+
+_ARR = f"('[' || {_good(1)} || ', ' || {_good(2)} || ']')"
+_CONTENT = f"""CASE event_id % 10
+      WHEN 0 THEN {_ARR}
+      WHEN 1 THEN '```json' || chr(10) || {_ARR} || chr(10) || '```'
+      WHEN 2 THEN 'Here are the items:' || chr(10) || {_ARR} || chr(10) || 'Done.'
+      WHEN 3 THEN {_good(1)}
+      WHEN 4 THEN '[' || {_good(1)} || ', 3, {{"instruction": "x"}}]'
+      WHEN 5 THEN '[{{"instruction": ' || {jstr(lit(INSTRUCTION))} || ', "input": "coerce ' || CAST(event_id AS VARCHAR) || '", "output": ' || props || '}}]'
+      WHEN 6 THEN '[{{"instruction": "x", '
+      ELSE CASE WHEN user_id % 2 = 0 THEN '42' ELSE 'Here: {{"a":[' || CAST(user_id AS VARCHAR) || ']}}' END
+    END"""
+
+RESPONSES = f"""
+ev AS (SELECT event_id, user_id, event_type, props, {jstr(D)} AS od FROM events),
+responses AS (
+  SELECT user_id AS run_id, event_id AS request_id,
+    CASE event_id % 10
+      WHEN 8 THEN '{{"error": {{"message": "quota exceeded"}}}}'
+      WHEN 9 THEN '{{"choices": [{{"message": {{"role": "assistant", "content": "  "}}}}]}}'
+      ELSE '{{"choices": [{{"message": {{"role": "assistant", "content": ' || {jstr(_CONTENT)} || '}}}}]}}'
+    END AS body
+  FROM ev
+)"""
+
+
+def ustrip_sql(x: str) -> str:
+    return f"regexp_replace({x}, '^{WS}+|{WS}+$', '', 'g')"
+
+
+FENCED = f"""
+env AS (
+  SELECT run_id, request_id, body,
+    CASE WHEN json_valid(body) THEN json_array_length(body, '$.choices') END AS nchoices,
+    CASE WHEN json_valid(body) AND json_type(body, '$.choices[0].message.content') = 'VARCHAR'
+      THEN body ->> '$.choices[0].message.content' END AS txt
+  FROM responses
+),
+env2 AS (
+  SELECT run_id, request_id,
+    CASE WHEN coalesce(nchoices, 0) = 0 THEN 'choices'
+         WHEN txt IS NULL OR NOT regexp_matches(txt, '{NOT_WS}') THEN 'message.content' END AS envelope_error,
+    txt
+  FROM env
+),
+content AS (
+  SELECT run_id, request_id, envelope_error,
+    CASE WHEN envelope_error IS NULL THEN txt END AS content,
+    CASE WHEN envelope_error IS NULL THEN {ustrip_sql('txt')} END AS s0
+  FROM env2
+),
+defenced AS (
+  SELECT *, CASE WHEN starts_with(s0, '```')
+    THEN {ustrip_sql("regexp_replace(regexp_replace(s0, '^```[a-zA-Z]*\\n?', ''), '\\n?```$', '')")}
+    ELSE s0 END AS stripped
+  FROM content
+),
+extracted AS (
+  SELECT *, CASE
+      WHEN json_valid(stripped) THEN stripped
+      WHEN regexp_matches(stripped, '\\[[\\s\\S]*\\]') THEN regexp_extract(stripped, '\\[[\\s\\S]*\\]', 0)
+      WHEN regexp_matches(stripped, '\\{{[\\s\\S]*\\}}') THEN regexp_extract(stripped, '\\{{[\\s\\S]*\\}}', 0)
+      ELSE stripped END AS extracted
+  FROM defenced
+),
+parsed AS (
+  SELECT *, CASE WHEN json_valid(extracted) THEN
+      CASE json_type(extracted) WHEN 'OBJECT' THEN '[' || extracted || ']' WHEN 'ARRAY' THEN extracted END
+    END AS arr
+  FROM extracted
+),
+items_all AS (
+  SELECT run_id, request_id, i AS item_idx, json_extract(arr, '$[' || i || ']') AS it
+  FROM parsed, range(0, CAST(coalesce(json_array_length(arr), 0) AS BIGINT)) t(i)
+),
+items_flag AS (
+  SELECT *, coalesce(json_type(it) = 'OBJECT' AND json_extract(it, '$.instruction') IS NOT NULL
+      AND json_extract(it, '$.input') IS NOT NULL AND json_extract(it, '$.output') IS NOT NULL, false) AS ok
+  FROM items_all
+)"""
+
+_RESP = with_(RESPONSES, FENCED)
+
+ORACLE["g1_response_content"] = _RESP + "SELECT run_id, request_id, envelope_error, content FROM content"
+
+ORACLE["g3_extract_json_text"] = _RESP + "SELECT request_id, stripped, extracted FROM extracted"
+
+ORACLE["g6_items"] = _RESP + """
+SELECT run_id, request_id, CAST(item_idx AS BIGINT) AS item_idx, it ->> '$.instruction' AS instruction, it ->> '$.input' AS input,
+  CASE WHEN json_type(it, '$.output') = 'VARCHAR' THEN it ->> '$.output' ELSE CAST(json_extract(it, '$.output') AS VARCHAR) END AS output
+FROM items_flag WHERE ok"""
+
+_STATS = """
+stats AS (
+  SELECT p.run_id, p.request_id,
+    coalesce((SELECT count_if(ok) FROM items_flag f WHERE f.request_id = p.request_id), 0) AS n_items,
+    coalesce((SELECT count_if(NOT ok) FROM items_flag f WHERE f.request_id = p.request_id), 0) AS n_dropped,
+    p.envelope_error, p.arr
+  FROM parsed p
+)"""
+
+ORACLE["g7_response_stats"] = with_(RESPONSES, FENCED, _STATS) + """
+SELECT run_id, request_id, n_items, n_dropped,
+  CASE WHEN envelope_error IS NOT NULL THEN envelope_error WHEN arr IS NULL THEN 'parse_error'
+       WHEN n_items = 0 THEN 'no_valid_items' ELSE 'ok' END AS status
+FROM stats"""
+
+ORACLE["a2_dropped_per_run"] = with_(RESPONSES, FENCED, _STATS) + """
+SELECT run_id, count(*) AS n_responses, sum(n_items) AS n_items, sum(n_dropped) AS n_dropped,
+  count_if(envelope_error IS NOT NULL OR arr IS NULL OR n_items = 0) AS n_failed
+FROM stats GROUP BY run_id"""

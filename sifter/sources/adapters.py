@@ -123,3 +123,49 @@ def raw_records_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(pos, item VARIANT) — the raw_records view."""
     return raw_records_text(spark, sf_dir).select("pos", F.parse_json("item_text").alias("item"))
+
+
+# ------------------------------------------------------------------ responses
+# One chat-completion envelope per event, content shaped by event_id % 10.
+
+
+def jstr(c) -> Column:
+    """JSON string literal of any text (backslash, quote and newline escaped)."""
+    c = _s(c)
+    c = F.replace(c, F.lit("\\"), F.lit("\\\\"))
+    c = F.replace(c, F.lit('"'), F.lit('\\"'))
+    c = F.replace(c, F.lit("\n"), F.lit("\\n"))
+    return cat('"', c, '"')
+
+
+def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(run_id, request_id, body): run = user, request = event."""
+    e = table(spark, sf_dir, "events", ["event_id", "user_id", "event_type", "props"])
+    e = e.select("event_id", "user_id", "event_type", "props", jstr(_doc(e)).alias("od"))
+
+    def good(n: int) -> Column:
+        return cat(
+            '{"instruction": ', jstr(F.lit(INSTRUCTION)),
+            ', "input": ', jstr(cat("Intent ", F.col("event_type"), f" #{n} from user ", F.col("user_id").cast("string"))),
+            ', "output": ', F.col("od"), "}",
+        )
+
+    arr = cat("[", good(1), ", ", good(2), "]")
+    m = F.col("event_id") % 10
+    content = (
+        F.when(m == 0, arr)
+        .when(m == 1, cat("```json\n", arr, "\n```"))
+        .when(m == 2, cat("Here are the items:\n", arr, "\nDone."))
+        .when(m == 3, good(1))
+        .when(m == 4, cat("[", good(1), ', 3, {"instruction": "x"}]'))
+        .when(m == 5, cat('[{"instruction": ', jstr(F.lit(INSTRUCTION)), ', "input": "coerce ', F.col("event_id").cast("string"), '", "output": ', F.col("props"), "}]"))
+        .when(m == 6, F.lit('[{"instruction": "x", '))
+        .when(F.col("user_id") % 2 == 0, F.lit("42"))
+        .otherwise(cat('Here: {"a":[', F.col("user_id").cast("string"), "]}"))
+    )
+    body = (
+        F.when(m == 8, F.lit('{"error": {"message": "quota exceeded"}}'))
+        .when(m == 9, F.lit('{"choices": [{"message": {"role": "assistant", "content": "  "}}]}'))
+        .otherwise(cat('{"choices": [{"message": {"role": "assistant", "content": ', jstr(content), "}}]}"))
+    )
+    return e.select(F.col("user_id").alias("run_id"), F.col("event_id").alias("request_id"), body.alias("body"))
