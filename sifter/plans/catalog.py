@@ -11,8 +11,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import errors as E
 from ..functions import text as X
 from ..operators import clean as C
+from ..operators import requests as Q
 from ..operators import responses as R
 from ..sources import adapters as A
 from . import jobs as J
@@ -103,3 +105,57 @@ def g7_response_stats(spark, sf):
 def a2_dropped_per_run(spark, sf):
     _, stats = R.parse_responses(A.responses(spark, sf))
     return R.dropped_per_run(stats)
+
+
+# -------------------------------------------------------------- request log
+
+
+@query("r5_error_markers")
+def r5_error_markers(spark, sf):
+    log = A.request_log(spark, sf)
+    e = F.col("error")
+    return log.select(
+        "run_id", "seq",
+        E.is_retriable(e).alias("is_retriable"),
+        E.is_quota(e).alias("is_quota"),
+        E.is_json_parse(e).alias("is_json_parse"),
+        E.is_timeout(e).alias("is_timeout"),
+        E.is_model_unavailable(e).alias("is_model_unavailable"),
+    )
+
+
+@query("r6_durations")
+def r6_durations(spark, sf):
+    log = A.request_log(spark, sf).filter(F.col("error").isNotNull())
+    txt = F.regexp_extract("error", '"(?:retryDelay|quotaResetDelay|reset_time|resetTime)"\\s*:\\s*"([^"]+)"', 1)
+    return log.select("run_id", "seq", txt.alias("duration_text"), E.parse_duration_seconds(txt).alias("seconds"))
+
+
+@query("r7_retry_delay")
+def r7_retry_delay(spark, sf):
+    return A.request_log(spark, sf).select("run_id", "seq", E.parse_retry_delay_seconds("error").alias("delay_s"))
+
+
+@query("r8_actions")
+def r8_actions(spark, sf):
+    return Q.request_actions(A.request_log(spark, sf)).select("run_id", "seq", "action", "wait_s", "next_batch_size")
+
+
+@query("r11_failure_streaks")
+def r11_failure_streaks(spark, sf):
+    return Q.failure_streaks(A.request_log(spark, sf)).select("run_id", "seq", "streak")
+
+
+@query("r12_run_progress")
+def r12_run_progress(spark, sf):
+    return Q.run_progress(A.request_log(spark, sf)).select("run_id", "seq", "total", "accepted", "remaining")
+
+
+@query("r13_checkpoint_marks")
+def r13_checkpoint_marks(spark, sf):
+    return Q.checkpoint_marks(Q.run_progress(A.request_log(spark, sf))).select("run_id", "seq", "total")
+
+
+@query("r14_rate_gaps")
+def r14_rate_gaps(spark, sf):
+    return Q.rate_gaps(A.request_log(spark, sf)).select("run_id", "seq", "gap_s", "wait_s")

@@ -263,3 +263,113 @@ ORACLE["a2_dropped_per_run"] = with_(RESPONSES, FENCED, _STATS) + """
 SELECT run_id, count(*) AS n_responses, sum(n_items) AS n_items, sum(n_dropped) AS n_dropped,
   count_if(envelope_error IS NOT NULL OR arr IS NULL OR n_items = 0) AS n_failed
 FROM stats GROUP BY run_id"""
+
+
+# ---------------------------------------------------------------- request_log
+
+from ..sources.adapters import ERROR_TEXTS  # noqa: E402
+from ..functions import errors as _E  # noqa: E402
+
+_ERR = "CASE event_id % 12 " + " ".join(
+    f"WHEN {i} THEN {lit(t)}" for i, t in enumerate(ERROR_TEXTS) if t is not None
+) + " END"
+
+REQUEST_LOG = f"""
+ev_err AS (SELECT event_id, ts, user_id, {_ERR} AS err FROM events),
+request_log AS (
+  SELECT user_id AS run_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS seq, ts,
+    CAST(event_id % 5 AS INTEGER) AS attempt, CAST(event_id % 50 + 1 AS INTEGER) AS batch_size,
+    CAST(CASE WHEN err IS NULL THEN event_id % 50 + 1 ELSE 0 END AS INTEGER) AS n_items, err AS error
+  FROM ev_err
+)"""
+
+
+def markers_sql(x: str, markers) -> str:
+    return "coalesce(" + " OR ".join(f"contains(lower({x}), {lit(m)})" for m in markers) + ", false)"
+
+
+def dur_sql(t: str) -> str:
+    s = ustrip_sql(t)
+    hms = _E.HMS
+
+    def num(i):
+        return f"TRY_CAST(nullif(regexp_extract({s}, '{hms}', {i}), '') AS DOUBLE)"
+
+    total = f"(coalesce({num(1)} * 3600, 0) + coalesce({num(2)} * 60, 0) + coalesce({num(3)}, 0))"
+    return (
+        f"(CASE WHEN {s} = '' THEN NULL "
+        f"WHEN regexp_matches({s}, '{_E.SECONDS_ONLY}') THEN CAST(ceil(CAST(regexp_extract({s}, '{_E.SECONDS_ONLY}', 1) AS DOUBLE)) AS BIGINT) "
+        f"WHEN regexp_matches({s}, '{hms}') AND {total} > 0 THEN CAST(ceil({total}) AS BIGINT) END)"
+    )
+
+
+def delay_sql(e: str) -> str:
+    tries = [dur_sql(f"""regexp_extract({e}, '"{k}"\\s*:\\s*"([^"]+)"', 1)""") for k in _E.DELAY_KEYS]
+    secs = f"""TRY_CAST(nullif(regexp_extract({e}, '"{_E.SECONDS_KEY}"\\s*:\\s*(\\d+)', 1), '') AS BIGINT)"""
+    return "coalesce(" + ", ".join(tries + [secs]) + ")"
+
+
+_LOG = with_(REQUEST_LOG)
+
+ORACLE["r5_error_markers"] = _LOG + f"""
+SELECT run_id, seq, {markers_sql('error', _E.RETRIABLE_MARKERS)} AS is_retriable,
+  {markers_sql('error', _E.QUOTA_MARKERS)} AS is_quota,
+  {markers_sql('error', _E.JSON_PARSE_MARKERS)} AS is_json_parse,
+  {markers_sql('error', _E.TIMEOUT_MARKERS)} AS is_timeout,
+  {markers_sql('error', _E.MODEL_UNAVAILABLE_MARKERS)} AS is_model_unavailable
+FROM request_log"""
+
+_DTEXT = """regexp_extract(error, '"(?:retryDelay|quotaResetDelay|reset_time|resetTime)"\\s*:\\s*"([^"]+)"', 1)"""
+
+ORACLE["r6_durations"] = _LOG + f"""
+SELECT run_id, seq, {_DTEXT} AS duration_text, {dur_sql(_DTEXT)} AS seconds
+FROM request_log WHERE error IS NOT NULL"""
+
+ORACLE["r7_retry_delay"] = _LOG + f"SELECT run_id, seq, {delay_sql('error')} AS delay_s FROM request_log"
+
+_SHRUNK = "(CASE WHEN greatest(5, batch_size // 2) = batch_size THEN greatest(1, batch_size - 1) ELSE greatest(5, batch_size // 2) END)"
+_CAN = f"(batch_size > 1 AND {_SHRUNK} < batch_size)"
+
+ORACLE["r8_actions"] = with_(REQUEST_LOG, f"""
+act AS (
+  SELECT run_id, seq, attempt, batch_size, {delay_sql('error')} AS delay,
+    CASE WHEN error IS NULL THEN 'success'
+      WHEN {markers_sql('error', _E.MODEL_UNAVAILABLE_MARKERS)} THEN 'stop'
+      WHEN {markers_sql('error', _E.JSON_PARSE_MARKERS)} AND {_CAN} THEN 'shrink'
+      WHEN {markers_sql('error', _E.TIMEOUT_MARKERS)} AND {_CAN} THEN 'shrink'
+      WHEN {markers_sql('error', _E.QUOTA_MARKERS)} THEN 'stop'
+      WHEN {markers_sql('error', _E.RETRIABLE_MARKERS)} AND attempt < 4 THEN 'backoff'
+      ELSE 'skip' END AS action
+  FROM request_log
+)""") + f"""
+SELECT run_id, seq, action,
+  CAST(CASE WHEN action = 'backoff' THEN coalesce(delay, (attempt + 1) * 5) END AS BIGINT) AS wait_s,
+  CAST(CASE WHEN action = 'success' THEN (CASE WHEN batch_size < 50 THEN least(50, batch_size + 5) ELSE batch_size END)
+       WHEN action = 'shrink' THEN {_SHRUNK} ELSE batch_size END AS INTEGER) AS next_batch_size
+FROM act"""
+
+ORACLE["r11_failure_streaks"] = _LOG + """
+SELECT run_id, seq,
+  CAST(CASE WHEN error IS NULL THEN 0 ELSE seq - coalesce(max(CASE WHEN error IS NULL THEN seq END)
+    OVER (PARTITION BY run_id ORDER BY seq ROWS UNBOUNDED PRECEDING), 0) END AS BIGINT) AS streak
+FROM request_log"""
+
+_PROG = with_(REQUEST_LOG, """
+prog AS (
+  SELECT run_id, seq, error, CAST(CASE WHEN error IS NULL THEN n_items ELSE 0 END AS BIGINT) AS got,
+    sum(CASE WHEN error IS NULL THEN n_items ELSE 0 END) OVER (PARTITION BY run_id ORDER BY seq ROWS UNBOUNDED PRECEDING) AS run
+  FROM request_log
+),
+prog2 AS (
+  SELECT run_id, seq, error, CAST(least(run, 2000) AS BIGINT) AS total, CAST(least(run - got, 2000) AS BIGINT) AS before FROM prog
+)""")
+
+ORACLE["r12_run_progress"] = _PROG + """
+SELECT run_id, seq, total, total - before AS accepted, 2000 - total AS remaining FROM prog2"""
+
+ORACLE["r13_checkpoint_marks"] = _PROG + """
+SELECT run_id, seq, total FROM prog2 WHERE error IS NULL AND total > 0 AND total % 100 = 0"""
+
+ORACLE["r14_rate_gaps"] = _LOG + """
+SELECT run_id, seq, gap_s, CASE WHEN gap_s < 1.0 THEN 1.0 - gap_s ELSE 0.0 END AS wait_s
+FROM (SELECT run_id, seq, (epoch_us(ts) - lag(epoch_us(ts)) OVER (PARTITION BY run_id ORDER BY seq)) / 1e6 AS gap_s FROM request_log)"""

@@ -169,3 +169,49 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(cat('{"choices": [{"message": {"role": "assistant", "content": ', jstr(content), "}}]}"))
     )
     return e.select(F.col("user_id").alias("run_id"), F.col("event_id").alias("request_id"), body.alias("body"))
+
+
+# ---------------------------------------------------------------- request_log
+# One request attempt per event; run = user, order = (ts, event_id).
+
+# Error texts chosen by event_id % 12 (NULL = success).
+ERROR_TEXTS = (
+    None,
+    None,
+    'HTTP 429: {"error": {"status": "RESOURCE_EXHAUSTED", "details": [{"retryDelay": "1.5s"}]}}',
+    'HTTP 503: {"error": "model_cooldown", "quotaResetDelay": "1h2m3s"}',
+    "JSON 解析失败: Expecting value: line 1 column 1 (char 0); 片段: abc",
+    "Network error: <urlopen error timed out>",
+    'HTTP 404: {"error": "The model is no longer available, please switch to another"}',
+    'HTTP 500: internal error "reset_seconds": 7',
+    "HTTP 400: bad request",
+    'HTTP 502: upstream "retryDelay": "x", "resetTime": "2s"',
+    "Read timed out. (read timeout=300)",
+    'Rate limit reached: "reset_time": "0s"',
+)
+
+
+def request_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(run_id, seq, ts, attempt, batch_size, n_items, error)."""
+    from ..operators.rank import global_rank
+    from ..operators.requests import epoch_micros
+
+    e = table(spark, sf_dir, "events", ["event_id", "ts", "user_id"])
+    m = F.col("event_id") % len(ERROR_TEXTS)
+    err = F.lit(None).cast("string")
+    for i in reversed(range(len(ERROR_TEXTS))):
+        if ERROR_TEXTS[i] is not None:
+            err = F.when(m == i, F.lit(ERROR_TEXTS[i])).otherwise(err)
+    b = (F.col("event_id") % 50 + 1).cast("int")
+    log = e.select(
+        F.col("user_id").alias("run_id"),
+        "event_id",
+        "ts",
+        (F.col("event_id") % 5).cast("int").alias("attempt"),
+        b.alias("batch_size"),
+        F.when(err.isNull(), b).otherwise(F.lit(0)).cast("int").alias("n_items"),
+        err.alias("error"),
+    )
+    # order inside a run by (ts, event_id); buckets of about one second
+    ranked = global_rank(log, ["ts", "event_id"], F.shiftright(epoch_micros(F.col("ts")), 20), within=["run_id"], name="seq")
+    return ranked.select("run_id", "seq", "ts", "attempt", "batch_size", "n_items", "error")
