@@ -13,9 +13,11 @@ from pyspark.sql import functions as F
 
 from ..functions import errors as E
 from ..functions import text as X
+from ..operators import chat as H
 from ..operators import clean as C
 from ..operators import requests as Q
 from ..operators import responses as R
+from ..operators import samples as S
 from ..sources import adapters as A
 from . import jobs as J
 
@@ -159,3 +161,102 @@ def r13_checkpoint_marks(spark, sf):
 @query("r14_rate_gaps")
 def r14_rate_gaps(spark, sf):
     return Q.rate_gaps(A.request_log(spark, sf)).select("run_id", "seq", "gap_s", "wait_s")
+
+
+# ------------------------------------------------------------ conversations
+
+
+@query("h1_chat_lines")
+def h1_chat_lines(spark, sf):
+    return H.chat_lines(A.transcript(spark, sf)).select("conv_id", "turn", "kind", "active")
+
+
+@query("h2_episodes")
+def h2_episodes(spark, sf):
+    return H.episodes(H.chat_lines(A.transcript(spark, sf))).select("conv_id", "turn", "episode", "system_text")
+
+
+@query("h3_histories")
+def h3_histories(spark, sf):
+    h = H.histories(A.transcript(spark, sf))
+    text = F.array_join(F.transform("history", lambda m: F.concat(m["role"], F.lit(":"), m["content"])), "\n")
+    return h.select("conv_id", "turn", "episode", F.size("history").alias("n_messages"), F.md5(text).alias("history_md5"))
+
+
+@query("h4_join_chunks")
+def h4_join_chunks(spark, sf):
+    return H.join_chunks(A.chunks(spark, sf))
+
+
+@query("h5_transcript_records")
+def h5_transcript_records(spark, sf):
+    return A.sft_records(spark, sf)
+
+
+# ------------------------------------------------------------------ samples
+
+
+def _md5_ints(c):
+    return F.md5(F.array_join(F.col(c).cast("array<string>"), ","))
+
+
+@query("t1_normalize")
+def t1_normalize(spark, sf):
+    return S.normalize(A.sft_records(spark, sf)).select("pos", "instruction", "input", "output", "drop_reason")
+
+
+@query("t4_render_prompt")
+def t4_render_prompt(spark, sf):
+    m = S.build_messages(S.normalize(A.sft_records(spark, sf)))
+    r = S.render_prompt(m.filter(F.col("drop_reason").isNull()))
+    return r.select(
+        "pos", F.md5("prompt").alias("prompt_md5"), F.length("prompt").alias("prompt_chars"), F.md5("answer").alias("answer_md5")
+    )
+
+
+def _samples(spark, sf):
+    return S.build_samples(A.sft_records(spark, sf))
+
+
+@query("t10_samples")
+def t10_samples(spark, sf):
+    n = S.normalize(A.sft_records(spark, sf))
+    enc = S.encode(S.render_prompt(S.build_messages(n).filter(F.col("drop_reason").isNull())))
+    enc = enc.filter(F.col("drop_reason").isNull())
+    return enc.select(
+        "pos",
+        "n_prompt",
+        "n_answer",
+        F.size("input_ids").alias("n_tokens"),
+        F.size(F.filter("labels", lambda x: x != S.IGNORE_INDEX)).alias("n_learn"),
+        _md5_ints("input_ids").alias("ids_md5"),
+        _md5_ints("labels").alias("labels_md5"),
+    )
+
+
+@query("a3_sample_drops")
+def a3_sample_drops(spark, sf):
+    _, drops = _samples(spark, sf)
+    return drops
+
+
+@query("t11_split")
+def t11_split(spark, sf):
+    samples, _ = _samples(spark, sf)
+    return S.split_exact(samples).select("pos", "split")
+
+
+@query("a4_split_sizes")
+def a4_split_sizes(spark, sf):
+    samples, _ = _samples(spark, sf)
+    return S.split_sizes(S.split_exact(samples))
+
+
+@query("t13_padded_batches")
+def t13_padded_batches(spark, sf):
+    samples, _ = _samples(spark, sf)
+    b = S.pad_batches(S.assign_batches(S.split_exact(samples), 8, within=["split"]), within=["split"])
+    return b.select(
+        "split", "batch_id", "pos", "width",
+        _md5_ints("input_ids").alias("ids_md5"), _md5_ints("attention_mask").alias("mask_md5"), _md5_ints("labels").alias("labels_md5"),
+    )

@@ -373,3 +373,156 @@ SELECT run_id, seq, total FROM prog2 WHERE error IS NULL AND total > 0 AND total
 ORACLE["r14_rate_gaps"] = _LOG + """
 SELECT run_id, seq, gap_s, CASE WHEN gap_s < 1.0 THEN 1.0 - gap_s ELSE 0.0 END AS wait_s
 FROM (SELECT run_id, seq, (epoch_us(ts) - lag(epoch_us(ts)) OVER (PARTITION BY run_id ORDER BY seq)) / 1e6 AS gap_s FROM request_log)"""
+
+
+# ------------------------------------------------------------ conversations
+
+SFT_RECORDS = """
+conv_sys AS (
+  SELECT conv_id, turn, role, text,
+    last_value(CASE WHEN role = 'system' THEN text END IGNORE NULLS)
+      OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS sys,
+    lead(role) OVER (PARTITION BY conv_id ORDER BY turn) AS next_role,
+    lead(text) OVER (PARTITION BY conv_id ORDER BY turn) AS next_text,
+    lead(turn) OVER (PARTITION BY conv_id ORDER BY turn) AS next_turn
+  FROM conversations
+),
+sft_records AS (
+  SELECT conv_id * 1000000 + turn AS pos, coalesce(sys, '') AS instruction, text AS input, next_text AS output
+  FROM conv_sys WHERE role = 'user' AND next_role = 'assistant' AND next_turn = turn + 1
+)"""
+
+ORACLE["h5_transcript_records"] = with_(SFT_RECORDS) + "SELECT pos, instruction, input, output FROM sft_records"
+
+SYSTEM_PROMPT = "You are a helpful assistant."
+IM_S, IM_E, NL = "'<|im_start|>'", "'<|im_end|>'", "chr(10)"
+
+SAMPLES = f"""
+norm AS (
+  SELECT pos, {ustrip_sql("coalesce(instruction, '')")} AS instruction, {ustrip_sql("coalesce(input, '')")} AS input,
+    {ustrip_sql('output')} AS output
+  FROM sft_records
+),
+merged AS (
+  SELECT *, CASE WHEN instruction <> '' AND instruction <> {lit(SYSTEM_PROMPT)}
+      THEN CASE WHEN input = '' THEN instruction ELSE instruction || chr(10) || chr(10) || input END
+      ELSE input END AS user_text
+  FROM norm
+),
+reasons AS (
+  SELECT *, CASE WHEN output IS NULL THEN 'output_missing' WHEN output = '' THEN 'output_blank'
+    WHEN user_text = '' THEN 'empty_prompt' END AS drop_reason
+  FROM merged
+),
+rendered AS (
+  SELECT pos, drop_reason,
+    {IM_S} || 'system' || {NL} || {lit(SYSTEM_PROMPT)} || {IM_E} || {NL}
+      || {IM_S} || 'user' || {NL} || user_text || {IM_E} || {NL} || {IM_S} || 'assistant' || {NL} AS prompt,
+    output || {IM_E} AS answer
+  FROM reasons
+),
+enc AS (
+  SELECT pos, drop_reason, prompt, answer,
+    list_transform(string_split(prompt, ''), lambda c: unicode(c)) AS p,
+    list_transform(string_split(answer, ''), lambda c: unicode(c)) AS a
+  FROM rendered WHERE drop_reason IS NULL
+),
+full_ AS (
+  SELECT pos, p, a, list_concat(p, a) AS ids, list_concat(list_transform(p, lambda x: -100), a) AS lab FROM enc
+),
+samples AS (
+  SELECT pos, len(p) AS n_prompt, len(a) AS n_answer,
+    CASE WHEN len(ids) > 1024 THEN list_slice(ids, len(ids) - 1024 + 1, len(ids)) ELSE ids END AS input_ids,
+    CASE WHEN len(lab) > 1024 THEN list_slice(lab, len(lab) - 1024 + 1, len(lab)) ELSE lab END AS labels
+  FROM full_
+)"""
+
+_T = with_(SFT_RECORDS, SAMPLES)
+
+ORACLE["t1_normalize"] = _T + """
+SELECT pos, instruction, input, output,
+  CASE WHEN output IS NULL THEN 'output_missing' WHEN output = '' THEN 'output_blank' END AS drop_reason
+FROM norm"""
+
+ORACLE["t4_render_prompt"] = _T + """
+SELECT pos, md5(prompt) AS prompt_md5, length(prompt) AS prompt_chars, md5(answer) AS answer_md5 FROM rendered
+WHERE drop_reason IS NULL"""
+
+ORACLE["t10_samples"] = _T + """
+SELECT pos, CAST(n_prompt AS INTEGER) AS n_prompt, CAST(n_answer AS INTEGER) AS n_answer,
+  CAST(len(input_ids) AS INTEGER) AS n_tokens,
+  CAST(len(list_filter(labels, lambda x: x <> -100)) AS INTEGER) AS n_learn,
+  md5(array_to_string(input_ids, ',')) AS ids_md5, md5(array_to_string(labels, ',')) AS labels_md5
+FROM samples WHERE len(list_filter(labels, lambda x: x <> -100)) > 0"""
+
+ORACLE["a3_sample_drops"] = _T + """
+SELECT drop_reason, count(*) AS n FROM (
+  SELECT drop_reason FROM reasons WHERE drop_reason IS NOT NULL
+  UNION ALL SELECT 'all_masked' FROM samples WHERE len(list_filter(labels, lambda x: x <> -100)) = 0
+) GROUP BY drop_reason"""
+
+_SPLIT = with_(SFT_RECORDS, SAMPLES, """
+kept AS (SELECT * FROM samples WHERE len(list_filter(labels, lambda x: x <> -100)) > 0),
+split AS (
+  SELECT *, CASE WHEN row_number() OVER (ORDER BY md5('42:' || CAST(pos AS VARCHAR)), pos)
+      <= floor(count(*) OVER () * 0.02::DOUBLE) THEN 'eval' ELSE 'train' END AS split
+  FROM kept
+)""")
+
+ORACLE["t11_split"] = _SPLIT + "SELECT pos, split FROM split"
+
+ORACLE["a4_split_sizes"] = _SPLIT + "SELECT split, count(*) AS n FROM split GROUP BY split"
+
+ORACLE["t13_padded_batches"] = _SPLIT + """,
+batched AS (
+  SELECT *, CAST(floor((row_number() OVER (PARTITION BY split ORDER BY pos) - 1) / 8) AS BIGINT) AS batch_id FROM split
+),
+padded AS (
+  SELECT *, max(len(input_ids)) OVER (PARTITION BY split, batch_id) AS width FROM batched
+)
+SELECT split, batch_id, pos, CAST(width AS INTEGER) AS width,
+  md5(array_to_string(list_concat(input_ids, list_transform(range(width - len(input_ids)), lambda i: 0)), ',')) AS ids_md5,
+  md5(array_to_string(list_concat(list_transform(input_ids, lambda i: 1), list_transform(range(width - len(input_ids)), lambda i: 0)), ',')) AS mask_md5,
+  md5(array_to_string(list_concat(labels, list_transform(range(width - len(input_ids)), lambda i: -100)), ',')) AS labels_md5
+FROM padded"""
+
+TRANSCRIPT = f"""
+transcript AS (
+  SELECT conv_id, turn,
+    CASE WHEN (conv_id % 5 = 0 AND turn = 2) OR (conv_id % 7 = 0 AND turn = 4) THEN 'user' ELSE role END AS role,
+    CASE WHEN conv_id % 5 = 0 AND turn = 2 THEN '/reset' WHEN conv_id % 7 = 0 AND turn = 4 THEN '/exit' ELSE text END AS text
+  FROM conversations
+),
+lines AS (
+  SELECT *, CASE WHEN line IS NULL OR line = '' THEN 'blank'
+      WHEN role = 'user' AND line IN ('/exit', 'exit', 'quit') THEN 'exit'
+      WHEN role = 'user' AND line = '/reset' THEN 'reset'
+      WHEN role = 'system' THEN 'system' ELSE 'message' END AS kind
+  FROM (SELECT *, {ustrip_sql('text')} AS line FROM transcript)
+),
+lines2 AS (
+  SELECT *, max(CASE WHEN kind = 'exit' THEN 1 ELSE 0 END) OVER w = 0 AS active,
+    CAST(sum(CASE WHEN kind = 'reset' THEN 1 ELSE 0 END) OVER w AS BIGINT) AS episode,
+    last_value(CASE WHEN kind = 'system' THEN line END IGNORE NULLS) OVER w AS system_text
+  FROM lines
+  WINDOW w AS (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+)"""
+
+ORACLE["h1_chat_lines"] = with_(TRANSCRIPT) + "SELECT conv_id, turn, kind, active FROM lines2"
+
+ORACLE["h2_episodes"] = with_(TRANSCRIPT) + "SELECT conv_id, turn, episode, system_text FROM lines2"
+
+ORACLE["h3_histories"] = with_(TRANSCRIPT) + """,
+msgs AS (
+  SELECT *, list(struct_pack(t := turn, s := role || ':' || line)) OVER (PARTITION BY conv_id, episode ORDER BY turn
+      ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS so_far
+  FROM lines2 WHERE active AND kind = 'message'
+)
+SELECT conv_id, turn, episode,
+  CAST(len(so_far) + CASE WHEN system_text IS NOT NULL AND system_text <> '' THEN 1 ELSE 0 END AS INTEGER) AS n_messages,
+  md5(CASE WHEN system_text IS NOT NULL AND system_text <> '' THEN 'system:' || system_text || chr(10) ELSE '' END
+    || array_to_string(list_transform(list_sort(so_far), lambda x: x.s), chr(10))) AS history_md5
+FROM msgs"""
+
+ORACLE["h4_join_chunks"] = f"""
+SELECT doc_id, CAST(greatest(ceil(length(text) / 100), 1) AS BIGINT) AS n_chunks, {ustrip_sql('text')} AS text FROM documents"""

@@ -215,3 +215,46 @@ def request_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     # order inside a run by (ts, event_id); buckets of about one second
     ranked = global_rank(log, ["ts", "event_id"], F.shiftright(epoch_micros(F.col("ts")), 20), within=["run_id"], name="seq")
     return ranked.select("run_id", "seq", "ts", "attempt", "batch_size", "n_items", "error")
+
+
+# ----------------------------------------------------------------- transcript
+# Conversations as chat transcripts: every conv_id % 5 = 0 has its turn 2
+# replaced by "/reset", every conv_id % 7 = 0 its turn 4 by "/exit"
+# (commands are typed by the user).
+
+
+def transcript(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = table(spark, sf_dir, "conversations", ["conv_id", "turn", "role", "text"])
+    reset = (F.col("conv_id") % 5 == 0) & (F.col("turn") == 2)
+    exit_ = (F.col("conv_id") % 7 == 0) & (F.col("turn") == 4)
+    return c.select(
+        "conv_id",
+        "turn",
+        F.when(reset | exit_, F.lit("user")).otherwise(F.col("role")).alias("role"),
+        F.when(reset, F.lit("/reset")).when(exit_, F.lit("/exit")).otherwise(F.col("text")).alias("text"),
+    )
+
+
+def sft_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(pos, instruction, input, output) from conversations (H5)."""
+    from ..operators.chat import transcript_to_records
+
+    c = table(spark, sf_dir, "conversations", ["conv_id", "turn", "role", "text"])
+    return transcript_to_records(c)
+
+
+# --------------------------------------------------------------------- chunks
+# Documents streamed as 100-character chunks.
+
+CHUNK_CHARS = 100
+
+
+def chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = table(spark, sf_dir, "documents", ["doc_id", "text"])
+    n = F.greatest(F.ceil(F.length("text") / CHUNK_CHARS), F.lit(1)).cast("int")
+    seqs = F.sequence(F.lit(0), n - 1)
+    return d.select("doc_id", "text", F.explode(seqs).alias("seq")).select(
+        "doc_id",
+        F.col("seq").cast("bigint").alias("seq"),
+        F.substring(F.col("text"), F.col("seq") * CHUNK_CHARS + 1, F.lit(CHUNK_CHARS)).alias("chunk"),
+    )
