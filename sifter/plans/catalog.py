@@ -14,7 +14,10 @@ from pyspark.sql import functions as F
 from ..functions import errors as E
 from ..functions import text as X
 from ..operators import chat as H
+from ..operators import checkpoints as K
 from ..operators import clean as C
+from ..operators import metrics as M
+from ..operators import prompts as P
 from ..operators import requests as Q
 from ..operators import responses as R
 from ..operators import samples as S
@@ -260,3 +263,92 @@ def t13_padded_batches(spark, sf):
         "split", "batch_id", "pos", "width",
         _md5_ints("input_ids").alias("ids_md5"), _md5_ints("attention_mask").alias("mask_md5"), _md5_ints("labels").alias("labels_md5"),
     )
+
+
+# --------------------------------------------------------------- generation
+
+
+@query("p1_sample_seeds")
+def p1_sample_seeds(spark, sf):
+    s = P.sample_seeds(A.prompts(spark, sf), A.seeds(spark, sf))
+    return s.select("prompt_id", F.col("rank").cast("int").alias("rank"), "pos")
+
+
+def _prompts(spark, sf):
+    pr = A.prompts(spark, sf)
+    return P.build_prompts(P.sample_seeds(pr, A.seeds(spark, sf)), pr)
+
+
+@query("p2_build_prompts")
+def p2_build_prompts(spark, sf):
+    return _prompts(spark, sf).select(
+        "prompt_id", "n_items", F.md5("prompt").alias("prompt_md5"), F.length("prompt").alias("prompt_chars")
+    )
+
+
+@query("p3_plan_requests")
+def p3_plan_requests(spark, sf):
+    return P.plan_requests(A.run_targets(spark, sf), batch=50)
+
+
+@query("p4_generate_parse")
+def p4_generate_parse(spark, sf):
+    bodies = P.apply_generator(_prompts(spark, sf), P.echo_generator, keys=["prompt_id"])
+    items, _ = R.parse_responses(bodies.select("prompt_id", "body"))
+    return items
+
+
+@query("p5_procedural")
+def p5_procedural(spark, sf):
+    from ..operators.prompts import generate_from_templates
+
+    e = A.table(spark, sf, "events", ["event_id"])
+    return generate_from_templates(e, id_col="event_id")
+
+
+# ------------------------------------------------------------- checkpoints
+
+
+@query("s4_append_batch")
+def s4_append_batch(spark, sf):
+    from ..sources.records import append_batch
+
+    return append_batch(A.seeds(spark, sf), A.generated(spark, sf)).select("pos", "input", "output")
+
+
+@query("s5_checkpoint")
+def s5_checkpoint(spark, sf):
+    return K.checkpoint_rows(A.seeds(spark, sf), A.generated(spark, sf)).select("pos", "source", "input", "output")
+
+
+@query("s6_resume")
+def s6_resume(spark, sf):
+    seeds = A.seeds(spark, sf)
+    ckpt = K.checkpoint_rows(seeds, A.generated(spark, sf))
+    return K.resume_generated(ckpt, seeds).select("pos", "input", "output")
+
+
+@query("s7_finalize")
+def s7_finalize(spark, sf):
+    return K.finalize_dataset(A.seeds(spark, sf), A.generated(spark, sf), 2000).select("pos", "source", "input", "output")
+
+
+# ------------------------------------------------------------------ metrics
+
+
+@query("a5_metric_series")
+def a5_metric_series(spark, sf):
+    return M.metric_series(A.metric_log(spark, sf))
+
+
+@query("f4_smooth")
+def f4_smooth(spark, sf):
+    s = M.smooth(M.metric_series(A.metric_log(spark, sf)))
+    return s.select("run_id", "name", "step", F.round("smoothed", 9).alias("smoothed"))
+
+
+@query("t3_instruction_as_system")
+def t3_instruction_as_system(spark, sf):
+    m = S.build_messages(S.normalize(A.sft_records(spark, sf)), instruction_as_system=True)
+    r = S.render_prompt(m.filter(F.col("drop_reason").isNull()))
+    return r.select("pos", F.md5("prompt").alias("prompt_md5"))

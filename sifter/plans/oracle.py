@@ -526,3 +526,148 @@ FROM msgs"""
 
 ORACLE["h4_join_chunks"] = f"""
 SELECT doc_id, CAST(greatest(ceil(length(text) / 100), 1) AS BIGINT) AS n_chunks, {ustrip_sql('text')} AS text FROM documents"""
+
+
+# ------------------------------------------------------- generation, seeds
+
+import string as _string  # noqa: E402
+
+from ..operators import prompts as _P  # noqa: E402
+
+
+def fmt_sql(template: str, values: dict[str, str]) -> str:
+    parts = []
+    for literal, field, _, _ in _string.Formatter().parse(template):
+        if literal:
+            parts.append(lit(literal))
+        if field is not None:
+            parts.append(f"CAST({values[field]} AS VARCHAR)")
+    return "(" + " || ".join(parts) + ")"
+
+
+def draw_sql(key: str, slot) -> str:
+    return f"('0x' || substr(md5('42:' || CAST({key} AS VARCHAR) || ':' || '{slot}'), 1, 8))::BIGINT"
+
+
+def _proc(key: str) -> tuple[str, str, str]:
+    t = f"({draw_sql(key, 0)} % {len(_P.TASKS)})"
+    tt, inp, out = [], [], []
+    for i, spec in enumerate(_P.TASKS):
+        vals = {}
+        for s, (name, kind, rng) in enumerate(spec["params"]):
+            d = draw_sql(key, s + 1)
+            if kind == "int":
+                vals[name] = f"({rng[0]} + {d} % {rng[1] - rng[0] + 1})"
+            else:
+                vals[name] = "[" + ", ".join(lit(v) for v in rng) + f"][{d} % {len(rng)} + 1]"
+        tt.append(f"WHEN {i} THEN {lit(spec['task_type'])}")
+        inp.append(f"WHEN {i} THEN {fmt_sql(spec['input'], vals)}")
+        out.append(f"WHEN {i} THEN {fmt_sql(spec['output'], vals)}")
+    return (f"CASE {t} " + " ".join(x) + " END" for x in (tt, inp, out))
+
+
+_TT, _INP, _OUT = _proc("event_id")
+
+GENERATED = f"""
+generated AS (
+  SELECT event_id AS pos, {_TT} AS task_type, {lit(_P.PROC_INSTRUCTION)} AS instruction, {_INP} AS input, {_OUT} AS output
+  FROM events
+)"""
+
+SEEDS = """
+seeds AS (
+  SELECT item_id AS pos, 'Turn the benchmark passage into a scheduling document.' AS instruction, text AS input,
+    '{"task_type": "bench_' || CAST(item_id AS VARCHAR) || '", "agents_config": [], "rl_parameters": {"item": '
+      || CAST(item_id AS VARCHAR) || '}}' AS output
+  FROM benchmark
+)"""
+
+ORACLE["p5_procedural"] = with_(GENERATED) + "SELECT pos AS id, task_type, instruction, input, output FROM generated"
+
+ORACLE["s4_append_batch"] = with_(SEEDS, GENERATED) + """
+SELECT pos, input, output FROM seeds
+UNION ALL SELECT pos + (SELECT max(pos) + 1 FROM seeds), input, output FROM generated"""
+
+_CKPT = with_(SEEDS, GENERATED, """
+ckpt AS (
+  SELECT pos, 'seed' AS source, input, output FROM seeds
+  UNION ALL SELECT (SELECT count(*) FROM seeds) + row_number() OVER (ORDER BY pos) - 1, 'generated', input, output FROM generated
+)""")
+
+ORACLE["s5_checkpoint"] = _CKPT + "SELECT pos, source, input, output FROM ckpt"
+
+ORACLE["s6_resume"] = _CKPT + """
+SELECT pos - (SELECT count(*) FROM seeds) AS pos, input, output FROM ckpt
+WHERE pos >= (SELECT count(*) FROM seeds) AND (SELECT count(*) FROM ckpt) >= (SELECT count(*) FROM seeds)"""
+
+ORACLE["s7_finalize"] = with_(SEEDS, GENERATED) + """
+SELECT pos, 'seed' AS source, input, output FROM seeds
+UNION ALL SELECT (SELECT count(*) FROM seeds) + r - 1, 'generated', input, output
+FROM (SELECT *, row_number() OVER (ORDER BY pos) AS r FROM generated) WHERE r <= 2000"""
+
+PICKS = with_(SEEDS, """
+sidx AS (SELECT *, row_number() OVER (ORDER BY pos) - 1 AS idx FROM seeds),
+m AS (SELECT count(*) AS m FROM seeds),
+pr AS (SELECT event_id AS prompt_id, CAST(event_id % 50 + 1 AS INTEGER) AS n_items FROM events),
+d AS (
+  SELECT prompt_id, n_items,
+    """ + draw_sql("prompt_id", 0) + """ % m AS i0,
+    """ + draw_sql("prompt_id", 1) + """ % (m - 1) AS r1,
+    """ + draw_sql("prompt_id", 2) + """ % (m - 2) AS r2
+  FROM pr, m
+),
+d2 AS (SELECT *, r1 + CAST(r1 >= i0 AS INTEGER) AS i1 FROM d),
+d3 AS (SELECT *, r2 + CAST(r2 >= least(i0, i1) AS INTEGER) AS t2 FROM d2),
+d4 AS (SELECT *, t2 + CAST(t2 >= greatest(i0, i1) AS INTEGER) AS i2 FROM d3),
+picks AS (
+  SELECT prompt_id, n_items, 1 AS rank, i0 AS idx FROM d4
+  UNION ALL SELECT prompt_id, n_items, 2, i1 FROM d4
+  UNION ALL SELECT prompt_id, n_items, 3, i2 FROM d4
+),
+sampled AS (SELECT p.prompt_id, p.n_items, p.rank, s.pos, s.input, s.output FROM picks p JOIN sidx s ON p.idx = s.idx)""")
+
+ORACLE["p1_sample_seeds"] = PICKS + "SELECT prompt_id, CAST(rank AS INTEGER) AS rank, pos FROM sampled"
+
+_EX = fmt_sql(_P.PROMPT_TEMPLATE["example"], {"idx": "rank", "input": "input", "output": "output"})
+_HEAD = fmt_sql(_P.PROMPT_TEMPLATE["header"], {"n": "n_items"})
+PROMPTS = PICKS[:-1] + f""",
+prompts AS (
+  SELECT prompt_id, n_items, {_HEAD} || string_agg({_EX}, '' ORDER BY rank) || {lit(_P.PROMPT_TEMPLATE['footer'])} AS prompt
+  FROM sampled GROUP BY prompt_id, n_items
+)
+"""
+
+ORACLE["p2_build_prompts"] = PROMPTS + "SELECT prompt_id, n_items, md5(prompt) AS prompt_md5, length(prompt) AS prompt_chars FROM prompts"
+
+ORACLE["p3_plan_requests"] = """
+WITH t AS (SELECT user_id AS run_id, count(*) * 25 AS target FROM events GROUP BY user_id)
+SELECT run_id, CAST(r AS BIGINT) AS request_no, CAST(r * 50 AS BIGINT) AS before, CAST(least(50, target - r * 50) AS BIGINT) AS batch_size
+FROM t, range(0, CAST(ceil(target / 50) AS BIGINT)) AS g(r) WHERE target > 0"""
+
+ORACLE["p4_generate_parse"] = PROMPTS + """
+SELECT prompt_id, CAST(0 AS BIGINT) AS item_idx, 'echo' AS instruction, 'prompt ' || substr(md5(prompt), 1, 8) AS input,
+  '{"task_type": "echo", "agents_config": [], "rl_parameters": {"chars": ' || CAST(length(prompt) AS VARCHAR) || '}}' AS output
+FROM prompts"""
+
+# ----------------------------------------------------------------- metrics
+
+METRIC_LOG = """
+metric_log AS (
+  SELECT user_id AS run_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS step, event_id, value FROM events
+),
+series AS (
+  SELECT run_id, 'loss' AS name, step, value FROM metric_log WHERE event_id % 10 <> 0
+  UNION ALL SELECT run_id, 'eval_loss', step, value FROM metric_log WHERE event_id % 10 = 0
+)"""
+
+ORACLE["a5_metric_series"] = with_(METRIC_LOG) + "SELECT run_id, name, step, value FROM series"
+
+ORACLE["f4_smooth"] = with_(METRIC_LOG) + """
+SELECT run_id, name, step, round(list_reduce(list(value) OVER (PARTITION BY run_id, name ORDER BY step
+    ROWS BETWEEN 250 PRECEDING AND CURRENT ROW), lambda acc, p: acc * 0.85::DOUBLE + p * (1 - 0.85::DOUBLE)), 9) AS smoothed
+FROM series"""
+
+ORACLE["t3_instruction_as_system"] = with_(SFT_RECORDS, SAMPLES) + f"""
+SELECT pos, md5({IM_S} || 'system' || {NL} || instruction || {IM_E} || {NL} || {IM_S} || 'user' || {NL} || input || {IM_E} || {NL}
+  || {IM_S} || 'assistant' || {NL}) AS prompt_md5
+FROM norm WHERE instruction <> '' AND input <> '' AND output IS NOT NULL AND output <> ''"""

@@ -258,3 +258,56 @@ def chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("seq").cast("bigint").alias("seq"),
         F.substring(F.col("text"), F.col("seq") * CHUNK_CHARS + 1, F.lit(CHUNK_CHARS)).alias("chunk"),
     )
+
+
+# -------------------------------------------------------------- seeds, prompts
+# Seed records from benchmark items; one few-shot prompt per event.
+
+SEED_INSTRUCTION = "Turn the benchmark passage into a scheduling document."
+
+
+def seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    b = table(spark, sf_dir, "benchmark", ["item_id", "text"])
+    doc = cat(
+        '{"task_type": "bench_', F.col("item_id").cast("string"), '", "agents_config": [], "rl_parameters": {"item": ',
+        F.col("item_id").cast("string"), "}}",
+    )
+    return b.select(
+        F.col("item_id").alias("pos"), F.lit(SEED_INSTRUCTION).alias("instruction"), F.col("text").alias("input"), doc.alias("output")
+    )
+
+
+def prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = table(spark, sf_dir, "events", ["event_id"])
+    return e.select(F.col("event_id").alias("prompt_id"), (F.col("event_id") % 50 + 1).cast("int").alias("n_items"))
+
+
+def generated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Procedural records, one per event (pos = event_id)."""
+    from ..operators.prompts import generate_from_templates
+
+    e = table(spark, sf_dir, "events", ["event_id"])
+    g = generate_from_templates(e, id_col="event_id")
+    return g.select(F.col("id").alias("pos"), "instruction", "input", "output")
+
+
+def run_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per user: a generation target of 25 items per event."""
+    e = table(spark, sf_dir, "events", ["user_id"])
+    return e.groupBy(F.col("user_id").alias("run_id")).agg((F.count(F.lit(1)) * 25).alias("target"))
+
+
+# ----------------------------------------------------------------- metric_log
+# run = user, step = position by (ts, event_id); every 10th event logs eval_loss.
+
+
+def metric_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators.rank import global_rank
+    from ..operators.requests import epoch_micros
+
+    e = table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "value"])
+    v = F.col("value").cast("string")
+    row = F.when(F.col("event_id") % 10 == 0, cat('{"eval_loss": ', v, "}")).otherwise(cat('{"loss": ', v, ', "learning_rate": 0.0002}'))
+    log = e.select(F.col("user_id").alias("run_id"), "event_id", "ts", F.parse_json(row).alias("row"))
+    ranked = global_rank(log, ["ts", "event_id"], F.shiftright(epoch_micros(F.col("ts")), 20), within=["run_id"], name="step")
+    return ranked.select("run_id", "step", "row")
