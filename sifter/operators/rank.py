@@ -31,21 +31,29 @@ def global_rank(
     bucket: Column,
     within: list[str] | None = None,
     name: str = "rank",
+    total: str | None = None,
 ) -> DataFrame:
     """Add ``name``: 1-based dense position of each row by ``order_cols``.
 
     ``bucket`` must be non-decreasing in ``order_cols``. ``within`` restarts the
     numbering per group (e.g. per file); the groups only appear in the tiny
     offsets table and as a prefix of the bucket key, so a huge group is still
-    spread over many buckets.
+    spread over many buckets. ``total`` names an optional column holding the
+    group's row count.
+
+    The bucket counts are read off the numbered rows, which are already
+    partitioned by bucket: the input is computed once and shuffled once.
     """
     within = list(within or [])
     keys = within + ["_bkt"]
     staged = df.withColumn("_bkt", bucket)
     w = Window.partitionBy(*keys).orderBy(*order_cols)
     numbered = staged.withColumn("_rn", F.row_number().over(w))
-    counts = staged.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    counts = numbered.groupBy(*keys).agg(F.max("_rn").alias("_n"))
     run = Window.partitionBy(*within).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*keys, F.coalesce(F.sum("_n").over(run), F.lit(0)).alias("_off"))
+    cols = [*keys, F.coalesce(F.sum("_n").over(run), F.lit(0)).alias("_off")]
+    if total:
+        cols.append(F.sum("_n").over(Window.partitionBy(*within)).cast("bigint").alias(total))
+    offsets = counts.select(*cols)
     out = numbered.join(offsets, on=keys, how="inner")
     return out.withColumn(name, (F.col("_off") + F.col("_rn")).cast("bigint")).drop("_bkt", "_rn", "_off")

@@ -180,14 +180,14 @@ def split_exact(df: DataFrame, ratio: float = EVAL_RATIO, seed: int = SPLIT_SEED
 
     Rows are ordered by ``md5(seed:pos)`` (ties by pos), so the split is the
     same for any partitioning. The order is ranked in buckets of the hash
-    prefix; ``n`` is a scalar subquery.
+    prefix; ``n`` comes from the same pass (sum of the bucket counts).
     """
     h = F.md5(F.concat(F.lit(f"{seed}:"), F.col("pos").cast("string")))
     staged = df.withColumn("_h", h)
-    ranked = global_rank(staged, ["_h", "pos"], F.conv(F.substring("_h", 1, 5), 16, 10).cast("bigint"), name="_r")
-    n = df.select(F.count(F.lit(1))).scalar()
-    n_eval = F.floor(n * F.lit(float(ratio)))
-    return ranked.withColumn("split", F.when(F.col("_r") <= n_eval, "eval").otherwise("train")).drop("_h", "_r")
+    bucket = F.conv(F.substring("_h", 1, 5), 16, 10).cast("bigint")
+    ranked = global_rank(staged, ["_h", "pos"], bucket, name="_r", total="_n")
+    n_eval = F.floor(F.col("_n") * F.lit(float(ratio)))
+    return ranked.withColumn("split", F.when(F.col("_r") <= n_eval, "eval").otherwise("train")).drop("_h", "_r", "_n")
 
 
 def assign_batches(df: DataFrame, size: int, within: list[str] | None = None) -> DataFrame:
