@@ -56,9 +56,19 @@ def request_actions(
     else skip.
     """
     e, b = F.col("error"), F.col("batch_size")
-    smaller = shrunk_batch(b)
+    # classify the error text once, in its own projection, before the CASE
+    staged = log.select(
+        "*",
+        E.parse_retry_delay_seconds(e).alias("_delay"),
+        E.is_model_unavailable(e).alias("_unavail"),
+        E.is_json_parse(e).alias("_parse"),
+        E.is_timeout(e).alias("_timeout"),
+        E.is_quota(e).alias("_quota"),
+        E.is_retriable(e).alias("_retry"),
+        shrunk_batch(b).alias("_smaller"),
+    )
+    delay, smaller = F.col("_delay"), F.col("_smaller")
     can_shrink = (b > 1) & (smaller < b)
-    delay = E.parse_retry_delay_seconds(e)
     quota_wait = F.coalesce(delay, F.lit(BACKOFF_BASE_SECONDS).cast("bigint"))
     if not pause_on_quota:
         quota_action = F.lit("stop")
@@ -68,19 +78,20 @@ def request_actions(
         quota_action = F.when(quota_wait > max_pause, "stop").otherwise("wait")
     action = (
         F.when(e.isNull(), "success")
-        .when(E.is_model_unavailable(e), "stop")
-        .when(E.is_json_parse(e) & can_shrink, "shrink")
-        .when(E.is_timeout(e) & can_shrink, "shrink")
-        .when(E.is_quota(e), quota_action)
-        .when(E.is_retriable(e) & (F.col("attempt") < max_retries - 1), "backoff")
+        .when(F.col("_unavail"), "stop")
+        .when(F.col("_parse") & can_shrink, "shrink")
+        .when(F.col("_timeout") & can_shrink, "shrink")
+        .when(F.col("_quota"), quota_action)
+        .when(F.col("_retry") & (F.col("attempt") < max_retries - 1), "backoff")
         .otherwise("skip")
     )
-    staged = log.withColumn("action", action)
+    staged = staged.withColumn("action", action)
     a = F.col("action")
     backoff_wait = F.coalesce(delay, ((F.col("attempt") + 1) * BACKOFF_BASE_SECONDS).cast("bigint"))
     wait = F.when(a == "wait", quota_wait).when(a == "backoff", backoff_wait)
     nxt = F.when(a == "success", grown_batch(b, max_batch)).when(a == "shrink", smaller).otherwise(b)
-    return staged.withColumn("wait_s", wait.cast("bigint")).withColumn("next_batch_size", nxt.cast("int"))
+    out = staged.withColumn("wait_s", wait.cast("bigint")).withColumn("next_batch_size", nxt.cast("int"))
+    return out.drop("_delay", "_unavail", "_parse", "_timeout", "_quota", "_retry", "_smaller")
 
 
 def failure_streaks(log: DataFrame, limit: int = MAX_CONSECUTIVE_FAILURES) -> DataFrame:
