@@ -22,6 +22,7 @@ from ..operators import requests as Q
 from ..operators import responses as R
 from ..operators import samples as S
 from ..sources import adapters as A
+from ..streaming import streams as X_
 from . import jobs as J
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -352,3 +353,41 @@ def t3_instruction_as_system(spark, sf):
     m = S.build_messages(S.normalize(A.sft_records(spark, sf)), instruction_as_system=True)
     r = S.render_prompt(m.filter(F.col("drop_reason").isNull()))
     return r.select("pos", F.md5("prompt").alias("prompt_md5"))
+
+
+# ---------------------------------------------------------------- streaming
+
+
+def _landed_records(spark, sf):
+    land = X_.stream_location(spark, "landing-records")
+    A.raw_records_text(spark, sf).write.parquet(land)
+    return spark.readStream.schema("pos long, item_text string").option("maxFilesPerTrigger", 2).parquet(land).select(
+        "pos", F.col("item_text").alias("item")
+    )
+
+
+@query("x1_stream_clean")
+def x1_stream_clean(spark, sf):
+    base = X_.stream_location(spark, "x1")
+    q = X_.stream_clean(_landed_records(spark, sf), f"{base}/out", f"{base}/checkpoint")
+    q.awaitTermination()
+    return spark.read.parquet(f"{base}/out/clean").select("pos", "instruction", "input", "output")
+
+
+@query("x2_stream_report")
+def x2_stream_report(spark, sf):
+    return X_.run_to_table(spark, X_.stream_report(_landed_records(spark, sf)), "x2", mode="complete")
+
+
+@query("x3_stream_histories")
+def x3_stream_histories(spark, sf):
+    land = X_.stream_location(spark, "landing-transcript")
+    t = A.transcript(spark, sf)
+    # land in turn order, two turns per file set, so state carries across micro-batches
+    top = t.agg(F.max("turn")).first()[0] or 0
+    for lo in range(0, int(top) + 1, 2):
+        t.filter((F.col("turn") >= lo) & (F.col("turn") < lo + 2)).coalesce(1).write.mode("append").parquet(land)
+    stream = spark.readStream.schema("conv_id long, turn long, role string, text string").option("maxFilesPerTrigger", 1).parquet(land)
+    h = X_.run_to_table(spark, X_.stream_histories(stream), "x3")
+    text = F.array_join(F.transform("history", lambda m: F.concat(m["role"], F.lit(":"), m["content"])), "\n")
+    return h.select("conv_id", "turn", "episode", F.size("history").alias("n_messages"), F.md5(text).alias("history_md5"))

@@ -671,3 +671,10 @@ ORACLE["t3_instruction_as_system"] = with_(SFT_RECORDS, SAMPLES) + f"""
 SELECT pos, md5({IM_S} || 'system' || {NL} || instruction || {IM_E} || {NL} || {IM_S} || 'user' || {NL} || input || {IM_E} || {NL}
   || {IM_S} || 'assistant' || {NL}) AS prompt_md5
 FROM norm WHERE instruction <> '' AND input <> '' AND output IS NOT NULL AND output <> ''"""
+
+
+# ---------------------------------------------------------------- streaming
+
+ORACLE["x1_stream_clean"] = ORACLE["c8_clean"]
+ORACLE["x2_stream_report"] = with_(RAW_RECORDS, CLASSIFIED) + "SELECT label, count(*) AS n FROM classified GROUP BY label"
+ORACLE["x3_stream_histories"] = ORACLE["h3_histories"]
