@@ -100,8 +100,8 @@ def parse_responses(df: DataFrame, col: str = "body", exact: bool = False):
     n_ok = F.size(F.filter("_items", _item_ok))
     stats = parsed.select(
         *keys,
-        F.coalesce(n_ok, F.lit(0)).alias("n_items"),
-        F.coalesce(F.size("_items") - n_ok, F.lit(0)).alias("n_dropped"),
+        F.coalesce(n_ok, F.lit(0)).cast("bigint").alias("n_items"),
+        F.coalesce(F.size("_items") - n_ok, F.lit(0)).cast("bigint").alias("n_dropped"),
         F.when(F.col("envelope_error").isNotNull(), F.col("envelope_error"))
         .when(F.col("_items").isNull(), PARSE_ERROR)
         .when(n_ok == 0, NO_VALID_ITEMS)

@@ -110,13 +110,13 @@ ORACLE: dict[str, str] = {}
 
 ORACLE["a1_validation_report"] = with_(RAW_RECORDS, CLASSIFIED) + """
 SELECT count(*) AS total,
-  count_if(label = 'valid') AS valid,
+  CAST(count_if(label = 'valid') AS BIGINT) AS valid,
   CASE WHEN count(*) > 0 THEN round(count_if(label = 'valid') * 100.0::DOUBLE / count(*), 2) ELSE 0.0::DOUBLE END AS valid_pct,
-  count_if(label = 'invalid_item') AS invalid_item,
-  count_if(label = 'missing_keys') AS missing_keys,
-  count_if(label = 'output_json_error') AS output_json_error,
-  count_if(label = 'output_missing_keys') AS output_missing_keys,
-  count_if(label = 'output_invalid_types') AS output_invalid_types
+  CAST(count_if(label = 'invalid_item') AS BIGINT) AS invalid_item,
+  CAST(count_if(label = 'missing_keys') AS BIGINT) AS missing_keys,
+  CAST(count_if(label = 'output_json_error') AS BIGINT) AS output_json_error,
+  CAST(count_if(label = 'output_missing_keys') AS BIGINT) AS output_missing_keys,
+  CAST(count_if(label = 'output_invalid_types') AS BIGINT) AS output_invalid_types
 FROM classified"""
 
 ORACLE["c7_classify"] = with_(RAW_RECORDS, CLASSIFIED) + "SELECT pos, label FROM classified"
@@ -254,14 +254,14 @@ stats AS (
 )"""
 
 ORACLE["g7_response_stats"] = with_(RESPONSES, FENCED, _STATS) + """
-SELECT run_id, request_id, n_items, n_dropped,
+SELECT run_id, request_id, CAST(n_items AS BIGINT) AS n_items, CAST(n_dropped AS BIGINT) AS n_dropped,
   CASE WHEN envelope_error IS NOT NULL THEN envelope_error WHEN arr IS NULL THEN 'parse_error'
        WHEN n_items = 0 THEN 'no_valid_items' ELSE 'ok' END AS status
 FROM stats"""
 
 ORACLE["a2_dropped_per_run"] = with_(RESPONSES, FENCED, _STATS) + """
-SELECT run_id, count(*) AS n_responses, sum(n_items) AS n_items, sum(n_dropped) AS n_dropped,
-  count_if(envelope_error IS NOT NULL OR arr IS NULL OR n_items = 0) AS n_failed
+SELECT run_id, count(*) AS n_responses, CAST(sum(n_items) AS BIGINT) AS n_items, CAST(sum(n_dropped) AS BIGINT) AS n_dropped,
+  CAST(count_if(envelope_error IS NOT NULL OR arr IS NULL OR n_items = 0) AS BIGINT) AS n_failed
 FROM stats GROUP BY run_id"""
 
 
@@ -445,7 +445,7 @@ SELECT pos, instruction, input, output,
 FROM norm"""
 
 ORACLE["t4_render_prompt"] = _T + """
-SELECT pos, md5(prompt) AS prompt_md5, length(prompt) AS prompt_chars, md5(answer) AS answer_md5 FROM rendered
+SELECT pos, md5(prompt) AS prompt_md5, CAST(length(prompt) AS INTEGER) AS prompt_chars, md5(answer) AS answer_md5 FROM rendered
 WHERE drop_reason IS NULL"""
 
 ORACLE["t10_samples"] = _T + """
@@ -637,7 +637,7 @@ prompts AS (
 )
 """
 
-ORACLE["p2_build_prompts"] = PROMPTS + "SELECT prompt_id, n_items, md5(prompt) AS prompt_md5, length(prompt) AS prompt_chars FROM prompts"
+ORACLE["p2_build_prompts"] = PROMPTS + "SELECT prompt_id, n_items, md5(prompt) AS prompt_md5, CAST(length(prompt) AS INTEGER) AS prompt_chars FROM prompts"
 
 ORACLE["p3_plan_requests"] = """
 WITH t AS (SELECT user_id AS run_id, count(*) * 25 AS target FROM events GROUP BY user_id)
