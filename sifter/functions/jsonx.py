@@ -55,7 +55,9 @@ def strict_json(c) -> Column:
     t = _c(c)
     arr = F.try_parse_json(F.concat(F.lit("["), t, F.lit("]")))
     obj = F.try_parse_json(F.concat(F.lit('{"v":'), t, F.lit("}")))
-    return F.when(arr.isNotNull() & obj.isNotNull(), F.try_variant_get(obj, "$.v", "variant"))
+    # each wrapper appears once in the tree; the object is parsed only when the
+    # array parse succeeded
+    return F.when(arr.isNotNull(), F.try_variant_get(obj, "$.v", "variant"))
 
 
 def json_kind(v) -> Column:

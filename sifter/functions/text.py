@@ -35,3 +35,17 @@ def extract_json_text(c) -> Column:
         .when(s.rlike(OBJECT_SPAN), F.regexp_extract(s, OBJECT_SPAN, 0))
         .otherwise(s)
     )
+
+
+def parse_json_text(c) -> Column:
+    """The parsed JSON value of a response, or NULL: the de-fenced text when it
+    parses, else the array span, else the object span (the value of
+    ``strict_json(extract_json_text(c))``, parsing each candidate at most once).
+    """
+    s = strip_fence(c)
+    whole = strict_json(s)
+    span = (
+        F.when(s.rlike(ARRAY_SPAN), F.regexp_extract(s, ARRAY_SPAN, 0))
+        .when(s.rlike(OBJECT_SPAN), F.regexp_extract(s, OBJECT_SPAN, 0))
+    )
+    return F.coalesce(whole, strict_json(span))

@@ -27,11 +27,12 @@ def response_content(df: DataFrame, col: str = "body") -> DataFrame:
     ``choices`` missing, null or empty (or not a list) -> ``choices``; first
     message content not a non-blank string -> ``message.content``.
     """
-    env = J.strict_json(F.col(col))
+    parsed = once(df.select("*", J.strict_json(F.col(col)).alias("_env")))
+    env = F.col("_env")
     choices = F.try_variant_get(env, "$.choices", "array<variant>")
     content = F.try_variant_get(env, "$.choices[0].message.content", "variant")
     text = F.when(J.is_kind(content, "string"), F.try_variant_get(content, "$", "string"))
-    staged = df.select("*", F.coalesce(F.size(choices), F.lit(0)).alias("_nchoices"), text.alias("_text"))
+    staged = parsed.select(*df.columns, F.coalesce(F.size(choices), F.lit(0)).alias("_nchoices"), text.alias("_text"))
     err = (
         F.when(F.col("_nchoices") == 0, ERR_CHOICES)
         .when(F.col("_text").isNull() | J.is_blank("_text"), ERR_CONTENT)
@@ -90,13 +91,10 @@ def parse_responses(df: DataFrame, col: str = "body", exact: bool = False):
     """
     keys = [c for c in df.columns if c != col]
     env = response_content(df, col)
-    parsed = once(
-        env.select(
-            *keys,
-            "envelope_error",
-            _items_array(J.strict_json(X.extract_json_text(F.col("content")))).alias("_items"),
-        )
-    )
+    # the parse is materialised once (generator barrier) because the item
+    # array reads it in several CASE branches, which codegen cannot share
+    parsed = once(env.select(*keys, "envelope_error", X.parse_json_text(F.col("content")).alias("_parsed")))
+    parsed = once(parsed.select(*keys, "envelope_error", _items_array(F.col("_parsed")).alias("_items")))
     n_ok = F.size(F.filter("_items", _item_ok))
     stats = parsed.select(
         *keys,
