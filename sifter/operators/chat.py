@@ -61,13 +61,14 @@ def episodes(lines: DataFrame) -> DataFrame:
 
 
 def histories(df: DataFrame, system: str | None = None, last_k: int | None = None) -> DataFrame:
-    """Message history at each active message line (H3).
+    """Message lists at each active message line (H3, materialised form).
 
     The history is the optional system message (the transcript's latest
     system line, else ``system``), then every message of the current episode
     up to and including this line. It grows with the episode (quadratic
     output per episode, as the chat itself resends it); ``last_k`` keeps only
-    the last k messages.
+    the last k messages. For whole tables prefer :func:`history_digest`,
+    which is linear, and join the message table where lists are needed.
     """
     ep = episodes(chat_lines(df))
     msgs = ep.filter(F.col("active") & (F.col("kind") == "message"))
@@ -80,6 +81,45 @@ def histories(df: DataFrame, system: str | None = None, last_k: int | None = Non
     return msgs.select("conv_id", "turn", "episode", "role", "line", hist.alias("history"))
 
 
+def message_hash(role: Column, content: Column) -> Column:
+    """20-bit hash of one message (role and text)."""
+    return F.conv(F.substring(F.md5(F.concat(role, F.lit(":"), content)), 1, 5), 16, 10).cast("bigint")
+
+
+def history_digest(df: DataFrame) -> DataFrame:
+    """History at each active message line in linear size (H3).
+
+    Instead of copying every earlier message into every row (quadratic in the
+    episode length), each line gets ``n_messages`` (the history length,
+    system message included) and ``history_fp``, an order-sensitive
+    fingerprint of the episode so far: the running count, the running sum of
+    message hashes and the running sum of hash x turn, as exact decimals.
+    Both come from running sums, so a long episode spreads over many tasks.
+    Use :func:`histories` to materialise the message lists themselves.
+    """
+    ep = episodes(chat_lines(df))
+    msgs = ep.filter(F.col("active") & (F.col("kind") == "message"))
+    h = message_hash(F.col("role"), F.col("line")).cast("decimal(38,0)")
+    r = running(
+        msgs,
+        ["conv_id", "episode"],
+        ["turn"],
+        seq_bucket("turn"),
+        sums={"_n": F.lit(1).cast("bigint"), "_s": h, "_w": h * F.col("turn").cast("decimal(20,0)")},
+    )
+    has_sys = F.col("system_text").isNotNull() & (ustrip(F.col("system_text")) != "")
+    n = (F.col("_n") + F.when(has_sys, 1).otherwise(0)).cast("int")
+    sys_h = F.when(has_sys, message_hash(F.lit("system"), F.col("system_text"))).otherwise(F.lit(0))
+    fp = F.concat_ws(
+        ":",
+        F.col("_n").cast("string"),
+        F.col("_s").cast("decimal(38,0)").cast("string"),
+        F.col("_w").cast("decimal(38,0)").cast("string"),
+        sys_h.cast("string"),
+    )
+    return r.select("conv_id", "turn", "episode", "role", "line", "system_text", n.alias("n_messages"), fp.alias("history_fp"))
+
+
 def join_chunks(chunks: DataFrame, key: str = "doc_id") -> DataFrame:
     """Concatenate streamed chunks in ``seq`` order and strip: one reply per key (H4)."""
     parts = F.array_sort(F.collect_list(F.struct(F.col("seq"), F.col("chunk"))))

@@ -182,9 +182,7 @@ def h2_episodes(spark, sf):
 
 @query("h3_histories")
 def h3_histories(spark, sf):
-    h = H.histories(A.transcript(spark, sf))
-    text = F.array_join(F.transform("history", lambda m: F.concat(m["role"], F.lit(":"), m["content"])), "\n")
-    return h.select("conv_id", "turn", "episode", F.size("history").alias("n_messages"), F.md5(text).alias("history_md5"))
+    return H.history_digest(A.transcript(spark, sf)).select("conv_id", "turn", "episode", "n_messages", "history_fp")
 
 
 @query("h4_join_chunks")
@@ -388,6 +386,5 @@ def x3_stream_histories(spark, sf):
     for lo in range(0, int(top) + 1, 2):
         t.filter((F.col("turn") >= lo) & (F.col("turn") < lo + 2)).coalesce(1).write.mode("append").parquet(land)
     stream = spark.readStream.schema("conv_id long, turn long, role string, text string").option("maxFilesPerTrigger", 1).parquet(land)
-    h = X_.run_to_table(spark, X_.stream_histories(stream), "x3")
-    text = F.array_join(F.transform("history", lambda m: F.concat(m["role"], F.lit(":"), m["content"])), "\n")
-    return h.select("conv_id", "turn", "episode", F.size("history").alias("n_messages"), F.md5(text).alias("history_md5"))
+    h = X_.run_to_table(spark, X_.stream_history_digest(stream), "x3")
+    return h.select("conv_id", "turn", "episode", "n_messages", "history_fp")

@@ -514,15 +514,19 @@ ORACLE["h2_episodes"] = with_(TRANSCRIPT) + "SELECT conv_id, turn, episode, syst
 
 ORACLE["h3_histories"] = with_(TRANSCRIPT) + """,
 msgs AS (
-  SELECT *, list(struct_pack(t := turn, s := role || ':' || line)) OVER (PARTITION BY conv_id, episode ORDER BY turn
-      ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS so_far
+  SELECT *, CAST(('0x' || substr(md5(role || ':' || line), 1, 5))::BIGINT AS DECIMAL(38,0)) AS h,
+    CASE WHEN system_text IS NOT NULL AND system_text <> '' THEN 1 ELSE 0 END AS has_sys
   FROM lines2 WHERE active AND kind = 'message'
+),
+run AS (
+  SELECT *, count(*) OVER w AS n, sum(h) OVER w AS s, sum(h * CAST(turn AS DECIMAL(20,0))) OVER w AS sw
+  FROM msgs
+  WINDOW w AS (PARTITION BY conv_id, episode ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
 )
-SELECT conv_id, turn, episode,
-  CAST(len(so_far) + CASE WHEN system_text IS NOT NULL AND system_text <> '' THEN 1 ELSE 0 END AS INTEGER) AS n_messages,
-  md5(CASE WHEN system_text IS NOT NULL AND system_text <> '' THEN 'system:' || system_text || chr(10) ELSE '' END
-    || array_to_string(list_transform(list_sort(so_far), lambda x: x.s), chr(10))) AS history_md5
-FROM msgs"""
+SELECT conv_id, turn, episode, CAST(n + has_sys AS INTEGER) AS n_messages,
+  CAST(n AS VARCHAR) || ':' || CAST(CAST(s AS DECIMAL(38,0)) AS VARCHAR) || ':' || CAST(CAST(sw AS DECIMAL(38,0)) AS VARCHAR) || ':'
+    || CAST(CASE WHEN has_sys = 1 THEN ('0x' || substr(md5('system:' || system_text), 1, 5))::BIGINT ELSE 0 END AS VARCHAR) AS history_fp
+FROM run"""
 
 ORACLE["h4_join_chunks"] = f"""
 SELECT doc_id, CAST(greatest(ceil(length(text) / 100), 1) AS BIGINT) AS n_chunks, {ustrip_sql('text')} AS text FROM documents"""

@@ -117,6 +117,57 @@ def stream_histories(stream: DataFrame) -> DataFrame:
     )
 
 
+DIGEST_SCHEMA = "conv_id long, turn long, episode long, n_messages int, history_fp string"
+DIGEST_STATE = "episode long, exited boolean, system string, n long, s string, w string"
+
+
+def _hash20(role: str, text: str) -> int:
+    import hashlib
+
+    return int(hashlib.md5(f"{role}:{text}".encode("utf-8")).hexdigest()[:5], 16)
+
+
+def _digest_step(key, batches, state):
+    """Per conversation, O(1) state: episode, exit flag, system text and the
+    running count / hash sum / weighted hash sum of the current episode."""
+    (conv_id,) = key
+    if state.exists:
+        episode, exited, system, n, s, w = state.get
+        s, w = int(s), int(w)
+    else:
+        episode, exited, system, n, s, w = 0, False, None, 0, 0, 0
+    pdf = pd.concat(list(batches), ignore_index=True).sort_values("turn")
+    out = []
+    for turn, role, text in zip(pdf["turn"], pdf["role"], pdf["text"]):
+        line = (text or "").strip()
+        if exited or not line:
+            continue
+        if role == "user" and line in EXIT_COMMANDS:
+            exited = True
+            continue
+        if role == "user" and line == RESET_COMMAND:
+            episode, n, s, w = episode + 1, 0, 0, 0
+            continue
+        if role == "system":
+            system = line
+            continue
+        h = _hash20(role, line)
+        n, s, w = n + 1, s + h, w + h * int(turn)
+        sys_h = _hash20("system", system) if system else 0
+        out.append((conv_id, int(turn), episode, n + (1 if system else 0), f"{n}:{s}:{w}:{sys_h}"))
+    state.update((episode, exited, system, n, str(s), str(w)))
+    if out:
+        yield pd.DataFrame(out, columns=["conv_id", "turn", "episode", "n_messages", "history_fp"])
+
+
+def stream_history_digest(stream: DataFrame) -> DataFrame:
+    """Streaming form of :func:`sifter.operators.chat.history_digest` (X3):
+    per conversation the state is a handful of numbers, whatever its length."""
+    return stream.groupBy("conv_id").applyInPandasWithState(
+        _digest_step, DIGEST_SCHEMA, DIGEST_STATE, "append", GroupStateTimeout.NoTimeout
+    )
+
+
 def run_to_table(spark: SparkSession, streaming: DataFrame, name: str, mode: str = "append") -> DataFrame:
     """Run a streaming DataFrame to completion (available-now trigger) into a
     Parquet table under the shared checkpoint folder and read it back."""
@@ -138,4 +189,4 @@ def run_to_table(spark: SparkSession, streaming: DataFrame, name: str, mode: str
     return spark.read.parquet(path)
 
 
-__all__ = ["stream_clean", "stream_report", "stream_histories", "run_to_table", "stream_location", "ustrip"]
+__all__ = ["stream_clean", "stream_report", "stream_histories", "stream_history_digest", "run_to_table", "stream_location", "ustrip"]

@@ -51,3 +51,15 @@ def test_stream_histories_equal_batch_across_batches(spark, scratch):
         return sorted((r.conv_id, r.turn, r.episode, tuple((m.role, m.content) for m in r.history)) for r in df.collect())
 
     assert norm(got) == norm(exp)
+
+
+def test_stream_history_digest_equals_batch(spark, scratch):
+    land = os.path.join(scratch, "land")
+    t = A.transcript(spark, SF001)
+    for lo in range(0, 10, 2):
+        t.filter((F.col("turn") >= lo) & (F.col("turn") < lo + 2)).coalesce(1).write.mode("append").parquet(land)
+    stream = spark.readStream.schema("conv_id long, turn long, role string, text string").option("maxFilesPerTrigger", 1).parquet(land)
+    got = X.run_to_table(spark, X.stream_history_digest(stream), "t-digest")
+    cols = ["conv_id", "turn", "episode", "n_messages", "history_fp"]
+    exp = H.history_digest(t).select(*cols)
+    assert sorted(map(tuple, got.select(*cols).collect())) == sorted(map(tuple, exp.collect()))
