@@ -20,20 +20,16 @@ BUCKET_BITS = 12
 
 
 def metric_series(log: DataFrame, names=SERIES) -> DataFrame:
-    """Unpivot present series values: (run_id, name, step, value) (A5)."""
-    parts = [
-        log.select(
-            "run_id",
-            F.lit(n).alias("name"),
-            "step",
-            F.try_variant_get(F.col("row"), f"$.{n}", "double").alias("value"),
-        ).filter(F.col("value").isNotNull())
-        for n in names
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """Unpivot present series values: (run_id, name, step, value) (A5).
+
+    One pass over the log: each row yields one candidate per series name and
+    the absent ones are dropped (a row may hold several series).
+    """
+    cands = F.array(
+        *[F.struct(F.lit(n).alias("name"), F.try_variant_get(F.col("row"), f"$.{n}", "double").alias("value")) for n in names]
+    )
+    out = log.select("run_id", "step", F.inline(cands))
+    return out.filter(F.col("value").isNotNull()).select("run_id", "name", "step", "value")
 
 
 def ema_fold(values: Column, factor: float = FACTOR) -> Column:

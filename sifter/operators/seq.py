@@ -49,7 +49,9 @@ def running(
         *([F.row_number().over(w_lag).alias("_first")] if lags else []),
     )
     order_key = F.struct(*order)
-    tot = staged.groupBy(*keys).agg(
+    # bucket totals from the windowed rows: they are already partitioned by the
+    # bucket keys, so this reuses that shuffle and reads the input only once
+    tot = local.groupBy(*keys).agg(
         *[F.sum(f"_v_{n}").alias(f"_t_{n}") for n in sums],
         *[F.max(f"_v_{n}").alias(f"_t_{n}") for n in maxes],
         *[F.max_by(f"_v_{n}", order_key).alias(f"_t_{n}") for n in lags],

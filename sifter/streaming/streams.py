@@ -46,13 +46,17 @@ def stream_clean(stream: DataFrame, out: str, ckpt: str, trigger: dict | None =
         stream = stream.withColumn("item", F.try_parse_json("item"))
 
     def per_batch(df: DataFrame, batch_id: int) -> None:
-        classified = C.classify(df.select("pos", "item"))
-        kept = C.project_record(C.clean(classified).drop("label", "doc"))
-        if minify_output:
-            kept = C.minify(kept, "output")
-        _write_batch(kept, f"{out}/clean", batch_id)
-        _write_batch(C.quarantine(classified).select("pos", F.to_json("item").alias("item"), "label"), f"{out}/quarantine", batch_id)
-        _write_batch(C.validation_report(classified), f"{out}/reports", batch_id)
+        # three sinks read the same labels: classify the micro-batch once
+        classified = C.classify(df.select("pos", "item")).drop("doc").persist()
+        try:
+            kept = C.project_record(C.clean(classified).drop("label"))
+            if minify_output:
+                kept = C.minify(kept, "output")
+            _write_batch(kept, f"{out}/clean", batch_id)
+            _write_batch(C.quarantine(classified).select("pos", F.to_json("item").alias("item"), "label"), f"{out}/quarantine", batch_id)
+            _write_batch(C.validation_report(classified), f"{out}/reports", batch_id)
+        finally:
+            classified.unpersist()
 
     w = stream.writeStream.foreachBatch(per_batch).option("checkpointLocation", ckpt)
     return w.trigger(**(trigger or {"availableNow": True})).start()
