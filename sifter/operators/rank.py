@@ -25,6 +25,16 @@ def pos_bucket(col: str = "pos", bits: int = DEFAULT_BUCKET_BITS) -> Column:
     return F.shiftright(F.col(col), bits)
 
 
+NULL_BUCKET = -(2**63)  # NULL order keys sort first, so their bucket is the smallest
+
+
+def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner join on ``keys`` where NULL matches NULL (no row is dropped)."""
+    r = right.select(*[F.col(c).alias(f"_r_{c}") if c in keys else F.col(c) for c in right.columns])
+    cond = [left[k].eqNullSafe(r[f"_r_{k}"]) for k in keys]
+    return left.join(r, cond, "inner").drop(*[f"_r_{k}" for k in keys])
+
+
 def global_rank(
     df: DataFrame,
     order_cols: list,
@@ -39,21 +49,22 @@ def global_rank(
     numbering per group (e.g. per file); the groups only appear in the tiny
     offsets table and as a prefix of the bucket key, so a huge group is still
     spread over many buckets. ``total`` names an optional column holding the
-    group's row count.
+    group's row count. Rows with NULL keys are kept (ranked first).
 
-    The bucket counts are read off the numbered rows, which are already
-    partitioned by bucket: the input is computed once and shuffled once.
+    The bucket counts are a map-side partial aggregate over the key columns
+    only (a column-pruned read), so that branch shuffles one row per bucket
+    per task; the numbering shuffles each row once.
     """
     within = list(within or [])
     keys = within + ["_bkt"]
-    staged = df.withColumn("_bkt", bucket)
+    staged = df.withColumn("_bkt", F.coalesce(bucket.cast("bigint"), F.lit(NULL_BUCKET)))
     w = Window.partitionBy(*keys).orderBy(*order_cols)
     numbered = staged.withColumn("_rn", F.row_number().over(w))
-    counts = numbered.groupBy(*keys).agg(F.max("_rn").alias("_n"))
+    counts = staged.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     run = Window.partitionBy(*within).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
     cols = [*keys, F.coalesce(F.sum("_n").over(run), F.lit(0)).alias("_off")]
     if total:
         cols.append(F.sum("_n").over(Window.partitionBy(*within)).cast("bigint").alias(total))
     offsets = counts.select(*cols)
-    out = numbered.join(offsets, on=keys, how="inner")
+    out = null_safe_join(numbered, offsets, keys)
     return out.withColumn(name, (F.col("_off") + F.col("_rn")).cast("bigint")).drop("_bkt", "_rn", "_off")

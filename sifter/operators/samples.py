@@ -160,14 +160,16 @@ def build_samples(
 ):
     """Whole sample build -> ``(samples, drops)``.
 
-    ``samples``: pos, input_ids, attention_mask, labels. ``drops``: one row
-    per drop reason with its count (map-side partial aggregation).
+    ``samples``: pos, n_tokens, input_ids, attention_mask, labels. ``drops``:
+    one row per drop reason with its count (map-side partial aggregation).
     """
     n = normalize(records.select("pos", "instruction", "input", "output"))
     m = build_messages(n, system_prompt, instruction_as_system)
     keep = m.filter(F.col("drop_reason").isNull())
     enc = encode(render_prompt(keep, template), encoder, max_length)
-    samples = enc.filter(F.col("drop_reason").isNull()).select("pos", "input_ids", "attention_mask", "labels")
+    samples = enc.filter(F.col("drop_reason").isNull()).select(
+        "pos", F.size("input_ids").alias("n_tokens"), "input_ids", "attention_mask", "labels"
+    )
     dropped = m.filter(F.col("drop_reason").isNotNull()).select("drop_reason").unionByName(
         enc.filter(F.col("drop_reason").isNotNull()).select("drop_reason")
     )
@@ -224,3 +226,35 @@ def pad_batches(df: DataFrame, pad_id: int | None = 0, eos_id: int | None = None
 def split_sizes(df: DataFrame) -> DataFrame:
     """Rows per split (A4)."""
     return df.groupBy("split").agg(F.count(F.lit(1)).alias("n"))
+
+
+def collate_plan(samples: DataFrame, batch_size: int, ratio: float = EVAL_RATIO, seed: int = SPLIT_SEED) -> DataFrame:
+    """Split, batches and batch widths from the narrow columns only.
+
+    Reads ``pos`` and ``n_tokens`` (from a written samples table that is a
+    column-pruned scan), so the ranking shuffles move two numbers per row,
+    not the token arrays. Output: pos, split, batch_id, width.
+    """
+    keys = samples.select("pos", "n_tokens")
+    planned = assign_batches(split_exact(keys, ratio, seed), batch_size, within=["split"])
+    w = Window.partitionBy("split", "batch_id")
+    return planned.withColumn("width", F.max("n_tokens").over(w)).drop("n_tokens")
+
+
+def collate(samples: DataFrame, plan: DataFrame, pad_id: int | None = 0, eos_id: int | None = None) -> DataFrame:
+    """Join the plan to the samples (the one shuffle that moves token arrays)
+    and right-pad every row to its batch width (T13)."""
+    pad = pad_id if pad_id is not None else eos_id
+    if pad is None:
+        raise ValueError("need a pad id or an eos id")
+    j = samples.drop("n_tokens").join(plan, "pos", "inner")
+    gap = F.col("width") - F.size("input_ids")
+    return j.select(
+        "pos",
+        "split",
+        "batch_id",
+        "width",
+        F.concat("input_ids", F.array_repeat(F.lit(pad), gap)).alias("input_ids"),
+        F.concat("attention_mask", F.array_repeat(F.lit(0), gap)).alias("attention_mask"),
+        F.concat("labels", F.array_repeat(F.lit(IGNORE_INDEX), gap)).alias("labels"),
+    )

@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .rank import NULL_BUCKET, null_safe_join
+
 DEFAULT_BITS = 16
 
 
@@ -36,7 +38,7 @@ def running(
     """
     sums, maxes, lags = dict(sums or {}), dict(maxes or {}), dict(lags or {})
     keys = list(within) + ["_bkt"]
-    staged = df.withColumn("_bkt", bucket)
+    staged = df.withColumn("_bkt", F.coalesce(bucket.cast("bigint"), F.lit(NULL_BUCKET)))
     for name, c in {**sums, **maxes, **lags}.items():
         staged = staged.withColumn(f"_v_{name}", c)
     w_run = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -49,9 +51,9 @@ def running(
         *([F.row_number().over(w_lag).alias("_first")] if lags else []),
     )
     order_key = F.struct(*order)
-    # bucket totals from the windowed rows: they are already partitioned by the
-    # bucket keys, so this reuses that shuffle and reads the input only once
-    tot = local.groupBy(*keys).agg(
+    # bucket totals: a map-side partial aggregate over the needed columns only,
+    # one row per bucket per task crosses the shuffle
+    tot = staged.groupBy(*keys).agg(
         *[F.sum(f"_v_{n}").alias(f"_t_{n}") for n in sums],
         *[F.max(f"_v_{n}").alias(f"_t_{n}") for n in maxes],
         *[F.max_by(f"_v_{n}", order_key).alias(f"_t_{n}") for n in lags],
@@ -65,7 +67,7 @@ def running(
         *[F.max(f"_t_{n}").over(prev).alias(f"_o_{n}") for n in maxes],
         *[F.lag(f"_t_{n}").over(prev1).alias(f"_o_{n}") for n in lags],
     )
-    j = local.join(off, on=keys, how="inner")
+    j = null_safe_join(local, off, keys)
     out = []
     for n in sums:
         out.append((F.coalesce(F.col(f"_o_{n}"), F.lit(0)) + F.col(f"_l_{n}")).alias(n))

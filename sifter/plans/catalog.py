@@ -242,22 +242,27 @@ def a3_sample_drops(spark, sf):
     return drops
 
 
+def _staged_samples(spark, sf):
+    samples, _ = _samples(spark, sf)
+    return J.stage(samples, "samples")
+
+
 @query("t11_split")
 def t11_split(spark, sf):
     samples, _ = _samples(spark, sf)
-    return S.split_exact(samples).select("pos", "split")
+    return S.split_exact(samples.select("pos")).select("pos", "split")
 
 
 @query("a4_split_sizes")
 def a4_split_sizes(spark, sf):
     samples, _ = _samples(spark, sf)
-    return S.split_sizes(S.split_exact(samples))
+    return S.split_sizes(S.split_exact(samples.select("pos")))
 
 
 @query("t13_padded_batches")
 def t13_padded_batches(spark, sf):
-    samples, _ = _samples(spark, sf)
-    b = S.pad_batches(S.assign_batches(S.split_exact(samples), 8, within=["split"]), within=["split"])
+    samples = _staged_samples(spark, sf)
+    b = S.collate(samples, S.collate_plan(samples, 8))
     return b.select(
         "split", "batch_id", "pos", "width",
         _md5_ints("input_ids").alias("ids_md5"), _md5_ints("attention_mask").alias("mask_md5"), _md5_ints("labels").alias("labels_md5"),

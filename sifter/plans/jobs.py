@@ -1,8 +1,12 @@
 """Whole jobs composed from the operators (C11, G8, T10 and friends)."""
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 
+from ..session import checkpoint_dir
+
 from ..operators import clean as C
 
 
@@ -19,3 +23,12 @@ def clean_job(raw: DataFrame, minify_output: bool = False, exact: bool = False,
     if minify_output:
         kept = C.minify(kept, "output", exact=exact)
     return kept, C.quarantine(classified).drop("doc"), C.validation_report(classified)
+
+
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet under the shared checkpoint folder and read it
+    back: cuts the lineage (a lost executor re-reads the table instead of
+    recomputing it) and lets later steps read only the columns they need."""
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/tables/{name}-{uuid.uuid4().hex[:12]}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -326,3 +326,15 @@ def test_plan_requests(spark):
     t = spark.createDataFrame([(1, 120), (2, 0), (3, 50)], "run_id bigint, target bigint")
     got = sorted(tuple(r) for r in P.plan_requests(t, 50).collect())
     assert got == [(1, 0, 0, 50), (1, 1, 50, 50), (1, 2, 100, 20), (3, 0, 0, 50)]
+
+
+def test_rank_and_running_keep_null_keys(spark):
+    df = spark.createDataFrame([(None, None, 1), (1, None, 2), (1, 5, 3), (None, 2, 4), (1, 1, 5)], "g bigint, seq bigint, x bigint")
+    r = global_rank(df, ["seq"], F.shiftright("seq", 1), within=["g"], name="r")
+    got = {(row.g, row.seq): row.r for row in r.collect()}
+    assert got[(1, None)] == 1 and got[(1, 1)] == 2 and got[(1, 5)] == 3
+    assert got[(None, None)] == 1 and got[(None, 2)] == 2
+    assert r.count() == 5
+    run = running(df, ["g"], ["seq"], F.shiftright("seq", 1), sums={"s": F.col("x")})
+    assert run.count() == 5
+    assert {(row.g, row.seq): row.s for row in run.collect()}[(1, 5)] == 10
