@@ -32,7 +32,7 @@ def response_content(df: DataFrame, col: str = "body") -> DataFrame:
     choices = F.try_variant_get(env, "$.choices", "array<variant>")
     content = F.try_variant_get(env, "$.choices[0].message.content", "variant")
     text = F.when(J.is_kind(content, "string"), F.try_variant_get(content, "$", "string"))
-    staged = parsed.select(*df.columns, F.coalesce(F.size(choices), F.lit(0)).alias("_nchoices"), text.alias("_text"))
+    staged = parsed.select(*df.columns, F.coalesce(n_elements(choices), F.lit(0)).alias("_nchoices"), text.alias("_text"))
     err = (
         F.when(F.col("_nchoices") == 0, ERR_CHOICES)
         .when(F.col("_text").isNull() | J.is_blank("_text"), ERR_CONTENT)
@@ -45,6 +45,12 @@ def response_content(df: DataFrame, col: str = "body") -> DataFrame:
     return out
 
 
+def n_elements(arr: Column) -> Column:
+    """Array length, NULL for a NULL array under any ANSI setting (plain
+    ``size`` returns -1 for NULL when ANSI mode is off)."""
+    return F.when(arr.isNotNull(), F.size(arr))
+
+
 def _items_array(parsed: Column) -> Column:
     return (
         F.when(J.is_kind(parsed, "object"), F.array(parsed))
@@ -95,11 +101,11 @@ def parse_responses(df: DataFrame, col: str = "body", exact: bool = False):
     # array reads it in several CASE branches, which codegen cannot share
     parsed = once(env.select(*keys, "envelope_error", X.parse_json_text(F.col("content")).alias("_parsed")))
     parsed = once(parsed.select(*keys, "envelope_error", _items_array(F.col("_parsed")).alias("_items")))
-    n_ok = F.size(F.filter("_items", _item_ok))
+    n_ok = n_elements(F.filter("_items", _item_ok))
     stats = parsed.select(
         *keys,
         F.coalesce(n_ok, F.lit(0)).cast("bigint").alias("n_items"),
-        F.coalesce(F.size("_items") - n_ok, F.lit(0)).cast("bigint").alias("n_dropped"),
+        F.coalesce(n_elements(F.col("_items")) - n_ok, F.lit(0)).cast("bigint").alias("n_dropped"),
         F.when(F.col("envelope_error").isNotNull(), F.col("envelope_error"))
         .when(F.col("_items").isNull(), PARSE_ERROR)
         .when(n_ok == 0, NO_VALID_ITEMS)
