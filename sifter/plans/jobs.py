@@ -4,6 +4,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
 
@@ -32,3 +33,46 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/tables/{name}-{uuid.uuid4().hex[:12]}"
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def generation_job(prompts: DataFrame, seeds: DataFrame, generator, target: int, k: int = 3, seed: int = 42, write_to: str | None = None):
+    """Few-shot generation end to end (lifecycle E2) -> ``(dataset, stats)``.
+
+    prompts(prompt_id, n_items) -> k seeds each (P1) -> prompt text (P2) ->
+    ``generator`` over Arrow batches (P4) -> items + per-response stats (G8)
+    -> seed rows plus the first ``target`` generated items (S7).
+
+    The generator's answers are written (``write_to``, default a fresh table
+    under the shared checkpoint folder) before parsing, so a retried task
+    never asks the generator again.
+    """
+    from ..operators import checkpoints as K
+    from ..operators import prompts as P
+    from ..operators import responses as R
+
+    texts = P.build_prompts(P.sample_seeds(prompts, seeds, k, seed), prompts)
+    bodies = P.apply_generator(texts, generator, keys=["prompt_id"])
+    if write_to:
+        bodies.write.mode("overwrite").parquet(write_to)
+        bodies = bodies.sparkSession.read.parquet(write_to)
+    else:
+        bodies = stage(bodies, "responses")
+    items, stats = R.parse_responses(bodies.filter(bodies["error"].isNull()).select("prompt_id", "body"))
+    # generated order: prompt, then position in the answer
+    gen = items.withColumn("pos", F.col("prompt_id") * 100000 + F.col("item_idx")).select("pos", "instruction", "input", "output")
+    return K.finalize_dataset(seeds.select("pos", "instruction", "input", "output"), gen, target), stats
+
+
+def sample_job(records: DataFrame, batch_size: int = 8, max_length: int = 1024, ratio: float = 0.02, seed: int = 42, pad_id: int = 0, **kw):
+    """Records -> padded train/eval batches (lifecycle E3) -> ``(batches, drops)``.
+
+    Samples are staged once as Parquet; the split and batch plan is computed
+    on (pos, n_tokens) only and joined back, so the token arrays cross one
+    shuffle.
+    """
+    from ..operators import samples as S
+
+    samples, drops = S.build_samples(records, max_length=max_length, **kw)
+    samples = stage(samples, "samples")
+    plan = S.collate_plan(samples, batch_size, ratio, seed)
+    return S.collate(samples, plan, pad_id=pad_id), drops

@@ -338,3 +338,44 @@ def test_rank_and_running_keep_null_keys(spark):
     run = running(df, ["g"], ["seq"], F.shiftright("seq", 1), sums={"s": F.col("x")})
     assert run.count() == 5
     assert {(row.g, row.seq): row.s for row in run.collect()}[(1, 5)] == 10
+
+
+def test_append_to_path_and_parquet_landing(spark, scratch):
+    batch = spark.createDataFrame([(0, "c"), (1, "d")], "pos bigint, v string")
+    missing = os.path.join(scratch, "nothing-here")
+    assert sorted(tuple(r) for r in IO.append_batch_to(spark, missing, batch).collect()) == [(0, "c"), (1, "d")]
+    target = os.path.join(scratch, "ds")
+    spark.createDataFrame([(0, "a")], "pos bigint, v string").write.parquet(target)
+    assert sorted(tuple(r) for r in IO.append_batch_to(spark, target, batch).collect()) == [(0, "a"), (1, "c"), (2, "d")]
+    corrupt = os.path.join(scratch, "corrupt")
+    os.makedirs(corrupt)
+    with open(os.path.join(corrupt, "part-0.parquet"), "w") as f:
+        f.write("not parquet")
+    with pytest.raises(Exception):
+        IO.append_batch_to(spark, corrupt, batch).collect()
+    assert IO.append_batch_to(spark, corrupt, batch, on_corrupt="empty").count() == 2
+    land = os.path.join(scratch, "land")
+    spark.createDataFrame([(0, json.dumps({"instruction": "i", "input": "x", "output": D}))], "pos bigint, item string").write.parquet(land)
+    got = IO.read_records_lines(spark, land, fmt="parquet")
+    assert [r.label for r in C.classify(got).collect()] == ["valid"]
+
+
+def test_generation_and_sample_jobs(spark):
+    from sifter.plans import jobs
+
+    seeds = spark.createDataFrame([(i, "ins", f"in{i}", D) for i in range(4)], "pos bigint, instruction string, input string, output string")
+    prompts = spark.createDataFrame([(p, 2) for p in range(5)], "prompt_id bigint, n_items int")
+    ds, stats = jobs.generation_job(prompts, seeds, P.echo_generator, target=3)
+    rows = ds.collect()
+    assert len(rows) == 4 + 3 and sum(r.source == "generated" for r in rows) == 3
+    assert {r.status for r in stats.collect()} == {"ok"}
+    recs = spark.createDataFrame([(i, "", f"question {i}", f"answer {i}") for i in range(20)], "pos bigint, instruction string, input string, output string")
+    batches, drops = jobs.sample_job(recs, batch_size=4)
+    b = batches.collect()
+    assert len(b) == 20 and drops.count() == 0
+    for r in b:
+        assert len(r.input_ids) == len(r.labels) == len(r.attention_mask) == r.width
+    widths = {}
+    for r in b:
+        widths.setdefault((r.split, r.batch_id), set()).add(r.width)
+    assert all(len(v) == 1 for v in widths.values())
