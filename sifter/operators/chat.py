@@ -20,13 +20,7 @@ EXIT_COMMANDS = ("/exit", "exit", "quit")
 RESET_COMMAND = "/reset"
 
 
-def chat_lines(df: DataFrame) -> DataFrame:
-    """Add ``line`` (stripped text), ``kind`` and ``active`` (H1).
-
-    kind: ``blank`` (ignored), ``exit`` (ends the conversation), ``reset``
-    (a marker, not a turn), ``system`` or ``message``. ``active`` is false
-    from the first exit line on.
-    """
+def _classify_lines(df: DataFrame) -> DataFrame:
     line = ustrip(F.col("text"))
     is_user = F.col("role") == "user"
     kind = (
@@ -36,28 +30,45 @@ def chat_lines(df: DataFrame) -> DataFrame:
         .when(F.col("role") == "system", "system")
         .otherwise("message")
     )
-    staged = df.withColumn("line", line).withColumn("kind", kind)
+    return df.withColumn("line", line).withColumn("kind", kind)
+
+
+def chat_state(df: DataFrame) -> DataFrame:
+    """Lines with ``line``, ``kind``, ``active``, ``episode`` and ``system_text``
+    (H1 + H2) from one running-aggregate pass per conversation."""
+    staged = _classify_lines(df)
     r = running(
         staged,
         ["conv_id"],
         ["turn"],
         seq_bucket("turn"),
-        maxes={"_exited": (F.col("kind") == "exit").cast("int")},
+        sums={"episode": (F.col("kind") == "reset").cast("bigint")},
+        maxes={
+            "_exited": (F.col("kind") == "exit").cast("int"),
+            "_sys": F.when(F.col("kind") == "system", F.struct(F.col("turn"), F.col("line").alias("text"))),
+        },
     )
-    return r.withColumn("active", F.col("_exited") == 0).drop("_exited")
+    return (
+        r.withColumn("active", F.col("_exited") == 0)
+        .withColumn("system_text", F.col("_sys.text"))
+        .drop("_exited", "_sys")
+    )
+
+
+def chat_lines(df: DataFrame) -> DataFrame:
+    """Add ``line`` (stripped text), ``kind`` and ``active`` (H1).
+
+    kind: ``blank`` (ignored), ``exit`` (ends the conversation), ``reset``
+    (a marker, not a turn), ``system`` or ``message``. ``active`` is false
+    from the first exit line on.
+    """
+    return chat_state(df).drop("episode", "system_text")
 
 
 def episodes(lines: DataFrame) -> DataFrame:
-    """Add ``episode``: number of ``/reset`` lines so far in the conversation (H2)."""
-    r = running(
-        lines,
-        ["conv_id"],
-        ["turn"],
-        seq_bucket("turn"),
-        sums={"episode": (F.col("kind") == "reset").cast("bigint")},
-        maxes={"_sys": F.when(F.col("kind") == "system", F.struct(F.col("turn"), F.col("line").alias("text")))},
-    )
-    return r.withColumn("system_text", F.col("_sys.text")).drop("_sys")
+    """Add ``episode`` (number of ``/reset`` lines so far in the conversation)
+    and ``system_text`` (latest system line so far) (H2)."""
+    return chat_state(lines.select("conv_id", "turn", "role", "text"))
 
 
 def histories(df: DataFrame, system: str | None = None, last_k: int | None = None) -> DataFrame:
@@ -70,7 +81,7 @@ def histories(df: DataFrame, system: str | None = None, last_k: int | None = Non
     the last k messages. For whole tables prefer :func:`history_digest`,
     which is linear, and join the message table where lists are needed.
     """
-    ep = episodes(chat_lines(df))
+    ep = chat_state(df)
     msgs = ep.filter(F.col("active") & (F.col("kind") == "message"))
     frame = Window.partitionBy("conv_id", "episode").orderBy("turn")
     frame = frame.rowsBetween(-(last_k - 1) if last_k else Window.unboundedPreceding, Window.currentRow)
@@ -97,7 +108,7 @@ def history_digest(df: DataFrame) -> DataFrame:
     Both come from running sums, so a long episode spreads over many tasks.
     Use :func:`histories` to materialise the message lists themselves.
     """
-    ep = episodes(chat_lines(df))
+    ep = chat_state(df)
     msgs = ep.filter(F.col("active") & (F.col("kind") == "message"))
     h = message_hash(F.col("role"), F.col("line")).cast("decimal(38,0)")
     r = running(

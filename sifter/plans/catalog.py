@@ -177,7 +177,7 @@ def h1_chat_lines(spark, sf):
 
 @query("h2_episodes")
 def h2_episodes(spark, sf):
-    return H.episodes(H.chat_lines(A.transcript(spark, sf))).select("conv_id", "turn", "episode", "system_text")
+    return H.episodes(A.transcript(spark, sf)).select("conv_id", "turn", "episode", "system_text")
 
 
 @query("h3_histories")
