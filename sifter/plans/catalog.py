@@ -393,3 +393,37 @@ def x3_stream_histories(spark, sf):
     stream = spark.readStream.schema("conv_id long, turn long, role string, text string").option("maxFilesPerTrigger", 1).parquet(land)
     h = X_.run_to_table(spark, X_.stream_history_digest(stream), "x3")
     return h.select("conv_id", "turn", "episode", "n_messages", "history_fp")
+
+
+# ------------------------------------------------------------ file sources
+
+
+@query("s1_read_array_files")
+def s1_read_array_files(spark, sf):
+    """Land the records as JSON-array files (one bounded array per file, in
+    position order), read them back with the array reader, report labels."""
+    from ..sources.records import read_records
+
+    land = X_.stream_location(spark, "landing-arrays")
+    rec = A.raw_records_text(spark, sf).withColumn("chunk", F.floor(F.col("pos") / 1000).cast("bigint"))
+    arrays = rec.groupBy("chunk").agg(
+        F.concat(
+            F.lit("["),
+            F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "item_text"))), lambda x: x["item_text"]), ",\n"),
+            F.lit("]"),
+        ).alias("value")
+    )
+    arrays.write.partitionBy("chunk").text(land)
+    raw = read_records(spark, f"{land}/*/*.txt")
+    return C.classify(raw.select("pos", "item")).groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("s2_read_lines")
+def s2_read_lines(spark, sf):
+    """Write the records as JSON Lines (S3), read them back line by line (S2), report labels."""
+    from ..sources.records import read_records_lines, write_records
+
+    land = X_.stream_location(spark, "landing-lines")
+    write_records(A.raw_records(spark, sf), land, "jsonl")
+    raw = read_records_lines(spark, land)
+    return C.classify(raw.select("pos", "item")).groupBy("label").agg(F.count(F.lit(1)).alias("n"))

@@ -682,3 +682,6 @@ FROM norm WHERE instruction <> '' AND input <> '' AND output IS NOT NULL AND out
 ORACLE["x1_stream_clean"] = ORACLE["c8_clean"]
 ORACLE["x2_stream_report"] = with_(RAW_RECORDS, CLASSIFIED) + "SELECT label, count(*) AS n FROM classified GROUP BY label"
 ORACLE["x3_stream_histories"] = ORACLE["h3_histories"]
+
+ORACLE["s1_read_array_files"] = ORACLE["x2_stream_report"]
+ORACLE["s2_read_lines"] = ORACLE["x2_stream_report"]

@@ -68,12 +68,18 @@ def read_records_lines(spark: SparkSession, paths, fmt: str = "json") -> DataFra
     )
 
 
-def write_records(df: DataFrame, path: str, fmt: str = "json", mode: str = "overwrite") -> None:
-    """Write records as JSON Lines or Parquet (S3).
+def write_records(df: DataFrame, path: str, fmt: str = "json", mode: str = "overwrite", item: str = "item") -> None:
+    """Write records (S3).
 
-    Spark's JSON writer leaves non-ASCII characters unescaped. VARIANT columns
-    are written as JSON text for the ``json`` format.
+    ``json``: one JSON object per row with every column (VARIANT columns as
+    JSON text); ``jsonl``: the record column itself, one JSON value per line
+    (what :func:`read_records_lines` reads); ``parquet``. Spark's writers
+    leave non-ASCII characters unescaped.
     """
+    if fmt == "jsonl":
+        col = F.to_json(item) if dict(df.dtypes).get(item) == "variant" else F.col(item)
+        df.select(col.alias("value")).write.mode(mode).text(path)
+        return
     out = df
     if fmt == "json":
         out = df.select(*[F.to_json(c).alias(c) if t == "variant" else F.col(c) for c, t in df.dtypes])
