@@ -8,7 +8,7 @@ Only the columns a view needs are read, so the Parquet scan prunes the rest.
 """
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 

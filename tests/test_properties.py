@@ -3,7 +3,6 @@ import json
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from sifter.functions import jsonx as J
 
