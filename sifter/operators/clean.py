@@ -7,6 +7,9 @@ projected once, so each ``output`` string is parsed once per row.
 """
 from __future__ import annotations
 
+import json
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,14 +34,48 @@ def _output_text(item: Column) -> Column:
     return F.when(J.is_kind(o, "string"), F.try_variant_get(o, "$", "string"))
 
 
-def classify(raw: DataFrame, item: str = "item", required: dict | None = None) -> DataFrame:
+_PY_KINDS = {"string": str, "array": list, "object": dict}
+
+
+def _doc_label_udf(required: dict):
+    """Arrow UDF: the output-document part of the label with Python's json
+    (duplicate keys: last wins; NaN/Infinity accepted)."""
+    kinds = {k: _PY_KINDS[v] for k, v in required.items()}
+
+    def one(text):
+        if text is None:
+            return None
+        try:
+            doc = json.loads(text)
+        except ValueError:
+            return "output_json_error"
+        if not isinstance(doc, dict):
+            return "output_json_error"
+        if not set(kinds).issubset(doc.keys()):
+            return "output_missing_keys"
+        if any(not isinstance(doc.get(k), t) for k, t in kinds.items()):
+            return "output_invalid_types"
+        return VALID
+
+    @F.pandas_udf("string")
+    def label(s: pd.Series) -> pd.Series:
+        return s.map(one)
+
+    return label
+
+
+def classify(raw: DataFrame, item: str = "item", required: dict | None = None, exact: bool = False) -> DataFrame:
     """Add ``label`` (C7) and ``doc`` (the parsed output document, VARIANT).
 
     ``raw`` holds one VARIANT per record in column ``item`` (S1/S2 output or an
     adapter). JSON null under a record key counts as present (presence test),
-    as in the contract; a missing key does not.
+    as in the contract; a missing key does not. ``exact=True`` judges the
+    output document with Python's ``json`` in an Arrow UDF (parity for
+    duplicate keys and NaN; ``doc`` is then NULL).
     """
     required = dict(REQUIRED_OUTPUT if required is None else required)
+    if exact:
+        return _classify_exact(raw, item, required)
     it = F.col(item)
     cols = raw.columns
     staged = raw.select(
@@ -82,6 +119,25 @@ def once(df: DataFrame) -> DataFrame:
     return df.select(F.inline(F.array(F.struct(*df.columns))))
 
 
+def _classify_exact(raw: DataFrame, item: str, required: dict) -> DataFrame:
+    it = F.col(item)
+    cols = raw.columns
+    staged = raw.select(
+        *cols,
+        J.is_kind(it, "object").alias("_is_obj"),
+        F.greatest(*[J.field(it, k).isNull() for k in RECORD_KEYS]).alias("_missing"),
+        _output_text(it).alias("_out"),
+    )
+    py = _doc_label_udf(required)
+    label = (
+        F.when(~F.col("_is_obj"), "invalid_item")
+        .when(F.col("_missing"), "missing_keys")
+        .when(F.col("_out").isNull() | J.is_blank("_out"), "output_json_error")
+        .otherwise(py(F.col("_out")))
+    )
+    return once(staged.select(*cols, F.lit(None).cast("variant").alias("doc"), label.alias("label")))
+
+
 def clean(classified: DataFrame) -> DataFrame:
     """Rows labelled valid, every original column kept."""
     return classified.filter(F.col("label") == VALID)

@@ -23,7 +23,7 @@ def read_records(spark: SparkSession, paths, partitions: int | None = None) -> D
     rows. Rows are spread over ``partitions`` tasks after the explode.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
-    raw = spark.read.text(paths, wholetext=True).select(F.input_file_name().alias("file"), "value")
+    raw = spark.read.text(paths, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
     arr = F.from_json(F.col("value"), "array<variant>")
     checked = raw.select(
         "file",
@@ -51,7 +51,7 @@ def read_records_lines(spark: SparkSession, paths, fmt: str = "json") -> DataFra
         if dict(df.dtypes).get("item") == "string":
             df = df.withColumn("item", F.try_parse_json("item"))
         if "file" not in df.columns:
-            df = df.withColumn("file", F.input_file_name())
+            df = df.withColumn("file", F.col("_metadata.file_path"))
         return df.select("file", F.col("pos").cast("bigint"), "item")
     # A split is read in line order by one task, and its start offset orders
     # splits inside a file: (file, split start, id inside the split) is the

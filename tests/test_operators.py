@@ -379,3 +379,18 @@ def test_generation_and_sample_jobs(spark):
     for r in b:
         widths.setdefault((r.split, r.batch_id), set()).add(r.width)
     assert all(len(v) == 1 for v in widths.values())
+
+
+def test_classify_exact_matches_python_on_traps(spark, scratch):
+    dup = '{"task_type": "t", "agents_config": [], "rl_parameters": {}, "task_type": "u"}'
+    nan = '{"task_type": "t", "agents_config": [], "rl_parameters": {"x": NaN}}'
+    items = [c[0] for c in CLEAN_CASES] + [rec(dup), rec(nan)]
+    path = os.path.join(scratch, "traps.json")
+    write_array(path, items)
+    raw = IO.read_records(spark, path)
+    exact = {r.pos: r.label for r in C.classify(raw, exact=True).collect()}
+    native = {r.pos: r.label for r in C.classify(raw).collect()}
+    n = len(CLEAN_CASES)
+    assert [exact[i] for i in range(n)] == [c[1] for c in CLEAN_CASES]
+    assert exact[n] == "valid" and exact[n + 1] == "valid"
+    assert native[n] == "output_json_error" and native[n + 1] == "output_json_error"
