@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import errors as E
+from .clean import once
 from .seq import running, seq_bucket
 
 # Loop constants of the generator (defaults of the parameters).
@@ -56,8 +57,8 @@ def request_actions(
     else skip.
     """
     e, b = F.col("error"), F.col("batch_size")
-    # classify the error text once, in its own projection, before the CASE
-    staged = log.select(
+    # classify the error text once, materialised before the CASE reads it
+    staged = once(log.select(
         "*",
         E.parse_retry_delay_seconds(e).alias("_delay"),
         E.is_model_unavailable(e).alias("_unavail"),
@@ -66,7 +67,7 @@ def request_actions(
         E.is_quota(e).alias("_quota"),
         E.is_retriable(e).alias("_retry"),
         shrunk_batch(b).alias("_smaller"),
-    )
+    ))
     delay, smaller = F.col("_delay"), F.col("_smaller")
     can_shrink = (b > 1) & (smaller < b)
     quota_wait = F.coalesce(delay, F.lit(BACKOFF_BASE_SECONDS).cast("bigint"))

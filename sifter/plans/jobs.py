@@ -19,7 +19,7 @@ def clean_job(raw: DataFrame, minify_output: bool = False, exact: bool = False,
     The classified rows are shared by the three outputs; callers writing all
     three should persist or checkpoint ``raw`` first so the input is read once.
     """
-    classified = C.classify(raw, required=required)
+    classified = C.classify(raw, required=required, exact=exact)
     kept = C.project_record(C.clean(classified).drop("label", "doc"), keep_item=True)
     if minify_output:
         kept = C.minify(kept, "output", exact=exact)
