@@ -394,3 +394,14 @@ def test_classify_exact_matches_python_on_traps(spark, scratch):
     assert [exact[i] for i in range(n)] == [c[1] for c in CLEAN_CASES]
     assert exact[n] == "valid" and exact[n + 1] == "valid"
     assert native[n] == "output_json_error" and native[n + 1] == "output_json_error"
+
+
+def test_tokenizer_hook_in_encode(spark):
+    def words(texts):
+        return [[len(w) for w in t.split()] for t in texts]
+
+    enc = S.tokenizer_udf(words)
+    df = spark.createDataFrame([(0, "aa bbb c", "dd e", None)], "pos bigint, prompt string, answer string, drop_reason string")
+    r = S.encode(df, encoder=enc, max_length=4).collect()[0]
+    assert r.input_ids == [3, 1, 2, 1] and r.labels == [-100, -100, 2, 1] and r.attention_mask == [1, 1, 1, 1]
+    assert (r.n_prompt, r.n_answer) == (3, 2)
