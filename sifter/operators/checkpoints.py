@@ -42,3 +42,14 @@ def finalize_dataset(seed: DataFrame, generated: DataFrame, target: int = TARGET
     """Seed rows plus the first ``target`` generated rows in ``pos`` order."""
     g = global_rank(generated, ["pos"], pos_bucket("pos"), name="_r").filter(F.col("_r") <= target).drop("_r")
     return checkpoint_rows(seed, g)
+
+
+def resume_from(spark, path: str, seed: DataFrame) -> DataFrame:
+    """Generated rows of the checkpoint table at ``path`` (Parquet); a missing
+    or unreadable checkpoint is ignored (no generated rows) (S6)."""
+    try:
+        ckpt = spark.read.parquet(path)
+        ckpt.schema  # noqa: B018 - resolve now, so a broken table is caught here
+    except Exception:  # noqa: BLE001 - unreadable checkpoint: start over
+        return seed.limit(0)
+    return resume_generated(ckpt, seed)

@@ -16,7 +16,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions import jsonx as J
 from ..functions.jsonx import ustrip
+from .clean import once
 from .rank import global_rank, pos_bucket
 
 # Defaults of the sample builder.
@@ -54,6 +56,51 @@ def normalize(df: DataFrame) -> DataFrame:
     return staged.withColumn("drop_reason", reason)
 
 
+def _falsy(v: Column) -> Column:
+    """Python falsiness of a JSON value: null or absent, "", 0, false, [] or {}."""
+    sv = F.schema_of_variant(v)
+    is_str, is_bool = sv == "STRING", sv == "BOOLEAN"
+    is_arr, is_obj = sv.startswith("ARRAY<"), sv.startswith("OBJECT<")
+    is_num = ~(is_str | is_bool | is_arr | is_obj | (sv == "VOID"))
+    empty = (
+        (is_str & (F.try_variant_get(v, "$", "string") == ""))
+        | (is_bool & ~F.try_variant_get(v, "$", "boolean"))
+        | (is_num & (F.try_variant_get(v, "$", "double") == 0))
+        | (is_arr & (F.size(F.try_variant_get(v, "$", "array<variant>")) == 0))
+        | (is_obj & (F.size(F.try_variant_get(v, "$", "map<string,variant>")) == 0))
+    )
+    return v.isNull() | (sv == "VOID") | F.coalesce(empty, F.lit(False))
+
+
+def records_from_items(raw: DataFrame, item: str = "item") -> DataFrame:
+    """Raw records (VARIANT items) -> stripped text columns + ``drop_reason``.
+
+    Non-object items are dropped (``invalid_item``); a null or absent output
+    drops the record (``output_missing``), a blank one too (``output_blank``);
+    falsy instruction/input values (null, "", 0, false, [], {}) become "".
+    Other non-string values become JSON text (the small-scale tool used
+    Python ``str()``).
+    """
+    it = F.col(item)
+
+    def text(v: Column) -> Column:
+        return F.when(J.is_kind(v, "string"), F.try_variant_get(v, "$", "string")).otherwise(F.to_json(v))
+
+    ins, inp, out = J.field(it, "instruction"), J.field(it, "input"), J.field(it, "output")
+    staged = once(
+        raw.select(
+            "pos",
+            J.is_kind(it, "object").alias("_obj"),
+            F.when(_falsy(ins), F.lit("")).otherwise(text(ins)).alias("instruction"),
+            F.when(_falsy(inp), F.lit("")).otherwise(text(inp)).alias("input"),
+            F.when(out.isNotNull() & ~J.is_kind(out, "null"), text(out)).alias("output"),
+        )
+    )
+    n = normalize(staged)
+    reason = F.when(~F.col("_obj"), F.lit("invalid_item")).otherwise(F.col("drop_reason"))
+    return n.withColumn("drop_reason", reason).drop("_obj")
+
+
 def _msg(role: str, content: Column) -> Column:
     return F.struct(F.lit(role).alias("role"), content.alias("content"))
 

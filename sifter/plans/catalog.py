@@ -427,3 +427,8 @@ def s2_read_lines(spark, sf):
     write_records(A.raw_records(spark, sf), land, "jsonl")
     raw = read_records_lines(spark, land)
     return C.classify(raw.select("pos", "item")).groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("t1_items_normalize")
+def t1_items_normalize(spark, sf):
+    return S.records_from_items(A.raw_records(spark, sf)).select("pos", "instruction", "input", "output", "drop_reason")

@@ -685,3 +685,38 @@ ORACLE["x3_stream_histories"] = ORACLE["h3_histories"]
 
 ORACLE["s1_read_array_files"] = ORACLE["x2_stream_report"]
 ORACLE["s2_read_lines"] = ORACLE["x2_stream_report"]
+
+
+def _falsy_sql(t: str, path: str) -> str:
+    v = f"(item ->> '{path}')"
+    return (
+        f"({t} IS NULL OR {t} = 'NULL' OR ({t} = 'VARCHAR' AND {v} = '') OR ({t} = 'BOOLEAN' AND {v} = 'false')"
+        f" OR ({t} IN ('BIGINT', 'UBIGINT', 'DOUBLE') AND TRY_CAST({v} AS DOUBLE) = 0)"
+        f" OR ({t} = 'ARRAY' AND json_array_length(item, '{path}') = 0)"
+        f" OR ({t} = 'OBJECT' AND len(json_keys(item, '{path}')) = 0))"
+    )
+
+
+def _text_sql(t: str, path: str) -> str:
+    return f"CASE WHEN {t} = 'VARCHAR' THEN item ->> '{path}' ELSE CAST(json_extract(item, '{path}') AS VARCHAR) END"
+
+
+ORACLE["t1_items_normalize"] = with_(RAW_RECORDS, f"""
+it AS (
+  SELECT pos, item, json_type(item) = 'OBJECT' AS obj, json_type(item, '$.instruction') AS ti,
+    json_type(item, '$.input') AS tn, json_type(item, '$.output') AS tout
+  FROM raw_records
+),
+txt AS (
+  SELECT pos, obj,
+    CASE WHEN {_falsy_sql('ti', '$.instruction')} THEN '' ELSE {_text_sql('ti', '$.instruction')} END AS instruction,
+    CASE WHEN {_falsy_sql('tn', '$.input')} THEN '' ELSE {_text_sql('tn', '$.input')} END AS input,
+    CASE WHEN tout IS NULL OR tout = 'NULL' THEN NULL ELSE {_text_sql('tout', '$.output')} END AS output
+  FROM it
+),
+stripped AS (
+  SELECT pos, obj, {ustrip_sql('instruction')} AS instruction, {ustrip_sql('input')} AS input, {ustrip_sql('output')} AS output FROM txt
+)""") + """
+SELECT pos, instruction, input, output,
+  CASE WHEN NOT obj THEN 'invalid_item' WHEN output IS NULL THEN 'output_missing' WHEN output = '' THEN 'output_blank' END AS drop_reason
+FROM stripped"""

@@ -405,3 +405,33 @@ def test_tokenizer_hook_in_encode(spark):
     r = S.encode(df, encoder=enc, max_length=4).collect()[0]
     assert r.input_ids == [3, 1, 2, 1] and r.labels == [-100, -100, 2, 1] and r.attention_mask == [1, 1, 1, 1]
     assert (r.n_prompt, r.n_answer) == (3, 2)
+
+
+def test_records_from_items_falsy_rules(spark, scratch):
+    items = [
+        {"instruction": 0, "input": False, "output": "  ok "},
+        {"instruction": [], "input": {}, "output": 0},
+        {"instruction": None, "input": "x", "output": None},
+        {"instruction": "i", "output": "o"},
+        {"instruction": {"a": 1}, "input": 5, "output": [1]},
+        {"instruction": "i", "input": "x", "output": "   "},
+        "not a record",
+    ]
+    path = os.path.join(scratch, "items.json")
+    write_array(path, items)
+    got = {r.pos: (r.instruction, r.input, r.output, r.drop_reason) for r in S.records_from_items(IO.read_records(spark, path)).collect()}
+    assert got[0] == ("", "", "ok", None)
+    assert got[1] == ("", "", "0", None)
+    assert got[2][3] == "output_missing"
+    assert got[3] == ("i", "", "o", None)
+    assert got[4] == ('{"a":1}', "5", "[1]", None)
+    assert got[5][3] == "output_blank"
+    assert got[6][3] == "invalid_item"
+
+
+def test_resume_from_path(spark, scratch):
+    seed = spark.createDataFrame([(0, "s")], "pos bigint, v string")
+    assert K.resume_from(spark, os.path.join(scratch, "missing"), seed).count() == 0
+    ck = os.path.join(scratch, "ck")
+    spark.createDataFrame([(0, "s"), (1, "g")], "pos bigint, v string").write.parquet(ck)
+    assert [tuple(r) for r in K.resume_from(spark, ck, seed).collect()] == [(0, "g")]
