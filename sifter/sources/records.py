@@ -98,13 +98,35 @@ def append_batch(base: DataFrame, batch: DataFrame) -> DataFrame:
     return base.unionByName(shifted, allowMissingColumns=True)
 
 
-def append_batch_to(spark: SparkSession, path: str, batch: DataFrame, on_corrupt: str = "fail") -> DataFrame:
-    """Read the dataset at ``path`` (Parquet), append ``batch``; returns the new table.
-
-    A missing target counts as empty. A corrupt target fails unless
-    ``on_corrupt='empty'`` (the small-scale tool silently started over, losing
-    the old rows; that behaviour is available but never the default).
+def append_batch_to(spark: SparkSession, path: str, batch: DataFrame, on_corrupt: str = "fail", fmt: str = "parquet") -> DataFrame:
+    """Read the dataset at ``path``, append ``batch``; returns the new table.
+
+    A missing target counts as empty. ``fmt="array"`` reads JSON-array files:
+    a target that is valid JSON but not a list always fails; a corrupt
+    (unparseable) target fails unless ``on_corrupt="empty"`` (the small-scale
+    tool silently started over, losing the old rows; available, never the
+    default). ``fmt="parquet"`` treats an unreadable table the same way.
     """
+    if fmt == "array":
+        try:
+            files = spark.read.text(path, wholetext=True)
+            files.schema  # noqa: B018 - resolve now: missing path -> empty
+        except Exception as exc:  # noqa: BLE001
+            if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc):
+                return append_batch(batch.limit(0), batch)
+            raise
+        arr = F.from_json(F.col("value"), "array<variant>")
+        # not a list: either valid JSON of another kind, or not JSON at all
+        bad = files.filter(arr.isNull()).select(F.get_json_object("value", "$").isNotNull().alias("json"))
+        kinds = {r["json"] for r in bad.distinct().collect()}  # at most two booleans
+        if True in kinds:
+            raise ValueError(f"Dataset file is not a JSON list: {path}")
+        if False in kinds and on_corrupt != "empty":
+            raise ValueError(f"Dataset file is not valid JSON: {path}")
+        if False in kinds:
+            return append_batch(batch.limit(0), batch)
+        base = read_records(spark, path).select(*[c for c in batch.columns if c in ("file", "pos", "item")])
+        return append_batch(base, batch)
     try:
         base = spark.read.parquet(path)
         base.schema  # noqa: B018 - force resolution

@@ -435,3 +435,23 @@ def test_resume_from_path(spark, scratch):
     ck = os.path.join(scratch, "ck")
     spark.createDataFrame([(0, "s"), (1, "g")], "pos bigint, v string").write.parquet(ck)
     assert [tuple(r) for r in K.resume_from(spark, ck, seed).collect()] == [(0, "g")]
+
+
+def test_append_to_array_file(spark, scratch):
+    batch = spark.createDataFrame([(0, '{"a": 1}')], "pos bigint, t string").select("pos", F.parse_json("t").alias("item"))
+    good = os.path.join(scratch, "good.json")
+    write_array(good, [{"x": 1}, 2])
+    assert sorted(r.pos for r in IO.append_batch_to(spark, good, batch, fmt="array").collect()) == [0, 1, 2]
+    obj = os.path.join(scratch, "obj.json")
+    with open(obj, "w") as f:
+        json.dump({"a": 1}, f)
+    for mode in ("fail", "empty"):
+        with pytest.raises(ValueError, match="not a JSON list"):
+            IO.append_batch_to(spark, obj, batch, on_corrupt=mode, fmt="array")
+    broken = os.path.join(scratch, "broken.json")
+    with open(broken, "w") as f:
+        f.write("[{\"a\": 1},")
+    with pytest.raises(ValueError, match="not valid JSON"):
+        IO.append_batch_to(spark, broken, batch, fmt="array")
+    assert IO.append_batch_to(spark, broken, batch, on_corrupt="empty", fmt="array").count() == 1
+    assert IO.append_batch_to(spark, os.path.join(scratch, "none.json"), batch, fmt="array").count() == 1
