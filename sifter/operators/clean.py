@@ -186,3 +186,19 @@ def validation_report(classified: DataFrame) -> DataFrame:
     rep = classified.agg(*aggs)
     ratio = F.when(F.col("total") > 0, F.round(F.col("valid") * 100.0 / F.col("total"), 2)).otherwise(F.lit(0.0))
     return rep.select("total", "valid", ratio.alias("valid_pct"), *ERROR_LABELS)
+
+
+def report_text(report: DataFrame, title: str = "Dataset Validation Report") -> DataFrame:
+    """The validation report as one text value (total, valid with its percent
+    to two decimals, then every class, zeros included) (A1)."""
+    rule = F.lit("=" * 40)
+    lines = [
+        rule,
+        F.lit(title),
+        rule,
+        F.format_string("Total:  %d", F.col("total")),
+        F.format_string("Valid:  %d (%.2f%%)", F.col("valid"), F.col("valid_pct")),
+        F.lit("-" * 40),
+        *[F.format_string(f"{name}: %d", F.col(name)) for name in ERROR_LABELS],
+    ]
+    return report.select(F.concat_ws("\n", *lines).alias("report"))

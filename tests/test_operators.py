@@ -455,3 +455,13 @@ def test_append_to_array_file(spark, scratch):
         IO.append_batch_to(spark, broken, batch, fmt="array")
     assert IO.append_batch_to(spark, broken, batch, on_corrupt="empty", fmt="array").count() == 1
     assert IO.append_batch_to(spark, os.path.join(scratch, "none.json"), batch, fmt="array").count() == 1
+
+
+def test_report_text(spark, scratch):
+    path = os.path.join(scratch, "r.json")
+    write_array(path, [c[0] for c in CLEAN_CASES])
+    text = C.report_text(C.validation_report(C.classify(IO.read_records(spark, path)))).first()["report"]
+    lines = text.split("\n")
+    assert lines[3] == f"Total:  {len(CLEAN_CASES)}"
+    assert lines[4] == f"Valid:  3 ({3 / len(CLEAN_CASES) * 100:.2f}%)"
+    assert lines[6:] == ["invalid_item: 4", "missing_keys: 1", "output_json_error: 9", "output_missing_keys: 1", "output_invalid_types: 4"]
