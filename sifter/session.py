@@ -39,15 +39,22 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     Uses ``spark.checkpoint.dir`` (or a directory already set on the context).
     Only when nothing is set (local tests) is a scratch folder created.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: no context, use the conf only
+        sc = None
+    current = sc.getCheckpointDir() if sc is not None and hasattr(sc, "getCheckpointDir") else None
     if current:
         return current
     conf = spark.conf.get("spark.checkpoint.dir", None)
     if not conf:
         conf = fallback or tempfile.mkdtemp(prefix="sifter-ckpt-", dir="/tmp")
-    sc.setCheckpointDir(conf)
-    return sc.getCheckpointDir() or conf
+        if sc is None:
+            spark.conf.set("spark.checkpoint.dir", conf)
+    if sc is not None:
+        sc.setCheckpointDir(conf)
+        return sc.getCheckpointDir() or conf
+    return conf
 
 
 def checkpoint_dir(spark: SparkSession) -> str:

@@ -19,10 +19,12 @@ def spread(df: DataFrame) -> DataFrame:
     per-row parsing would run on one core. Large inputs already scan as many
     splits; for them this is a no-op (checked on the plan, no job runs).
     """
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < slots:
-        return df.repartition(slots)
-    return df
+    try:
+        slots = df.sparkSession.sparkContext.defaultParallelism
+        parts = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session: leave the plan as is
+        return df
+    return df.repartition(slots) if parts < slots else df
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None) -> DataFrame:
