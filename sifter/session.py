@@ -50,7 +50,10 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     if not conf:
         conf = fallback or tempfile.mkdtemp(prefix="sifter-ckpt-", dir="/tmp")
         if sc is None:
-            spark.conf.set("spark.checkpoint.dir", conf)
+            try:
+                spark.conf.set("spark.checkpoint.dir", conf)
+            except Exception:  # noqa: BLE001 - static conf on some sessions
+                pass
     if sc is not None:
         sc.setCheckpointDir(conf)
         return sc.getCheckpointDir() or conf
