@@ -16,7 +16,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
-from ..functions.jsonx import ustrip
 from ..operators import clean as C
 from ..operators.chat import EXIT_COMMANDS, RESET_COMMAND
 from ..session import checkpoint_dir
@@ -114,7 +113,7 @@ def stream_histories(stream: DataFrame) -> DataFrame:
     bring a conversation's lines in order. State per conversation is the
     current episode only (``/reset`` clears it), so it stays as small as the
     chat itself. Whitespace handling uses Python ``str.strip``, the same set
-    as :func:`sifter.functions.jsonx.ustrip`.
+    as ``sifter.functions.jsonx.ustrip``.
     """
     return stream.groupBy("conv_id").applyInPandasWithState(
         _history_step, HISTORY_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout
@@ -193,4 +192,4 @@ def run_to_table(spark: SparkSession, streaming: DataFrame, name: str, mode: str
     return spark.read.parquet(path)
 
 
-__all__ = ["stream_clean", "stream_report", "stream_histories", "stream_history_digest", "run_to_table", "stream_location", "ustrip"]
+__all__ = ["stream_clean", "stream_report", "stream_histories", "stream_history_digest", "run_to_table", "stream_location"]
