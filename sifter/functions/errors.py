@@ -66,24 +66,34 @@ def _num(s: Column) -> Column:
     return F.nullif(s, F.lit("")).try_cast("double")
 
 
-def parse_duration_seconds(c) -> Column:
-    """``1.5s`` -> 2, ``1h2m3s`` -> 3723; blank, no match or total <= 0 -> NULL.
+def _let(value: Column, fn) -> Column:
+    """``fn(value)`` with ``value`` evaluated once (bound as a lambda variable),
+    however often ``fn`` refers to it."""
+    return F.element_at(F.transform(F.array(value), fn), 1)
 
-    A plain seconds value is taken as is, so ``0s`` gives 0 while ``0h`` gives
-    NULL (R6).
-    """
-    t = ustrip(_c(c))
+
+def _duration(t: Column) -> Column:
     h = _num(F.regexp_extract(t, HMS, 1))
     m = _num(F.regexp_extract(t, HMS, 2))
     s = _num(F.regexp_extract(t, HMS, 3))
     total = F.coalesce(h * 3600, F.lit(0.0)) + F.coalesce(m * 60, F.lit(0.0)) + F.coalesce(s, F.lit(0.0))
+    by_parts = _let(total, lambda x: F.when(x > 0, F.ceil(x).cast("bigint")))
     return (
         F.when(t == "", F.lit(None).cast("bigint"))
         .when(t.rlike(SECONDS_ONLY), F.ceil(_num(F.regexp_extract(t, SECONDS_ONLY, 1))).cast("bigint"))
-        .when(t.rlike(HMS) & (total > 0), F.ceil(total).cast("bigint"))
+        .when(t.rlike(HMS), by_parts)
     )
 
 
+def parse_duration_seconds(c) -> Column:
+    """``1.5s`` -> 2, ``1h2m3s`` -> 3723; blank, no match or total <= 0 -> NULL.
+
+    A plain seconds value is taken as is, so ``0s`` gives 0 while ``0h`` gives
+    NULL (R6).
+    """
+    return _let(ustrip(_c(c)), _duration)
+
+
 def parse_retry_delay_seconds(c) -> Column:
     """First duration under retryDelay / quotaResetDelay / reset_time / resetTime
     that parses, else the integer under reset_seconds, else NULL (R7)."""
