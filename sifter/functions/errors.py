@@ -6,7 +6,7 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .jsonx import _c, ustrip
+from .jsonx import _c, let, ustrip
 
 # Lower-case markers searched in error texts, per error class.
 RETRIABLE_MARKERS = (
@@ -66,18 +66,12 @@ def _num(s: Column) -> Column:
     return F.nullif(s, F.lit("")).try_cast("double")
 
 
-def _let(value: Column, fn) -> Column:
-    """``fn(value)`` with ``value`` evaluated once (bound as a lambda variable),
-    however often ``fn`` refers to it."""
-    return F.element_at(F.transform(F.array(value), fn), 1)
-
-
 def _duration(t: Column) -> Column:
     h = _num(F.regexp_extract(t, HMS, 1))
     m = _num(F.regexp_extract(t, HMS, 2))
     s = _num(F.regexp_extract(t, HMS, 3))
     total = F.coalesce(h * 3600, F.lit(0.0)) + F.coalesce(m * 60, F.lit(0.0)) + F.coalesce(s, F.lit(0.0))
-    by_parts = _let(total, lambda x: F.when(x > 0, F.ceil(x).cast("bigint")))
+    by_parts = let(total, lambda x: F.when(x > 0, F.ceil(x).cast("bigint")))
     return (
         F.when(t == "", F.lit(None).cast("bigint"))
         .when(t.rlike(SECONDS_ONLY), F.ceil(_num(F.regexp_extract(t, SECONDS_ONLY, 1))).cast("bigint"))
@@ -91,7 +85,7 @@ def parse_duration_seconds(c) -> Column:
     A plain seconds value is taken as is, so ``0s`` gives 0 while ``0h`` gives
     NULL (R6).
     """
-    return _let(ustrip(_c(c)), _duration)
+    return let(ustrip(_c(c)), _duration)
 
 
 def parse_retry_delay_seconds(c) -> Column:

@@ -34,6 +34,14 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value: Column, fn) -> Column:
+    """``fn(value)`` with ``value`` evaluated once per row (bound as the
+    variable of a one-element higher-order function), however often ``fn``
+    refers to it. Spark shares repeated subexpressions only outside
+    conditional branches; this keeps expensive text work single."""
+    return F.element_at(F.transform(F.array(value), fn), 1)
+
+
 def ustrip(c) -> Column:
     """Python ``str.strip()`` over the full Unicode whitespace set."""
     return F.regexp_replace(_c(c), STRIP_PATTERN, "")
@@ -55,8 +63,8 @@ def strict_json(c) -> Column:
     t = _c(c)
     arr = F.try_parse_json(F.concat(F.lit("["), t, F.lit("]")))
     obj = F.try_parse_json(F.concat(F.lit('{"v":'), t, F.lit("}")))
-    # each wrapper appears once in the tree; the object is parsed only when the
-    # array parse succeeded
+    # the object wrapper is parsed only when the array parse succeeded; pass a
+    # column or a bound variable (see ``let``), not a long computed expression
     return F.when(arr.isNotNull(), F.try_variant_get(obj, "$.v", "variant"))
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .jsonx import _c, strict_json, ustrip
+from .jsonx import _c, let, strict_json, ustrip
 
 # Fence and JSON-span patterns of the response parser.
 FENCE_OPEN = "^```[a-zA-Z]*\\n?"
@@ -13,12 +13,22 @@ ARRAY_SPAN = "\\[[\\s\\S]*\\]"
 OBJECT_SPAN = "\\{[\\s\\S]*\\}"
 
 
+def _strip_fence(s: Column) -> Column:
+    inner = ustrip(F.regexp_replace(F.regexp_replace(s, FENCE_OPEN, ""), FENCE_CLOSE, ""))
+    return F.when(s.startswith("```"), inner).otherwise(s)
+
+
 def strip_fence(c) -> Column:
     """Trim; if the text starts with a code fence, drop the opening fence (with
     its language tag and one newline) and the closing fence; trim again (G2)."""
-    s = ustrip(_c(c))
-    inner = ustrip(F.regexp_replace(F.regexp_replace(s, FENCE_OPEN, ""), FENCE_CLOSE, ""))
-    return F.when(s.startswith("```"), inner).otherwise(s)
+    return let(ustrip(_c(c)), _strip_fence)
+
+
+def _span(s: Column) -> Column:
+    return (
+        F.when(s.rlike(ARRAY_SPAN), F.regexp_extract(s, ARRAY_SPAN, 0))
+        .when(s.rlike(OBJECT_SPAN), F.regexp_extract(s, OBJECT_SPAN, 0))
+    )
 
 
 def extract_json_text(c) -> Column:
@@ -27,14 +37,9 @@ def extract_json_text(c) -> Column:
     The whole de-fenced text when it parses; else the widest ``[...]`` span
     (first ``[`` to last ``]``); else the widest ``{...}`` span; else the text.
     Arrays are tried first, so prose around ``{"a":[1]}`` yields ``[1]``.
+    The de-fenced text is computed once per row (``let``).
     """
-    s = strip_fence(c)
-    return (
-        F.when(strict_json(s).isNotNull(), s)
-        .when(s.rlike(ARRAY_SPAN), F.regexp_extract(s, ARRAY_SPAN, 0))
-        .when(s.rlike(OBJECT_SPAN), F.regexp_extract(s, OBJECT_SPAN, 0))
-        .otherwise(s)
-    )
+    return let(strip_fence(c), lambda s: F.when(strict_json(s).isNotNull(), s).otherwise(F.coalesce(_span(s), s)))
 
 
 def parse_json_text(c) -> Column:
@@ -42,10 +47,4 @@ def parse_json_text(c) -> Column:
     parses, else the array span, else the object span (the value of
     ``strict_json(extract_json_text(c))``, parsing each candidate at most once).
     """
-    s = strip_fence(c)
-    whole = strict_json(s)
-    span = (
-        F.when(s.rlike(ARRAY_SPAN), F.regexp_extract(s, ARRAY_SPAN, 0))
-        .when(s.rlike(OBJECT_SPAN), F.regexp_extract(s, OBJECT_SPAN, 0))
-    )
-    return F.coalesce(whole, strict_json(span))
+    return let(strip_fence(c), lambda s: F.coalesce(strict_json(s), let(_span(s), strict_json)))
