@@ -124,3 +124,9 @@ def test_code_points(spark):
     texts = ["aé中", "x"]
     assert one_col(spark, texts, code_points) == [[ord(c) for c in t] for t in texts]
     assert math.isclose(1.0, 1.0)
+
+
+def test_let_evaluates_once(spark):
+    df = spark.range(200)
+    bound = df.select(J.let(F.rand(7), lambda x: x - x).alias("d")).agg(F.max(F.abs("d"))).first()[0]
+    assert bound == 0.0
