@@ -1,6 +1,5 @@
 """Scalar functions against Python's own behaviour (FIXTURES.md §4)."""
 import json
-import math
 
 import pytest
 from pyspark.sql import functions as F
@@ -123,7 +122,6 @@ def test_code_points(spark):
 
     texts = ["aé中", "x"]
     assert one_col(spark, texts, code_points) == [[ord(c) for c in t] for t in texts]
-    assert math.isclose(1.0, 1.0)
 
 
 def test_let_evaluates_once(spark):
