@@ -465,3 +465,28 @@ def test_report_text(spark, scratch):
     assert lines[3] == f"Total:  {len(CLEAN_CASES)}"
     assert lines[4] == f"Valid:  3 ({3 / len(CLEAN_CASES) * 100:.2f}%)"
     assert lines[6:] == ["invalid_item: 4", "missing_keys: 1", "output_json_error: 9", "output_missing_keys: 1", "output_invalid_types: 4"]
+
+
+def test_sample_properties_on_real_transcripts(spark):
+    from sifter.sources import adapters as A
+
+    from .conftest import SF001
+
+    samples, drops = S.build_samples(A.sft_records(spark, SF001), max_length=256)
+    rows = samples.collect()
+    assert rows
+    for r in rows:
+        assert len(r.input_ids) == len(r.labels) == len(r.attention_mask) == r.n_tokens <= 256
+        assert any(x != -100 for x in r.labels)
+        k = next(i for i, x in enumerate(r.labels) if x != -100)
+        assert all(x == -100 for x in r.labels[:k]) and r.labels[k:] == r.input_ids[k:]
+
+
+@pytest.mark.parametrize("parts", [1, 4, 32])
+def test_batches_and_finalize_independent_of_partitioning(spark, parts):
+    df = spark.range(0, 3000, 3).withColumnRenamed("id", "pos").withColumn("v", F.col("pos") * 2).repartition(parts)
+    got = sorted((r.pos, r.batch_id) for r in S.assign_batches(df, 7).collect())
+    assert got == [(p, i // 7) for i, p in enumerate(range(0, 3000, 3))]
+    seed = spark.createDataFrame([(0, -1)], "pos bigint, v bigint")
+    fin = K.finalize_dataset(seed, df, 10).collect()
+    assert sorted(r.v for r in fin if r.source == "generated") == [p * 2 for p in range(0, 30, 3)]
