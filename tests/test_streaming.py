@@ -94,3 +94,24 @@ def test_stage_uses_the_session_checkpoint_dir(spark):
     df = stage(spark.range(3), "probe")
     files = df.inputFiles()
     assert files and all(checkpoint_dir(spark).rstrip("/").split(":")[-1] in f for f in files)
+
+
+def test_stream_history_digest_on_rocksdb_state(spark, scratch):
+    key = "spark.sql.streaming.stateStore.providerClass"
+    old = spark.conf.get(key, None)
+    spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        land = os.path.join(scratch, "land")
+        t = A.transcript(spark, SF001)
+        for lo in range(0, 10, 4):
+            t.filter((F.col("turn") >= lo) & (F.col("turn") < lo + 4)).coalesce(1).write.mode("append").parquet(land)
+        stream = spark.readStream.schema("conv_id long, turn long, role string, text string").option("maxFilesPerTrigger", 1).parquet(land)
+        got = X.run_to_table(spark, X.stream_history_digest(stream), "t-rocks")
+        cols = ["conv_id", "turn", "episode", "n_messages", "history_fp"]
+        exp = H.history_digest(t).select(*cols)
+        assert sorted(map(tuple, got.select(*cols).collect())) == sorted(map(tuple, exp.collect()))
+    finally:
+        if old is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, old)
