@@ -490,3 +490,26 @@ def test_batches_and_finalize_independent_of_partitioning(spark, parts):
     seed = spark.createDataFrame([(0, -1)], "pos bigint, v bigint")
     fin = K.finalize_dataset(seed, df, 10).collect()
     assert sorted(r.v for r in fin if r.source == "generated") == [p * 2 for p in range(0, 30, 3)]
+
+
+def test_json_lines_positions_across_many_splits(spark, scratch):
+    key = "spark.sql.files.maxPartitionBytes"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "2048")  # cut each file into many splits
+    try:
+        paths = []
+        for f in range(2):
+            p = os.path.join(scratch, f"part{f}.jsonl")
+            with open(p, "w", encoding="utf-8") as fh:
+                for i in range(400):
+                    fh.write(json.dumps({"instruction": "i", "input": f"{f}:{i}", "output": D}, ensure_ascii=False) + "\n")
+            paths.append(p)
+        assert spark.read.text(paths).rdd.getNumPartitions() > 10  # many splits per file
+        df = IO.read_records_lines(spark, paths)
+        rows = df.select("file", "pos", F.try_variant_get("item", "$.input", "string").alias("inp")).collect()
+        for r in rows:
+            f, i = r.inp.split(":")
+            assert r.file.endswith(f"part{f}.jsonl") and r.pos == int(i)
+        assert len(rows) == 800
+    finally:
+        spark.conf.set(key, old)
