@@ -49,7 +49,7 @@ def read_records_lines(spark: SparkSession, paths, fmt: str = "json") -> DataFra
     if fmt == "parquet":
         df = spark.read.parquet(*paths)
         if dict(df.dtypes).get("item") == "string":
-            df = df.withColumn("item", F.try_parse_json("item"))
+            df = df.withColumn("item", J.strict_json(F.col("item")))
         if "file" not in df.columns:
             df = df.withColumn("file", F.col("_metadata.file_path"))
         return df.select("file", F.col("pos").cast("bigint"), "item")

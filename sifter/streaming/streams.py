@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
+from ..functions.jsonx import strict_json
 from ..operators import clean as C
 from ..operators.chat import EXIT_COMMANDS, RESET_COMMAND
 from ..session import checkpoint_dir
@@ -42,7 +43,7 @@ def stream_clean(stream: DataFrame, out: str, ckpt: str, trigger: dict | None =
     ``out/reports``. ``stream`` has ``pos`` and ``item`` (VARIANT or JSON text).
     Returns the started query."""
     if dict(stream.dtypes).get("item") == "string":
-        stream = stream.withColumn("item", F.try_parse_json("item"))
+        stream = stream.withColumn("item", strict_json(F.col("item")))
 
     def per_batch(df: DataFrame, batch_id: int) -> None:
         # three sinks read the same labels: classify the micro-batch once
@@ -65,7 +66,7 @@ def stream_report(stream: DataFrame):
     """Running label counts over a record stream (X2): a streaming aggregate
     (state holds one count per label), to be written in ``complete`` mode."""
     if dict(stream.dtypes).get("item") == "string":
-        stream = stream.withColumn("item", F.try_parse_json("item"))
+        stream = stream.withColumn("item", strict_json(F.col("item")))
     return C.classify(stream.select("pos", "item")).groupBy("label").agg(F.count(F.lit(1)).alias("n"))
 
 
