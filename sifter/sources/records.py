@@ -14,17 +14,35 @@ from ..functions import jsonx as J
 from ..operators.rank import global_rank
 
 
+def strict_array(text) -> "F.Column":
+    """Elements of a text that is exactly one JSON array, else NULL.
+
+    ``from_json(t, 'array<variant>')`` ignores text after the array (``[1] x``
+    parses). The text must also parse inside ``[...]`` and as the value of
+    ``{"v": ...}``: a tail can end one wrapper early, never both (the same
+    argument as :func:`sifter.functions.jsonx.strict_json`). ``from_json``
+    has no size cap, unlike a single VARIANT value.
+    """
+    t = F.col(text) if isinstance(text, str) else text
+    outer = F.from_json(F.concat(F.lit("["), t, F.lit("]")), "array<array<variant>>")
+    inner = F.from_json(F.concat(F.lit('{"v":'), t, F.lit("}")), "struct<v:array<variant>>")
+    return F.when(outer.isNotNull(), inner["v"])
+
+
 def read_records(spark: SparkSession, paths, partitions: int | None = None) -> DataFrame:
     """JSON-array files -> (file, pos, item).
 
-    Each file is one task (an array is not splittable), parsed with
-    ``from_json(..., 'array<variant>')`` which keeps scalars, nulls and order.
-    A file whose top level is not an array fails the job, never yields zero
-    rows. Rows are spread over ``partitions`` tasks after the explode.
+    Each file is one task (an array is not splittable), parsed strictly with
+    :func:`strict_array`, which keeps scalars, nulls and order.
+    A file that is not exactly one JSON array (another value, broken JSON,
+    text after the array) fails the job, never yields zero rows. A file of
+    zero bytes produces no input row in Spark's whole-text reader and so
+    contributes no records (Python's ``json.load`` would raise). Rows are
+    spread over ``partitions`` tasks after the explode.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     raw = spark.read.text(paths, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
-    arr = F.from_json(F.col("value"), "array<variant>")
+    arr = strict_array("value")
     checked = raw.select(
         "file",
         F.when(arr.isNull(), F.raise_error(F.concat(F.lit("Dataset file must be a JSON list: "), F.col("file"))))
@@ -115,9 +133,9 @@ def append_batch_to(spark: SparkSession, path: str, batch: DataFrame, on_corrupt
             if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc):
                 return append_batch(batch.limit(0), batch)
             raise
-        arr = F.from_json(F.col("value"), "array<variant>")
+        arr = strict_array("value")
         # not a list: either valid JSON of another kind, or not JSON at all
-        bad = files.filter(arr.isNull()).select(F.get_json_object("value", "$").isNotNull().alias("json"))
+        bad = files.filter(arr.isNull()).select(J.strict_json(F.col("value")).isNotNull().alias("json"))
         kinds = {r["json"] for r in bad.distinct().collect()}  # at most two booleans
         if True in kinds:
             raise ValueError(f"Dataset file is not a JSON list: {path}")

@@ -513,3 +513,20 @@ def test_json_lines_positions_across_many_splits(spark, scratch):
         assert len(rows) == 800
     finally:
         spark.conf.set(key, old)
+
+
+@pytest.mark.parametrize("text", ["[1,2] x", "[1,2]]", "[1,2] [3]", "[1,", " "])
+def test_array_files_must_be_exactly_one_array(spark, scratch, text):
+    path = os.path.join(scratch, "bad.json")
+    with open(path, "w") as f:
+        f.write(text)
+    with pytest.raises(Exception, match="JSON list"):
+        IO.read_records(spark, path).collect()
+
+
+def test_array_file_with_whitespace_and_scalars(spark, scratch):
+    path = os.path.join(scratch, "ok.json")
+    with open(path, "w") as f:
+        f.write(' \n [1, "a", null, {"x": [2]}] \n')
+    got = sorted((r.pos, r.k) for r in IO.read_records(spark, path).select("pos", C.J.json_kind(F.col("item")).alias("k")).collect())
+    assert got == [(0, "number"), (1, "string"), (2, "null"), (3, "object")]
