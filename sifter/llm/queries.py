@@ -46,3 +46,10 @@ def op9_hash_tree_sharding(spark, sf):
 
     placed = shard_documents(table(spark, sf, "documents"))
     return placed.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard", "region", "rack")
+
+
+@query("op6_simhash_near_dedup")
+def op6_simhash_near_dedup(spark, sf):
+    from .simhash import near_groups
+
+    return near_groups(table(spark, sf, "documents"))
