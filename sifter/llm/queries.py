@@ -53,3 +53,10 @@ def op6_simhash_near_dedup(spark, sf):
     from .simhash import near_groups
 
     return near_groups(table(spark, sf, "documents"))
+
+
+@query("op5_toxicity_ftrl")
+def op5_toxicity_ftrl(spark, sf):
+    from .toxicity import toxicity_scores
+
+    return toxicity_scores(table(spark, sf, "documents"), table(spark, sf, "labels"))
