@@ -60,3 +60,10 @@ def op5_toxicity_ftrl(spark, sf):
     from .toxicity import toxicity_scores
 
     return toxicity_scores(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+@query("op4_nnls_packing")
+def op4_nnls_packing(spark, sf):
+    from .packing import pack
+
+    return pack(table(spark, sf, "documents"))
