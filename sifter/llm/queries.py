@@ -67,3 +67,12 @@ def op4_nnls_packing(spark, sf):
     from .packing import pack
 
     return pack(table(spark, sf, "documents"))
+
+
+@query("op1_multi_index_search")
+def op1_multi_index_search(spark, sf):
+    from pyspark.sql import functions as F
+
+    from .multi_index import search
+
+    return search(table(spark, sf, "embeddings"), F.col("vec_id") % 20 == 0)
