@@ -76,3 +76,44 @@ def op1_multi_index_search(spark, sf):
     from .multi_index import search
 
     return search(table(spark, sf, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+_MIX_SQL = """
+WITH d AS (
+  SELECT doc_id, 'd' || (coalesce(try_cast(regexp_extract(source, '([0-9]{1,9})$', 1) AS INT) % 4, 0))::VARCHAR AS domain,
+         coalesce(lang, '(none)') AS lang, coalesce(source, '(none)') AS source,
+         len(regexp_extract_all(coalesce(text, ''), '[^ \\t\\n\\x0B\\f\\r]+'))::BIGINT AS tokens
+  FROM documents),
+n AS (SELECT * FROM d WHERE tokens > 0),
+leaf AS (SELECT domain, lang, source, sum(tokens)::BIGINT AS tokens, (4 * sum(tokens))::BIGINT AS cap FROM n GROUP BY ALL),
+l1 AS (SELECT domain, sum(cap)::HUGEINT AS cap, (SELECT floor(sum(tokens) * 0.5)::HUGEINT FROM n) AS budget,
+       CASE domain WHEN 'd0' THEN 4 WHEN 'd1' THEN 3 WHEN 'd2' THEN 2 ELSE 1 END::HUGEINT AS w FROM leaf GROUP BY ALL),
+f1 AS (SELECT *, sum(cap) OVER u * w + cap * (sum(w) OVER () - sum(w) OVER u) <= budget * w AS full_
+       FROM l1 WINDOW u AS (ORDER BY cap / w::DOUBLE, domain ROWS UNBOUNDED PRECEDING)),
+s1 AS (SELECT domain, CASE WHEN full_ THEN cap ELSE ((budget - sum(CASE WHEN full_ THEN cap ELSE 0 END) OVER ()) * w)
+       // sum(CASE WHEN full_ THEN 0 ELSE w END) OVER () END::HUGEINT AS budget FROM f1),
+l2 AS (SELECT domain, lang, sum(cap)::HUGEINT AS cap, any_value(budget) AS budget,
+       CASE lang WHEN 'en' THEN 5 WHEN 'de' THEN 2 WHEN 'fr' THEN 2 ELSE 1 END::HUGEINT AS w FROM leaf JOIN s1 USING (domain) GROUP BY domain, lang),
+f2 AS (SELECT *, sum(cap) OVER u * w + cap * (sum(w) OVER (PARTITION BY domain) - sum(w) OVER u) <= budget * w AS full_
+       FROM l2 WINDOW u AS (PARTITION BY domain ORDER BY cap / w::DOUBLE, lang ROWS UNBOUNDED PRECEDING)),
+s2 AS (SELECT domain, lang, CASE WHEN full_ THEN cap ELSE ((budget - sum(CASE WHEN full_ THEN cap ELSE 0 END) OVER p) * w)
+       // sum(CASE WHEN full_ THEN 0 ELSE w END) OVER p END::HUGEINT AS budget FROM f2 WINDOW p AS (PARTITION BY domain)),
+f3 AS (SELECT *, sum(cap) OVER u + cap * (count(*) OVER (PARTITION BY domain, lang) - count(*) OVER u) <= budget AS full_
+       FROM leaf JOIN s2 USING (domain, lang) WINDOW u AS (PARTITION BY domain, lang ORDER BY cap::DOUBLE, source ROWS UNBOUNDED PRECEDING)),
+s3 AS (SELECT domain, lang, source, tokens, CASE WHEN full_ THEN cap ELSE (budget - sum(CASE WHEN full_ THEN cap ELSE 0 END) OVER p)
+       // sum(CASE WHEN full_ THEN 0 ELSE 1 END) OVER p END::BIGINT AS budget FROM f3 WINDOW p AS (PARTITION BY domain, lang)),
+b AS (SELECT domain, lang, source, budget // tokens AS epochs, budget % tokens AS rest FROM s3),
+o AS (SELECT n.*, epochs, rest, coalesce(sum(tokens) OVER (PARTITION BY domain, lang, source
+        ORDER BY md5('42:' || epochs::VARCHAR || ':' || doc_id::VARCHAR), doc_id, tokens ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before_
+      FROM n JOIN b USING (domain, lang, source)),
+m AS (SELECT *, greatest(0, least(tokens, rest - before_)) AS more FROM o),
+e AS (SELECT *, unnest(range(0, (epochs + CASE WHEN more > 0 THEN 1 ELSE 0 END)::BIGINT)) AS epoch FROM m)
+SELECT doc_id, domain, lang, source, epoch, tokens, CASE WHEN epoch < epochs THEN tokens ELSE more END::BIGINT AS take_tokens FROM e
+"""
+
+
+@query("op3_hierarchical_mixing", _MIX_SQL)
+def op3_hierarchical_mixing(spark, sf):
+    from .mixing import mix
+
+    return mix(table(spark, sf, "documents"))
