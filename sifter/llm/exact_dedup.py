@@ -75,8 +75,8 @@ def dedup_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     )
 
 
-def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", normalise=_identity) -> DataFrame:
-    """``docs`` without the rows that ``dedup_report`` does not keep.
+def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", normalise=_identity, keep=F.max) -> DataFrame:
+    """``docs`` with one row of each text: the one that ``dedup_report`` keeps (``keep=F.min``: the smallest id).
 
     Texts that surely have no copy pass straight through; only candidate rows
     are moved to meet their group's decision. Extra columns are carried.
@@ -85,6 +85,6 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     alone = found.filter(F.col("_hash").isNull()).select(*docs.columns)
     maybe = found.filter(F.col("_hash").isNotNull())
     narrow = stage(maybe.select(F.col(id_col).alias("_id"), "_hash"), "exact")
-    keep = narrow.groupBy(F.col("_hash").alias("_h")).agg(F.max("_id").alias("_keep"))
-    j = maybe.join(keep, (F.col("_hash") == F.col("_h")) & F.col(id_col).eqNullSafe(F.col("_keep")))
+    stays = narrow.groupBy(F.col("_hash").alias("_h")).agg(keep("_id").alias("_keep"))
+    j = maybe.join(stays, (F.col("_hash") == F.col("_h")) & F.col(id_col).eqNullSafe(F.col("_keep")))
     return alone.unionByName(j.dropDuplicates(["_h"]).select(*docs.columns))

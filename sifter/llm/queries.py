@@ -117,3 +117,10 @@ def op3_hierarchical_mixing(spark, sf):
     from .mixing import mix
 
     return mix(table(spark, sf, "documents"))
+
+
+@query("op7_suffix_index_dedup")
+def op7_suffix_index_dedup(spark, sf):
+    from .suffix_index import repeat_report
+
+    return repeat_report(table(spark, sf, "documents"))
