@@ -3,10 +3,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..plans.jobs import stage
 
-__all__ = ["stage", "table", "text_or_empty", "slot_filter", "with_slot_flag", "SLOT_BITS"]
+__all__ = ["stage", "table", "text_or_empty", "slot_filter", "with_slot_flag", "with_fields", "SLOT_BITS"]
 
 # Size of a slot filter: 2^22 bits = 128 rows of 4 KB, whatever the input size.
 SLOT_BITS = 22
@@ -49,3 +50,8 @@ def with_slot_flag(df: DataFrame, slot: Column, bitmap: DataFrame, name: str) ->
     byte = F.conv(F.hex(F.substring(F.col(f"_m_{name}"), (pos / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
     bit = F.coalesce(F.getbit(byte.cast("bigint"), (pos % 8).cast("int")) == 1, F.lit(False))
     return j.withColumn(name, bit).drop(f"_b_{name}", f"_m_{name}", f"_s_{name}")
+
+
+def with_fields(df: DataFrame, **types: T.DataType) -> T.StructType:
+    """The schema of ``df`` with more fields at its end."""
+    return T.StructType([*df.schema.fields, *[T.StructField(name, kind) for name, kind in types.items()]])

@@ -24,8 +24,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import stage, text_or_empty
+from .common import stage, text_or_empty, with_fields
 from .sharding import number_within
 
 WINDOW = 1024
@@ -212,8 +213,9 @@ def assign(pieces: DataFrame, window: int = WINDOW) -> DataFrame:
         histogram[r["length"]] = r["n"]
     plan = make_plan(histogram, window)
     ranked = number_within(pieces, "length", ["doc_id", "start", "ids_crc32"], name="_rank")
-    schema = pieces.schema.add("sequence_id", "bigint").add("offset", "bigint")
-    place, last = pieces.columns.index("length"), len(pieces.columns)
+    schema = with_fields(pieces, sequence_id=T.LongType(), offset=T.LongType())
+    names = [f.name for f in schema]
+    place, last = names.index("length"), len(names) - 2
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -222,7 +224,7 @@ def assign(pieces: DataFrame, window: int = WINDOW) -> DataFrame:
             at = np.searchsorted(plan.key, (length << 40) | rank, "right") - 1
             j = rank - (plan.key[at] & ((1 << 40) - 1)) if len(at) else rank
             seq, off = plan.base[at] + j // plan.times[at], plan.offset[at] + length * (j % plan.times[at])
-            yield pa.RecordBatch.from_arrays([*b.columns[:last], pa.array(seq), pa.array(off)], [*pieces.columns, "sequence_id", "offset"])
+            yield pa.RecordBatch.from_arrays([*b.columns[:last], pa.array(seq), pa.array(off)], names)
 
     return ranked.mapInArrow(look_up, schema)
 

@@ -15,8 +15,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import text_or_empty
+from .common import text_or_empty, with_fields
 from .features import gram_features
 
 BITS = 20
@@ -111,7 +112,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             yield pa.RecordBatch.from_arrays([index, pa.array(np.append(m.weight, m.bias).astype(np.float64))], ["i", "w"])
 
     sample = labelled_sample(docs, labels, id_col, text_col, rows)
-    feats = sample.mapInArrow(featurise, sample.select("doc_id", "y").schema.add("f", "binary"))
+    feats = sample.mapInArrow(featurise, with_fields(sample.select("doc_id", "y"), f=T.BinaryType()))
     got = feats.repartition(1).mapInArrow(fit, "i bigint, w double").toPandas().sort_values("i")
     if got.empty:
         return None
@@ -122,7 +123,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 def score(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with ``score`` (0 to 1) of each whole text, NULL and empty texts
     included (the bias alone). Without a model every score is 0."""
-    schema = docs.schema.add("score", "double")
+    schema = with_fields(docs, score=T.DoubleType())
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
