@@ -44,12 +44,20 @@ def held_out(id_col: str = "doc_id") -> Column:
 
 
 def ftrl(
-    rows: list[tuple[np.ndarray, int]], bits: int = BITS, epochs: int = 3, alpha: float = 0.05, beta: float = 1.0, l1: float = 2.0, l2: float = 1.0, seed: int = 42
+    rows: list[tuple[np.ndarray, int]], bits: int = BITS, epochs: int = 10, alpha: float = 1.0, beta: float = 1.0, l1: float = 8.0, l2: float = 0.0, least_rows: int = 3, seed: int = 42
 ) -> Model | None:
-    """FTRL-proximal over (present features, label) rows; the last place is the bias, free of penalties."""
+    """FTRL-proximal over (present features, label) rows; the last place is the bias, free of penalties.
+
+    Features of fewer than ``least_rows`` rows are left out: they could only
+    learn those rows by heart.
+    """
     if not rows:
         return None
     size = 1 << bits
+    held_by = np.zeros(size, np.int32)
+    for at, _ in rows:
+        held_by[at] += 1
+    rows = [(at[held_by[at] >= least_rows], y) for at, y in rows]
     z, n = np.zeros(size + 1), np.zeros(size + 1)
 
     def weights(at):
