@@ -63,7 +63,7 @@ def dedup_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     narrow = stage(found.select("doc_id", "_hash", F.coalesce("_hash", F.sha2("_text", 256)).alias("text_sha256")), "exact")
     rows = narrow.groupBy("doc_id", "text_sha256", "_hash").agg(F.count(F.lit(1)).alias("_m"))
     rows = rows.withColumn("_hash", F.coalesce("_hash", F.concat(F.lit("-"), F.xxhash64("doc_id").cast("string"))))
-    j = rows.join(groups(narrow), "_hash", "left")
+    j = rows.join(stage(groups(narrow), "exact-groups"), "_hash", "left")  # staged: AQE can split a hot text
     keep = F.when(F.col("group_size").isNull(), F.col("doc_id")).otherwise(F.col("keep_id"))
     copies = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_m"))).alias("_k")
     return j.select("doc_id", keep.alias("keep_id"), F.coalesce("group_size", F.lit(1)).alias("group_size"), "text_sha256", copies).select(
@@ -85,6 +85,6 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     alone = found.filter(F.col("_hash").isNull()).select(*docs.columns)
     maybe = found.filter(F.col("_hash").isNotNull())
     narrow = stage(maybe.select(F.col(id_col).alias("_id"), "_hash"), "exact")
-    stays = narrow.groupBy(F.col("_hash").alias("_h")).agg(keep("_id").alias("_keep"))
+    stays = stage(narrow.groupBy(F.col("_hash").alias("_h")).agg(keep("_id").alias("_keep")), "exact-groups")
     j = maybe.join(stays, (F.col("_hash") == F.col("_h")) & F.col(id_col).eqNullSafe(F.col("_keep")))
     return alone.unionByName(j.dropDuplicates(["_h"]).select(*docs.columns))

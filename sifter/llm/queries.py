@@ -124,3 +124,17 @@ def op7_suffix_index_dedup(spark, sf):
     from .suffix_index import repeat_report
 
     return repeat_report(table(spark, sf, "documents"))
+
+
+@query("op10_fuzzy_lines")
+def op10_fuzzy_lines(spark, sf):
+    from .fuzzy_lines import line_report
+
+    return line_report(table(spark, sf, "documents"))
+
+
+@query("op8_secret_forest")
+def op8_secret_forest(spark, sf):
+    from .secret_forest import secret_report
+
+    return secret_report(table(spark, sf, "documents"))
