@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 
 from ..plans.jobs import stage
 
-__all__ = ["stage", "table", "text_or_empty", "slot_filter", "with_slot_flag", "with_fields", "SLOT_BITS"]
+__all__ = ["stage", "table", "text_or_empty", "whole_row", "slot_of", "slot_filter", "with_slot_flag", "with_fields", "SLOT_BITS"]
 
 # Size of a slot filter: 2^22 bits = 128 rows of 4 KB, whatever the input size.
 SLOT_BITS = 22
@@ -22,6 +22,11 @@ def text_or_empty(col: str = "text") -> Column:
     return F.coalesce(F.col(col).cast("string"), F.lit(""))
 
 
+def whole_row(df: DataFrame) -> Column:
+    """All columns as one struct, so that working columns can't clash with theirs (``select("row.*")`` gives them back)."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns])
+
+
 def slot_of(keys: list[Column], bits: int = SLOT_BITS) -> Column:
     """Slot (from 1) of a composite key."""
     return F.pmod(F.xxhash64(*keys), F.lit(1 << bits)) + 1

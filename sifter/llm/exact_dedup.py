@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SLOT_BITS, slot_filter, slot_of, stage, text_or_empty, with_slot_flag
+from .common import SLOT_BITS, slot_filter, slot_of, stage, text_or_empty, whole_row, with_slot_flag
 
 PREFIX_CHARS = 128
 
@@ -81,10 +81,11 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Texts that surely have no copy pass straight through; only candidate rows
     are moved to meet their group's decision. Extra columns are carried.
     """
-    found = candidates(docs, text_col, normalise=normalise)
-    alone = found.filter(F.col("_hash").isNull()).select(*docs.columns)
+    packed = docs.select(whole_row(docs).alias("row"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    found = candidates(packed, normalise=normalise)
+    alone = found.filter(F.col("_hash").isNull()).select("row")
     maybe = found.filter(F.col("_hash").isNotNull())
-    narrow = stage(maybe.select(F.col(id_col).alias("_id"), "_hash"), "exact")
+    narrow = stage(maybe.select(F.col("id").alias("_id"), "_hash"), "exact")
     stays = stage(narrow.groupBy(F.col("_hash").alias("_h")).agg(keep("_id").alias("_keep")), "exact-groups")
-    j = maybe.join(stays, (F.col("_hash") == F.col("_h")) & F.col(id_col).eqNullSafe(F.col("_keep")))
-    return alone.unionByName(j.dropDuplicates(["_h"]).select(*docs.columns))
+    j = maybe.join(stays, (F.col("_hash") == F.col("_h")) & F.col("id").eqNullSafe(F.col("_keep")))
+    return alone.unionByName(j.dropDuplicates(["_h"]).select("row")).select("row.*")

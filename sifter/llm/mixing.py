@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stage, text_or_empty
+from .common import stage, text_or_empty, whole_row
 
 LEVELS = ("domain", "lang", "source")
 BUCKET_ROWS = 20_000
@@ -181,7 +181,7 @@ def mix_rows(docs: DataFrame, share: float = 0.9, max_epochs: int = 1, weights:
     the columns of ``docs``. The plan is made from ids and token counts; texts
     are then filtered where they lie."""
     weights = weights or default_weights()
-    d = _levels(docs.select("doc_id", "lang", "source", "text", F.struct(*[F.col(c) for c in docs.columns]).alias("_row")))
+    d = _levels(docs.select("doc_id", "lang", "source", "text", whole_row(docs).alias("_row")))
     d = d.select("_row", "doc_id", *weights, count_words(text_or_empty()).alias("tokens")).filter("tokens > 0")
     narrow = stage(d.select("doc_id", *weights, "tokens"), "mix")
     total = narrow.agg(F.sum("tokens")).first()[0] or 0

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slot_filter, slot_of, stage, text_or_empty, with_slot_flag
+from .common import slot_filter, slot_of, stage, text_or_empty, whole_row, with_slot_flag
 from .components import components
 
 WIDTHS = (13, 13, 13, 13, 12)
@@ -287,15 +287,15 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = SHINGLE_WORDS) -> DataFrame:
     """``docs`` with one document of each near-duplicate group: the one with
-    the smallest id. Rows without an id stay. Only rows of groups larger than
-    one are moved; all others pass straight through."""
+    the smallest id. Rows without an id stay; rows that repeat an id count as
+    one document, which goes if any of them is near one of a smaller id. Only
+    rows of groups larger than one are moved; all others pass straight through."""
     found = stage(near_groups(docs, id_col, text_col, shingle_words).select("doc_id", "component_id"), "simhash-groups")
     drop = found.filter(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
     again = found.filter(F.col("doc_id") == F.col("component_id")).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    slot = slot_of([F.col(id_col).cast("bigint")])
     touched = slot_filter(drop.unionByName(again.select("doc_id")).select(slot_of([F.col("doc_id")]).alias("slot")), at_least=1)
-    flagged = with_slot_flag(docs, slot, touched, "_near")
-    alone = flagged.filter(~F.col("_near") | F.col(id_col).isNull()).select(*docs.columns)
-    maybe = flagged.filter(F.col("_near") & F.col(id_col).isNotNull()).select(*docs.columns)
-    left = maybe.join(drop.select(F.col("doc_id").alias("_drop")), F.col(id_col).cast("bigint") == F.col("_drop"), "left_anti")
-    return alone.unionByName(left.dropDuplicates([id_col]))
+    packed = docs.select(whole_row(docs).alias("row"), F.col(id_col).cast("bigint").alias("id"))
+    flagged = with_slot_flag(packed, slot_of([F.col("id")]), touched, "near").withColumn("near", F.col("near") & F.col("id").isNotNull())
+    alone = flagged.filter(~F.col("near")).select("row")
+    left = flagged.filter("near").select("row", "id").join(drop.select(F.col("doc_id").alias("id")), "id", "left_anti")
+    return alone.unionByName(left.dropDuplicates(["id"]).select("row")).select("row.*")

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import text_or_empty, with_fields
+from .common import text_or_empty, whole_row, with_fields
 from .features import gram_features
 
 BITS = 20
@@ -128,11 +128,12 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     return Model(float(w[0]), i[1:], w[1:].astype(np.float32), bits)
 
 
-def score(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with ``score`` (0 to 1) of each whole text, NULL and empty texts
-    included (the bias alone). Without a model every score is 0."""
-    schema = with_fields(docs, score=T.DoubleType())
-    at = docs.columns.index(text_col)
+def score(docs: DataFrame, model: Model | None, text_col: str = "text") -> DataFrame:
+    """(row, score): every row of ``docs`` as a struct and the score (0 to 1) of
+    its whole text, NULL and empty texts included (the bias alone). Without a
+    model every score is 0."""
+    packed = docs.select(whole_row(docs).alias("row"))
+    schema = with_fields(packed, score=T.DoubleType())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w = model.dense() if model is not None else None
@@ -141,31 +142,26 @@ def score(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col
                 p = np.zeros(b.num_rows)
             else:
                 hits = []
-                texts = (t.as_py() for t in b.column(at).cast(pa.binary()))
+                texts = (t.as_py() for t in b.column(0).field(text_col).cast(pa.binary()))
                 for doc, feat in gram_features(texts, model.bits):
                     live = w[feat] != 0
                     hits.append((doc[live].astype(np.int64) << 32) | feat[live])
                 both = np.unique(np.concatenate(hits)) if hits else np.empty(0, np.int64)
                 z = model.bias + np.bincount(both >> 32, w[both & 0xFFFFFFFF].astype(np.float64), b.num_rows)
                 p = 1.0 / (1.0 + np.exp(-np.clip(z, -35, 35)))
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(p)], names=[*b.schema.names, "score"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(p)], ["row", "score"])
 
-    return docs.mapInArrow(run, schema)
+    return packed.mapInArrow(run, schema)
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", **train_args) -> DataFrame:
     """One row per document: (doc_id, held_out, score, predicted)."""
     model = train(docs, labels, id_col, text_col, **train_args)
-    d = score(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")), model)
+    d = score(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")), model).select("row.doc_id", "score")
     return d.select("doc_id", held_out("doc_id").alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.5, **train_args) -> DataFrame:
-    """``docs`` without the rows scored at ``threshold`` or more; only the text
-    column goes through Python, under a name that no column of ``docs`` has."""
+    """``docs`` without the rows scored at ``threshold`` or more."""
     model = train(docs, labels, id_col, text_col, **train_args)
-    scored = score(docs, model, id_col, text_col) if "score" not in docs.columns else score(
-        docs.withColumnRenamed("score", "_score"), model, id_col, text_col
-    )
-    kept = scored.filter(F.col("score") < threshold).drop("score")
-    return kept if "score" not in docs.columns else kept.withColumnRenamed("_score", "score")
+    return score(docs, model, text_col).filter(F.col("score") < threshold).select("row.*")
