@@ -305,15 +305,18 @@ def repeated_ranges(texts: DataFrame, total_bytes: int) -> DataFrame:
     docs = stage(docs, "suffix-matches")
     runs = with_text(texts, docs).select("did", "th", "t", "places").mapInArrow(_runs, _RUN_SCHEMA)
     runs = stage(runs, "suffix-runs")
+    # what a join looks up is staged: its other side is then read straight from the shuffle, where AQE can split a hot key
     owner = runs.groupBy("run").agg(F.min("did").alias("owner"), F.count(F.lit(1)).alias("held")).filter("held > 1")
+    owner = stage(owner.select("run", "owner"), "suffix-owners")
     whole = runs.select("did", "th", "lo", "n", "run").join(owner, "run").filter("did > owner")
     whole = whole.select("did", "th", "lo", (F.col("lo") + F.col("n")).alias("hi"))
     several = runs.groupBy("seed").agg(F.min("run").alias("a"), F.max("run").alias("z")).filter("a < z").select("seed")
-    first = runs.join(several, "seed", "left_semi").join(owner.select("run", "owner"), "run", "left")
+    several = stage(several, "suffix-seeds")
+    first = runs.join(several, "seed", "left_semi").join(owner, "run", "left")
     first = first.filter("owner IS NULL OR did = owner").select("did", "th", "lo", "t")
     strings = stage(first.mapInArrow(_strings, "did bigint, th bigint, lo bigint, s binary"), "suffix-strings")
     least = strings.groupBy("s").agg(F.min("did").alias("first"), F.max("did").alias("last")).filter("first < last").select("s", "first")
-    single = strings.join(least, "s").filter("did > first").select("did", "th", "lo", (F.col("lo") + LONG).alias("hi"))
+    single = strings.join(stage(least, "suffix-least"), "s").filter("did > first").select("did", "th", "lo", (F.col("lo") + LONG).alias("hi"))
     return whole.unionByName(single)
 
 
