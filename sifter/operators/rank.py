@@ -6,12 +6,15 @@
    bounded number of rows (``pos div 2^20``, a hex prefix of a hash, a file
    split start);
 2. ``row_number`` inside each bucket (one shuffle by bucket, bounded groups);
-3. count rows per bucket (one row per bucket) and take a running sum: that is
-   the bucket's offset. This table has ~N / bucket_width rows, so AQE sees its
-   real size and broadcasts it only when it is under the broadcast threshold;
+3. count rows per bucket and take running sums in two levels: inside groups of
+   2^16 neighbouring bucket numbers, then over those groups. The offsets table
+   has one row per bucket that holds rows, up to one per row if the key is
+   sparse, so no window may span it: a window holds at most 2^16 buckets, or
+   the groups of one ``within`` value (2^16 at most for bucket numbers below
+   2^32). AQE broadcasts the table only when it measures it small;
 4. rank = offset + row number.
 
-Exact, repeatable for any partitioning, and every task holds at most one bucket.
+Exact and repeatable for any partitioning.
 """
 from __future__ import annotations
 
@@ -19,6 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_BUCKET_BITS = 20  # 1,048,576 rows per bucket at most for a dense pos
+SUPER_BITS = 16  # bucket numbers that share a group of the offsets windows
 
 
 def pos_bucket(col: str = "pos", bits: int = DEFAULT_BUCKET_BITS) -> Column:
@@ -35,36 +39,50 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFr
     return left.join(r, cond, "inner").drop(*[f"_r_{k}" for k in keys])
 
 
+def with_super(counts: DataFrame, bucket: str = "_bkt") -> DataFrame:
+    """Add ``_sup``: the group of neighbouring buckets that offsets windows run in."""
+    return counts.withColumn("_sup", F.shiftright(bucket, SUPER_BITS))
+
+
 def global_rank(
     df: DataFrame,
     order_cols: list,
-    bucket: Column,
+    bucket: Column | list[Column],
     within: list[str] | None = None,
     name: str = "rank",
     total: str | None = None,
 ) -> DataFrame:
     """Add ``name``: 1-based dense position of each row by ``order_cols``.
 
-    ``bucket`` must be non-decreasing in ``order_cols``. ``within`` restarts the
-    numbering per group (e.g. per file); the groups only appear in the tiny
-    offsets table and as a prefix of the bucket key, so a huge group is still
+    ``bucket`` must be non-decreasing in ``order_cols``; a list of columns is
+    ordered like a tuple (conversation, then part of it). ``within`` restarts
+    the numbering per group (e.g. per file); the groups only appear in the
+    offsets tables and as a prefix of the bucket key, so a huge group is still
     spread over many buckets. ``total`` names an optional column holding the
     group's row count. Rows with NULL keys are kept (ranked first).
 
     The bucket counts are a map-side partial aggregate over the key columns
-    only (a column-pruned read), so that branch shuffles one row per bucket
-    per task; the numbering shuffles each row once.
+    only (a column-pruned read).
     """
     within = list(within or [])
-    keys = within + ["_bkt"]
-    staged = df.withColumn("_bkt", F.coalesce(bucket.cast("bigint"), F.lit(NULL_BUCKET)))
+    buckets = bucket if isinstance(bucket, list) else [bucket]
+    names = ["_bkt", *[f"_bkt{i}" for i in range(1, len(buckets))]]
+    keys = within + names
+    staged = df
+    for n, b in zip(names, buckets):
+        staged = staged.withColumn(n, F.coalesce(b.cast("bigint"), F.lit(NULL_BUCKET)))
     w = Window.partitionBy(*keys).orderBy(*order_cols)
     numbered = staged.withColumn("_rn", F.row_number().over(w))
-    counts = staged.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    run = Window.partitionBy(*within).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
-    cols = [*keys, F.coalesce(F.sum("_n").over(run), F.lit(0)).alias("_off")]
+    counts = with_super(staged.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")))
+    inside = Window.partitionBy(*within, "_sup").orderBy(*names).rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.withColumn("_in", F.coalesce(F.sum("_rows").over(inside), F.lit(0)))
+    groups = counts.groupBy(*within, "_sup").agg(F.sum("_rows").alias("_t"))
+    before = Window.partitionBy(*within).orderBy("_sup").rowsBetween(Window.unboundedPreceding, -1)
+    cols = [*within, "_sup", F.coalesce(F.sum("_t").over(before), F.lit(0)).alias("_out")]
     if total:
-        cols.append(F.sum("_n").over(Window.partitionBy(*within)).cast("bigint").alias(total))
-    offsets = counts.select(*cols)
+        cols.append(F.sum("_t").over(Window.partitionBy(*within)).cast("bigint").alias(total))
+    offsets = null_safe_join(counts, groups.select(*cols), [*within, "_sup"])
+    offsets = offsets.select(*keys, (F.col("_in") + F.col("_out")).alias("_off"), *([total] if total else []))
     out = null_safe_join(numbered, offsets, keys)
-    return out.withColumn(name, (F.col("_off") + F.col("_rn")).cast("bigint")).drop("_bkt", "_rn", "_off")
+    return out.withColumn(name, (F.col("_off") + F.col("_rn")).cast("bigint")).drop(*names, "_rn", "_off")
+
