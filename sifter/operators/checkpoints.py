@@ -5,11 +5,15 @@ scalar subqueries: one number computed once, no join of the data with it.
 """
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.tables import read_table
 from .rank import global_rank, pos_bucket
 
+log = logging.getLogger(__name__)
 TARGET_COUNT = 2000
 
 
@@ -38,18 +42,28 @@ def resume_generated(ckpt: DataFrame, seed: DataFrame) -> DataFrame:
     return kept.withColumn("pos", F.col("pos") - n_seed)
 
 
+TOP_ROWS = 100_000  # up to this target the first rows are a plain top-k
+
+
 def finalize_dataset(seed: DataFrame, generated: DataFrame, target: int = TARGET_COUNT) -> DataFrame:
-    """Seed rows plus the first ``target`` generated rows in ``pos`` order."""
-    g = global_rank(generated, ["pos"], pos_bucket("pos"), name="_r").filter(F.col("_r") <= target).drop("_r")
-    return checkpoint_rows(seed, g)
+    """Seed rows plus the first ``target`` generated rows in ``pos`` order.
+
+    A small target is a top-k (each task keeps its first ``target`` rows); a
+    larger one is cut by the global rank. Either way only kept rows are numbered.
+    """
+    if target <= TOP_ROWS:
+        first = generated.orderBy("pos").limit(target)
+    else:
+        first = global_rank(generated, ["pos"], pos_bucket("pos"), name="_r").filter(F.col("_r") <= target).drop("_r")
+    return checkpoint_rows(seed, first)
 
 
 def resume_from(spark, path: str, seed: DataFrame) -> DataFrame:
-    """Generated rows of the checkpoint table at ``path`` (Parquet); a missing
-    or unreadable checkpoint is ignored (no generated rows) (S6)."""
-    try:
-        ckpt = spark.read.parquet(path)
-        ckpt.schema  # noqa: B018 - resolve now, so a broken table is caught here
-    except Exception:  # noqa: BLE001 - unreadable checkpoint: start over
+    """Generated rows of the checkpoint table at ``path`` (Parquet). A missing
+    or corrupt checkpoint is ignored with a warning (no generated rows); any
+    other failure to read it is raised (S6)."""
+    ckpt = read_table(spark, path)
+    if ckpt is None:
+        log.warning("no readable checkpoint at %s: starting over", path)
         return seed.limit(0)
     return resume_generated(ckpt, seed)

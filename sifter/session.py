@@ -37,7 +37,8 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     """Return the shared checkpoint folder the cluster names.
 
     Uses ``spark.checkpoint.dir`` (or a directory already set on the context).
-    Only when nothing is set (local tests) is a scratch folder created.
+    Only when nothing is set and the master is local (tests) is a scratch
+    folder created: on a cluster each executor would write to a disk of its own.
     """
     try:
         sc = spark.sparkContext
@@ -48,6 +49,8 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
         return current
     conf = spark.conf.get("spark.checkpoint.dir", None)
     if not conf:
+        if fallback is None and not (sc is not None and sc.master.split("[")[0] == "local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         conf = fallback or tempfile.mkdtemp(prefix="sifter-ckpt-", dir="/tmp")
         if sc is None:
             try:

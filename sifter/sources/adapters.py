@@ -12,26 +12,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use every core when a scan has fewer splits than the cluster has slots.
-
-    A small table stored as one row group scans as one partition, so all the
-    per-row parsing would run on one core. Large inputs already scan as many
-    splits; for them this is a no-op (checked on the plan, no job runs).
-    """
-    try:
-        slots = df.sparkSession.sparkContext.defaultParallelism
-        parts = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session: leave the plan as is
-        return df
-    return df.repartition(slots) if parts < slots else df
-
-
 def table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None) -> DataFrame:
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    if columns:
-        df = df.select(*columns)
-    return spread(df)
+    return df.select(*columns) if columns else df
 
 
 def _s(x) -> Column:
@@ -140,6 +123,13 @@ def jstr(c) -> Column:
     return cat('"', c, '"')
 
 
+def written_output() -> Column:
+    """An output object with unsorted keys, floats and a number beyond doubles, as a model would write it."""
+    return cat(
+        '{"score": ', F.col("user_id").cast("string"), '.0, "props": ', F.col("props"), ', "ids": [1, 2.5, 12345678901234567890', F.col("event_id").cast("string"), "]}"
+    )
+
+
 def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(run_id, request_id, body): run = user, request = event."""
     e = table(spark, sf_dir, "events", ["event_id", "user_id", "event_type", "props"])
@@ -160,7 +150,7 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(m == 2, cat("Here are the items:\n", arr, "\nDone."))
         .when(m == 3, good(1))
         .when(m == 4, cat("[", good(1), ', 3, {"instruction": "x"}]'))
-        .when(m == 5, cat('[{"instruction": ', jstr(F.lit(INSTRUCTION)), ', "input": "coerce ', F.col("event_id").cast("string"), '", "output": ', F.col("props"), "}]"))
+        .when(m == 5, cat('[{"instruction": ', jstr(F.lit(INSTRUCTION)), ', "input": "coerce ', F.col("event_id").cast("string"), '", "output": ', written_output(), "}]"))
         .when(m == 6, F.lit('[{"instruction": "x", '))
         .when(F.col("user_id") % 2 == 0, F.lit("42"))
         .otherwise(cat('Here: {"a":[', F.col("user_id").cast("string"), "]}"))
@@ -214,8 +204,8 @@ def request_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(err.isNull(), b).otherwise(F.lit(0)).cast("int").alias("n_items"),
         err.alias("error"),
     )
-    # order inside a run by (ts, event_id); buckets of about one second
-    ranked = global_rank(log, ["ts", "event_id"], F.shiftright(epoch_micros(F.col("ts")), 20), within=["run_id"], name="seq")
+    # order inside a run by (ts, event_id); buckets of about 72 minutes
+    ranked = global_rank(log, ["ts", "event_id"], F.shiftright(epoch_micros(F.col("ts")), 32), within=["run_id"], name="seq")
     return ranked.select("run_id", "seq", "ts", "attempt", "batch_size", "n_items", "error")
 
 
@@ -254,12 +244,10 @@ CHUNK_CHARS = 100
 def chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = table(spark, sf_dir, "documents", ["doc_id", "text"])
     n = F.greatest(F.ceil(F.length("text") / CHUNK_CHARS), F.lit(1)).cast("int")
-    seqs = F.sequence(F.lit(0), n - 1)
-    return d.select("doc_id", "text", F.explode(seqs).alias("seq")).select(
-        "doc_id",
-        F.col("seq").cast("bigint").alias("seq"),
-        F.substring(F.col("text"), F.col("seq") * CHUNK_CHARS + 1, F.lit(CHUNK_CHARS)).alias("chunk"),
-    )
+    # the text is cut inside its row, so each exploded row carries its piece only
+    cut = lambda i: F.substring(F.col("text"), i * CHUNK_CHARS + 1, F.lit(CHUNK_CHARS))
+    pieces = d.select("doc_id", F.posexplode(F.transform(F.sequence(F.lit(0), n - 1), cut)).alias("seq", "chunk"))
+    return pieces.select("doc_id", F.col("seq").cast("bigint").alias("seq"), "chunk")
 
 
 # -------------------------------------------------------------- seeds, prompts
@@ -311,5 +299,5 @@ def metric_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = F.col("value").cast("string")
     row = F.when(F.col("event_id") % 10 == 0, cat('{"eval_loss": ', v, "}")).otherwise(cat('{"loss": ', v, ', "learning_rate": 0.0002}'))
     log = e.select(F.col("user_id").alias("run_id"), "event_id", "ts", F.parse_json(row).alias("row"))
-    ranked = global_rank(log, ["ts", "event_id"], F.shiftright(epoch_micros(F.col("ts")), 20), within=["run_id"], name="step")
+    ranked = global_rank(log, ["ts", "event_id"], F.shiftright(epoch_micros(F.col("ts")), 32), within=["run_id"], name="step")
     return ranked.select("run_id", "step", "row")

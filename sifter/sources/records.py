@@ -7,11 +7,20 @@ so nothing later depends on partition order.
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import json
+import re
+from dataclasses import dataclass
+
+import pandas as pd
+from pyspark.errors import PySparkException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import jsonx as J
-from ..operators.rank import global_rank
+from .tables import MISSING, read_table
+
+SPACE = re.compile(r"[ \t\n\r]*")  # JSON white space
 
 
 def strict_array(text) -> "F.Column":
@@ -29,74 +38,115 @@ def strict_array(text) -> "F.Column":
     return F.when(outer.isNotNull(), inner["v"])
 
 
-def read_records(spark: SparkSession, paths, partitions: int | None = None) -> DataFrame:
-    """JSON-array files -> (file, pos, item).
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def _element_texts(files: pd.Series) -> pd.Series:
+    """The elements of JSON-array texts, each as it is written."""
+    decoder = json.JSONDecoder()
+
+    def one(text):
+        if text is None:
+            return None
+        out, at = [], SPACE.match(text, text.index("[") + 1).end()
+        while text[at] != "]":
+            _, end = decoder.raw_decode(text, at)
+            out.append(text[at:end])
+            at = SPACE.match(text, end).end()
+            if text[at] == ",":
+                at = SPACE.match(text, at + 1).end()
+        return out
+
+    return files.map(one)
+
+
+def read_records(spark: SparkSession, paths, partitions: int | None = None, with_text: bool = False) -> DataFrame:
+    """JSON-array files -> (file, pos, item), or (file, pos, item, text).
 
     Each file is one task (an array is not splittable), parsed strictly with
-    :func:`strict_array`, which keeps scalars, nulls and order.
-    A file that is not exactly one JSON array (another value, broken JSON,
-    text after the array) fails the job, never yields zero rows. A file of
-    zero bytes produces no input row in Spark's whole-text reader and so
-    contributes no records (Python's ``json.load`` would raise). Rows are
-    spread over ``partitions`` tasks after the explode.
+    :func:`strict_array`, which keeps scalars, nulls and order. ``text`` is the
+    element's own text, numbers and key order as written (cut out by Python's
+    scanner in an Arrow UDF). A file that is not
+    exactly one JSON array (another value, broken JSON, text after the array,
+    no bytes at all) fails, never yields zero rows. A file is one text value,
+    so it must stay below 2 GB. Rows are spread over ``partitions`` tasks
+    after the explode when there are fewer files than that.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
-    raw = spark.read.text(paths, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
+    # the whole-text reader has no row for a file of zero bytes; lengths come from the listing, not the content
+    empty = spark.read.format("binaryFile").load(paths).filter("length = 0").select("path").limit(1).collect()
+    if empty:
+        raise ValueError(f"Dataset file is empty, not a JSON list: {empty[0]['path']}")
+    read = spark.read.text(paths, wholetext=True)
+    raw = read.select(F.col("_metadata.file_path").alias("file"), "value")
     arr = strict_array("value")
     checked = raw.select(
         "file",
         F.when(arr.isNull(), F.raise_error(F.concat(F.lit("Dataset file must be a JSON list: "), F.col("file"))))
         .otherwise(arr)
-        .alias("arr"),
-    )
-    out = checked.select("file", F.posexplode("arr").alias("pos", "item")).select(
-        "file", F.col("pos").cast("bigint").alias("pos"), "item"
+        .alias("item"),
+        *([_element_texts(F.when(arr.isNotNull(), F.col("value"))).alias("text")] if with_text else []),
     )
+    zipped = F.arrays_zip("item", "text") if with_text else F.arrays_zip("item")
+    out = checked.select("file", F.posexplode(zipped).alias("pos", "_e")).select("file", F.col("pos").cast("bigint").alias("pos"), "_e.*")
     n = partitions or spark.sparkContext.defaultParallelism
-    return out.repartition(n, "file", "pos")
+    return out if len(read.inputFiles()) >= n else out.repartition(n, "file", "pos")
+
+
+SPLITS_BROADCAST = 100_000  # splits whose line counts are broadcast; beyond, they are joined by shuffle
 
 
 def read_records_lines(spark: SparkSession, paths, fmt: str = "json") -> DataFrame:
     """JSON Lines (one record per line) or Parquet (pos, item as text/VARIANT).
 
-    JSON Lines are splittable. ``pos`` is the line's order inside its file
-    (blank lines count), numbered per split and offset by the split sizes.
-    A line that is not valid JSON becomes a NULL item (later ``invalid_item``).
+    -> (file, pos, item, text), ``text`` being the line as written. JSON Lines
+    are splittable. ``pos`` is the line's order inside its file (blank lines
+    count): its place in the split plus the lines of the splits before. Only
+    split line counts are joined to the lines, so the text is not shuffled. A
+    line that is not valid JSON becomes a NULL item (later ``invalid_item``).
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     if fmt == "parquet":
         df = spark.read.parquet(*paths)
         if dict(df.dtypes).get("item") == "string":
-            df = df.withColumn("item", J.strict_json(F.col("item")))
+            df = df.withColumn("text", F.col("item")).withColumn("item", J.strict_json(F.col("item")))
         if "file" not in df.columns:
             df = df.withColumn("file", F.col("_metadata.file_path"))
-        return df.select("file", F.col("pos").cast("bigint"), "item")
+        return df.select("file", F.col("pos").cast("bigint"), "item", *(["text"] if "text" in df.columns else []))
     # A split is read in line order by one task, and its start offset orders
-    # splits inside a file: (file, split start, id inside the split) is the
-    # line order. Buckets are splits, so ranking never holds a whole file.
+    # the splits of a file; ids rise inside a split, so an id minus the
+    # split's least id is the place in the split.
     lines = spark.read.text(paths).select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("_split"),
         F.monotonically_increasing_id().alias("_line"),
         "value",
     )
-    ranked = global_rank(lines, ["_line"], F.col("_split"), within=["file"], name="_rank")
-    return ranked.filter(~J.is_blank("value")).select(
-        "file", (F.col("_rank") - 1).alias("pos"), J.strict_json("value").alias("item")
+    splits = lines.groupBy("file", "_split").agg(F.min("_line").alias("_least"), F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy("file").orderBy("_split").rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.select("file", "_split", "_least", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    few = splits.count() <= SPLITS_BROADCAST
+    j = lines.join(F.broadcast(splits) if few else splits, ["file", "_split"])
+    return j.filter(~J.is_blank("value")).select(
+        "file", (F.col("_off") + F.col("_line") - F.col("_least")).alias("pos"), J.strict_json("value").alias("item"), F.col("value").alias("text")
     )
 
 
-def write_records(df: DataFrame, path: str, fmt: str = "json", mode: str = "overwrite", item: str = "item") -> None:
+def write_records(df: DataFrame, path: str, fmt: str = "json", mode: str = "overwrite", item: str = "item", text: str = "text") -> None:
     """Write records (S3).
 
-    ``json``: one JSON object per row with every column (VARIANT columns as
-    JSON text); ``jsonl``: the record column itself, one JSON value per line
-    (what :func:`read_records_lines` reads); ``parquet``. Spark's writers
-    leave non-ASCII characters unescaped.
+    ``jsonl``: one record per line (what :func:`read_records_lines` reads): the
+    ``text`` column where there is one, so numbers and key order stay as they
+    were written, else the VARIANT rendered as JSON (numbers normalised, keys
+    sorted). ``json``: one JSON object per row with every column (VARIANT
+    columns as JSON text). ``parquet``. Spark's writers leave non-ASCII
+    characters unescaped.
     """
+    types = dict(df.dtypes)
     if fmt == "jsonl":
-        col = F.to_json(item) if dict(df.dtypes).get(item) == "variant" else F.col(item)
-        df.select(col.alias("value")).write.mode(mode).text(path)
+        rendered = F.to_json(item) if types.get(item) == "variant" else F.col(item)
+        # a record written over several lines takes one here
+        own = F.when(~F.col(text).contains("\n") & ~F.col(text).contains("\r"), F.col(text)) if text in types else F.lit(None).cast("string")
+        one_line = J.minify_json(F.col(text)) if text in types else F.lit(None).cast("string")
+        df.select(F.coalesce(own, one_line, rendered).alias("value")).write.mode(mode).text(path)
         return
     out = df
     if fmt == "json":
@@ -116,41 +166,60 @@ def append_batch(base: DataFrame, batch: DataFrame) -> DataFrame:
     return base.unionByName(shifted, allowMissingColumns=True)
 
 
-def append_batch_to(spark: SparkSession, path: str, batch: DataFrame, on_corrupt: str = "fail", fmt: str = "parquet") -> DataFrame:
-    """Read the dataset at ``path``, append ``batch``; returns the new table.
+@dataclass(frozen=True)
+class Appended:
+    """What :func:`append_batch_to` did: rows appended, rows now held, the table."""
 
-    A missing target counts as empty. ``fmt="array"`` reads JSON-array files:
-    a target that is valid JSON but not a list always fails; a corrupt
-    (unparseable) target fails unless ``on_corrupt="empty"`` (the small-scale
-    tool silently started over, losing the old rows; available, never the
-    default). ``fmt="parquet"`` treats an unreadable table the same way.
+    appended: int
+    total: int
+    table: DataFrame
+
+
+def _array_target(spark: SparkSession, path: str, on_corrupt: str, columns: list[str]) -> DataFrame | None:
+    """Rows of the JSON-array files at ``path``; None if there are none or, by ``on_corrupt="empty"``, if they are no JSON."""
+    try:
+        files = spark.read.text(path, wholetext=True)
+        files.schema  # noqa: B018 - resolved now: a missing path shows here
+    except PySparkException as exc:
+        if MISSING in str(exc):
+            return None
+        raise
+    # not a list: either valid JSON of another kind, or not JSON at all
+    bad = files.filter(strict_array("value").isNull()).select(J.strict_json(F.col("value")).isNotNull().alias("json"))
+    kinds = {r["json"] for r in bad.distinct().collect()}  # at most two booleans
+    if True in kinds:
+        raise ValueError(f"Dataset file is not a JSON list: {path}")
+    if False in kinds:
+        if on_corrupt != "empty":
+            raise ValueError(f"Dataset file is not valid JSON: {path}")
+        return None
+    return read_records(spark, path, with_text="text" in columns).select(*[c for c in ("file", "pos", "item", "text") if c in columns])
+
+
+def append_batch_to(spark: SparkSession, path: str, batch: DataFrame, on_corrupt: str = "fail", fmt: str = "parquet", write_to: str | None = None) -> Appended:
+    """Append ``batch`` to the dataset at ``path`` and write it.
+
+    ``fmt="parquet"``: the batch's rows, with positions after the last one
+    held, are added as new files; rows already there are not rewritten. A
+    missing target counts as empty. A corrupt one fails unless
+    ``on_corrupt="empty"`` (the small-scale tool silently started over, losing
+    the old rows; available, never the default), which replaces it.
+    ``fmt="array"`` reads JSON-array files: a target that is valid JSON but no
+    list always fails. Such a file can't take rows, so the whole dataset is
+    written as Parquet to ``write_to``, which is required.
     """
     if fmt == "array":
-        try:
-            files = spark.read.text(path, wholetext=True)
-            files.schema  # noqa: B018 - resolve now: missing path -> empty
-        except Exception as exc:  # noqa: BLE001
-            if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc):
-                return append_batch(batch.limit(0), batch)
-            raise
-        arr = strict_array("value")
-        # not a list: either valid JSON of another kind, or not JSON at all
-        bad = files.filter(arr.isNull()).select(J.strict_json(F.col("value")).isNotNull().alias("json"))
-        kinds = {r["json"] for r in bad.distinct().collect()}  # at most two booleans
-        if True in kinds:
-            raise ValueError(f"Dataset file is not a JSON list: {path}")
-        if False in kinds and on_corrupt != "empty":
-            raise ValueError(f"Dataset file is not valid JSON: {path}")
-        if False in kinds:
-            return append_batch(batch.limit(0), batch)
-        base = read_records(spark, path).select(*[c for c in batch.columns if c in ("file", "pos", "item")])
-        return append_batch(base, batch)
-    try:
-        base = spark.read.parquet(path)
-        base.schema  # noqa: B018 - force resolution
-    except Exception as exc:  # missing or unreadable
-        missing = "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc)
-        if not missing and on_corrupt != "empty":
-            raise
-        base = batch.limit(0)
-    return append_batch(base, batch)
+        if write_to is None:
+            raise ValueError("an array file can't be appended to in place: give write_to")
+        base = _array_target(spark, path, on_corrupt, batch.columns)
+        append_batch(batch.limit(0) if base is None else base, batch).write.mode("errorifexists").parquet(write_to)
+        path, appended = write_to, batch.count()
+    else:
+        base = read_table(spark, path, corrupt_as_none=on_corrupt == "empty")
+        offset = 0 if base is None else base.select(F.coalesce(F.max("pos") + 1, F.lit(0)).cast("bigint")).first()[0]
+        fresh = base is None
+        out = batch.withColumn("pos", F.col("pos") + F.lit(offset).cast("bigint"))
+        appended = batch.count()
+        out.write.mode("overwrite" if fresh else "append").parquet(path)
+    table = spark.read.parquet(path)
+    return Appended(appended, table.count(), table)
