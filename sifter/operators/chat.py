@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.jsonx import ustrip
+from .rank import global_rank
 from .seq import running, seq_bucket
 
 # Chat commands.
@@ -78,8 +79,8 @@ def histories(df: DataFrame, system: str | None = None, last_k: int | None = Non
     system line, else ``system``), then every message of the current episode
     up to and including this line. It grows with the episode (quadratic
     output per episode, as the chat itself resends it); ``last_k`` keeps only
-    the last k messages. For whole tables prefer :func:`history_digest`,
-    which is linear, and join the message table where lists are needed.
+    the last k messages. For whole tables prefer :func:`message_table`,
+    which is linear in size.
     """
     ep = chat_state(df)
     msgs = ep.filter(F.col("active") & (F.col("kind") == "message"))
@@ -92,43 +93,29 @@ def histories(df: DataFrame, system: str | None = None, last_k: int | None = Non
     return msgs.select("conv_id", "turn", "episode", "role", "line", hist.alias("history"))
 
 
-def message_hash(role: Column, content: Column) -> Column:
-    """20-bit hash of one message (role and text)."""
-    return F.conv(F.substring(F.md5(F.concat(role, F.lit(":"), content)), 1, 5), 16, 10).cast("bigint")
+def message_table(df: DataFrame) -> DataFrame:
+    """Histories in linear size (H3): one row per active message line.
 
-
-def history_digest(df: DataFrame) -> DataFrame:
-    """History at each active message line in linear size (H3).
-
-    Instead of copying every earlier message into every row (quadratic in the
-    episode length), each line gets ``n_messages`` (the history length,
-    system message included) and ``history_fp``, an order-sensitive
-    fingerprint of the episode so far: the running count, the running sum of
-    message hashes and the running sum of hash x turn, as exact decimals.
-    Both come from running sums, so a long episode spreads over many tasks.
-    Use :func:`histories` to materialise the message lists themselves.
+    (conv_id, turn, episode, idx, role, content, system_text, n_messages): the
+    history sent at a line is the system message, if there is one, and the
+    messages of its episode with ``idx`` up to its own; ``n_messages`` is that
+    history's length. ``idx`` is a running count per episode, so a long
+    episode spreads over many tasks. :func:`histories` makes the lists.
     """
     ep = chat_state(df)
     msgs = ep.filter(F.col("active") & (F.col("kind") == "message"))
-    h = message_hash(F.col("role"), F.col("line")).cast("decimal(38,0)")
-    r = running(
-        msgs,
-        ["conv_id", "episode"],
-        ["turn"],
-        seq_bucket("turn"),
-        sums={"_n": F.lit(1).cast("bigint"), "_s": h, "_w": h * F.col("turn").cast("decimal(20,0)")},
-    )
+    r = running(msgs, ["conv_id", "episode"], ["turn"], seq_bucket("turn"), sums={"idx": F.lit(1).cast("bigint")})
     has_sys = F.col("system_text").isNotNull() & (ustrip(F.col("system_text")) != "")
-    n = (F.col("_n") + F.when(has_sys, 1).otherwise(0)).cast("int")
-    sys_h = F.when(has_sys, message_hash(F.lit("system"), F.col("system_text"))).otherwise(F.lit(0))
-    fp = F.concat_ws(
-        ":",
-        F.col("_n").cast("string"),
-        F.col("_s").cast("decimal(38,0)").cast("string"),
-        F.col("_w").cast("decimal(38,0)").cast("string"),
-        sys_h.cast("string"),
+    return r.select(
+        "conv_id",
+        "turn",
+        "episode",
+        "idx",
+        "role",
+        F.col("line").alias("content"),
+        F.when(has_sys, F.col("system_text")).alias("system_text"),
+        (F.col("idx") + F.when(has_sys, 1).otherwise(0)).cast("int").alias("n_messages"),
     )
-    return r.select("conv_id", "turn", "episode", "role", "line", "system_text", n.alias("n_messages"), fp.alias("history_fp"))
 
 
 def join_chunks(chunks: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -143,10 +130,11 @@ def join_chunks(chunks: DataFrame, key: str = "doc_id") -> DataFrame:
 def transcript_to_records(df: DataFrame) -> DataFrame:
     """(system, user, next assistant) triples as instruction records (H5).
 
-    ``pos`` = conv_id * 10^6 + turn keeps transcript order. The next turn is
-    found by an equi-join on the unique (conv_id, turn) key, so a long
-    conversation does not land in one task; the latest system line comes from
-    a running maximum.
+    The next turn is the next one that exists in the conversation (a gap in
+    the numbers does not matter), taken as the previous value in reverse
+    order; the latest system line is a running maximum. Both run in bounded
+    buckets, so a long conversation does not land in one task. ``pos`` is the
+    record's place in the list, ordered by (conv_id, turn), from 0.
     """
     base = df.select("conv_id", "turn", "role", "text")
     sys = running(
@@ -156,14 +144,15 @@ def transcript_to_records(df: DataFrame) -> DataFrame:
         seq_bucket("turn"),
         maxes={"_sys": F.when(F.col("role") == "system", F.struct(F.col("turn"), F.col("text")))},
     )
-    nxt = base.select(
-        "conv_id", (F.col("turn") - 1).alias("turn"), F.col("role").alias("_next_role"), F.col("text").alias("_next_text")
-    )
-    pairs = sys.filter(F.col("role") == "user").join(nxt, ["conv_id", "turn"], "inner")
-    pairs = pairs.filter(F.col("_next_role") == "assistant")
-    return pairs.select(
-        (F.col("conv_id") * 1000000 + F.col("turn")).alias("pos"),
+    back = sys.withColumn("_back", -F.col("turn"))
+    nxt = running(back, ["conv_id"], ["_back"], seq_bucket("_back"), lags={"_next": F.struct("role", "text")})
+    pairs = nxt.filter((F.col("role") == "user") & (F.col("_next.role") == "assistant"))
+    rec = pairs.select(
+        "conv_id",
+        "turn",
         F.coalesce(F.col("_sys.text"), F.lit("")).alias("instruction"),
         F.col("text").alias("input"),
-        F.col("_next_text").alias("output"),
+        F.col("_next.text").alias("output"),
     )
+    placed = global_rank(rec, ["conv_id", "turn"], [F.col("conv_id"), seq_bucket("turn")], name="_r")
+    return placed.select((F.col("_r") - 1).alias("pos"), "instruction", "input", "output")

@@ -12,6 +12,7 @@ import json
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import jsonx as J
 
@@ -158,6 +159,21 @@ def minify(df: DataFrame, col: str = "output", exact: bool = False) -> DataFrame
     return df.withColumn(col, fn(F.col(col)))
 
 
+@F.pandas_udf(T.StringType())
+def _with_output(text: pd.Series, output: pd.Series) -> pd.Series:
+    def one(t, o):
+        record = json.loads(t)
+        record["output"] = o
+        return json.dumps(record, ensure_ascii=False)
+
+    return pd.Series([one(t, o) if t is not None else None for t, o in zip(text, output)])
+
+
+def rewrite_output(df: DataFrame, text: str = "text", col: str = "output") -> DataFrame:
+    """Put the (minified) output back into the record's own text; key order and the other values stay as written."""
+    return df.withColumn(text, _with_output(F.col(text), F.col(col)))
+
+
 def project_record(df: DataFrame, item: str = "item", keep_item: bool = False) -> DataFrame:
     """Typed view of a record: instruction/input/output as text (JSON text for non-strings)."""
     it = F.col(item)

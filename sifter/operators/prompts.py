@@ -10,7 +10,6 @@ from __future__ import annotations
 import string
 from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,6 +18,7 @@ from .rank import global_rank, pos_bucket
 # Sampling and plan defaults of the generator.
 SAMPLE_SIZE = 3
 BATCH_SIZE = 50
+REQUEST_BLOCK = 10_000  # requests planned from one array
 SEED = 42
 
 # The few-shot prompt text, as format strings.
@@ -43,10 +43,10 @@ PROMPT_TEMPLATE = {
 
 
 def draw(seed: int, key: Column, slot) -> Column:
-    """A 32-bit hash draw for (seed, key, slot) as BIGINT."""
+    """A 60-bit hash draw for (seed, key, slot) as BIGINT."""
     slot_c = slot if isinstance(slot, Column) else F.lit(str(slot))
     h = F.md5(F.concat(F.lit(f"{seed}:"), key.cast("string"), F.lit(":"), slot_c.cast("string")))
-    return F.conv(F.substring(h, 1, 8), 16, 10).cast("bigint")
+    return F.conv(F.substring(h, 1, 15), 16, 10).cast("bigint")
 
 
 def fill(template: str, values: dict[str, Column]) -> Column:
@@ -64,18 +64,13 @@ def fill(template: str, values: dict[str, Column]) -> Column:
 # ------------------------------------------------------------------ P1, P2
 
 
-def sample_seeds(prompts: DataFrame, seeds: DataFrame, k: int = SAMPLE_SIZE, seed: int = SEED, key: str = "prompt_id") -> DataFrame:
-    """k distinct seed records per prompt, uniformly without replacement.
+POOL_BYTES = 64 << 20  # a seed pool whose columns take up to this many bytes (checked) is broadcast
 
-    Draw j picks uniformly among the m - j seeds not chosen yet (one hash per
-    draw, mapped past the earlier picks), so each prompt yields k distinct
-    seed indices. The picks are then joined to the seed pool on the index: an
-    equi-join, not a prompts x seeds product. Fails when the pool has fewer
-    than k seeds. Output: key, ``rank`` (1..k, sample order), seed columns.
-    """
-    indexed = global_rank(seeds, ["pos"], pos_bucket("pos"), name="_idx").withColumn("_idx", F.col("_idx") - 1)
-    m = seeds.select(F.count(F.lit(1))).scalar()
-    p = prompts.select(key).withColumn("_m", m)
+
+def _picks(prompts: DataFrame, pool: DataFrame, k: int, seed: int, key: str) -> DataFrame:
+    """``prompts`` with ``_picks``: k distinct indices of the pool, in sample order."""
+    m = pool.select(F.count(F.lit(1))).scalar()
+    p = prompts.withColumn("_m", m)
     p = p.withColumn(
         "_m",
         F.when(F.col("_m") < k, F.raise_error(F.lit(f"seed pool smaller than sample size {k}"))).otherwise(F.col("_m")),
@@ -87,25 +82,72 @@ def sample_seeds(prompts: DataFrame, seeds: DataFrame, k: int = SAMPLE_SIZE, see
         return F.concat(acc, F.array(pick))
 
     picks = F.aggregate(F.sequence(F.lit(0), F.lit(k - 1)), F.array().cast("array<bigint>"), step)
-    chosen = p.select(key, F.posexplode(picks).alias("_j", "_idx"))
-    out = chosen.join(indexed, "_idx", "inner")
+    return p.withColumn("_picks", picks).drop("_m")
+
+
+def _indexed(seeds: DataFrame) -> DataFrame:
+    return global_rank(seeds, ["pos"], pos_bucket("pos"), name="_idx").withColumn("_idx", F.col("_idx") - 1)
+
+
+def _small(pool: DataFrame) -> bool:
+    """Whether all columns of the pool together stay within ``POOL_BYTES`` (one aggregate over the pool)."""
+    size = F.lit(0).cast("bigint")
+    for c, t in pool.dtypes:
+        size = size + (F.coalesce(F.octet_length(c), F.lit(0)) if t == "string" else F.lit(16))
+    return (pool.agg(F.sum(size)).first()[0] or 0) <= POOL_BYTES
+
+
+def sample_seeds(prompts: DataFrame, seeds: DataFrame, k: int = SAMPLE_SIZE, seed: int = SEED, key: str = "prompt_id") -> DataFrame:
+    """k distinct seed records per prompt, uniformly without replacement.
+
+    Draw j picks uniformly among the m - j seeds not chosen yet (one hash per
+    draw, mapped past the earlier picks), so each prompt yields k distinct
+    seed indices. The picks meet the seed pool by an equi-join on the index: a
+    broadcast one if the pool is small (checked), so the prompts are not
+    shuffled. Fails when the pool has fewer than k seeds. Output: key,
+    ``rank`` (1..k, sample order), seed columns.
+    """
+    pool = _indexed(seeds)
+    chosen = _picks(prompts.select(key), seeds, k, seed, key).select(key, F.posexplode("_picks").alias("_j", "_idx"))
+    out = chosen.join(F.broadcast(pool) if _small(seeds) else pool, "_idx", "inner")
     return out.select(key, (F.col("_j") + 1).alias("rank"), *[c for c in seeds.columns]).drop("_idx")
 
 
+def _example(template: dict, rank, input_: Column, output: Column) -> Column:
+    return fill(template["example"], {"idx": rank, "input": input_, "output": output})
+
+
+def _prompt_text(template: dict, n: Column, body: Column) -> Column:
+    return F.concat(fill(template["header"], {"n": n}), body, F.lit(template["footer"]))
+
+
 def build_prompts(sampled: DataFrame, prompts: DataFrame, template: dict = PROMPT_TEMPLATE, key: str = "prompt_id", n_col: str = "n_items") -> DataFrame:
     """One few-shot prompt per prompt row: header with n, numbered examples in
     sample order, footer (P2). A prompt's group holds only its k samples."""
     ex = sampled.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("rank", "input", "output"))).alias("_ex"))
-    body = F.array_join(
-        F.transform(
-            "_ex",
-            lambda e: fill(template["example"], {"idx": e["rank"], "input": e["input"], "output": e["output"]}),
-        ),
-        "",
-    )
+    body = F.array_join(F.transform("_ex", lambda e: _example(template, e["rank"], e["input"], e["output"])), "")
     joined = prompts.select(key, n_col).join(ex, key, "inner")
-    text = F.concat(fill(template["header"], {"n": F.col(n_col)}), body, F.lit(template["footer"]))
-    return joined.select(key, n_col, text.alias("prompt"))
+    return joined.select(key, n_col, _prompt_text(template, F.col(n_col), body).alias("prompt"))
+
+
+def sampled_prompts(
+    prompts: DataFrame, seeds: DataFrame, k: int = SAMPLE_SIZE, seed: int = SEED, template: dict = PROMPT_TEMPLATE, key: str = "prompt_id", n_col: str = "n_items"
+) -> DataFrame:
+    """P1 and P2 together: (key, n_items, prompt).
+
+    With a small pool (checked) every prompt row looks up its k seeds in a
+    broadcast table, one lookup per sample, and is finished where it lies: no
+    shuffle. A larger pool takes the join of :func:`sample_seeds`.
+    """
+    if not _small(seeds):
+        return build_prompts(sample_seeds(prompts, seeds, k, seed, key), prompts, template, key, n_col)
+    pool = _indexed(seeds).select("_idx", "input", "output")
+    rows = _picks(prompts.select(key, n_col), seeds, k, seed, key)
+    for j in range(k):
+        one = pool.select(F.col("_idx").alias(f"_i{j}"), _example(template, F.lit(j + 1), F.col("input"), F.col("output")).alias(f"_e{j}"))
+        rows = rows.withColumn("_at", F.element_at("_picks", j + 1)).join(F.broadcast(one), F.col("_at") == F.col(f"_i{j}"))
+    body = F.concat(*[F.col(f"_e{j}") for j in range(k)])
+    return rows.select(key, n_col, _prompt_text(template, F.col(n_col), body).alias("prompt"))
 
 
 # ---------------------------------------------------------------------- P3
@@ -116,10 +158,13 @@ def plan_requests(targets: DataFrame, batch: int = BATCH_SIZE) -> DataFrame:
 
     ``targets(run_id, target)`` -> ``(run_id, request_no, before, batch_size)``.
     """
-    n = F.ceil(F.col("target") / batch).cast("int")
-    rows = targets.select("run_id", "target", F.explode(F.sequence(F.lit(0), n - 1)).alias("request_no")).filter(
-        F.col("target") > 0
-    )
+    n = F.ceil(F.col("target") / batch).cast("bigint")
+    parts = targets.select("run_id", "target", n.alias("_n")).filter(F.col("target") > 0)
+    # in two steps, so a huge run is no single huge array
+    first = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_n") - 1, F.lit(REQUEST_BLOCK).cast("bigint")))
+    parts = parts.select("run_id", "target", "_n", first.alias("_from"))
+    upto = F.least(F.col("_from") + REQUEST_BLOCK, F.col("_n")) - 1
+    rows = parts.select("run_id", "target", F.explode(F.sequence("_from", upto)).alias("request_no"))
     before = (F.col("request_no") * batch).cast("bigint")
     return rows.select(
         "run_id",
@@ -132,36 +177,42 @@ def plan_requests(targets: DataFrame, batch: int = BATCH_SIZE) -> DataFrame:
 # ---------------------------------------------------------------------- P4
 
 
-def apply_generator(df: DataFrame, fn: Callable[[list[str]], list[str]], col: str = "prompt", keys: list[str] | None = None) -> DataFrame:
-    """Run a user generator over prompts in Arrow batches.
+def apply_generator(
+    df: DataFrame, fn: Callable[[list[str]], list[str]], col: str = "prompt", keys: list[str] | None = None, batch: int = 64
+) -> DataFrame:
+    """Run a user generator over prompts, ``batch`` at a time.
 
-    ``fn`` maps a list of prompts to a list of response bodies. A batch that
-    raises is retried row by row so each failure lands in ``error`` next to its
-    prompt instead of failing the task. Output: keys, ``body``, ``error``.
-    Write the result before parsing it, so a retried task does not call the
-    generator for rows already answered.
+    ``fn`` maps a list of prompts to a list of response bodies, one each. A
+    call that raises, or that returns another number of bodies, is an error of
+    its prompts: a batch of one is recorded with the error text, a larger one
+    is asked again in halves, so prompts already answered are not asked twice
+    beyond their failed batch. Output: keys, ``body``, ``error``. Write the
+    result before parsing it, so a retried task does not call the generator
+    for rows already answered.
     """
     keys = keys or [c for c in df.columns if c != col]
     key_schema = ", ".join(f"`{c}` {t}" for c, t in df.select(*keys).dtypes)
     schema = f"{key_schema}, body string, error string"
 
+    def ask(texts):
+        try:
+            bodies = list(fn(texts))
+            if len(bodies) != len(texts):
+                raise ValueError(f"generator returned {len(bodies)} bodies for {len(texts)} prompts")
+            return [(b, None) for b in bodies]
+        except Exception as exc:  # noqa: BLE001 - error text is data
+            if len(texts) == 1:
+                return [(None, str(exc))]
+        half = len(texts) // 2
+        return ask(texts[:half]) + ask(texts[half:])
+
     def run(batches):
         for pdf in batches:
             texts = pdf[col].tolist()
-            try:
-                bodies, errors = list(fn(texts)), [None] * len(texts)
-            except Exception:  # retry one by one to keep per-row errors
-                bodies, errors = [], []
-                for t in texts:
-                    try:
-                        bodies.append(fn([t])[0])
-                        errors.append(None)
-                    except Exception as exc:  # noqa: BLE001 - error text is data
-                        bodies.append(None)
-                        errors.append(str(exc))
+            answers = [a for at in range(0, len(texts), batch) for a in ask(texts[at : at + batch])]
             out = pdf[keys].copy()
-            out["body"] = bodies
-            out["error"] = errors
+            out["body"] = [a[0] for a in answers]
+            out["error"] = [a[1] for a in answers]
             yield out
 
     return df.select(*keys, col).mapInPandas(run, schema)
@@ -181,10 +232,6 @@ def echo_generator(texts: list[str]) -> list[str]:
     return out
 
 
-def echo_generator_pandas(s: pd.Series) -> pd.Series:
-    return pd.Series(echo_generator(s.tolist()))
-
-
 # ------------------------------------------------------------------ P5, P6
 
 # The procedural generator's instruction, task types, input

@@ -95,13 +95,27 @@ def request_actions(
     return out.drop("_delay", "_unavail", "_parse", "_timeout", "_quota", "_retry", "_smaller")
 
 
-def failure_streaks(log: DataFrame, limit: int = MAX_CONSECUTIVE_FAILURES) -> DataFrame:
-    """Add ``streak`` (failed requests in a row up to this one, 0 on success)
-    and ``stop_flag`` (streak reached ``limit``) (R11)."""
-    ok_seq = F.when(F.col("error").isNull(), F.col("seq"))
-    r = running(log, ["run_id"], ["seq"], seq_bucket(), maxes={"_last_ok": ok_seq})
-    streak = F.when(F.col("error").isNull(), F.lit(0)).otherwise(F.col("seq") - F.coalesce("_last_ok", F.lit(0)))
-    return r.withColumn("streak", streak.cast("bigint")).withColumn("stop_flag", F.col("streak") >= limit).drop("_last_ok")
+def failure_streaks(
+    log: DataFrame, limit: int = MAX_CONSECUTIVE_FAILURES, max_retries: int = MAX_RETRIES, **action_args
+) -> DataFrame:
+    """Add ``given_up`` (this attempt ended its batch without success), ``streak``
+    (batches given up in a row up to this attempt, 0 on success) and
+    ``stop_flag`` (a batch was given up and the streak reached ``limit``) (R11).
+
+    An attempt that is retried, waits or shrinks its batch does not count. A
+    batch is given up when it is skipped, or shrunk with no attempt left.
+    """
+    acted = request_actions(log, max_retries=max_retries, **action_args)
+    last = (F.col("action") == "shrink") & (F.col("attempt") >= max_retries - 1)
+    acted = acted.select(*log.columns, ((F.col("action") == "skip") | last).alias("given_up"))
+    ok = F.col("error").isNull()
+    lost = F.col("given_up").cast("bigint")
+    r = running(acted, ["run_id"], ["seq"], seq_bucket(), sums={"_lost": lost})
+    # the number given up by the last success so far: it never falls, so a running maximum finds it
+    r = running(r, ["run_id"], ["seq"], seq_bucket(), maxes={"_at_ok": F.when(ok, F.col("_lost"))})
+    streak = F.when(ok, F.lit(0)).otherwise(F.col("_lost") - F.coalesce("_at_ok", F.lit(0)))
+    r = r.withColumn("streak", streak.cast("bigint"))
+    return r.withColumn("stop_flag", F.col("given_up") & (F.col("streak") >= limit)).drop("_lost", "_at_ok")
 
 
 def run_progress(log: DataFrame, target: int = TARGET_COUNT) -> DataFrame:
@@ -120,8 +134,11 @@ def run_progress(log: DataFrame, target: int = TARGET_COUNT) -> DataFrame:
 
 
 def checkpoint_marks(progress: DataFrame, every: int = CHECKPOINT_EVERY) -> DataFrame:
-    """Successful requests whose running total is an exact multiple of ``every``."""
-    return progress.filter(F.col("error").isNull() & (F.col("total") > 0) & (F.col("total") % every == 0))
+    """Requests after which progress is saved (R13): successes that added items
+    and brought the running total to an exact multiple of ``every``, and, if
+    ``progress`` has an ``action`` (R8), requests that stop the run."""
+    full = F.col("error").isNull() & (F.col("accepted") > 0) & (F.col("total") % every == 0)
+    return progress.filter(full | (F.col("action") == "stop") if "action" in progress.columns else full)
 
 
 def rate_gaps(log: DataFrame, min_s: float = MIN_REQUEST_INTERVAL_SECONDS) -> DataFrame:

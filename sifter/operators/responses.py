@@ -6,8 +6,12 @@ rollup (A2), which is a partial + final hash aggregate.
 """
 from __future__ import annotations
 
+import json
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import jsonx as J
 from ..functions import text as X
@@ -19,6 +23,7 @@ ERR_CONTENT = "message.content"
 PARSE_ERROR = "parse_error"
 NO_VALID_ITEMS = "no_valid_items"
 OK = "ok"
+REQUEST_ERROR = "request_error"  # the request itself failed, there is no response
 
 
 def response_content(df: DataFrame, col: str = "body") -> DataFrame:
@@ -58,17 +63,28 @@ def _items_array(parsed: Column) -> Column:
     )
 
 
-def coerce_output(v: Column, exact: bool = False) -> Column:
-    """Item output as text: strings as they are, anything else as JSON text.
-
-    Native mode writes compact JSON from the VARIANT (object keys sorted);
-    ``exact=True`` re-serialises with Python (``, `` and ``: ``, key order kept).
-    """
+def coerce_output(v: Column) -> Column:
+    """Item output as text: strings as they are, anything else as compact JSON
+    text from the VARIANT (object keys sorted, numbers normalised) (G6)."""
     as_str = F.when(J.is_kind(v, "string"), F.try_variant_get(v, "$", "string"))
-    other = F.to_json(v)
-    if exact:
-        other = J.dumps_exact(other)
-    return F.coalesce(as_str, other)
+    return F.coalesce(as_str, F.to_json(v))
+
+
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def _outputs_exact(text: pd.Series) -> pd.Series:
+    """Per response: each item's output as Python's ``json`` would give it back (key order and numbers as written)."""
+
+    def one(t):
+        if t is None:
+            return None
+        try:
+            doc = json.loads(t)
+        except ValueError:
+            return None
+        outs = [i.get("output") if isinstance(i, dict) else None for i in (doc if isinstance(doc, list) else [doc])]
+        return [o if isinstance(o, str) else json.dumps(o, ensure_ascii=False) for o in outs]
+
+    return text.map(one)
 
 
 def _item_ok(it: Column) -> Column:
@@ -93,14 +109,18 @@ def parse_responses(df: DataFrame, col: str = "body", exact: bool = False):
     ``stats``: one row per response: ``n_items``, ``n_dropped``, ``status``
     (ok / parse_error / no_valid_items / an envelope error). Both are
     row-local: counts come from higher-order functions over the item array,
-    so no shuffle is needed.
+    so no shuffle is needed. ``exact=True`` takes an output that is not text
+    from the response as written (Python's ``json`` in an Arrow UDF), not from
+    the VARIANT.
     """
     keys = [c for c in df.columns if c != col]
     env = response_content(df, col)
     # the parse is materialised once (generator barrier) because the item
     # array reads it in several CASE branches, which codegen cannot share
-    parsed = once(env.select(*keys, "envelope_error", X.parse_json_text(F.col("content")).alias("_parsed")))
-    parsed = once(parsed.select(*keys, "envelope_error", _items_array(F.col("_parsed")).alias("_items")))
+    written = [X.extract_json_text(F.col("content")).alias("_written")] if exact else []
+    parsed = once(env.select(*keys, "envelope_error", X.parse_json_text(F.col("content")).alias("_parsed"), *written))
+    written = [_outputs_exact("_written").alias("_exact")] if exact else []
+    parsed = once(parsed.select(*keys, "envelope_error", _items_array(F.col("_parsed")).alias("_items"), *written))
     n_ok = n_elements(F.filter("_items", _item_ok))
     stats = parsed.select(
         *keys,
@@ -112,14 +132,17 @@ def parse_responses(df: DataFrame, col: str = "body", exact: bool = False):
         .otherwise(OK)
         .alias("status"),
     )
-    exploded = parsed.select(*keys, F.posexplode("_items").alias("item_idx", "item"))
+    exploded = parsed.select(*keys, *(["_exact"] if exact else []), F.posexplode("_items").alias("item_idx", "item"))
     it = F.col("item")
+    output = coerce_output(J.field(it, "output"))
+    if exact:
+        output = F.coalesce(F.try_element_at("_exact", F.col("item_idx") + 1), output)
     items = exploded.filter(_item_ok(it)).select(
         *keys,
         F.col("item_idx").cast("bigint").alias("item_idx"),
         _text(J.field(it, "instruction")).alias("instruction"),
         _text(J.field(it, "input")).alias("input"),
-        coerce_output(J.field(it, "output"), exact).alias("output"),
+        output.alias("output"),
     )
     return items, stats
 

@@ -46,14 +46,15 @@ def normalize(df: DataFrame) -> DataFrame:
 
     Missing instruction/input become ""; a missing output drops the record
     (``output_missing``), as does one that is blank after stripping
-    (``output_blank``).
+    (``output_blank``). A ``drop_reason`` that the rows already have stays.
     """
     ins = ustrip(F.coalesce(F.col("instruction"), F.lit("")))
     inp = ustrip(F.coalesce(F.col("input"), F.lit("")))
     out = ustrip(F.col("output"))
     staged = df.withColumn("instruction", ins).withColumn("input", inp).withColumn("output", out)
     reason = F.when(F.col("output").isNull(), "output_missing").when(F.col("output") == "", "output_blank")
-    return staged.withColumn("drop_reason", reason)
+    known = F.col("drop_reason") if "drop_reason" in df.columns else F.lit(None).cast("string")
+    return staged.withColumn("drop_reason", F.coalesce(known, reason))
 
 
 def _falsy(v: Column) -> Column:
@@ -82,6 +83,7 @@ def records_from_items(raw: DataFrame, item: str = "item") -> DataFrame:
     Python ``str()``).
     """
     it = F.col(item)
+    keys = [c for c in ("file", "pos") if c in raw.columns]
 
     def text(v: Column) -> Column:
         return F.when(J.is_kind(v, "string"), F.try_variant_get(v, "$", "string")).otherwise(F.to_json(v))
@@ -89,7 +91,7 @@ def records_from_items(raw: DataFrame, item: str = "item") -> DataFrame:
     ins, inp, out = J.field(it, "instruction"), J.field(it, "input"), J.field(it, "output")
     staged = once(
         raw.select(
-            "pos",
+            *keys,
             J.is_kind(it, "object").alias("_obj"),
             F.when(_falsy(ins), F.lit("")).otherwise(text(ins)).alias("instruction"),
             F.when(_falsy(inp), F.lit("")).otherwise(text(inp)).alias("input"),
@@ -143,8 +145,13 @@ def render_prompt(df: DataFrame, template: dict = CHATML) -> DataFrame:
     """Add ``prompt`` (messages through the chat template plus the generation
     prompt) and ``answer`` (output + end-of-sequence text) (T4, T5)."""
     pre = F.create_map(*[x for r, p in template["prefix"].items() for x in (F.lit(r), F.lit(p))])
+
+    def prefix(role: Column) -> Column:
+        # a role that the template lacks must not vanish from the prompt
+        return F.coalesce(F.try_element_at(pre, role), F.raise_error(F.concat(F.lit("Role not in the chat template: "), role)).cast("string"))
+
     body = F.array_join(
-        F.transform("messages", lambda m: F.concat(F.try_element_at(pre, m["role"]), m["content"], F.lit(template["suffix"]))),
+        F.transform("messages", lambda m: F.concat(prefix(m["role"]), m["content"], F.lit(template["suffix"]))),
         "",
     )
     return df.withColumn("prompt", F.concat(body, F.lit(template["generation"]))).withColumn(
@@ -153,8 +160,8 @@ def render_prompt(df: DataFrame, template: dict = CHATML) -> DataFrame:
 
 
 def code_points(c: Column) -> Column:
-    """Text -> array of Unicode code points (the default encoder, T6)."""
-    return F.transform(F.split(c, ""), lambda ch: F.ascii(ch))
+    """Text -> array of Unicode code points (the default encoder, T6); no text, no tokens."""
+    return F.when(c == "", F.array().cast("array<int>")).otherwise(F.transform(F.split(c, ""), lambda ch: F.ascii(ch)))
 
 
 def tokenizer_udf(fn: Callable[[list[str]], list[list[int]]]):
@@ -207,15 +214,25 @@ def build_samples(
 ):
     """Whole sample build -> ``(samples, drops)``.
 
-    ``samples``: pos, n_tokens, input_ids, attention_mask, labels. ``drops``:
-    one row per drop reason with its count (map-side partial aggregation).
+    ``samples``: pos (and file, if the records have one), n_tokens, n_masked
+    (leading tokens with no label), input_ids, attention_mask, labels.
+    ``drops``: one row per drop reason with its count (map-side partial
+    aggregation). Records may come with a ``drop_reason`` of their own
+    (:func:`records_from_items`); it is kept and counted.
     """
-    n = normalize(records.select("pos", "instruction", "input", "output"))
+    keys = [c for c in ("file", "pos") if c in records.columns]
+    known = [c for c in ("drop_reason",) if c in records.columns]
+    n = normalize(records.select(*keys, "instruction", "input", "output", *known))
     m = build_messages(n, system_prompt, instruction_as_system)
     keep = m.filter(F.col("drop_reason").isNull())
     enc = encode(render_prompt(keep, template), encoder, max_length)
     samples = enc.filter(F.col("drop_reason").isNull()).select(
-        "pos", F.size("input_ids").alias("n_tokens"), "input_ids", "attention_mask", "labels"
+        *keys,
+        F.size("input_ids").alias("n_tokens"),
+        F.size(F.filter("labels", lambda x: x == IGNORE_INDEX)).alias("n_masked"),
+        "input_ids",
+        "attention_mask",
+        "labels",
     )
     dropped = m.filter(F.col("drop_reason").isNotNull()).select("drop_reason").unionByName(
         enc.filter(F.col("drop_reason").isNotNull()).select("drop_reason")
@@ -245,42 +262,32 @@ def assign_batches(df: DataFrame, size: int, within: list[str] | None = None) ->
     return ranked.withColumn("batch_id", F.floor((F.col("_r") - 1) / size).cast("bigint")).drop("_r")
 
 
-def pad_batches(df: DataFrame, pad_id: int | None = 0, eos_id: int | None = None, within: list[str] | None = None) -> DataFrame:
-    """Right-pad each batch to its own longest sample.
-
-    ids with ``pad_id`` (``eos_id`` when there is no pad id), attention with 0,
-    labels with -100. Adds ``width``.
-    """
-    pad = pad_id if pad_id is not None else eos_id
-    if pad is None:
-        raise ValueError("need a pad id or an eos id")
-    w = Window.partitionBy(*(within or []), "batch_id")
-    staged = df.withColumn("width", F.max(F.size("input_ids")).over(w))
-    staged = staged.withColumn("_gap", F.col("width") - F.size("input_ids"))
-    gap = F.col("_gap")
-
-    def padded(c: str, v: int) -> Column:
-        return F.concat(F.col(c), F.array_repeat(F.lit(v), gap))
-
-    return (
-        staged.withColumn("input_ids", padded("input_ids", pad))
-        .withColumn("attention_mask", padded("attention_mask", 0))
-        .withColumn("labels", padded("labels", IGNORE_INDEX))
-        .drop("_gap")
-    )
-
-
 def split_sizes(df: DataFrame) -> DataFrame:
     """Rows per split (A4)."""
     return df.groupBy("split").agg(F.count(F.lit(1)).alias("n"))
 
 
+def dense_positions(samples: DataFrame) -> DataFrame:
+    """Replace (file, pos) by one dense ``pos`` over all files, so that rows of
+    many files never share a position. Files follow each other in hash order,
+    rows of a file in ``pos`` order; rows without a ``file`` are ordered by
+    ``pos`` alone. Repeated positions get their own numbers, NULL ones come first."""
+    part = pos_bucket("pos")
+    if "file" in samples.columns:
+        h = F.shiftrightunsigned(F.xxhash64("file"), 33)
+        placed = global_rank(samples, [h, part, "file", "pos"], [h, part], name="_r").drop("file")
+    else:
+        placed = global_rank(samples, ["pos"], part, name="_r")
+    return placed.withColumn("pos", F.col("_r") - 1).drop("_r")
+
+
 def collate_plan(samples: DataFrame, batch_size: int, ratio: float = EVAL_RATIO, seed: int = SPLIT_SEED) -> DataFrame:
     """Split, batches and batch widths from the narrow columns only.
 
     Reads ``pos`` and ``n_tokens`` (from a written samples table that is a
     column-pruned scan), so the ranking shuffles move two numbers per row,
-    not the token arrays. Output: pos, split, batch_id, width.
+    not the token arrays. ``pos`` must be unique (:func:`dense_positions`).
+    Output: pos, split, batch_id, width.
     """
     keys = samples.select("pos", "n_tokens")
     planned = assign_batches(split_exact(keys, ratio, seed), batch_size, within=["split"])
@@ -289,19 +296,26 @@ def collate_plan(samples: DataFrame, batch_size: int, ratio: float = EVAL_RATIO,
 
 
 def collate(samples: DataFrame, plan: DataFrame, pad_id: int | None = 0, eos_id: int | None = None) -> DataFrame:
-    """Join the plan to the samples (the one shuffle that moves token arrays)
-    and right-pad every row to its batch width (T13)."""
+    """Join the plan to the samples (the one shuffle that moves tokens) and
+    right-pad every row to its batch width (T13): ids with ``pad_id``
+    (``eos_id`` when there is no pad id), attention with 0, labels with -100.
+
+    Only ``pos``, ``n_masked`` and ``input_ids`` cross the shuffle: the mask
+    and the labels follow from them.
+    """
     pad = pad_id if pad_id is not None else eos_id
     if pad is None:
         raise ValueError("need a pad id or an eos id")
-    j = samples.drop("n_tokens").join(plan, "pos", "inner")
-    gap = F.col("width") - F.size("input_ids")
+    j = samples.select("pos", "n_masked", "input_ids").join(plan, "pos", "inner")
+    n = F.size("input_ids")
+    gap = F.col("width") - n
+    learn = F.slice("input_ids", F.col("n_masked") + 1, n - F.col("n_masked"))
     return j.select(
         "pos",
         "split",
         "batch_id",
         "width",
         F.concat("input_ids", F.array_repeat(F.lit(pad), gap)).alias("input_ids"),
-        F.concat("attention_mask", F.array_repeat(F.lit(0), gap)).alias("attention_mask"),
-        F.concat("labels", F.array_repeat(F.lit(IGNORE_INDEX), gap)).alias("labels"),
+        F.concat(F.array_repeat(F.lit(1), n), F.array_repeat(F.lit(0), gap)).alias("attention_mask"),
+        F.concat(F.array_repeat(F.lit(IGNORE_INDEX), F.col("n_masked")), learn, F.array_repeat(F.lit(IGNORE_INDEX), gap)).alias("labels"),
     )

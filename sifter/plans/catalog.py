@@ -71,10 +71,14 @@ def c9_minify(spark, sf):
 
 @query("c11_clean_job")
 def c11_clean_job(spark, sf):
-    kept, _, _ = J.clean_job(A.raw_records(spark, sf), minify_output=True)
-    return kept.select(
-        "pos", "instruction", "input", "output", C.J.field(F.col("item"), "meta").isNotNull().alias("has_extra")
-    )
+    """The job from path to path: records landed as JSON Lines, cleaned files read back."""
+    from ..sources.records import read_records_lines, write_records
+
+    base = X_.stream_location(spark, "c11")
+    write_records(A.raw_records_text(spark, sf).withColumnRenamed("item_text", "item"), f"{base}/in", "jsonl")
+    J.clean_files(spark, f"{base}/in", f"{base}/out", minify_output=True)
+    kept = C.project_record(read_records_lines(spark, f"{base}/out/clean"), keep_item=True)
+    return kept.select("instruction", "input", "output", C.J.field(F.col("item"), "meta").isNotNull().alias("has_extra"))
 
 
 # ---------------------------------------------------------------- responses
@@ -97,7 +101,7 @@ def g3_extract_json_text(spark, sf):
 
 @query("g6_items")
 def g6_items(spark, sf):
-    items, _ = R.parse_responses(A.responses(spark, sf))
+    items, _ = R.parse_responses(A.responses(spark, sf), exact=True)
     return items
 
 
@@ -149,7 +153,7 @@ def r8_actions(spark, sf):
 
 @query("r11_failure_streaks")
 def r11_failure_streaks(spark, sf):
-    return Q.failure_streaks(A.request_log(spark, sf)).select("run_id", "seq", "streak")
+    return Q.failure_streaks(A.request_log(spark, sf)).select("run_id", "seq", "given_up", "streak", "stop_flag")
 
 
 @query("r12_run_progress")
@@ -159,7 +163,8 @@ def r12_run_progress(spark, sf):
 
 @query("r13_checkpoint_marks")
 def r13_checkpoint_marks(spark, sf):
-    return Q.checkpoint_marks(Q.run_progress(A.request_log(spark, sf))).select("run_id", "seq", "total")
+    progress = Q.run_progress(Q.request_actions(A.request_log(spark, sf)))
+    return Q.checkpoint_marks(progress).select("run_id", "seq", "action", "total")
 
 
 @query("r14_rate_gaps")
@@ -182,7 +187,7 @@ def h2_episodes(spark, sf):
 
 @query("h3_histories")
 def h3_histories(spark, sf):
-    return H.history_digest(A.transcript(spark, sf)).select("conv_id", "turn", "episode", "n_messages", "history_fp")
+    return H.message_table(A.transcript(spark, sf))
 
 
 @query("h4_join_chunks")
@@ -238,30 +243,29 @@ def t10_samples(spark, sf):
 
 @query("a3_sample_drops")
 def a3_sample_drops(spark, sf):
-    _, drops = _samples(spark, sf)
+    _, drops = S.build_samples(S.records_from_items(A.raw_records(spark, sf)))
     return drops
 
 
-def _staged_samples(spark, sf):
+def _staged_samples(spark, sf, *columns):
+    """The samples' columns that a query needs, tokenised once."""
     samples, _ = _samples(spark, sf)
-    return J.stage(samples, "samples")
+    return J.stage(samples.select("pos", "n_tokens", *columns), "samples")
 
 
 @query("t11_split")
 def t11_split(spark, sf):
-    samples, _ = _samples(spark, sf)
-    return S.split_exact(samples.select("pos")).select("pos", "split")
+    return S.split_exact(_staged_samples(spark, sf).select("pos")).select("pos", "split")
 
 
 @query("a4_split_sizes")
 def a4_split_sizes(spark, sf):
-    samples, _ = _samples(spark, sf)
-    return S.split_sizes(S.split_exact(samples.select("pos")))
+    return S.split_sizes(S.split_exact(_staged_samples(spark, sf).select("pos")))
 
 
 @query("t13_padded_batches")
 def t13_padded_batches(spark, sf):
-    samples = _staged_samples(spark, sf)
+    samples = _staged_samples(spark, sf, "n_masked", "input_ids")
     b = S.collate(samples, S.collate_plan(samples, 8))
     return b.select(
         "split", "batch_id", "pos", "width",
@@ -279,8 +283,7 @@ def p1_sample_seeds(spark, sf):
 
 
 def _prompts(spark, sf):
-    pr = A.prompts(spark, sf)
-    return P.build_prompts(P.sample_seeds(pr, A.seeds(spark, sf)), pr)
+    return P.sampled_prompts(A.prompts(spark, sf), A.seeds(spark, sf))
 
 
 @query("p2_build_prompts")
@@ -315,9 +318,12 @@ def p5_procedural(spark, sf):
 
 @query("s4_append_batch")
 def s4_append_batch(spark, sf):
-    from ..sources.records import append_batch
+    """Seeds written, the generated batch appended to them, the table read back."""
+    from ..sources.records import append_batch_to
 
-    return append_batch(A.seeds(spark, sf), A.generated(spark, sf)).select("pos", "input", "output")
+    path = X_.stream_location(spark, "s4")
+    A.seeds(spark, sf).select("pos", "input", "output").write.parquet(path)
+    return append_batch_to(spark, path, A.generated(spark, sf).select("pos", "input", "output")).table
 
 
 @query("s5_checkpoint")
@@ -374,7 +380,15 @@ def x1_stream_clean(spark, sf):
     base = X_.stream_location(spark, "x1")
     q = X_.stream_clean(_landed_records(spark, sf), f"{base}/out", f"{base}/checkpoint")
     q.awaitTermination()
-    return spark.read.parquet(f"{base}/out/clean").select("pos", "instruction", "input", "output")
+    one = F.lit(1).cast("bigint").alias("n")
+    none = [F.lit(None).cast("string").alias(c) for c in C.RECORD_KEYS]
+    kept = spark.read.parquet(f"{base}/out/clean").select(F.lit("clean").alias("output_of"), "pos", F.lit("valid").alias("label"), *C.RECORD_KEYS, one)
+    rejected = spark.read.parquet(f"{base}/out/quarantine").select(F.lit("quarantine").alias("output_of"), "pos", "label", *none, one)
+    labels = ("valid", *C.ERROR_LABELS)
+    counts = F.inline(F.array(*[F.struct(F.lit(c).alias("label"), F.col(c).alias("n")) for c in labels]))
+    report = spark.read.parquet(f"{base}/out/reports").select(counts).groupBy("label").agg(F.sum("n").alias("n")).filter("n > 0")
+    report = report.select(F.lit("report").alias("output_of"), F.lit(None).cast("bigint").alias("pos"), "label", *none, "n")
+    return kept.unionByName(rejected).unionByName(report)
 
 
 @query("x2_stream_report")
@@ -386,13 +400,9 @@ def x2_stream_report(spark, sf):
 def x3_stream_histories(spark, sf):
     land = X_.stream_location(spark, "landing-transcript")
     t = A.transcript(spark, sf)
-    # land in turn order, two turns per file set, so state carries across micro-batches
-    top = t.agg(F.max("turn")).first()[0] or 0
-    for lo in range(0, int(top) + 1, 2):
-        t.filter((F.col("turn") >= lo) & (F.col("turn") < lo + 2)).coalesce(1).write.mode("append").parquet(land)
-    stream = spark.readStream.schema("conv_id long, turn long, role string, text string").option("maxFilesPerTrigger", 1).parquet(land)
-    h = X_.run_to_table(spark, X_.stream_history_digest(stream), "x3")
-    return h.select("conv_id", "turn", "episode", "n_messages", "history_fp")
+    t.write.parquet(land)
+    stream = spark.readStream.schema("conv_id long, turn long, role string, text string").parquet(land)
+    return X_.run_to_table(spark, X_.stream_messages(stream), "x3").drop("batch_id")
 
 
 # ------------------------------------------------------------ file sources
@@ -401,7 +411,7 @@ def x3_stream_histories(spark, sf):
 @query("s1_read_array_files")
 def s1_read_array_files(spark, sf):
     """Land the records as JSON-array files (one bounded array per file, in
-    position order), read them back with the array reader, report labels."""
+    position order), read them back with the array reader: places, labels, texts."""
     from ..sources.records import read_records
 
     land = X_.stream_location(spark, "landing-arrays")
@@ -414,19 +424,20 @@ def s1_read_array_files(spark, sf):
         ).alias("value")
     )
     arrays.write.partitionBy("chunk").text(land)
-    raw = read_records(spark, f"{land}/*/*.txt")
-    return C.classify(raw.select("pos", "item")).groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+    raw = read_records(spark, f"{land}/*/*.txt", with_text=True)
+    chunk = F.regexp_extract("file", "chunk=([0-9]+)", 1).cast("bigint").alias("chunk")
+    return C.classify(raw).select(chunk, "pos", "label", F.md5("text").alias("text_md5"))
 
 
 @query("s2_read_lines")
 def s2_read_lines(spark, sf):
-    """Write the records as JSON Lines (S3), read them back line by line (S2), report labels."""
+    """Write the records as JSON Lines (S3), read them back line by line (S2): labels and texts."""
     from ..sources.records import read_records_lines, write_records
 
     land = X_.stream_location(spark, "landing-lines")
-    write_records(A.raw_records(spark, sf), land, "jsonl")
+    write_records(A.raw_records_text(spark, sf).withColumnRenamed("item_text", "item"), land, "jsonl")
     raw = read_records_lines(spark, land)
-    return C.classify(raw.select("pos", "item")).groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+    return C.classify(raw).groupBy("label", F.md5("text").alias("text_md5")).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("t1_items_normalize")

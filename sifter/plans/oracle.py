@@ -6,6 +6,24 @@ DuckDB's dialect. DuckDB string literals do not process backslashes, so
 """
 from __future__ import annotations
 
+import string as _string
+
+from .oracle_values import (
+    DELAY_KEYS,
+    ERROR_TEXTS,
+    HMS,
+    JSON_PARSE,
+    MODEL_UNAVAILABLE,
+    PROC_INSTRUCTION,
+    PROMPT_TEMPLATE,
+    QUOTA,
+    RETRIABLE,
+    SECONDS_KEY,
+    SECONDS_ONLY,
+    TASKS,
+    TIMEOUT,
+)
+
 # ------------------------------------------------------------- text builders
 
 
@@ -132,7 +150,7 @@ SELECT pos, regexp_replace(item ->> '$.output', {MINIFY}) AS output
 FROM classified WHERE label = 'valid'"""
 
 ORACLE["c11_clean_job"] = with_(RAW_RECORDS, CLASSIFIED) + f"""
-SELECT pos, item ->> '$.instruction' AS instruction, item ->> '$.input' AS input,
+SELECT item ->> '$.instruction' AS instruction, item ->> '$.input' AS input,
   regexp_replace(item ->> '$.output', {MINIFY}) AS output,
   json_extract(item, '$.meta') IS NOT NULL AS has_extra
 FROM classified WHERE label = 'valid'"""
@@ -154,13 +172,15 @@ def _good(n: int) -> str:
 
 
 _ARR = f"('[' || {_good(1)} || ', ' || {_good(2)} || ']')"
+_WRITTEN = """('{"score": ' || CAST(user_id AS VARCHAR) || '.0, "props": ' || props || ', "ids": [1, 2.5, 12345678901234567890' || CAST(event_id AS VARCHAR) || ']}')"""
+
 _CONTENT = f"""CASE event_id % 10
       WHEN 0 THEN {_ARR}
       WHEN 1 THEN '```json' || chr(10) || {_ARR} || chr(10) || '```'
       WHEN 2 THEN 'Here are the items:' || chr(10) || {_ARR} || chr(10) || 'Done.'
       WHEN 3 THEN {_good(1)}
       WHEN 4 THEN '[' || {_good(1)} || ', 3, {{"instruction": "x"}}]'
-      WHEN 5 THEN '[{{"instruction": ' || {jstr(lit(INSTRUCTION))} || ', "input": "coerce ' || CAST(event_id AS VARCHAR) || '", "output": ' || props || '}}]'
+      WHEN 5 THEN '[{{"instruction": ' || {jstr(lit(INSTRUCTION))} || ', "input": "coerce ' || CAST(event_id AS VARCHAR) || '", "output": ' || {_WRITTEN} || '}}]'
       WHEN 6 THEN '[{{"instruction": "x", '
       ELSE CASE WHEN user_id % 2 = 0 THEN '42' ELSE 'Here: {{"a":[' || CAST(user_id AS VARCHAR) || ']}}' END
     END"""
@@ -239,10 +259,11 @@ ORACLE["g1_response_content"] = _RESP + "SELECT run_id, request_id, envelope_err
 
 ORACLE["g3_extract_json_text"] = _RESP + "SELECT request_id, stripped, extracted FROM extracted"
 
-ORACLE["g6_items"] = _RESP + """
+# an output that is no text is kept as it was written, not as a JSON library would print it
+ORACLE["g6_items"] = _RESP + f"""
 SELECT run_id, request_id, CAST(item_idx AS BIGINT) AS item_idx, it ->> '$.instruction' AS instruction, it ->> '$.input' AS input,
-  CASE WHEN json_type(it, '$.output') = 'VARCHAR' THEN it ->> '$.output' ELSE CAST(json_extract(it, '$.output') AS VARCHAR) END AS output
-FROM items_flag WHERE ok"""
+  CASE WHEN json_type(it, '$.output') = 'VARCHAR' THEN it ->> '$.output' ELSE {_WRITTEN} END AS output
+FROM items_flag JOIN events ON event_id = request_id WHERE ok"""
 
 _STATS = """
 stats AS (
@@ -267,9 +288,6 @@ FROM stats GROUP BY run_id"""
 
 # ---------------------------------------------------------------- request_log
 
-from ..sources.adapters import ERROR_TEXTS  # noqa: E402
-from ..functions import errors as _E  # noqa: E402
-
 _ERR = "CASE event_id % 12 " + " ".join(
     f"WHEN {i} THEN {lit(t)}" for i, t in enumerate(ERROR_TEXTS) if t is not None
 ) + " END"
@@ -290,7 +308,7 @@ def markers_sql(x: str, markers) -> str:
 
 def dur_sql(t: str) -> str:
     s = ustrip_sql(t)
-    hms = _E.HMS
+    hms = HMS
 
     def num(i):
         return f"TRY_CAST(nullif(regexp_extract({s}, '{hms}', {i}), '') AS DOUBLE)"
@@ -298,25 +316,25 @@ def dur_sql(t: str) -> str:
     total = f"(coalesce({num(1)} * 3600, 0) + coalesce({num(2)} * 60, 0) + coalesce({num(3)}, 0))"
     return (
         f"(CASE WHEN {s} = '' THEN NULL "
-        f"WHEN regexp_matches({s}, '{_E.SECONDS_ONLY}') THEN CAST(ceil(CAST(regexp_extract({s}, '{_E.SECONDS_ONLY}', 1) AS DOUBLE)) AS BIGINT) "
+        f"WHEN regexp_matches({s}, '{SECONDS_ONLY}') THEN CAST(ceil(CAST(regexp_extract({s}, '{SECONDS_ONLY}', 1) AS DOUBLE)) AS BIGINT) "
         f"WHEN regexp_matches({s}, '{hms}') AND {total} > 0 THEN CAST(ceil({total}) AS BIGINT) END)"
     )
 
 
 def delay_sql(e: str) -> str:
-    tries = [dur_sql(f"""regexp_extract({e}, '"{k}"\\s*:\\s*"([^"]+)"', 1)""") for k in _E.DELAY_KEYS]
-    secs = f"""TRY_CAST(nullif(regexp_extract({e}, '"{_E.SECONDS_KEY}"\\s*:\\s*(\\d+)', 1), '') AS BIGINT)"""
+    tries = [dur_sql(f"""regexp_extract({e}, '"{k}"\\s*:\\s*"([^"]+)"', 1)""") for k in DELAY_KEYS]
+    secs = f"""TRY_CAST(nullif(regexp_extract({e}, '"{SECONDS_KEY}"\\s*:\\s*(\\d+)', 1), '') AS BIGINT)"""
     return "coalesce(" + ", ".join(tries + [secs]) + ")"
 
 
 _LOG = with_(REQUEST_LOG)
 
 ORACLE["r5_error_markers"] = _LOG + f"""
-SELECT run_id, seq, {markers_sql('error', _E.RETRIABLE_MARKERS)} AS is_retriable,
-  {markers_sql('error', _E.QUOTA_MARKERS)} AS is_quota,
-  {markers_sql('error', _E.JSON_PARSE_MARKERS)} AS is_json_parse,
-  {markers_sql('error', _E.TIMEOUT_MARKERS)} AS is_timeout,
-  {markers_sql('error', _E.MODEL_UNAVAILABLE_MARKERS)} AS is_model_unavailable
+SELECT run_id, seq, {markers_sql('error', RETRIABLE)} AS is_retriable,
+  {markers_sql('error', QUOTA)} AS is_quota,
+  {markers_sql('error', JSON_PARSE)} AS is_json_parse,
+  {markers_sql('error', TIMEOUT)} AS is_timeout,
+  {markers_sql('error', MODEL_UNAVAILABLE)} AS is_model_unavailable
 FROM request_log"""
 
 _DTEXT = """regexp_extract(error, '"(?:retryDelay|quotaResetDelay|reset_time|resetTime)"\\s*:\\s*"([^"]+)"', 1)"""
@@ -330,45 +348,55 @@ ORACLE["r7_retry_delay"] = _LOG + f"SELECT run_id, seq, {delay_sql('error')} AS
 _SHRUNK = "(CASE WHEN greatest(5, batch_size // 2) = batch_size THEN greatest(1, batch_size - 1) ELSE greatest(5, batch_size // 2) END)"
 _CAN = f"(batch_size > 1 AND {_SHRUNK} < batch_size)"
 
-ORACLE["r8_actions"] = with_(REQUEST_LOG, f"""
+_ACT = f"""
 act AS (
-  SELECT run_id, seq, attempt, batch_size, {delay_sql('error')} AS delay,
+  SELECT run_id, seq, attempt, batch_size, n_items, error, {delay_sql('error')} AS delay,
     CASE WHEN error IS NULL THEN 'success'
-      WHEN {markers_sql('error', _E.MODEL_UNAVAILABLE_MARKERS)} THEN 'stop'
-      WHEN {markers_sql('error', _E.JSON_PARSE_MARKERS)} AND {_CAN} THEN 'shrink'
-      WHEN {markers_sql('error', _E.TIMEOUT_MARKERS)} AND {_CAN} THEN 'shrink'
-      WHEN {markers_sql('error', _E.QUOTA_MARKERS)} THEN 'stop'
-      WHEN {markers_sql('error', _E.RETRIABLE_MARKERS)} AND attempt < 4 THEN 'backoff'
+      WHEN {markers_sql('error', MODEL_UNAVAILABLE)} THEN 'stop'
+      WHEN {markers_sql('error', JSON_PARSE)} AND {_CAN} THEN 'shrink'
+      WHEN {markers_sql('error', TIMEOUT)} AND {_CAN} THEN 'shrink'
+      WHEN {markers_sql('error', QUOTA)} THEN 'stop'
+      WHEN {markers_sql('error', RETRIABLE)} AND attempt < 4 THEN 'backoff'
       ELSE 'skip' END AS action
   FROM request_log
-)""") + f"""
+)"""
+
+ORACLE["r8_actions"] = with_(REQUEST_LOG, _ACT) + f"""
 SELECT run_id, seq, action,
   CAST(CASE WHEN action = 'backoff' THEN coalesce(delay, (attempt + 1) * 5) END AS BIGINT) AS wait_s,
   CAST(CASE WHEN action = 'success' THEN (CASE WHEN batch_size < 50 THEN least(50, batch_size + 5) ELSE batch_size END)
        WHEN action = 'shrink' THEN {_SHRUNK} ELSE batch_size END AS INTEGER) AS next_batch_size
 FROM act"""
 
-ORACLE["r11_failure_streaks"] = _LOG + """
-SELECT run_id, seq,
-  CAST(CASE WHEN error IS NULL THEN 0 ELSE seq - coalesce(max(CASE WHEN error IS NULL THEN seq END)
-    OVER (PARTITION BY run_id ORDER BY seq ROWS UNBOUNDED PRECEDING), 0) END AS BIGINT) AS streak
-FROM request_log"""
+# Walks each run in order: a success sets the streak to 0, a batch that ends
+# without one adds 1, every other attempt leaves it as it is.
+ORACLE["r11_failure_streaks"] = with_(REQUEST_LOG, _ACT, """
+lost AS (
+  SELECT run_id, seq, error IS NULL AS ok, action = 'skip' OR (action = 'shrink' AND attempt + 1 >= 5) AS given_up FROM act
+),
+spans AS (
+  SELECT *, sum(CASE WHEN ok THEN 1 ELSE 0 END) OVER (PARTITION BY run_id ORDER BY seq ROWS UNBOUNDED PRECEDING) AS span FROM lost
+),
+counted AS (
+  SELECT *, CAST(sum(CASE WHEN given_up THEN 1 ELSE 0 END) OVER (PARTITION BY run_id, span ORDER BY seq ROWS UNBOUNDED PRECEDING) AS BIGINT) AS streak
+  FROM spans
+)""") + "SELECT run_id, seq, given_up, streak, given_up AND streak >= 20 AS stop_flag FROM counted"
 
-_PROG = with_(REQUEST_LOG, """
+_PROG = with_(REQUEST_LOG, _ACT, """
 prog AS (
-  SELECT run_id, seq, error, CAST(CASE WHEN error IS NULL THEN n_items ELSE 0 END AS BIGINT) AS got,
+  SELECT run_id, seq, action, error, CAST(CASE WHEN error IS NULL THEN n_items ELSE 0 END AS BIGINT) AS got,
     sum(CASE WHEN error IS NULL THEN n_items ELSE 0 END) OVER (PARTITION BY run_id ORDER BY seq ROWS UNBOUNDED PRECEDING) AS run
-  FROM request_log
+  FROM act
 ),
 prog2 AS (
-  SELECT run_id, seq, error, CAST(least(run, 2000) AS BIGINT) AS total, CAST(least(run - got, 2000) AS BIGINT) AS before FROM prog
+  SELECT run_id, seq, action, error, CAST(least(run, 2000) AS BIGINT) AS total, CAST(least(run - got, 2000) AS BIGINT) AS before FROM prog
 )""")
 
 ORACLE["r12_run_progress"] = _PROG + """
 SELECT run_id, seq, total, total - before AS accepted, 2000 - total AS remaining FROM prog2"""
 
 ORACLE["r13_checkpoint_marks"] = _PROG + """
-SELECT run_id, seq, total FROM prog2 WHERE error IS NULL AND total > 0 AND total % 100 = 0"""
+SELECT run_id, seq, action, total FROM prog2 WHERE (error IS NULL AND total > before AND total % 100 = 0) OR action = 'stop'"""
 
 ORACLE["r14_rate_gaps"] = _LOG + """
 SELECT run_id, seq, gap_s, CASE WHEN gap_s < 1.0 THEN 1.0 - gap_s ELSE 0.0 END AS wait_s
@@ -383,13 +411,12 @@ conv_sys AS (
     last_value(CASE WHEN role = 'system' THEN text END IGNORE NULLS)
       OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS sys,
     lead(role) OVER (PARTITION BY conv_id ORDER BY turn) AS next_role,
-    lead(text) OVER (PARTITION BY conv_id ORDER BY turn) AS next_text,
-    lead(turn) OVER (PARTITION BY conv_id ORDER BY turn) AS next_turn
+    lead(text) OVER (PARTITION BY conv_id ORDER BY turn) AS next_text
   FROM conversations
 ),
 sft_records AS (
-  SELECT conv_id * 1000000 + turn AS pos, coalesce(sys, '') AS instruction, text AS input, next_text AS output
-  FROM conv_sys WHERE role = 'user' AND next_role = 'assistant' AND next_turn = turn + 1
+  SELECT row_number() OVER (ORDER BY conv_id, turn) - 1 AS pos, coalesce(sys, '') AS instruction, text AS input, next_text AS output
+  FROM conv_sys WHERE role = 'user' AND next_role = 'assistant'
 )"""
 
 ORACLE["h5_transcript_records"] = with_(SFT_RECORDS) + "SELECT pos, instruction, input, output FROM sft_records"
@@ -455,12 +482,6 @@ SELECT pos, CAST(n_prompt AS INTEGER) AS n_prompt, CAST(n_answer AS INTEGER) AS
   md5(array_to_string(input_ids, ',')) AS ids_md5, md5(array_to_string(labels, ',')) AS labels_md5
 FROM samples WHERE len(list_filter(labels, lambda x: x <> -100)) > 0"""
 
-ORACLE["a3_sample_drops"] = _T + """
-SELECT drop_reason, count(*) AS n FROM (
-  SELECT drop_reason FROM reasons WHERE drop_reason IS NOT NULL
-  UNION ALL SELECT 'all_masked' FROM samples WHERE len(list_filter(labels, lambda x: x <> -100)) = 0
-) GROUP BY drop_reason"""
-
 _SPLIT = with_(SFT_RECORDS, SAMPLES, """
 kept AS (SELECT * FROM samples WHERE len(list_filter(labels, lambda x: x <> -100)) > 0),
 split AS (
@@ -512,21 +533,11 @@ ORACLE["h1_chat_lines"] = with_(TRANSCRIPT) + "SELECT conv_id, turn, kind, activ
 
 ORACLE["h2_episodes"] = with_(TRANSCRIPT) + "SELECT conv_id, turn, episode, system_text FROM lines2"
 
-ORACLE["h3_histories"] = with_(TRANSCRIPT) + """,
-msgs AS (
-  SELECT *, CAST(('0x' || substr(md5(role || ':' || line), 1, 5))::BIGINT AS DECIMAL(38,0)) AS h,
-    CASE WHEN system_text IS NOT NULL AND system_text <> '' THEN 1 ELSE 0 END AS has_sys
-  FROM lines2 WHERE active AND kind = 'message'
-),
-run AS (
-  SELECT *, count(*) OVER w AS n, sum(h) OVER w AS s, sum(h * CAST(turn AS DECIMAL(20,0))) OVER w AS sw
-  FROM msgs
-  WINDOW w AS (PARTITION BY conv_id, episode ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
-)
-SELECT conv_id, turn, episode, CAST(n + has_sys AS INTEGER) AS n_messages,
-  CAST(n AS VARCHAR) || ':' || CAST(CAST(s AS DECIMAL(38,0)) AS VARCHAR) || ':' || CAST(CAST(sw AS DECIMAL(38,0)) AS VARCHAR) || ':'
-    || CAST(CASE WHEN has_sys = 1 THEN ('0x' || substr(md5('system:' || system_text), 1, 5))::BIGINT ELSE 0 END AS VARCHAR) AS history_fp
-FROM run"""
+ORACLE["h3_histories"] = with_(TRANSCRIPT) + """
+SELECT conv_id, turn, episode, row_number() OVER w AS idx, role, line AS content, nullif(system_text, '') AS system_text,
+  CAST(count(*) OVER w + CASE WHEN system_text <> '' THEN 1 ELSE 0 END AS INTEGER) AS n_messages
+FROM lines2 WHERE active AND kind = 'message'
+WINDOW w AS (PARTITION BY conv_id, episode ORDER BY turn ROWS UNBOUNDED PRECEDING)"""
 
 ORACLE["h4_join_chunks"] = f"""
 SELECT doc_id, CAST(greatest(ceil(length(text) / 100), 1) AS BIGINT) AS n_chunks, {ustrip_sql('text')} AS text FROM documents"""
@@ -534,10 +545,6 @@ SELECT doc_id, CAST(greatest(ceil(length(text) / 100), 1) AS BIGINT) AS n_chunks
 
 # ------------------------------------------------------- generation, seeds
 
-import string as _string  # noqa: E402
-
-from ..operators import prompts as _P  # noqa: E402
-
 
 def fmt_sql(template: str, values: dict[str, str]) -> str:
     parts = []
@@ -550,13 +557,13 @@ def fmt_sql(template: str, values: dict[str, str]) -> str:
 
 
 def draw_sql(key: str, slot) -> str:
-    return f"('0x' || substr(md5('42:' || CAST({key} AS VARCHAR) || ':' || '{slot}'), 1, 8))::BIGINT"
+    return f"('0x' || substr(md5('42:' || CAST({key} AS VARCHAR) || ':' || '{slot}'), 1, 15))::BIGINT"
 
 
 def _proc(key: str) -> tuple[str, str, str]:
-    t = f"({draw_sql(key, 0)} % {len(_P.TASKS)})"
+    t = f"({draw_sql(key, 0)} % {len(TASKS)})"
     tt, inp, out = [], [], []
-    for i, spec in enumerate(_P.TASKS):
+    for i, spec in enumerate(TASKS):
         vals = {}
         for s, (name, kind, rng) in enumerate(spec["params"]):
             d = draw_sql(key, s + 1)
@@ -574,7 +581,7 @@ _TT, _INP, _OUT = _proc("event_id")
 
 GENERATED = f"""
 generated AS (
-  SELECT event_id AS pos, {_TT} AS task_type, {lit(_P.PROC_INSTRUCTION)} AS instruction, {_INP} AS input, {_OUT} AS output
+  SELECT event_id AS pos, {_TT} AS task_type, {lit(PROC_INSTRUCTION)} AS instruction, {_INP} AS input, {_OUT} AS output
   FROM events
 )"""
 
@@ -632,11 +639,11 @@ sampled AS (SELECT p.prompt_id, p.n_items, p.rank, s.pos, s.input, s.output FROM
 
 ORACLE["p1_sample_seeds"] = PICKS + "SELECT prompt_id, CAST(rank AS INTEGER) AS rank, pos FROM sampled"
 
-_EX = fmt_sql(_P.PROMPT_TEMPLATE["example"], {"idx": "rank", "input": "input", "output": "output"})
-_HEAD = fmt_sql(_P.PROMPT_TEMPLATE["header"], {"n": "n_items"})
+_EX = fmt_sql(PROMPT_TEMPLATE["example"], {"idx": "rank", "input": "input", "output": "output"})
+_HEAD = fmt_sql(PROMPT_TEMPLATE["header"], {"n": "n_items"})
 PROMPTS = PICKS[:-1] + f""",
 prompts AS (
-  SELECT prompt_id, n_items, {_HEAD} || string_agg({_EX}, '' ORDER BY rank) || {lit(_P.PROMPT_TEMPLATE['footer'])} AS prompt
+  SELECT prompt_id, n_items, {_HEAD} || string_agg({_EX}, '' ORDER BY rank) || {lit(PROMPT_TEMPLATE['footer'])} AS prompt
   FROM sampled GROUP BY prompt_id, n_items
 )
 """
@@ -668,7 +675,7 @@ ORACLE["a5_metric_series"] = with_(METRIC_LOG) + "SELECT run_id, name, step, val
 
 ORACLE["f4_smooth"] = with_(METRIC_LOG) + """
 SELECT run_id, name, step, round(list_reduce(list(value) OVER (PARTITION BY run_id, name ORDER BY step
-    ROWS BETWEEN 250 PRECEDING AND CURRENT ROW), lambda acc, p: acc * 0.85::DOUBLE + p * (1 - 0.85::DOUBLE)), 9) AS smoothed
+    ROWS UNBOUNDED PRECEDING), lambda acc, p: acc * 0.85::DOUBLE + p * (1 - 0.85::DOUBLE)), 9) AS smoothed
 FROM series"""
 
 ORACLE["t3_instruction_as_system"] = with_(SFT_RECORDS, SAMPLES) + f"""
@@ -679,12 +686,19 @@ FROM norm WHERE instruction <> '' AND input <> '' AND output IS NOT NULL AND out
 
 # ---------------------------------------------------------------- streaming
 
-ORACLE["x1_stream_clean"] = ORACLE["c8_clean"]
+ORACLE["x1_stream_clean"] = with_(RAW_RECORDS, CLASSIFIED) + """
+SELECT 'clean' AS output_of, pos, 'valid' AS label, item ->> '$.instruction' AS instruction, item ->> '$.input' AS input,
+  item ->> '$.output' AS output, CAST(1 AS BIGINT) AS n
+FROM classified WHERE label = 'valid'
+UNION ALL SELECT 'quarantine', pos, label, NULL, NULL, NULL, 1 FROM classified WHERE label <> 'valid'
+UNION ALL SELECT 'report', NULL, label, NULL, NULL, NULL, count(*) FROM classified GROUP BY label"""
 ORACLE["x2_stream_report"] = with_(RAW_RECORDS, CLASSIFIED) + "SELECT label, count(*) AS n FROM classified GROUP BY label"
 ORACLE["x3_stream_histories"] = ORACLE["h3_histories"]
 
-ORACLE["s1_read_array_files"] = ORACLE["x2_stream_report"]
-ORACLE["s2_read_lines"] = ORACLE["x2_stream_report"]
+ORACLE["s1_read_array_files"] = with_(RAW_RECORDS, CLASSIFIED) + """
+SELECT pos // 1000 AS chunk, row_number() OVER (PARTITION BY pos // 1000 ORDER BY pos) - 1 AS pos, label, md5(item) AS text_md5
+FROM classified"""
+ORACLE["s2_read_lines"] = with_(RAW_RECORDS, CLASSIFIED) + "SELECT label, md5(item) AS text_md5, count(*) AS n FROM classified GROUP BY ALL"
 
 
 def _falsy_sql(t: str, path: str) -> str:
@@ -701,7 +715,7 @@ def _text_sql(t: str, path: str) -> str:
     return f"CASE WHEN {t} = 'VARCHAR' THEN item ->> '{path}' ELSE CAST(json_extract(item, '{path}') AS VARCHAR) END"
 
 
-ORACLE["t1_items_normalize"] = with_(RAW_RECORDS, f"""
+_ITEMS = f"""
 it AS (
   SELECT pos, item, json_type(item) = 'OBJECT' AS obj, json_type(item, '$.instruction') AS ti,
     json_type(item, '$.input') AS tn, json_type(item, '$.output') AS tout
@@ -716,7 +730,17 @@ txt AS (
 ),
 stripped AS (
   SELECT pos, obj, {ustrip_sql('instruction')} AS instruction, {ustrip_sql('input')} AS input, {ustrip_sql('output')} AS output FROM txt
-)""") + """
+)"""
+
+ORACLE["t1_items_normalize"] = with_(RAW_RECORDS, _ITEMS) + """
 SELECT pos, instruction, input, output,
   CASE WHEN NOT obj THEN 'invalid_item' WHEN output IS NULL THEN 'output_missing' WHEN output = '' THEN 'output_blank' END AS drop_reason
 FROM stripped"""
+
+
+ORACLE["a3_sample_drops"] = with_(RAW_RECORDS, _ITEMS) + f"""
+SELECT drop_reason, count(*) AS n FROM (
+  SELECT CASE WHEN NOT obj THEN 'invalid_item' WHEN output IS NULL THEN 'output_missing' WHEN output = '' THEN 'output_blank'
+    WHEN (instruction = '' OR instruction = {lit(SYSTEM_PROMPT)}) AND input = '' THEN 'empty_prompt' END AS drop_reason
+  FROM stripped
+) WHERE drop_reason IS NOT NULL GROUP BY drop_reason"""

@@ -71,105 +71,108 @@ def stream_report(stream: DataFrame):
 
 
 HISTORY_SCHEMA = "conv_id long, turn long, episode long, role string, line string, history array<struct<role:string,content:string>>"
-STATE_SCHEMA = "episode long, exited boolean, system string, messages string"
+HISTORY_STATE = "episode long, exited boolean, system string, messages string"
+MESSAGE_SCHEMA = "conv_id long, turn long, episode long, idx long, role string, content string, system_text string, n_messages int"
+MESSAGE_STATE = "episode long, exited boolean, system string, n long"
 
 
-def _history_step(key, batches, state):
-    """Per conversation: replay this micro-batch's lines in turn order on top of
-    the stored state (episode, exited, system text, current episode's messages)."""
-    (conv_id,) = key
-    if state.exists:
-        episode, exited, system, msgs = state.get
-        msgs = json.loads(msgs)
-    else:
-        episode, exited, system, msgs = 0, False, None, []
-    pdf = pd.concat(list(batches), ignore_index=True).sort_values("turn")
-    out = []
-    for turn, role, text in zip(pdf["turn"], pdf["role"], pdf["text"]):
-        line = (text or "").strip()
+def _lines(batches):
+    """A conversation's lines of this micro-batch, in turn order."""
+    rows = [r for pdf in batches for r in zip(pdf["turn"], pdf["role"], pdf["text"])]
+    for turn, role, text in sorted(rows, key=lambda r: r[0]):
+        yield int(turn), role, (text or "").strip()
+
+
+def _replay(batches, state, empty, kept):
+    """Apply lines to the stored (episode, exited, system, kept): yields the
+    state's parts at every active message; ``empty`` starts an episode."""
+    episode, exited, system, held = state
+    for turn, role, line in _lines(batches):
         if exited or not line:
             continue
         if role == "user" and line in EXIT_COMMANDS:
-            exited = True
-            continue
-        if role == "user" and line == RESET_COMMAND:
-            episode += 1
-            msgs = []
-            continue
-        if role == "system":
+            exited, held = True, empty
+        elif role == "user" and line == RESET_COMMAND:
+            episode, held = episode + 1, empty
+        elif role == "system":
             system = line
-            continue
-        msgs.append({"role": role, "content": line})
-        head = [{"role": "system", "content": system}] if system else []
-        out.append((conv_id, int(turn), episode, role, line, head + list(msgs)))
-    state.update((episode, exited, system, json.dumps(msgs, ensure_ascii=False)))
-    if out:
-        yield pd.DataFrame(out, columns=["conv_id", "turn", "episode", "role", "line", "history"])
+        else:
+            held = kept(held, role, line)
+            yield turn, episode, role, line, system, held
+    yield episode, exited, system, held
+
+
+def _stateful(empty, kept, row, columns, load, dump, ttl_ms):
+    def step(key, batches, state):
+        if state.hasTimedOut:
+            state.remove()
+            return
+        *old, held = state.get if state.exists else (0, False, None, dump(empty))
+        *rows, last = _replay(batches, (*old, load(held)), empty, kept)
+        *new, held = last
+        state.update((*new, dump(held)))
+        if ttl_ms is not None:
+            state.setTimeoutDuration(ttl_ms)
+        if rows:
+            yield pd.DataFrame([row(key[0], *r) for r in rows], columns=columns)
+
+    return step
+
+
+def _expiry(state_days: float | None):
+    """(milliseconds, timeout kind). Spark plans micro-batches for ever while
+    processing-time timeouts are on, so an available-now run, which has to end, goes without."""
+    if state_days is None:
+        return None, GroupStateTimeout.NoTimeout
+    return int(state_days * 86_400_000), GroupStateTimeout.ProcessingTimeTimeout
+
 
+def _names(schema: str) -> list[str]:
+    return [c.split(" ")[0] for c in schema.replace("<role:string,content:string>", "").split(", ")]
 
-def stream_histories(stream: DataFrame) -> DataFrame:
-    """Stateful chat histories (X3), keyed by ``conv_id``.
+
+def stream_histories(stream: DataFrame, state_days: float | None = None) -> DataFrame:
+    """Stateful chat histories (X3), keyed by ``conv_id``, as message lists.
 
     Lines are applied in turn order inside a micro-batch, and batches must
     bring a conversation's lines in order. State per conversation is the
-    current episode only (``/reset`` clears it), so it stays as small as the
-    chat itself. Whitespace handling uses Python ``str.strip``, the same set
-    as ``sifter.functions.jsonx.ustrip``.
+    current episode's messages (``/reset`` and an exit clear them), so prefer
+    :func:`stream_messages` where a row per message is enough. With
+    ``state_days`` a conversation without lines for so long is forgotten (for
+    continuous triggers; an available-now run would not end). Whitespace handling uses
+    Python ``str.strip``, the same set as ``sifter.functions.jsonx.ustrip``.
     """
-    return stream.groupBy("conv_id").applyInPandasWithState(
-        _history_step, HISTORY_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout
-    )
 
+    ttl, kind = _expiry(state_days)
 
-DIGEST_SCHEMA = "conv_id long, turn long, episode long, n_messages int, history_fp string"
-DIGEST_STATE = "episode long, exited boolean, system string, n long, s string, w string"
+    def row(conv_id, turn, episode, role, line, system, msgs):
+        head = [{"role": "system", "content": system}] if system else []
+        return conv_id, turn, episode, role, line, head + msgs
+
+    step = _stateful(
+        [],
+        lambda msgs, role, line: [*msgs, {"role": role, "content": line}],
+        row,
+        _names(HISTORY_SCHEMA),
+        json.loads,
+        lambda msgs: json.dumps(msgs, ensure_ascii=False),
+        ttl,
+    )
+    return stream.groupBy("conv_id").applyInPandasWithState(step, HISTORY_SCHEMA, HISTORY_STATE, "append", kind)
 
 
-def _hash20(role: str, text: str) -> int:
-    import hashlib
+def stream_messages(stream: DataFrame, state_days: float | None = None) -> DataFrame:
+    """Streaming form of :func:`sifter.operators.chat.message_table` (X3): one
+    row per message, and four values of state per conversation, whatever its
+    length. ``state_days`` as in :func:`stream_histories`."""
 
-    return int(hashlib.md5(f"{role}:{text}".encode("utf-8")).hexdigest()[:5], 16)
+    ttl, kind = _expiry(state_days)
 
+    def row(conv_id, turn, episode, role, line, system, n):
+        return conv_id, turn, episode, n, role, line, system, n + (1 if system else 0)
 
-def _digest_step(key, batches, state):
-    """Per conversation, O(1) state: episode, exit flag, system text and the
-    running count / hash sum / weighted hash sum of the current episode."""
-    (conv_id,) = key
-    if state.exists:
-        episode, exited, system, n, s, w = state.get
-        s, w = int(s), int(w)
-    else:
-        episode, exited, system, n, s, w = 0, False, None, 0, 0, 0
-    pdf = pd.concat(list(batches), ignore_index=True).sort_values("turn")
-    out = []
-    for turn, role, text in zip(pdf["turn"], pdf["role"], pdf["text"]):
-        line = (text or "").strip()
-        if exited or not line:
-            continue
-        if role == "user" and line in EXIT_COMMANDS:
-            exited = True
-            continue
-        if role == "user" and line == RESET_COMMAND:
-            episode, n, s, w = episode + 1, 0, 0, 0
-            continue
-        if role == "system":
-            system = line
-            continue
-        h = _hash20(role, line)
-        n, s, w = n + 1, s + h, w + h * int(turn)
-        sys_h = _hash20("system", system) if system else 0
-        out.append((conv_id, int(turn), episode, n + (1 if system else 0), f"{n}:{s}:{w}:{sys_h}"))
-    state.update((episode, exited, system, n, str(s), str(w)))
-    if out:
-        yield pd.DataFrame(out, columns=["conv_id", "turn", "episode", "n_messages", "history_fp"])
-
-
-def stream_history_digest(stream: DataFrame) -> DataFrame:
-    """Streaming form of :func:`sifter.operators.chat.history_digest` (X3):
-    per conversation the state is a handful of numbers, whatever its length."""
-    return stream.groupBy("conv_id").applyInPandasWithState(
-        _digest_step, DIGEST_SCHEMA, DIGEST_STATE, "append", GroupStateTimeout.NoTimeout
-    )
+    step = _stateful(0, lambda n, role, line: n + 1, row, _names(MESSAGE_SCHEMA), int, int, ttl)
+    return stream.groupBy("conv_id").applyInPandasWithState(step, MESSAGE_SCHEMA, MESSAGE_STATE, "append", kind)
 
 
 def run_to_table(spark: SparkSession, streaming: DataFrame, name: str, mode: str = "append") -> DataFrame:
@@ -193,4 +196,4 @@ def run_to_table(spark: SparkSession, streaming: DataFrame, name: str, mode: str
     return spark.read.parquet(path)
 
 
-__all__ = ["stream_clean", "stream_report", "stream_histories", "stream_history_digest", "run_to_table", "stream_location"]
+__all__ = ["stream_clean", "stream_report", "stream_histories", "stream_messages", "run_to_table", "stream_location"]

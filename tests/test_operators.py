@@ -208,8 +208,12 @@ def test_mask_truncate_and_collate(spark):
     assert (r.input_ids, r.labels) == ([3, 4, 5], [-100, 4, 5])
     r = S.encode(base, encoder=enc, max_length=2).collect()[0]
     assert r.drop_reason is None and r.labels == [4, 5]
-    b = spark.createDataFrame([(0, 0, [1, 2, 3], [1, 1, 1], [-100, 2, 3]), (1, 0, [4], [1], [4])], "pos bigint, batch_id bigint, input_ids array<int>, attention_mask array<int>, labels array<int>")
-    got = {r.pos: (r.input_ids, r.attention_mask, r.labels, r.width) for r in S.pad_batches(b, pad_id=0).collect()}
+    # an answer without tokens leaves nothing to learn
+    none = lambda c: F.when(c == "P", F.array(F.lit(1))).otherwise(F.array().cast("array<int>"))
+    assert S.encode(base, encoder=none).first().drop_reason == "all_masked"
+    b = spark.createDataFrame([(0, 3, 1, [1, 2, 3]), (1, 1, 0, [4])], "pos bigint, n_tokens int, n_masked int, input_ids array<int>")
+    plan = spark.createDataFrame([(0, "train", 0, 3), (1, "train", 0, 3)], "pos bigint, split string, batch_id bigint, width int")
+    got = {r.pos: (r.input_ids, r.attention_mask, r.labels, r.width) for r in S.collate(b, plan, pad_id=0).collect()}
     assert got[1] == ([4, 0, 0], [1, 0, 0], [4, -100, -100], 3)
     assert got[0] == ([1, 2, 3], [1, 1, 1], [-100, 2, 3], 3)
 
@@ -343,17 +347,21 @@ def test_rank_and_running_keep_null_keys(spark):
 def test_append_to_path_and_parquet_landing(spark, scratch):
     batch = spark.createDataFrame([(0, "c"), (1, "d")], "pos bigint, v string")
     missing = os.path.join(scratch, "nothing-here")
-    assert sorted(tuple(r) for r in IO.append_batch_to(spark, missing, batch).collect()) == [(0, "c"), (1, "d")]
+    done = IO.append_batch_to(spark, missing, batch)
+    assert (done.appended, done.total) == (2, 2) and sorted(map(tuple, done.table.collect())) == [(0, "c"), (1, "d")]
     target = os.path.join(scratch, "ds")
     spark.createDataFrame([(0, "a")], "pos bigint, v string").write.parquet(target)
-    assert sorted(tuple(r) for r in IO.append_batch_to(spark, target, batch).collect()) == [(0, "a"), (1, "c"), (2, "d")]
+    done = IO.append_batch_to(spark, target, batch)
+    assert (done.appended, done.total) == (2, 3)
+    assert sorted(map(tuple, spark.read.parquet(target).collect())) == [(0, "a"), (1, "c"), (2, "d")]
+    assert IO.append_batch_to(spark, target, batch).total == 5
     corrupt = os.path.join(scratch, "corrupt")
     os.makedirs(corrupt)
     with open(os.path.join(corrupt, "part-0.parquet"), "w") as f:
         f.write("not parquet")
     with pytest.raises(Exception):
-        IO.append_batch_to(spark, corrupt, batch).collect()
-    assert IO.append_batch_to(spark, corrupt, batch, on_corrupt="empty").count() == 2
+        IO.append_batch_to(spark, corrupt, batch)
+    assert IO.append_batch_to(spark, corrupt, batch, on_corrupt="empty").total == 2
     land = os.path.join(scratch, "land")
     spark.createDataFrame([(0, json.dumps({"instruction": "i", "input": "x", "output": D}))], "pos bigint, item string").write.parquet(land)
     got = IO.read_records_lines(spark, land, fmt="parquet")
@@ -441,20 +449,23 @@ def test_append_to_array_file(spark, scratch):
     batch = spark.createDataFrame([(0, '{"a": 1}')], "pos bigint, t string").select("pos", F.parse_json("t").alias("item"))
     good = os.path.join(scratch, "good.json")
     write_array(good, [{"x": 1}, 2])
-    assert sorted(r.pos for r in IO.append_batch_to(spark, good, batch, fmt="array").collect()) == [0, 1, 2]
+    done = IO.append_batch_to(spark, good, batch, fmt="array", write_to=os.path.join(scratch, "appended"))
+    assert sorted(r.pos for r in done.table.collect()) == [0, 1, 2]
+    with pytest.raises(ValueError):
+        IO.append_batch_to(spark, good, batch, fmt="array")
     obj = os.path.join(scratch, "obj.json")
     with open(obj, "w") as f:
         json.dump({"a": 1}, f)
     for mode in ("fail", "empty"):
         with pytest.raises(ValueError, match="not a JSON list"):
-            IO.append_batch_to(spark, obj, batch, on_corrupt=mode, fmt="array")
+            IO.append_batch_to(spark, obj, batch, on_corrupt=mode, fmt="array", write_to=os.path.join(scratch, "never"))
     broken = os.path.join(scratch, "broken.json")
     with open(broken, "w") as f:
         f.write("[{\"a\": 1},")
     with pytest.raises(ValueError, match="not valid JSON"):
-        IO.append_batch_to(spark, broken, batch, fmt="array")
-    assert IO.append_batch_to(spark, broken, batch, on_corrupt="empty", fmt="array").count() == 1
-    assert IO.append_batch_to(spark, os.path.join(scratch, "none.json"), batch, fmt="array").count() == 1
+        IO.append_batch_to(spark, broken, batch, fmt="array", write_to=os.path.join(scratch, "never"))
+    assert IO.append_batch_to(spark, broken, batch, on_corrupt="empty", fmt="array", write_to=os.path.join(scratch, "anew")).total == 1
+    assert IO.append_batch_to(spark, os.path.join(scratch, "none.json"), batch, fmt="array", write_to=os.path.join(scratch, "first")).total == 1
 
 
 def test_report_text(spark, scratch):
@@ -530,3 +541,153 @@ def test_array_file_with_whitespace_and_scalars(spark, scratch):
         f.write(' \n [1, "a", null, {"x": [2]}] \n')
     got = sorted((r.pos, r.k) for r in IO.read_records(spark, path).select("pos", C.J.json_kind(F.col("item")).alias("k")).collect())
     assert got == [(0, "number"), (1, "string"), (2, "null"), (3, "object")]
+
+
+def test_offsets_stay_bounded_for_sparse_keys_and_hot_runs(spark, monkeypatch):
+    """One run holds most rows and every row has a bucket of its own: no window of the offsets spans the run."""
+    from sifter.operators import rank, seq
+
+    n, hot = 6000, 5000
+    df = spark.range(n).select(
+        F.when(F.col("id") < hot, F.lit(1)).otherwise(F.col("id")).cast("bigint").alias("run_id"),
+        (F.col("id") * 7919 % n * (1 << 20)).alias("seq"), (F.col("id") % 7).alias("x"),
+    )
+    bucket = F.shiftright("seq", 20)
+    counts = rank.with_super(df.groupBy("run_id", bucket.alias("_bkt")).count())
+    assert counts.filter("run_id = 1").count() == hot  # the table of counts is as long as the run
+    monkeypatch.setattr(rank, "SUPER_BITS", 6)
+    counts = rank.with_super(df.groupBy("run_id", bucket.alias("_bkt")).count())
+    inside = counts.groupBy("run_id", "_sup").count().agg(F.max("count")).first()[0]
+    across = counts.select("run_id", "_sup").distinct().groupBy("run_id").count().agg(F.max("count")).first()[0]
+    assert inside <= 64 and across <= -(-n // 64)
+    w = Window.partitionBy("run_id").orderBy("seq")
+    got = global_rank(df, ["seq"], bucket, within=["run_id"], name="r").withColumn("w", F.row_number().over(w))
+    assert got.filter("r <> w").count() == 0
+    run = seq.running(df, ["run_id"], ["seq"], bucket, sums={"s": F.col("x")}, maxes={"m": F.col("x")}, lags={"l": F.col("x")})
+    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    want = run.select("*", F.sum("x").over(upto).alias("s2"), F.max("x").over(upto).alias("m2"), F.lag("x").over(w).alias("l2"))
+    assert want.filter("s <> s2 OR m <> m2 OR NOT l <=> l2").count() == 0
+
+
+@pytest.mark.parametrize("factor", [0.0, 0.85, 0.99, 0.999])
+def test_smoothing_has_no_horizon(spark, factor):
+    vals = [100.0] * 500 + [float(i % 13) for i in range(4500)]
+    df = spark.createDataFrame([(1, "loss", 3 * i, v) for i, v in enumerate(vals)], "run_id bigint, name string, step bigint, value double")
+    got = [r.smoothed for r in M.smooth(df, factor).orderBy("step").collect()]
+    assert max(abs(a - b) for a, b in zip(got, smooth_py(vals, factor))) < 1e-9 and len(got) == len(vals)
+
+
+def test_records_across_gaps_and_large_turns(spark):
+    rows = [(0, 0, "user", "q0"), (0, 2, "assistant", "a0"), (0, 1_000_000, "user", "q1"), (0, 1_000_007, "assistant", "a1"), (1, 0, "user", "q2"), (1, 1, "system", "s"), (1, 2, "assistant", "lost"), (1, 3, "user", "q3"), (1, 5, "assistant", "a3")]
+    df = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    got = sorted(tuple(r) for r in H.transcript_to_records(df).collect())
+    assert got == [(0, "", "q0", "a0"), (1, "", "q1", "a1"), (2, "s", "q3", "a3")]
+
+
+def test_many_files_keep_their_rows(spark, scratch):
+    from sifter.plans import jobs
+
+    for name in ("a", "b"):
+        with open(os.path.join(scratch, f"{name}.json"), "w") as f:
+            json.dump([{"instruction": "", "input": f"{name}{i}", "output": f"answer {name}{i}"} for i in range(2)] + [3], f)
+    raw = IO.read_records(spark, scratch)
+    batches, drops = jobs.sample_job(raw, batch_size=3)
+    rows = batches.collect()
+    assert len(rows) == 4 and sorted(r.pos for r in rows) == [0, 1, 2, 3]
+    assert [tuple(r) for r in drops.collect()] == [("invalid_item", 2)]
+    with pytest.raises(ValueError):
+        jobs.sample_job(raw.filter("pos = 2"))
+    assert jobs.drop_staged(spark) > 0
+
+
+def test_streak_counts_batches_given_up(spark):
+    timeout, bad = "timed out", "HTTP 400: bad request"
+    log = [(1, s, None, s % 5, 50 if s % 5 < 4 else 5, 0, timeout) for s in range(20)]  # four batches, five attempts each
+    log += [(2, 0, None, 0, 1, 0, bad), (2, 1, None, 0, 1, 1, None), (2, 2, None, 0, 1, 0, bad), (2, 3, None, 0, 1, 0, bad)]
+    df = spark.createDataFrame(log, "run_id bigint, seq bigint, ts timestamp_ntz, attempt int, batch_size int, n_items int, error string")
+    got = {(r.run_id, r.seq): (r.given_up, r.streak, r.stop_flag) for r in Q.failure_streaks(df, limit=4).collect()}
+    assert got[(1, 19)] == (True, 4, True) and got[(1, 18)] == (False, 3, False) and got[(1, 4)] == (True, 1, False)
+    assert [got[(2, s)][1] for s in range(4)] == [1, 0, 1, 2]
+
+
+def test_checkpoint_marks_once_per_total(spark):
+    log = [(1, s, None, 0, 50, 50, None) for s in range(45)]
+    df = spark.createDataFrame(log, "run_id bigint, seq bigint, ts timestamp_ntz, attempt int, batch_size int, n_items int, error string")
+    got = sorted((r.seq, r.total) for r in Q.checkpoint_marks(Q.run_progress(df)).collect())
+    assert got == [(2 * k - 1, 100 * k) for k in range(1, 21)]
+    stop = df.withColumn("error", F.when(F.col("seq") == 3, F.lit("model is no longer available")))
+    marks = Q.checkpoint_marks(Q.run_progress(Q.request_actions(stop), target=100_000))
+    assert (3, "stop") in {(r.seq, r.action) for r in marks.collect()}
+
+
+def test_written_records_are_the_read_ones(spark, scratch):
+    from sifter.plans import jobs
+
+    doc = json.dumps({"task_type": "t", "agents_config": [], "rl_parameters": {"z": 1.50, "a": 100.0}})
+    texts = ['{"b": 100.0, "a": 1.50, "n": 123456789012345678901234567890, "instruction": "i", "input": "x", "output": %s}' % json.dumps(doc), '"text"', "null", "7.0"]
+    src, lines = os.path.join(scratch, "in.json"), os.path.join(scratch, "lines")
+    with open(src, "w") as f:
+        f.write("[" + ",\n ".join(texts) + "]")
+    raw = IO.read_records(spark, src, with_text=True)
+    assert [r.text for r in raw.orderBy("pos").collect()] == texts
+    IO.write_records(raw, lines, "jsonl")
+    assert sorted(r.text for r in IO.read_records_lines(spark, lines).collect()) == sorted(texts)
+    report = jobs.clean_files(spark, src, os.path.join(scratch, "out"), fmt="array").first()
+    assert (report.total, report.valid, report.invalid_item) == (4, 1, 3)
+    assert [r.value for r in spark.read.text(os.path.join(scratch, "out", "clean")).collect()] == [texts[0]]
+    assert sorted(r.text for r in spark.read.json(os.path.join(scratch, "out", "quarantine")).collect()) == sorted(texts[1:])
+    jobs.clean_files(spark, src, os.path.join(scratch, "small"), fmt="array", minify_output=True)
+    kept = json.loads(spark.read.text(os.path.join(scratch, "small", "clean")).first().value)
+    assert list(kept) == list(json.loads(texts[0])) and kept["output"] == json.dumps(json.loads(doc), separators=(",", ":"))
+
+
+def test_empty_array_file_fails(spark, scratch):
+    open(os.path.join(scratch, "zero.json"), "w").close()
+    with pytest.raises(ValueError):
+        IO.read_records(spark, scratch)
+
+
+def test_exact_output_keeps_keys_and_numbers(spark):
+    item = '[{"instruction": "i", "input": "x", "output": {"b": 100.0, "a": [1, 2.50], "n": 12345678901234567890123}}]'
+    body = json.dumps({"choices": [{"message": {"content": item}}]})
+    items, _ = R.parse_responses(spark.createDataFrame([(1, body)], "request_id bigint, body string"), exact=True)
+    assert items.first().output == '{"b": 100.0, "a": [1, 2.5], "n": 12345678901234567890123}'
+
+
+def test_failed_prompts_are_in_the_stats(spark):
+    from sifter.plans import jobs
+
+    calls = []
+
+    def flaky(texts):
+        if any("生成 7 条" in t for t in texts):
+            raise RuntimeError("no luck")
+        return P.echo_generator(texts)
+
+    seeds = spark.createDataFrame([(i, "ins", f"in{i}", D) for i in range(4)], "pos bigint, instruction string, input string, output string")
+    prompts = spark.createDataFrame([(p, 7 if p == 2 else 2) for p in range(5)], "prompt_id bigint, n_items int")
+    ds, stats = jobs.generation_job(prompts, seeds, flaky, target=10)
+    got = {r.prompt_id: (r.status, r.error) for r in stats.collect()}
+    assert got == {p: ("request_error", "no luck") if p == 2 else ("ok", None) for p in range(5)}
+    assert ds.filter("source = 'generated'").count() == 4 and not calls
+    short = P.apply_generator(spark.createDataFrame([(1, "p")], "id bigint, prompt string"), lambda t: [], keys=["id"]).first()
+    assert short.body is None and "0 bodies for 1" in short.error
+
+
+def test_unknown_role_and_empty_text(spark):
+    df = spark.createDataFrame([(0, "o", None)], "pos bigint, output string, drop_reason string")
+    msgs = df.withColumn("messages", F.array(F.struct(F.lit("tool").alias("role"), F.lit("x").alias("content"))))
+    with pytest.raises(Exception, match="chat template"):
+        S.render_prompt(msgs).collect()
+    assert spark.range(1).select(S.code_points(F.lit("")).alias("c")).first().c == []
+
+
+def test_resume_raises_what_is_not_a_missing_table(spark, scratch):
+    seed = spark.createDataFrame([(0, "s")], "pos bigint, input string")
+    with pytest.raises(Exception):
+        K.resume_from(spark, "nosuchscheme://x/y", seed)
+    broken = os.path.join(scratch, "broken")
+    os.makedirs(broken)
+    with open(os.path.join(broken, "part-0.parquet"), "w") as f:
+        f.write("not parquet")
+    assert K.resume_from(spark, broken, seed).count() == 0

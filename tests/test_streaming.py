@@ -53,16 +53,15 @@ def test_stream_histories_equal_batch_across_batches(spark, scratch):
     assert norm(got) == norm(exp)
 
 
-def test_stream_history_digest_equals_batch(spark, scratch):
+def test_stream_messages_equal_batch(spark, scratch):
     land = os.path.join(scratch, "land")
     t = A.transcript(spark, SF001)
     for lo in range(0, 10, 2):
         t.filter((F.col("turn") >= lo) & (F.col("turn") < lo + 2)).coalesce(1).write.mode("append").parquet(land)
     stream = spark.readStream.schema("conv_id long, turn long, role string, text string").option("maxFilesPerTrigger", 1).parquet(land)
-    got = X.run_to_table(spark, X.stream_history_digest(stream), "t-digest")
-    cols = ["conv_id", "turn", "episode", "n_messages", "history_fp"]
-    exp = H.history_digest(t).select(*cols)
-    assert sorted(map(tuple, got.select(*cols).collect())) == sorted(map(tuple, exp.collect()))
+    got = X.run_to_table(spark, X.stream_messages(stream), "t-messages")
+    exp = H.message_table(t)
+    assert sorted(map(repr, got.select(*exp.columns).collect())) == sorted(map(repr, exp.collect()))
 
 
 def test_stream_clean_restarts_from_checkpoint_without_duplicates(spark, scratch):
@@ -96,7 +95,7 @@ def test_stage_uses_the_session_checkpoint_dir(spark):
     assert files and all(checkpoint_dir(spark).rstrip("/").split(":")[-1] in f for f in files)
 
 
-def test_stream_history_digest_on_rocksdb_state(spark, scratch):
+def test_stream_messages_on_rocksdb_state(spark, scratch):
     key = "spark.sql.streaming.stateStore.providerClass"
     old = spark.conf.get(key, None)
     spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
@@ -106,10 +105,9 @@ def test_stream_history_digest_on_rocksdb_state(spark, scratch):
         for lo in range(0, 10, 4):
             t.filter((F.col("turn") >= lo) & (F.col("turn") < lo + 4)).coalesce(1).write.mode("append").parquet(land)
         stream = spark.readStream.schema("conv_id long, turn long, role string, text string").option("maxFilesPerTrigger", 1).parquet(land)
-        got = X.run_to_table(spark, X.stream_history_digest(stream), "t-rocks")
-        cols = ["conv_id", "turn", "episode", "n_messages", "history_fp"]
-        exp = H.history_digest(t).select(*cols)
-        assert sorted(map(tuple, got.select(*cols).collect())) == sorted(map(tuple, exp.collect()))
+        got = X.run_to_table(spark, X.stream_messages(stream), "t-rocks")
+        exp = H.message_table(t)
+        assert sorted(map(repr, got.select(*exp.columns).collect())) == sorted(map(repr, exp.collect()))
     finally:
         if old is None:
             spark.conf.unset(key)
