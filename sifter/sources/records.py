@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import jsonx as J
-from .tables import MISSING, read_table
+from .tables import MISSING, empty_files, read_table
 
 SPACE = re.compile(r"[ \t\n\r]*")  # JSON white space
 
@@ -71,10 +71,9 @@ def read_records(spark: SparkSession, paths, partitions: int | None = None, with
     after the explode when there are fewer files than that.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
-    # the whole-text reader has no row for a file of zero bytes; lengths come from the listing, not the content
-    empty = spark.read.format("binaryFile").load(paths).filter("length = 0").select("path").limit(1).collect()
+    empty = empty_files(spark, paths)
     if empty:
-        raise ValueError(f"Dataset file is empty, not a JSON list: {empty[0]['path']}")
+        raise ValueError(f"Dataset file is empty, not a JSON list: {empty[0]}")
     read = spark.read.text(paths, wholetext=True)
     raw = read.select(F.col("_metadata.file_path").alias("file"), "value")
     arr = strict_array("value")
