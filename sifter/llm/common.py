@@ -5,9 +5,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..plans.jobs import stage
+from ..plans.jobs import drop_staged, stage
 
-__all__ = ["stage", "table", "text_or_empty", "whole_row", "slot_of", "slot_filter", "with_slot_flag", "with_fields", "SLOT_BITS"]
+__all__ = ["stage", "drop_staged", "table", "text_or_empty", "whole_row", "slot_of", "slot_filter", "with_slot_flag", "with_fields", "SLOT_BITS"]
 
 # Size of a slot filter: 2^22 bits = 128 rows of 4 KB, whatever the input size.
 SLOT_BITS = 22

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slot_filter, slot_of, stage, text_or_empty, with_slot_flag
+from .common import drop_staged, slot_filter, slot_of, stage, text_or_empty, with_slot_flag
 from .exact_dedup import drop_copies
 from .features import _mix, _powers
 
@@ -238,23 +238,29 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """From (did, th, t, places): the run of text around each matched anchor, with its hash."""
     digest = xxhash.xxh3_128_digest
     for b in batches:
-        for i in range(b.num_rows):
-            t = b.column(2)[i].as_py()
-            want = np.frombuffer(b.column(3)[i].as_py(), "<u4").astype(np.int64)
-            for start, anchor, h in windows_of([t]):
-                first = np.flatnonzero(np.concatenate([[True], anchor[1:] != anchor[:-1]]))
-                last = np.append(first[1:], len(anchor)) - 1
-                hit = np.isin(anchor[first], want)
-                lo, hi, seed = start[first[hit]], start[last[hit]] + LONG, h[first[hit]]
-                cut = [t[a:z] for a, z in zip(lo.tolist(), hi.tolist())]
-                n = len(cut)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.repeat(b.column(0)[i], n), pa.repeat(b.column(1)[i], n), pa.array(lo), pa.array((hi - lo).astype(np.int32)),
-                        pa.array(seed.view(np.int64)), pa.array([digest(c) for c in cut], pa.binary()), pa.array(cut, pa.binary()),
-                    ],
-                    ["did", "th", "lo", "n", "seed", "run", "t"],
-                )
+        texts = [t.as_py() for t in b.column(2)]
+        firsts = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
+        want = np.concatenate(
+            [np.frombuffer(p.as_py(), "<u4").astype(np.int64) + at for p, at in zip(b.column(3), firsts)] or [np.empty(0, np.int64)]
+        )
+        for start, anchor, h in windows_of(texts):
+            new = (anchor[1:] != anchor[:-1]) | (start[1:] != start[:-1] + 1)
+            first = np.flatnonzero(np.concatenate([[True], new])) if len(anchor) else np.empty(0, np.int64)
+            last = np.append(first[1:], len(anchor)) - 1
+            at = np.searchsorted(want, anchor[first])
+            hit = want[np.minimum(at, len(want) - 1)] == anchor[first] if len(want) else np.zeros(len(first), bool)
+            first, last = first[hit], last[hit]
+            doc = np.searchsorted(firsts, start[first], "right") - 1
+            lo, hi = start[first] - firsts[doc], start[last] + LONG - firsts[doc]
+            cut = [texts[d][a:z] for d, a, z in zip(doc.tolist(), lo.tolist(), hi.tolist())]
+            take = pa.array(doc)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    b.column(0).take(take), b.column(1).take(take), pa.array(lo), pa.array((hi - lo).astype(np.int32)),
+                    pa.array(h[first].view(np.int64)), pa.array([digest(c) for c in cut], pa.binary()), pa.array(cut, pa.binary()),
+                ],
+                ["did", "th", "lo", "n", "seed", "run", "t"],
+            )
 
 
 def _strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -273,6 +279,22 @@ def _strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _later(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows sorted by (s, did): those whose string a smaller did has. Nothing but the current string is held."""
+    name, least = None, None
+    for b in batches:
+        keep = np.zeros(b.num_rows, bool)
+        for i, (d, s) in enumerate(zip(b.column(0).to_pylist(), b.column(3).to_pylist())):
+            if s != name:
+                name, least = s, d
+            else:
+                keep[i] = d > least
+        at = pa.array(np.flatnonzero(keep))
+        lo = b.column(2).take(at)
+        hi = pa.array(lo.to_numpy(zero_copy_only=False) + LONG)
+        yield pa.RecordBatch.from_arrays([b.column(0).take(at), b.column(1).take(at), lo, hi], ["did", "th", "lo", "hi"])
+
+
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """From (did, th, t, ranges): what is left of each text."""
     for b in batches:
@@ -294,30 +316,36 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def repeated_ranges(texts: DataFrame, total_bytes: int) -> DataFrame:
-    """(did, th, lo, hi) byte ranges of ``texts(did, th, t)``, distinct texts, that repeat strings of smaller ids."""
-    spark = texts.sparkSession
+def repeated_ranges(texts: DataFrame, total_bytes: int) -> tuple[DataFrame, list[DataFrame]]:
+    """(did, th, lo, hi) byte ranges of ``texts(did, th, t)``, distinct texts,
+    that repeat strings of smaller ids; and the staged tables they are read from."""
     shards = 1 << max(0, (total_bytes // SHARD_BYTES).bit_length())
     arrays = stage(suffix_arrays(texts, shards), "suffix-arrays")
     found = arrays.filter("shard >= 0").groupBy("shard").applyInPandas(_matches_of_shard, "batch bigint, places binary")
     meta = arrays.filter("shard < 0").select("batch", "keys", "places")
     docs = meta.groupBy("batch").cogroup(found.groupBy("batch")).applyInPandas(_by_document, "did bigint, th bigint, places binary")
     docs = stage(docs, "suffix-matches")
+    drop_staged(texts.sparkSession, arrays)
     runs = with_text(texts, docs).select("did", "th", "t", "places").mapInArrow(_runs, _RUN_SCHEMA)
     runs = stage(runs, "suffix-runs")
     # what a join looks up is staged: its other side is then read straight from the shuffle, where AQE can split a hot key
     owner = runs.groupBy("run").agg(F.min("did").alias("owner"), F.count(F.lit(1)).alias("held")).filter("held > 1")
     owner = stage(owner.select("run", "owner"), "suffix-owners")
     whole = runs.select("did", "th", "lo", "n", "run").join(owner, "run").filter("did > owner")
-    whole = whole.select("did", "th", "lo", (F.col("lo") + F.col("n")).alias("hi"))
+    whole = stage(whole.select("did", "th", "lo", (F.col("lo") + F.col("n")).alias("hi")), "suffix-whole")
     several = runs.groupBy("seed").agg(F.min("run").alias("a"), F.max("run").alias("z")).filter("a < z").select("seed")
     several = stage(several, "suffix-seeds")
-    first = runs.join(several, "seed", "left_semi").join(owner, "run", "left")
-    first = first.filter("owner IS NULL OR did = owner").select("did", "th", "lo", "t")
-    strings = stage(first.mapInArrow(_strings, "did bigint, th bigint, lo bigint, s binary"), "suffix-strings")
-    least = strings.groupBy("s").agg(F.min("did").alias("first"), F.max("did").alias("last")).filter("first < last").select("s", "first")
-    single = strings.join(stage(least, "suffix-least"), "s").filter("did > first").select("did", "th", "lo", (F.col("lo") + LONG).alias("hi"))
-    return whole.unionByName(single)
+    # a bitmap first, so that only runs that may have such a seed are moved with their text
+    seed = [F.col("seed")]
+    first = with_slot_flag(runs, slot_of(seed), slot_filter(several.select(slot_of(seed).alias("slot")), at_least=1), "_near").filter("_near")
+    first = first.join(several, "seed", "left_semi").join(owner, "run", "left").filter("owner IS NULL OR did = owner")
+    first = stage(first.select("did", "th", "lo", "t"), "suffix-first")
+    drop_staged(texts.sparkSession, docs, runs, owner, several)
+    strings = first.mapInArrow(_strings, "did bigint, th bigint, lo bigint, s binary")
+    parts = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    single = strings.repartition(parts, "s").sortWithinPartitions("s", "did").mapInArrow(_later, "did bigint, th bigint, lo bigint, hi bigint")
+    single = stage(single, "suffix-single")
+    return whole.unionByName(single), [whole, first, single]
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
@@ -340,8 +368,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     total = narrow.agg(F.sum("n_bytes")).first()[0] or 0
     distinct = drop_copies(keyed, "did", "text", keep=F.min).select("did", "th", F.col("text").cast("binary").alias("t"))
     every = keyed.select("did", "th", F.col("text").cast("binary").alias("t"))
-    ranges = repeated_ranges(distinct, int(total))
+    ranges, used = repeated_ranges(distinct, int(total))
     per_doc = stage(ranges.groupBy("did", "th").agg(F.collect_list(F.struct("lo", "hi")).alias("ranges")), "suffix-ranges")
+    drop_staged(docs.sparkSession, *used)
     cut = with_text(every, per_doc).select("did", "th", "t", "ranges").dropDuplicates(["did", "th"])
     cut = cut.mapInArrow(_cut, "did bigint, th bigint, n_removed bigint, n_spans bigint, kept binary")
     first = narrow.groupBy("text_sha256").agg(F.min("did").alias("first"), F.max("did").alias("last")).filter("first < last")
