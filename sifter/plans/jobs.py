@@ -11,21 +11,28 @@ from ..operators import clean as C
 from ..session import checkpoint_dir
 
 _STAGED: list[str] = []
-CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+# Settings while a stage is written. Shuffle files go when its query ends, as
+# later steps read only what it wrote; Arrow batches are kept to a few MB, as
+# documents can be long and each Python worker holds a batch several times over.
+STAGE_SETTINGS = {
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "8m",
+}
 
 
 @contextmanager
-def _shuffles_removed(spark: SparkSession):
-    """Shuffle files of a query go when it ends: what a stage wrote is all that later steps read."""
-    old = spark.conf.get(CLEAN_UP, None)
-    spark.conf.set(CLEAN_UP, "true")
+def _stage_settings(spark: SparkSession):
+    old = {k: spark.conf.get(k, None) for k in STAGE_SETTINGS}
+    for k, v in STAGE_SETTINGS.items():
+        spark.conf.set(k, v)
     try:
         yield
     finally:
-        if old is None:
-            spark.conf.unset(CLEAN_UP)
-        else:
-            spark.conf.set(CLEAN_UP, old)
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -34,7 +41,7 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     recomputing it) and lets later steps read only the columns they need.
     :func:`drop_staged` deletes what was staged."""
     path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/tables/{name}-{uuid.uuid4().hex[:12]}"
-    with _shuffles_removed(df.sparkSession):
+    with _stage_settings(df.sparkSession):
         df.write.parquet(path)
     _STAGED.append(path)
     out = df.sparkSession.read.parquet(path)
