@@ -38,8 +38,8 @@ from .features import _mix, _powers
 LONG = 50
 SEED = 26
 CHUNK = 1 << 20  # bytes hashed at once
-BATCH_BYTES = 8 << 20  # text of one batch
-SHARD_BYTES = 32 << 20  # text whose anchors one shard holds, about
+BATCH_BYTES = 4 << 20  # text of one batch
+SHARD_BYTES = 16 << 20  # text whose anchors one shard holds, about
 _P = np.uint64(0xD1342543DE82EF95)
 _POW = _powers(_P, CHUNK + LONG + 1)
 _INV = _powers(np.uint64(pow(int(_P), -1, 1 << 64)), CHUNK + LONG + 1)
