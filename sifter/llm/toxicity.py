@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import text_or_empty, whole_row, with_fields
+from .common import stage, text_or_empty, whole_row, with_fields
 from .features import gram_features
 
 BITS = 20
@@ -57,7 +57,8 @@ def ftrl(
     held_by = np.zeros(size, np.int32)
     for at, _ in rows:
         held_by[at] += 1
-    rows = [(at[held_by[at] >= least_rows], y) for at, y in rows]
+    for i, (at, y) in enumerate(rows):  # in place: the full features can go
+        rows[i] = (at[held_by[at] >= least_rows], y)
     z, n = np.zeros(size + 1), np.zeros(size + 1)
 
     def weights(at):
@@ -71,7 +72,7 @@ def ftrl(
     for _ in range(epochs):
         for i in order.permutation(len(rows)):
             at, y = rows[i]
-            at = np.append(at, size)
+            at = np.append(at.astype(np.int64), size)
             w = weights(at)
             g = 1.0 / (1.0 + np.exp(-np.clip(w.sum(), -35, 35))) - y
             ni = n[at]
@@ -111,17 +112,20 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         data = []
         for b in batches:
-            data += list(zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist()))
+            data += zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist())
         data.sort()
-        # of repeated ids all rows count
-        m = ftrl([(np.frombuffer(f, np.uint32).astype(np.int64), y) for _, y, f in data], bits, **ftrl_args)
+        # of repeated ids all rows count; features stay 32 bits wide, as they are most of the task's memory
+        rows = [(np.frombuffer(f, np.uint32), y) for _, y, f in data]
+        del data
+        m = ftrl(rows, bits, **ftrl_args)
         if m is not None:
             index = pa.array(np.append(m.index, -1).astype(np.int64))
             yield pa.RecordBatch.from_arrays([index, pa.array(np.append(m.weight, m.bias).astype(np.float64))], ["i", "w"])
 
     sample = labelled_sample(docs, labels, id_col, text_col, rows)
     feats = sample.mapInArrow(featurise, with_fields(sample.select("doc_id", "y"), f=T.BinaryType()))
-    got = feats.repartition(1).mapInArrow(fit, "i bigint, w double").toPandas().sort_values("i")
+    got = stage(stage(feats, "toxicity-features").repartition(1).mapInArrow(fit, "i bigint, w double"), "toxicity-model")
+    got = got.toPandas().sort_values("i")
     if got.empty:
         return None
     i, w = got["i"].to_numpy(), got["w"].to_numpy()
