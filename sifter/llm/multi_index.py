@@ -122,7 +122,8 @@ def search(
     rows, dim = usable(vectors, id_col, vec_col)
     out_schema = "query_id bigint, vec_id bigint, score double"
     half = max(1, dim // 2)
-    sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id", "v").limit(sample_rows).toPandas()
+    sample = stage(rows.orderBy(F.xxhash64("vec_id"), "vec_id", "v").limit(sample_rows), "multi-index-sample").toPandas()
+    sample = sample.sort_values("vec_id", kind="stable")
     x = np.array(sample["v"].tolist(), dtype=np.float64).reshape(-1, dim) if len(sample) else np.zeros((1, 2))
     c1, c2 = kmeans(x[:, :half], cells, seed), kmeans(x[:, half:], cells, seed + 1)
 

@@ -81,7 +81,8 @@ def frequent_words(docs: DataFrame, text_col: str = "text", words: int = DICTION
 
     d = docs.select(text_or_empty(text_col).cast("binary").alias("t"))
     total = d.mapInArrow(count, "w binary, n bigint").groupBy("w").agg(F.sum("n").alias("n"))
-    top = total.orderBy(F.desc("n"), "w").limit(words).collect()
+    # staged, so that tasks' candidates meet in a task; the driver gets the chosen words alone
+    top = stage(total.orderBy(F.desc("n"), "w").limit(words), "dictionary").collect()
     return frozenset(bytes(r["w"]) for r in top)
 
 
@@ -200,7 +201,7 @@ def train_forest(found: DataFrame, rows: int = SAMPLE_ROWS, trees: int = TREES,
     held-out fold, taken in hash order. No labelled findings: every score is 0."""
     lab = found.filter(F.col("label").isNotNull() & ~held_out())
     some = lab.orderBy(F.xxhash64("doc_id", "start", "value_crc32"), "doc_id", "start", "value_crc32").limit(rows)
-    data = some.select("label", "x", *CONTEXT).collect()  # bounded by ``rows``
+    data = stage(some.select("label", "x", *CONTEXT), "forest-sample").collect()  # bounded by ``rows``
     if not data:
         return Forest(0.0, tuple({} for _ in CONTEXT), [])
     y = np.array([r["label"] for r in data], float)
