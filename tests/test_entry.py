@@ -3,6 +3,7 @@ stable schema, and every query has its SQL statement."""
 import pytest
 
 import __spark_entry__ as E
+from sifter.plans.catalog import QUERIES
 
 from .conftest import SF001
 
@@ -15,13 +16,11 @@ def test_entry_runs(spark):
 
 
 def test_every_sql_has_a_query():
-    from sifter.plans.catalog import QUERIES
-
     assert set(E.oracle_sql()) <= set(E.queries())
     assert set(QUERIES) <= set(E.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_smoke(spark, name):
     fn = E.queries()[name]
     df = fn(spark, SF001)
