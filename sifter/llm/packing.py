@@ -22,7 +22,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -244,7 +244,7 @@ def sequences(docs: DataFrame, window: int = WINDOW, pad_id: int = END_ID, **kw)
     whole = stage(cut_pieces(docs, window, keep_ids=True, **kw), "pieces")
     key = ["doc_id", "start", "ids_crc32", "doc_tokens"]
     placed = assign(whole.drop("ids"), window)
-    nth = F.row_number().over(_same(key))
+    nth = F.row_number().over(Window.partitionBy(*key).orderBy(*key))
     left = placed.withColumn("_n", nth)
     right = whole.select(*key, "ids").withColumn("_n", nth)
     cond = [left[k].eqNullSafe(right[k]) for k in [*key, "_n"]]
@@ -253,9 +253,3 @@ def sequences(docs: DataFrame, window: int = WINDOW, pad_id: int = END_ID, **kw)
     ids = F.flatten(F.transform("p", lambda p: p["ids"]))
     padded = F.concat(ids, F.array_repeat(F.lit(pad_id), F.lit(window) - F.size(ids)))
     return packed.select("sequence_id", padded.alias("ids"), F.size(ids).alias("n_tokens"))
-
-
-def _same(key):
-    from pyspark.sql import Window
-
-    return Window.partitionBy(*key).orderBy(*key)
