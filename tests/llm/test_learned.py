@@ -313,6 +313,63 @@ def test_fuzzy_lines_edge_cases(edge_docs, no_docs):
     assert fuzzy_lines.drop_lines(edge_docs).columns == edge_docs.columns
 
 
+def edited(words, edits, rng):
+    """``words`` after that many random replacements, insertions and deletions."""
+    out = list(words)
+    for _ in range(edits):
+        at, kind = int(rng.integers(0, len(out))), int(rng.integers(0, 3))
+        new = "neu" + "abcdefghij"[int(rng.integers(0, 10))] + "abcdefghij"[int(rng.integers(0, 10))]
+        out[at : at + (kind < 2)] = [new] if kind == 0 else [] if kind == 1 else [new, *out[at : at + 1]]
+    return out
+
+
+def similar_groups(forms):
+    """Groups of word lists linked at edit similarity 0.8 or more, by comparing all of them."""
+    up = list(range(len(forms)))
+
+    def find(a):
+        while up[a] != a:
+            a = up[a]
+        return a
+
+    for a, x in enumerate(forms):
+        for b, y in enumerate(forms[:a]):
+            limit = max(len(x), len(y)) // 5
+            if sum((collections.Counter(x) - collections.Counter(y)).values()) > limit:
+                continue  # each edit takes at most one word away
+            row = list(range(len(y) + 1))
+            for u in x:
+                new = [row[0] + 1]
+                for j, v in enumerate(y):
+                    new.append(min(row[j + 1] + 1, new[j] + 1, row[j] + (u != v)))
+                row = new
+            if row[-1] <= limit:
+                up[find(a)] = find(b)
+    found = collections.defaultdict(set)
+    for n in range(len(forms)):
+        found[find(n)].add(n)
+    return {frozenset(g) for g in found.values()}
+
+
+def test_fuzzy_lines_find_every_similar_line(spark):
+    rng = np.random.default_rng(3)
+    common = ["der", "und", "ein", "wort", "satz", "haus", "zeit", "jahr"]
+    rare = [a + b + c for a in "bdfgklm" for b in "aeiou" for c in ("nt", "rs", "lm", "st")]
+    forms = []
+    for n in [*range(4, 30), 35, 39, 44, 50, 60, 75] * 2:
+        base = [common[int(rng.integers(0, 8))] if rng.random() < 0.4 else rare[int(rng.integers(0, len(rare)))] for _ in range(n)]
+        forms += [base, edited(base, max(1, n // 5), rng), edited(base, 1, rng), edited(base, n // 5 + 1, rng)]
+    forms += [["wort"] * n for n in (4, 5, 6, 9, 10, 30, 33)] + [["ja", "nein"] * 6, ["ja", "nein"] * 7]
+    forms = [list(f) for f in dict.fromkeys(map(tuple, forms)) if f]
+    d = spark.createDataFrame([(n, " ".join(f)) for n, f in enumerate(forms)], "doc_id bigint, text string")
+    got = collections.defaultdict(set)
+    for r in fuzzy_lines.line_report(d).collect():
+        got[r.keep_doc_id].add(r.doc_id)
+    want = similar_groups(forms)
+    assert {frozenset(g) for g in got.values()} == want
+    assert sum(len(g) > 1 for g in want) > 50 and len(want) > 60
+
+
 def test_secret_forest(spark):
     got = QUERIES["op8_secret_forest"](spark, "/root/testdata/sf0.1").collect()
     held = [r for r in got if r.held_out and r.label is not None]
