@@ -370,6 +370,15 @@ def test_fuzzy_lines_find_every_similar_line(spark):
     assert sum(len(g) > 1 for g in want) > 50 and len(want) > 60
 
 
+def test_fuzzy_lines_very_long(spark):
+    from .conftest import EDGE
+
+    rows = [(i, t) for i, t in EDGE if i in (7, 8, 9)]  # lines of 120,000 words, two equal and one near
+    got = fuzzy_lines.line_report(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert sorted((r.doc_id, r.keep_doc_id, r.group_lines) for r in got) == [(i, 7, 3) for i in (7, 8, 9)]
+    assert {r.n_words for r in got if r.doc_id != 9} == {len(words_of(rows[0][1]).split(" "))}
+
+
 def test_secret_forest(spark):
     got = QUERIES["op8_secret_forest"](spark, "/root/testdata/sf0.1").collect()
     held = [r for r in got if r.held_out and r.label is not None]
