@@ -379,6 +379,13 @@ def test_fuzzy_lines_very_long(spark):
     assert {r.n_words for r in got if r.doc_id != 9} == {len(words_of(rows[0][1]).split(" "))}
 
 
+def test_fuzzy_lines_repeated_rows(spark):
+    row = " ".join(f"satz{a}" for a in "abcdefghijklmnopqrst")
+    rows = [(20, row), (20, row), (21, row.replace("satzk", "neu")), (None, row), (None, row)]
+    got = fuzzy_lines.line_report(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert {(r.doc_id, r.n_words, r.keep_doc_id, r.group_lines) for r in got} == {(i, 20, None, 3) for i in (None, 20, 21)} and len(got) == 3
+
+
 def test_secret_forest(spark):
     got = QUERIES["op8_secret_forest"](spark, "/root/testdata/sf0.1").collect()
     held = [r for r in got if r.held_out and r.label is not None]
