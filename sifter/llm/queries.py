@@ -130,7 +130,7 @@ def op7_suffix_index_dedup(spark, sf):
 def op10_fuzzy_lines(spark, sf):
     from .fuzzy_lines import line_report
 
-    return line_report(table(spark, sf, "documents"))
+    return line_report(table(spark, sf, "documents"), letters_only=False)
 
 
 @query("op8_secret_forest")

@@ -386,6 +386,14 @@ def test_fuzzy_lines_repeated_rows(spark):
     assert {(r.doc_id, r.n_words, r.keep_doc_id, r.group_lines) for r in got} == {(i, 20, None, 3) for i in (None, 20, 21)} and len(got) == 3
 
 
+def test_fuzzy_lines_keep_numbers(spark):
+    text = "Invoice 17 total 40\nInvoice 99 total 8500\n1999 2000 2001\n---\n \n1999 2000 2001\ninvoice 17, total 40!\n---"
+    d = spark.createDataFrame([(1, text)], "doc_id bigint, text string")
+    got = {r.line_no: (r.n_words, r.keep_line_no, r.group_lines) for r in fuzzy_lines.line_report(d, letters_only=False).collect()}
+    assert got == {0: (4, 0, 2), 1: (4, 1, 1), 2: (3, 2, 2), 3: (1, 3, 2), 5: (3, 2, 2), 6: (4, 0, 2), 7: (1, 3, 2)}
+    assert [r.text for r in fuzzy_lines.drop_lines(d).collect()] == ["Invoice 17 total 40\nInvoice 99 total 8500\n1999 2000 2001\n---\n "]
+
+
 def test_secret_forest(spark):
     got = QUERIES["op8_secret_forest"](spark, "/root/testdata/sf0.1").collect()
     held = [r for r in got if r.held_out and r.label is not None]
