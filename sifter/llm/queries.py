@@ -138,3 +138,30 @@ def op8_secret_forest(spark, sf):
     from .secret_forest import secret_report
 
     return secret_report(table(spark, sf, "documents"))
+
+
+def _manifest_sql() -> str:
+    from .merkle import manifest_sql
+
+    return manifest_sql()
+
+
+@query("op11_merkle_manifest", _manifest_sql())
+def op11_merkle_manifest(spark, sf):
+    from .merkle import manifest
+
+    return manifest(table(spark, sf, "documents"))
+
+
+@query("op12_token_files")
+def op12_token_files(spark, sf):
+    from .token_files import token_report
+
+    return token_report(table(spark, sf, "documents"))
+
+
+@query("op13_token_align")
+def op13_token_align(spark, sf):
+    from .token_align import align_report
+
+    return align_report(table(spark, sf, "documents"))
