@@ -13,7 +13,8 @@ by one newline byte, documents in ascending id over the files in name order::
     u32      documents d        u64  ids n        u64  data bytes m
     i64[d]   document ids       u8[d]  1 where the document id is NULL
     u32[d]   ids of each document
-    u8[ceil(n / 4)]  control bytes, lowest bits first: bytes of the value - 1
+    u8[..]   control bytes, ceil(ids / 4) for each document, lowest bits first:
+             bytes of the value - 1 (0 in places without a value)
     u8[m]    ranks, lowest byte first
 
 ``ranks/``: the same block form with one document that holds the vocabulary's
@@ -32,6 +33,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,7 +44,8 @@ END_ID = 2
 MAGIC = b"FRV1"
 BLOCK_IDS = 1 << 16  # a block ends with the document that reaches so many ids
 FILE_IDS = 1 << 24  # ids aimed at in one file
-KEPT = 1 << 18  # words, and pieces of words, that a worker remembers
+KEPT = 3 << 17  # pieces of a generation that a worker remembers
+CHUNK_CHARS = 1 << 22  # text encoded at once; a longer text is a chunk of its own
 _HEAD = "<4sIQQ"
 
 # Decoding tables, by control byte: the four lengths.
@@ -61,25 +64,29 @@ def pack_values(values: np.ndarray) -> tuple[bytes, bytes]:
     return control.tobytes(), data.tobytes()
 
 
-def unpack_values(control: np.ndarray, data: np.ndarray, n: int) -> np.ndarray:
-    """The ``n`` values of :func:`pack_values`."""
-    size = _LENGTHS[control].reshape(-1)[:n]
+def unpack_values(control: np.ndarray, data: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The values of :func:`pack_values`, laid end to end, of documents of ``lengths`` values."""
+    slots = -(-lengths // 4) * 4
+    size = _LENGTHS[control].reshape(-1)
+    if len(size):
+        filled = np.repeat(np.cumsum(slots) - slots + lengths, slots) > np.arange(len(size))
+        size = size[filled]
     at = np.cumsum(size, dtype=np.int64) - size
     d = np.concatenate([data, np.zeros(3, np.uint8)]).astype(np.uint32)
     words = d[at] | d[at + 1] << np.uint32(8) | d[at + 2] << np.uint32(16) | d[at + 3] << np.uint32(24)
     return words & _MASK[size]
 
 
-def write_block(docs: list[int | None], lengths: list[int], values: np.ndarray) -> bytes:
-    control, data = pack_values(values)
-    head = struct.pack(_HEAD, MAGIC, len(docs), len(values), len(data))
+def write_block(docs: list[int | None], lengths: list[int], control: list[bytes], data: list[bytes]) -> bytes:
+    """A block of documents whose values :func:`pack_values` has packed."""
+    head = struct.pack(_HEAD, MAGIC, len(docs), sum(lengths), sum(map(len, data)))
     ids = np.array([d or 0 for d in docs], "<i8").tobytes()
     null = np.array([d is None for d in docs], np.uint8).tobytes()
-    return b"".join([head, ids, null, np.array(lengths, "<u4").tobytes(), control, data])
+    return b"".join([head, ids, null, np.array(lengths, "<u4").tobytes(), *control, *data])
 
 
 def read_blocks(raw: bytes) -> Iterator[tuple[list[int | None], np.ndarray, np.ndarray]]:
-    """(document ids, ids of each, values) of every block of a file."""
+    """(document ids, values of each, values) of every block of a file."""
     at, view = 0, np.frombuffer(raw, np.uint8)
     while at < len(raw):
         magic, d, n, m = struct.unpack_from(_HEAD, raw, at)
@@ -88,30 +95,38 @@ def read_blocks(raw: bytes) -> Iterator[tuple[list[int | None], np.ndarray, np.n
         at += struct.calcsize(_HEAD)
         ids = np.frombuffer(raw, "<i8", d, at).tolist()
         null = view[at + 8 * d : at + 9 * d]
-        lengths = np.frombuffer(raw, "<u4", d, at + 9 * d)
+        lengths = np.frombuffer(raw, "<u4", d, at + 9 * d).astype(np.int64)
         at += 13 * d
-        control = view[at : at + -(-n // 4)]
+        control = view[at : at + int((-(-lengths // 4)).sum())]
         at += len(control)
-        values = unpack_values(control, view[at : at + m], n)
+        values = unpack_values(control, view[at : at + m], lengths)
+        if len(values) != n:
+            raise ValueError("a block's lengths do not add up")
         at += m + 1  # the newline after the block
         yield [None if x else i for i, x in zip(ids, null)], lengths, values
 
 
 class WordIds:
-    """Ids of whole texts, by the words of their spelling.
-
-    This tokenizer drops white space and never joins across it, so a text's ids
-    are those of its words in order. A worker remembers the ids of words it has
-    met (``KEPT`` at most), and of the letter runs, digits and signs that plain
-    words fall into; what is new goes to the tokenizer. Words that are not plain
-    ASCII, or that may spell a special token, go to it as they are.
+    """Ids of whole texts, by the pieces that the tokenizer itself splits them into.
+
+    The tokenizer lower-cases, drops white space and joins nothing across the
+    pieces of its split (letter runs, single digits, runs of signs), so a text's
+    ids are those of its pieces in order. The pieces of a batch are numbered by
+    Arrow; each distinct one is looked up among those that the worker has met
+    lately, new ones go to the tokenizer, and numpy lays the ids out.
+    The split is repeated here for texts of plain characters (``NOT_PLAIN``),
+    whose classes and lower case are beyond doubt. Of other texts, and of those
+    that may spell a special token, the words between white space go to the
+    tokenizer as they are.
     """
 
-    # The tokenizer's own split of lower-case ASCII words, its word-end mark, its special tokens' start.
-    PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
+    # Characters of plain texts, the tokenizer's own split in classes of those, its word-end mark, its special tokens' start.
+    NOT_PLAIN = re.compile("[^\t-\r -~\xa1-\u012f\u0131-\u024f\u2010-\u2027\u20ac]")
+    _LETTER, _NUMBER = "a-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u024f", "0-9\xb2\xb3\xb9\xbc-\xbe"
+    PIECE = f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[{_NUMBER}]|[^\t-\r {_LETTER}{_NUMBER}]+"
+    WORDS = re.compile(r"[^ \t\n\x0b\x0c\r]+")
     WORD_END = "</w>"
     SPECIAL = "<|"
-    SPACE = re.compile(r"[ \t\n\x0b\x0c\r]+")
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -121,48 +136,58 @@ class WordIds:
         self.size = max(vocab.values(), default=0) + 1
         self.ends = np.zeros(self.size, bool)
         self.ends[[i for token, i in vocab.items() if token.endswith(self.WORD_END)]] = True
-        self.words: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.now: dict[str, bytes] = {"": b""}
+        self.before: dict[str, bytes] = {}  # the generation before
 
-    def whole(self, text: str) -> bytes:
+    def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _learn_pieces(self, new: list[str]) -> None:
+    def _learn(self, pieces: list[str]) -> None:
         """Encode distinct plain pieces as one spaced text; each ends with its word-end token."""
-        ids = np.array(self.tokenizer.encode(" ".join(new), add_special_tokens=False).ids, "<u4")
-        cuts = np.flatnonzero(self.ends[ids]) + 1
-        if len(cuts) == len(new):
+        for i in range(0, len(pieces), 4096):
+            new = pieces[i : i + 4096]
+            ids = np.array(self.tokenizer.encode(" ".join(new), add_special_tokens=False).ids, "<u4")
+            cuts = np.flatnonzero(self.ends[ids]) + 1
+            if len(cuts) != len(new):
+                self.now.update((p, self._whole(p)) for p in new)
+                continue
             raw, start = ids.tobytes(), 0
             for piece, end in zip(new, (4 * cuts).tolist()):
-                self.pieces[piece] = raw[start:end]
+                self.now[piece] = raw[start:end]
                 start = end
-        else:
-            self.pieces.update((p, self.whole(p)) for p in new)
-
-    def _learn(self, words: set[str]) -> None:
-        plain = {}
-        for w in words:
-            if w.isascii() and self.SPECIAL not in w:
-                plain[w] = self.PIECES.findall(w.lower())
-            else:
-                self.words[w] = self.whole(w)
-        new = list({p for parts in plain.values() for p in parts if p not in self.pieces})
-        for i in range(0, len(new), 4096):
-            self._learn_pieces(new[i : i + 4096])
-        for w, parts in plain.items():
-            self.words[w] = b"".join([self.pieces[p] for p in parts])
-
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        split = [[w for w in self.SPACE.split(t) if w] for t in texts]
-        new = {w for words in split for w in words if w not in self.words}
-        if len(self.words) + len(new) > KEPT:
-            self.words.clear()
-            new = {w for words in split for w in words}
-        if len(self.pieces) > KEPT:
-            self.pieces.clear()
-        self._learn(new)
-        known = self.words
-        return [b"".join([known[w] for w in words]) for words in split]
+
+    def _ids_of(self, pieces: list[str]) -> list[bytes]:
+        """Ids of distinct pieces."""
+        if len(self.now) > KEPT:
+            self.now, self.before = {"": b""}, self.now
+        now, before = self.now, self.before
+        self._learn([p for p in pieces if p not in now and not (p in before and now.setdefault(p, before[p]) is not None)])
+        return [now[p] for p in pieces]
+
+    def _of_words(self, text: str) -> np.ndarray:
+        words = self.WORDS.findall(text)
+        own = {w: self._whole(w) for w in set(words)}
+        return np.frombuffer(b"".join([own[w] for w in words]), "<u4")
+
+    def _of_plain(self, texts: list[str]) -> list[np.ndarray]:
+        spaced = pc.replace_substring_regex(pa.array([t.lower() for t in texts], pa.large_string()), self.PIECE, "\\0 ")
+        split = pc.ascii_split_whitespace(spaced)
+        numbered = split.flatten().dictionary_encode()
+        if not len(numbered):
+            return [np.empty(0, "<u4") for _ in texts]
+        ids = self._ids_of(numbered.dictionary.to_pylist())
+        of, size = numbered.indices.to_numpy(), np.array([len(x) // 4 for x in ids])
+        first, flat = np.cumsum(size) - size, np.frombuffer(b"".join(ids), "<u4")
+        n = size[of]
+        ends = np.concatenate([[0], np.cumsum(n)])
+        laid = flat[np.repeat(first[of] - ends[:-1], n) + np.arange(ends[-1])]
+        cuts = ends[split.offsets.to_numpy()]
+        return [laid[i:j] for i, j in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
+
+    def __call__(self, texts: list[str]) -> list[np.ndarray]:
+        plain = [i for i, t in enumerate(texts) if not (self.NOT_PLAIN.search(t) or self.SPECIAL in t)]
+        out = dict(zip(plain, self._of_plain([texts[i] for i in plain]))) if plain else {}
+        return [out[i] if i in out else self._of_words(t) for i, t in enumerate(texts)]
 
 
 @lru_cache(maxsize=2)
@@ -176,24 +201,36 @@ def default_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def _kind(width: int) -> str:
+    return f"<u{width}"
+
+
 def encode_texts(docs: DataFrame, path: str | None = None, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_tokens, ids): the ids of every whole text (NULL: empty) with the
-    end id, as little-endian unsigned 32-bit integers."""
+    """(doc_id, n_tokens, width, ids): the ids of every whole text (NULL: empty)
+    with the end id, as little-endian unsigned integers of ``width`` bytes (2 if
+    the vocabulary allows it, else 4)."""
     path = path or default_path()
-    end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = _word_ids(path)
+        width = 2 if max(encode.size, end_id + 1) <= 1 << 16 else 4
+        end = np.array([end_id], _kind(width))
         for b in batches:
-            for lo in range(0, b.num_rows, 256):
-                part = b.slice(lo, 256)
-                ids = [x + end for x in encode(part.column(1).to_pylist())]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())], ["doc_id", "n_tokens", "ids"]
-                )
+            texts = b.column(1).to_pylist()
+            lo = 0
+            while lo < len(texts):
+                hi, size = lo + 1, len(texts[lo])
+                while hi < len(texts) and size + len(texts[hi]) <= CHUNK_CHARS:
+                    size += len(texts[hi])
+                    hi += 1
+                ids = [np.concatenate([x.astype(_kind(width)), end]) for x in encode(texts[lo:hi])]
+                cols = [b.column(0).slice(lo, hi - lo), pa.array([len(x) for x in ids], pa.int64()), pa.array([width] * len(ids), pa.int32())]
+                cols.append(pa.array([x.tobytes() for x in ids], pa.binary()))
+                yield pa.RecordBatch.from_arrays(cols, ["doc_id", "n_tokens", "width", "ids"])
+                lo = hi
 
     d = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), text_or_empty(text_col).alias("t"))
-    return d.mapInArrow(run, "doc_id bigint, n_tokens bigint, ids binary")
+    return d.mapInArrow(run, "doc_id bigint, n_tokens bigint, width int, ids binary")
 
 
 def id_counts(encoded: DataFrame) -> DataFrame:
@@ -202,14 +239,14 @@ def id_counts(encoded: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n = np.zeros(0, np.int64)
         for b in batches:
-            for x in b.column(0):
-                more = np.bincount(np.frombuffer(x.as_py(), "<u4"), minlength=len(n))
+            for width, x in zip(b.column(0).to_pylist(), b.column(1)):
+                more = np.bincount(np.frombuffer(x.as_py(), _kind(width)), minlength=len(n))
                 more[: len(n)] += n
                 n = more
         at = np.flatnonzero(n)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(n[at], pa.int64())], ["id", "n"])
 
-    return encoded.select("ids").mapInArrow(run, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
+    return encoded.select("width", "ids").mapInArrow(run, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
 
 
 def rank_order(encoded: DataFrame) -> np.ndarray:
@@ -220,38 +257,43 @@ def rank_order(encoded: DataFrame) -> np.ndarray:
 
 def write_ids(encoded: DataFrame, order: np.ndarray, path: str, files: int) -> None:
     """Write ``encoded`` (staged by the caller) under ``path`` in ascending id
-    over ``files`` files; rows that share an id are ordered by their ids' hash
-    and then the ids themselves, so a repeated id is spread over files too."""
+    over ``files`` files; rows that share an id are ordered by a hash of their
+    ids and then the ids themselves, so a repeated id is spread over files too.
+    What is shuffled is the packed form."""
     rank = np.zeros(int(order.max()) + 1 if len(order) else 1, "<u4")
     rank[order] = np.arange(len(order), dtype="<u4")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        docs: list[int | None] = []
-        parts: list[np.ndarray] = []
-        size = 0
-
-        def block():
-            raw = write_block(docs, [len(p) for p in parts], rank[np.concatenate(parts)])
-            return pa.RecordBatch.from_arrays([pa.array([raw], pa.binary())], ["block"])
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            packed = [pack_values(rank[np.frombuffer(x.as_py(), _kind(w))]) for w, x in zip(b.column(2).to_pylist(), b.column(3))]
+            cols = [b.column(0), b.column(1), *[pa.array([p[i] for p in packed], pa.binary()) for i in (0, 1)]]
+            yield pa.RecordBatch.from_arrays(cols, ["doc_id", "n_tokens", "control", "data"])
 
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        size = 0
         for b in batches:
-            for d, x in zip(b.column(0).to_pylist(), b.column(1)):
-                docs.append(d)
-                parts.append(np.frombuffer(x.as_py(), "<u4"))
-                size += len(parts[-1])
+            for row in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), b.column(3).to_pylist()):
+                held.append(row)
+                size += row[1]
                 if size >= BLOCK_IDS:
-                    yield block()
-                    docs, parts, size = [], [], 0
-        if docs:
-            yield block()
+                    yield pa.RecordBatch.from_arrays([pa.array([write_block(*zip(*held))], pa.binary())], ["block"])
+                    held, size = [], 0
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array([write_block(*zip(*held))], pa.binary())], ["block"])
+
+    packed = encoded.select("doc_id", "n_tokens", "width", "ids").mapInArrow(pack, "doc_id bigint, n_tokens bigint, control binary, data binary")
+    keyed = packed.withColumn("_h", F.xxhash64("control", "data"))
+    ordered = keyed.repartitionByRange(files, "doc_id", "_h").sortWithinPartitions("doc_id", "_h", "data", "control").drop("_h")
+    _write_raw(ordered.mapInArrow(blocks, "block binary"), f"{path}/ids")
+    control, data = pack_values(order)
+    table = encoded.sparkSession.createDataFrame([(write_block([0], [len(order)], [control], [data]),)], "block binary")
+    _write_raw(table, f"{path}/ranks")
+
 
-    keyed = encoded.select("doc_id", "ids", F.xxhash64("ids").alias("_h"))
-    ordered = keyed.repartitionByRange(files, "doc_id", "_h").sortWithinPartitions("doc_id", "_h", "ids").select("doc_id", "ids")
-    blocks = ordered.mapInArrow(run, "block binary").select(F.col("block").cast("string").alias("value"))
-    blocks.write.option("lineSep", "\n").option("compression", "none").text(f"{path}/ids")
-    table = write_block([0], [len(order)], order)
-    one = encoded.sparkSession.createDataFrame([(table,)], "block binary").select(F.col("block").cast("string").alias("value"))
-    one.write.option("lineSep", "\n").option("compression", "none").text(f"{path}/ranks")
+def _write_raw(blocks: DataFrame, path: str) -> None:
+    """Rows of raw bytes, a newline after each: the text sink writes a string's bytes as they are."""
+    blocks.select(F.col("block").cast("string").alias("value")).write.option("lineSep", "\n").option("compression", "none").text(path)
 
 
 def read_ids(spark: SparkSession, path: str, keep_ids: bool = False) -> DataFrame:
@@ -271,7 +313,7 @@ def read_ids(spark: SparkSession, path: str, keep_ids: bool = False) -> DataFram
                     cut = [ids[4 * (e - n) : 4 * e] for e, n in zip(ends.tolist(), lengths.tolist())]
                     cols = [
                         pa.array([name] * len(docs)), pa.array(ends - lengths + at), pa.array(docs, pa.int64()),
-                        pa.array(lengths.astype(np.int64)), pa.array([zlib.crc32(c) for c in cut], pa.int64()),
+                        pa.array(lengths), pa.array([zlib.crc32(c) for c in cut], pa.int64()),
                     ]
                     if keep_ids:
                         cols.append(pa.array([bytes(c) for c in cut], pa.binary()))
@@ -283,7 +325,7 @@ def read_ids(spark: SparkSession, path: str, keep_ids: bool = False) -> DataFram
     # one row of a file is its whole content, so a task takes one file at a time
     rows = files.filter("length > 0").select(number.alias("file"), "content").mapInArrow(run, fields)
     rows = stage(rows, "token-rows")
-    # the totals come from the footings of the decoded rows: one row a file, summed in two levels
+    # one row a file, summed in two levels
     totals = rows.groupBy("file").agg(F.sum("n_tokens").alias("_n")).withColumn("_no", F.col("file").cast("bigint"))
     firsts = running(totals, [], ["_no"], F.shiftright("_no", 10), sums={"_end": F.col("_n")})
     firsts = firsts.select("file", (F.col("_end") - F.col("_n")).alias("_first"))
