@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
 from .rank import global_rank, pos_bucket
+from .select import find_cut, flag_first, number_key
 
 log = logging.getLogger(__name__)
 TARGET_COUNT = 2000
@@ -42,20 +43,16 @@ def resume_generated(ckpt: DataFrame, seed: DataFrame) -> DataFrame:
     return kept.withColumn("pos", F.col("pos") - n_seed)
 
 
-TOP_ROWS = 100_000  # up to this target the first rows are a plain top-k
-
-
 def finalize_dataset(seed: DataFrame, generated: DataFrame, target: int = TARGET_COUNT) -> DataFrame:
     """Seed rows plus the first ``target`` generated rows in ``pos`` order.
 
-    A small target is a top-k (each task keeps its first ``target`` rows); a
-    larger one is cut by the global rank. Either way only kept rows are numbered.
+    Rows that share a position are taken in the order of the whole row. The cut
+    is found from histograms of the positions (:mod:`.select`), whatever the
+    target; only kept rows are numbered.
     """
-    if target <= TOP_ROWS:
-        first = generated.orderBy("pos").limit(target)
-    else:
-        first = global_rank(generated, ["pos"], pos_bucket("pos"), name="_r").filter(F.col("_r") <= target).drop("_r")
-    return checkpoint_rows(seed, first)
+    key = number_key("pos")
+    first = flag_first(generated, key, find_cut(generated, key, lambda n: target, 16), "_first")
+    return checkpoint_rows(seed, first.filter("_first").drop("_first"))
 
 
 def resume_from(spark, path: str, seed: DataFrame) -> DataFrame:

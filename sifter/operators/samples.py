@@ -9,6 +9,7 @@ window). Padding is a window per batch, and a batch holds at most
 """
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 import pandas as pd
@@ -20,6 +21,7 @@ from ..functions import jsonx as J
 from ..functions.jsonx import ustrip
 from .clean import once
 from .rank import global_rank, pos_bucket
+from .select import find_cut, flag_first
 
 # Defaults of the sample builder.
 DEFAULT_SYSTEM_PROMPT = "You are a helpful assistant."
@@ -183,7 +185,8 @@ def encode(df: DataFrame, encoder: Callable[[Column], Column] = code_points, max
     """
     if max_length < 1:
         raise ValueError("max_length must be at least 1")
-    staged = df.withColumn("_p", encoder(F.col("prompt"))).withColumn("_a", encoder(F.col("answer")))
+    none = F.lit("")  # rows dropped before have no prompt, and no tokens
+    staged = once(df.withColumn("_p", encoder(F.coalesce("prompt", none))).withColumn("_a", encoder(F.coalesce("answer", none))))
     ids = F.concat(F.col("_p"), F.col("_a"))
     labels = F.concat(F.array_repeat(F.lit(IGNORE_INDEX), F.size("_p")), F.col("_a"))
 
@@ -222,10 +225,10 @@ def build_samples(
     """
     keys = [c for c in ("file", "pos") if c in records.columns]
     known = [c for c in ("drop_reason",) if c in records.columns]
-    n = normalize(records.select(*keys, "instruction", "input", "output", *known))
-    m = build_messages(n, system_prompt, instruction_as_system)
-    keep = m.filter(F.col("drop_reason").isNull())
-    enc = encode(render_prompt(keep, template), encoder, max_length)
+    # a reason is computed once per step: a filter on it would else be pushed below, and copy, all steps before
+    n = once(normalize(records.select(*keys, "instruction", "input", "output", *known)))
+    m = once(build_messages(n, system_prompt, instruction_as_system))
+    enc = once(encode(render_prompt(m, template), encoder, max_length))
     samples = enc.filter(F.col("drop_reason").isNull()).select(
         *keys,
         F.size("input_ids").alias("n_tokens"),
@@ -234,26 +237,22 @@ def build_samples(
         "attention_mask",
         "labels",
     )
-    dropped = m.filter(F.col("drop_reason").isNotNull()).select("drop_reason").unionByName(
-        enc.filter(F.col("drop_reason").isNotNull()).select("drop_reason")
-    )
-    drops = dropped.groupBy("drop_reason").agg(F.count(F.lit(1)).alias("n"))
+    drops = enc.filter(F.col("drop_reason").isNotNull()).groupBy("drop_reason").agg(F.count(F.lit(1)).alias("n"))
     return samples, drops
 
 
 def split_exact(df: DataFrame, ratio: float = EVAL_RATIO, seed: int = SPLIT_SEED) -> DataFrame:
     """Add ``split``: exactly ``floor(n * ratio)`` rows are ``eval``, the rest ``train``.
 
-    Rows are ordered by ``md5(seed:pos)`` (ties by pos), so the split is the
-    same for any partitioning. The order is ranked in buckets of the hash
-    prefix; ``n`` comes from the same pass (sum of the bucket counts).
+    Eval rows are the first by ``md5(seed:pos)`` (ties by the whole row), so the
+    split is the same for any partitioning. The place of the cut comes from
+    histograms of the hash (:mod:`.select`), so rows are compared with it and
+    only the few at the cut are sorted: no exchange of all rows.
     """
-    h = F.md5(F.concat(F.lit(f"{seed}:"), F.col("pos").cast("string")))
-    staged = df.withColumn("_h", h)
-    bucket = F.conv(F.substring("_h", 1, 5), 16, 10).cast("bigint")
-    ranked = global_rank(staged, ["_h", "pos"], bucket, name="_r", total="_n")
-    n_eval = F.floor(F.col("_n") * F.lit(float(ratio)))
-    return ranked.withColumn("split", F.when(F.col("_r") <= n_eval, "eval").otherwise("train")).drop("_h", "_r", "_n")
+    h = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("pos").cast("string"), F.lit(""))))
+    cut = find_cut(df, h, lambda n: math.floor(n * float(ratio)), 32)
+    flagged = flag_first(df, h, cut, "_eval")
+    return flagged.withColumn("split", F.when(F.col("_eval"), "eval").otherwise("train")).drop("_eval")
 
 
 def assign_batches(df: DataFrame, size: int, within: list[str] | None = None) -> DataFrame:

@@ -8,13 +8,13 @@ live under the cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 """
 from __future__ import annotations
 
-import json
 import uuid
+from contextlib import contextmanager
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor
 
 from ..functions.jsonx import strict_json
 from ..operators import clean as C
@@ -71,9 +71,91 @@ def stream_report(stream: DataFrame):
 
 
 HISTORY_SCHEMA = "conv_id long, turn long, episode long, role string, line string, history array<struct<role:string,content:string>>"
-HISTORY_STATE = "episode long, exited boolean, system string, messages string"
 MESSAGE_SCHEMA = "conv_id long, turn long, episode long, idx long, role string, content string, system_text string, n_messages int"
-MESSAGE_STATE = "episode long, exited boolean, system string, n long"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+@contextmanager
+def rocksdb_state(spark: SparkSession):
+    """Typed state lives in RocksDB: names that state store while queries are
+    started, where the cluster has not chosen one itself."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    chosen = spark.conf.get(key, None)
+    set_here = not chosen or chosen.endswith("HDFSBackedStateStoreProvider")
+    if set_here:
+        spark.conf.set(key, ROCKSDB)
+    try:
+        yield
+    finally:
+        if set_here:
+            spark.conf.unset(key) if chosen is None else spark.conf.set(key, chosen)
+
+
+class _Chat(StatefulProcessor):
+    """State variables of a conversation, and the rules for its lines.
+
+    ``chat`` (a value: episode, exited, system text, messages so far) is read
+    and written once per micro-batch. With ``lists`` the current episode's
+    messages are a list state, to which new ones are appended; what is stored is
+    not written again. With ``idle_ms`` a timer, moved on by every micro-batch
+    that brings lines, forgets the conversation.
+    """
+
+    CHAT = "episode long, exited boolean, system string, n long"
+    LINE = "role string, content string"
+
+    def __init__(self, lists: bool, idle_ms: int | None):
+        self.lists, self.idle_ms = lists, idle_ms
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.chat = handle.getValueState("chat", self.CHAT)
+        self.messages = handle.getListState("messages", self.LINE) if self.lists else None
+
+    def handleInputRows(self, key, rows, timerValues):
+        episode, exited, system, n = self.chat.get() if self.chat.exists() else (0, False, None, 0)
+        stored = self.lists and n > 0  # the list state holds messages of this episode
+        held = [{"role": r, "content": c} for r, c in self.messages.get()] if stored else []
+        new, out = [], []
+        for turn, role, line in _lines(rows):
+            if exited or not line:
+                continue
+            leaves = role == "user" and line in EXIT_COMMANDS
+            if leaves or (role == "user" and line == RESET_COMMAND):
+                exited, episode = leaves, episode + (not leaves)
+                held, new, n = [], [], 0
+                if stored:
+                    self.messages.clear()
+                    stored = False
+            elif role == "system":
+                system = line
+            else:
+                n += 1
+                if self.lists:
+                    new.append((role, line))
+                    held = [*held, {"role": role, "content": line}]
+                    head = [{"role": "system", "content": system}] if system else []
+                    out.append((key[0], turn, episode, role, line, head + held))
+                else:
+                    out.append((key[0], turn, episode, n, role, line, system, n + (1 if system else 0)))
+        if new:
+            self.messages.appendList(new)
+        self.chat.update((episode, exited, system, n))
+        if self.idle_ms is not None:
+            for at in list(self.handle.listTimers()):
+                self.handle.deleteTimer(at)
+            self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.idle_ms)
+        if out:
+            yield pd.DataFrame(out, columns=_names(HISTORY_SCHEMA if self.lists else MESSAGE_SCHEMA))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        self.chat.clear()
+        if self.lists:
+            self.messages.clear()
+        yield from ()
+
+    def close(self) -> None:
+        pass
 
 
 def _lines(batches):
@@ -83,102 +165,44 @@ def _lines(batches):
         yield int(turn), role, (text or "").strip()
 
 
-def _replay(batches, state, empty, kept):
-    """Apply lines to the stored (episode, exited, system, kept): yields the
-    state's parts at every active message; ``empty`` starts an episode."""
-    episode, exited, system, held = state
-    for turn, role, line in _lines(batches):
-        if exited or not line:
-            continue
-        if role == "user" and line in EXIT_COMMANDS:
-            exited, held = True, empty
-        elif role == "user" and line == RESET_COMMAND:
-            episode, held = episode + 1, empty
-        elif role == "system":
-            system = line
-        else:
-            held = kept(held, role, line)
-            yield turn, episode, role, line, system, held
-    yield episode, exited, system, held
-
-
-def _stateful(empty, kept, row, columns, load, dump, ttl_ms):
-    def step(key, batches, state):
-        if state.hasTimedOut:
-            state.remove()
-            return
-        *old, held = state.get if state.exists else (0, False, None, dump(empty))
-        *rows, last = _replay(batches, (*old, load(held)), empty, kept)
-        *new, held = last
-        state.update((*new, dump(held)))
-        if ttl_ms is not None:
-            state.setTimeoutDuration(ttl_ms)
-        if rows:
-            yield pd.DataFrame([row(key[0], *r) for r in rows], columns=columns)
-
-    return step
-
-
-def _expiry(state_days: float | None):
-    """(milliseconds, timeout kind). Spark plans micro-batches for ever while
-    processing-time timeouts are on, so an available-now run, which has to end, goes without."""
-    if state_days is None:
-        return None, GroupStateTimeout.NoTimeout
-    return int(state_days * 86_400_000), GroupStateTimeout.ProcessingTimeTimeout
-
-
 def _names(schema: str) -> list[str]:
     return [c.split(" ")[0] for c in schema.replace("<role:string,content:string>", "").split(", ")]
 
 
+def _with_state(stream: DataFrame, lists: bool, schema: str, state_days: float | None) -> DataFrame:
+    # Spark plans micro-batches for ever while processing-time timers are on, so an available-now run, which has to end, goes without
+    idle, mode = (None, "None") if state_days is None else (int(state_days * 86_400_000), "ProcessingTime")
+    return stream.groupBy("conv_id").transformWithStateInPandas(_Chat(lists, idle), schema, "Append", mode)
+
+
 def stream_histories(stream: DataFrame, state_days: float | None = None) -> DataFrame:
     """Stateful chat histories (X3), keyed by ``conv_id``, as message lists.
 
     Lines are applied in turn order inside a micro-batch, and batches must
     bring a conversation's lines in order. State per conversation is the
-    current episode's messages (``/reset`` and an exit clear them), so prefer
-    :func:`stream_messages` where a row per message is enough. With
-    ``state_days`` a conversation without lines for so long is forgotten (for
-    continuous triggers; an available-now run would not end). Whitespace handling uses
-    Python ``str.strip``, the same set as ``sifter.functions.jsonx.ustrip``.
+    current episode's messages as a list state (``/reset`` and an exit clear
+    it), so prefer :func:`stream_messages` where a row per message is enough.
+    With ``state_days`` a timer forgets a conversation without lines for so
+    long (for continuous triggers; an available-now run would not end). Start
+    the query under :func:`rocksdb_state`, or set that state store on the
+    cluster. Whitespace handling uses Python ``str.strip``, the same set as
+    ``sifter.functions.jsonx.ustrip``.
     """
-
-    ttl, kind = _expiry(state_days)
-
-    def row(conv_id, turn, episode, role, line, system, msgs):
-        head = [{"role": "system", "content": system}] if system else []
-        return conv_id, turn, episode, role, line, head + msgs
-
-    step = _stateful(
-        [],
-        lambda msgs, role, line: [*msgs, {"role": role, "content": line}],
-        row,
-        _names(HISTORY_SCHEMA),
-        json.loads,
-        lambda msgs: json.dumps(msgs, ensure_ascii=False),
-        ttl,
-    )
-    return stream.groupBy("conv_id").applyInPandasWithState(step, HISTORY_SCHEMA, HISTORY_STATE, "append", kind)
+    return _with_state(stream, True, HISTORY_SCHEMA, state_days)
 
 
 def stream_messages(stream: DataFrame, state_days: float | None = None) -> DataFrame:
     """Streaming form of :func:`sifter.operators.chat.message_table` (X3): one
     row per message, and four values of state per conversation, whatever its
-    length. ``state_days`` as in :func:`stream_histories`."""
-
-    ttl, kind = _expiry(state_days)
-
-    def row(conv_id, turn, episode, role, line, system, n):
-        return conv_id, turn, episode, n, role, line, system, n + (1 if system else 0)
-
-    step = _stateful(0, lambda n, role, line: n + 1, row, _names(MESSAGE_SCHEMA), int, int, ttl)
-    return stream.groupBy("conv_id").applyInPandasWithState(step, MESSAGE_SCHEMA, MESSAGE_STATE, "append", kind)
+    length. ``state_days`` and state store as in :func:`stream_histories`."""
+    return _with_state(stream, False, MESSAGE_SCHEMA, state_days)
 
 
-def run_to_table(spark: SparkSession, streaming: DataFrame, name: str, mode: str = "append") -> DataFrame:
+def run_to_table(spark: SparkSession, streaming: DataFrame, name: str, mode: str = "append", base: str | None = None) -> DataFrame:
     """Run a streaming DataFrame to completion (available-now trigger) into a
-    Parquet table under the shared checkpoint folder and read it back."""
-    base = stream_location(spark, name)
+    Parquet table under the shared checkpoint folder and read it back. With the
+    ``base`` folder of an earlier run it goes on from that run's checkpoint."""
+    base = base or stream_location(spark, name)
     path, ckpt = f"{base}/table", f"{base}/checkpoint"
 
     if mode == "complete":
@@ -191,9 +215,11 @@ def run_to_table(spark: SparkSession, streaming: DataFrame, name: str, mode: str
             _write_batch(df, path, batch_id)
 
         q = streaming.writeStream.outputMode("append").foreachBatch(sink)
-    q = q.option("checkpointLocation", ckpt).trigger(availableNow=True).start()
+    with rocksdb_state(spark):
+        q = q.option("checkpointLocation", ckpt).trigger(availableNow=True).start()
     q.awaitTermination()
-    return spark.read.parquet(path)
+    schema = streaming.schema if mode == "complete" else streaming.schema.add("batch_id", "long")  # a run without rows leaves no file to infer it from
+    return spark.read.schema(schema).parquet(path)
 
 
-__all__ = ["stream_clean", "stream_report", "stream_histories", "stream_messages", "run_to_table", "stream_location"]
+__all__ = ["stream_clean", "stream_report", "stream_histories", "stream_messages", "rocksdb_state", "run_to_table", "stream_location"]
