@@ -1,13 +1,14 @@
 """Sharding by a hierarchical weighted hash tree (region / rack / shard). DataFrame functions only.
 
-Every leaf of the tree gets a draw for the row's key: an exponential arrival
-time with the leaf's weight as its rate, taken from a hash of (seed, key,
-leaf). A rack's arrival is the first of its shards, a region's the first of
-its racks, so each inner node's draw is exponential with the sum of the
-weights below it: descending the tree, the row goes to the region, then the
-rack, then the shard that arrives first. A node's draw only depends on the
-leaves below it, so a change of weight moves rows into or out of that subtree
-alone, and a new shard takes rows only into itself.
+Every node of the tree draws for the row's key: an exponential arrival time
+with the node's weight as its rate, taken from a hash of (seed, key, node). An
+inner node's weight is the sum of those below it. The row descends: of the
+regions it takes the one that arrives first, of that region's racks the first,
+of that rack's shards the first. Draws of one level know nothing of the levels
+below, so a change of weights that leaves a node's sum as it was moves nothing
+into or out of that node, and any other change moves rows only into nodes whose
+weight grew and out of nodes whose weight shrank. A new shard comes in as a
+region of its own (:func:`grow`), so it takes rows only into itself.
 """
 from __future__ import annotations
 
@@ -24,7 +25,7 @@ Tree = dict[str, dict[str, dict[int, float]]]
 
 
 def default_tree(shards: int = 16, racks: int = 4, regions: int = 2) -> Tree:
-    """Equal shards dealt to racks in turn, racks to regions; later shards keep the places of earlier ones."""
+    """Equal shards dealt to racks in turn, racks to regions."""
     tree: Tree = {}
     for s in range(shards):
         rack = s % racks
@@ -32,40 +33,50 @@ def default_tree(shards: int = 16, racks: int = 4, regions: int = 2) -> Tree:
     return tree
 
 
-def _arrival(key: Column, leaf: int, weight: float, seed: int) -> Column:
-    h = F.shiftrightunsigned(F.xxhash64(F.lit(seed).cast("bigint"), key, F.lit(leaf).cast("bigint")), 11)
+def grow(tree: Tree, shard: int, weight: float = 1.0) -> Tree:
+    """``tree`` with one more shard, in a region and a rack of its own."""
+    return {**tree, f"region+{shard}": {f"rack+{shard}": {shard: weight}}}
+
+
+def _arrival(key: Column, node: str, weight: float, seed: int) -> Column:
+    h = F.shiftrightunsigned(F.xxhash64(F.lit(seed).cast("bigint"), key, F.lit(node)), 11)
     u = (h.cast("double") + 0.5) / F.lit(float(1 << 53))
     return -F.log(u) / F.lit(float(weight))
 
 
-def _first(nodes: list[Column]) -> Column:
-    return nodes[0] if len(nodes) == 1 else F.least(*nodes)
+def _first(key: Column, nodes: list[tuple[str, float, Column]], seed: int) -> Column:
+    """The value of the node (name, weight, value) that arrives first; ties go to the earlier one."""
+    if len(nodes) == 1:
+        return nodes[0][2]
+    at = F.least(*[F.struct(_arrival(key, name, weight, seed).alias("t"), F.lit(i).alias("i")) for i, (name, weight, _) in enumerate(nodes)])["i"]
+    out = F
+    for i, (*_, value) in enumerate(nodes):
+        out = out.when(at == i, value)
+    return out
 
 
 def placement(key: Column, tree: Tree, seed: int = SEED) -> Column:
-    """struct(t, shard, rack, region) of the leaf that the key reaches.
+    """struct(shard, rack, region) of the leaf that the key descends to.
 
-    Leaves of weight 0 or less take no rows. Ties (of probability 2^-53 a
-    pair) go to the smaller shard number. A NULL key is a key like any other.
+    Shards of weight 0 or less take no rows. Ties (of probability 2^-53 a
+    pair) go to the node that sorts first. A NULL key is a key like any other.
     """
     regions = []
     for region in sorted(tree):
         racks = []
         for rack in sorted(tree[region]):
-            leaves = [
-                F.struct(
-                    _arrival(key, s, w, seed).alias("t"), F.lit(s).alias("shard"), F.lit(rack).alias("rack"), F.lit(region).alias("region")
-                )
+            shards = [
+                (f"{region}/{rack}/{s}", w, F.struct(F.lit(s).alias("shard"), F.lit(rack).alias("rack"), F.lit(region).alias("region")))
                 for s, w in sorted(tree[region][rack].items())
                 if w > 0
             ]
-            if leaves:
-                racks.append(_first(leaves))
+            if shards:
+                racks.append((f"{region}/{rack}", sum(w for _, w, _ in shards), _first(key, shards, seed)))
         if racks:
-            regions.append(_first(racks))
+            regions.append((region, sum(w for _, w, _ in racks), _first(key, racks, seed)))
     if not regions:
         raise ValueError("the tree has no shard of positive weight")
-    return _first(regions)
+    return _first(key, regions, seed)
 
 
 def number_within(rows: DataFrame, group: str, key_cols: list[str], name: str = "slot") -> DataFrame:
@@ -102,7 +113,7 @@ def shard_documents(
     columns are not read.
     """
     tree = tree or default_tree(16)
-    grown = grown or default_tree(17)
+    grown = grown or grow(tree, 1 + max(s for racks in tree.values() for shards in racks.values() for s in shards))
     key = F.col(id_col)
     t = text_or_empty(text_col)
     placed = docs.select(

@@ -299,21 +299,30 @@ def test_packing_plan(kind):
 
 
 def reference_shard(doc_id, tree, seed=42):
+    """Descend the tree: at each level the child that arrives first, its rate the weights below it."""
     import struct
 
-    def arrival(leaf):
+    def weight(node):
+        return sum(map(weight, node.values())) if isinstance(node, dict) else max(node, 0)
+
+    def arrival(name, w):
         h = 42
-        for v in (seed, doc_id, leaf):
+        for v in (struct.pack("<q", seed), None if doc_id is None else struct.pack("<q", doc_id), name.encode()):
             if v is not None:
-                h = xxhash.xxh64_intdigest(struct.pack("<q", v), h)
-        return -np.log(((h >> 11) + 0.5) / float(1 << 53))
+                h = xxhash.xxh64_intdigest(v, h)
+        return -np.log(((h >> 11) + 0.5) / float(1 << 53)) / w
 
-    return min((arrival(s), s) for racks in tree.values() for shards in racks.values() for s in shards)[1]
+    node, path = tree, ""
+    while isinstance(node, dict):
+        child = min((arrival(f"{path}{c}", weight(x)), c) for c, x in node.items() if weight(x) > 0)[1]
+        node, path = node[child], f"{path}{child}/"
+    return child
 
 
 def test_sharding(docs):
     rows = texts_of(docs)
-    old, new = sharding.default_tree(16), sharding.default_tree(17)
+    old = sharding.default_tree(16)
+    new = sharding.grow(old, 16)
     got = sharding.shard_documents(docs).collect()
     where = {i: reference_shard(i, old) for i, _ in rows}
     grown = {i: reference_shard(i, new) for i, _ in rows}
@@ -326,16 +335,36 @@ def test_sharding(docs):
     assert all(sorted(s) == list(range(len(s))) for s in slots.values())
 
 
+def placements(spark, *trees, n=40_000):
+    key = F.col("doc_id")
+    d = spark.range(n).select(F.col("id").alias("doc_id"))
+    cols = [sharding.placement(key, t)[c].alias(f"{c}{i}") for i, t in enumerate(trees) for c in ("region", "rack", "shard")]
+    return d.select(key, *cols).collect()
+
+
 def test_weight_changes_stay_in_their_subtree(spark):
-    tree = {"a": {"r0": {0: 1.0, 1: 2.0}, "r1": {2: 1.0}}, "b": {"r2": {3: 3.0, 4: 1.0}}}
-    more = {**tree, "b": {"r2": {3: 3.0, 4: 4.0}}}
-    d = spark.range(40_000).select(F.col("id").alias("doc_id"))
-    p, q = sharding.placement(F.col("doc_id"), tree), sharding.placement(F.col("doc_id"), more)
-    rows = d.select(p["shard"].alias("old"), q["shard"].alias("new"), p["region"].alias("region")).collect()
-    share = collections.Counter(r.old for r in rows)
-    for s, w in ((0, 1), (1, 2), (2, 1), (3, 3), (4, 1)):
+    tree = {"a": {"r0": {0: 1.0, 1: 2.0}, "r1": {2: 1.0}}, "b": {"r2": {3: 3.0, 4: 1.0}, "r3": {5: 0.0}}}
+    balanced = {**tree, "b": {"r2": {3: 1.5, 4: 2.5}, "r3": {5: 0.0}}}  # the rack's sum stays
+    inside = {**tree, "a": {"r0": {0: 1.0, 1: 1.0}, "r1": {2: 2.0}}}  # the region's sum stays
+    rows = placements(spark, tree, balanced, inside, sharding.grow(tree, 9, 4.0))
+    share = collections.Counter(r.shard0 for r in rows)
+    for s, w in ((0, 1), (1, 2), (2, 1), (3, 3), (4, 1), (5, 0)):
         assert abs(share[s] / len(rows) - w / 8) < 0.01
-    assert all(r.new in (r.old, 4) for r in rows) and any(r.new != r.old for r in rows)
+    moved = [r for r in rows if r.shard0 != r.shard1]
+    assert moved and all((r.rack0, r.shard0, r.shard1) == ("r2", 3, 4) and r.rack1 == "r2" for r in moved)
+    moved = [r for r in rows if r.shard0 != r.shard2]
+    assert moved and all(r.region0 == r.region2 == "a" for r in moved)
+    assert all(r.rack0 == r.rack2 or (r.rack0, r.rack2) == ("r0", "r1") for r in moved)
+    moved = [r for r in rows if r.shard0 != r.shard3]
+    assert all(r.shard3 == 9 for r in moved) and abs(len(moved) / len(rows) - 1 / 3) < 0.01
+
+
+def test_the_tree_decides_and_not_its_leaves_alone(spark):
+    flat = {"all": {"one": {s: 1.0 for s in range(8)}}}
+    rows = placements(spark, flat, sharding.default_tree(8), n=4000)
+    assert sum(r.shard0 != r.shard1 for r in rows) > 2000
+    want = [(reference_shard(r.doc_id, flat), reference_shard(r.doc_id, sharding.default_tree(8))) for r in rows]
+    assert [(r.shard0, r.shard1) for r in rows] == want
 
 
 def test_components(spark):
