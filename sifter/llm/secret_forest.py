@@ -1,11 +1,15 @@
 """Secret scans: findings by a broad pattern, false positives removed by a random forest.
 
-A finding is any run of 12 or more key-like characters with a digit in it. Its
-features are the length, shares of character classes, transitions between
-classes, coverage by a dictionary of the corpus's frequent words, and how the
-path (source) and the neighbouring words fared among the labelled findings.
-The forest is grown on a bounded sample of labelled findings and scores every
-finding of every whole text.
+Findings are, without overlap and in this order of precedence: known key formats
+wherever they stand, also inside longer runs; the value after a secret's name
+and ``=`` or ``:``, of any length and any characters (quoted: up to the quote;
+else up to white space, closing punctuation trimmed); and any run of 12 or more
+key-like characters with a digit in it. Nothing is rejected here: that is the
+forest's task. Features are the length, shares of character classes, shares of
+each of the 16 transitions between classes, coverage by a dictionary of the
+corpus's frequent words, and how the path (source) and the neighbouring words
+fared among the labelled findings. The forest is grown on a bounded sample of
+labelled findings and scores every finding of every whole text.
 
 Labels: ``rule_label`` marks findings of a known key format or assignment as
 secrets and other well-known forms (e-mail, card and phone numbers, addresses,
@@ -16,6 +20,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -31,7 +36,6 @@ from .toxicity import held_out
 
 SAMPLE_ROWS = 8_000  # bound on the labelled findings that the forest is grown on
 DICTIONARY_WORDS = 20_000  # the most frequent words of the corpus
-LEAST_LENGTH = 12
 TREES = 40
 DEPTH = 8
 
@@ -51,21 +55,51 @@ SECRET_NAMES = rb"(?:password|passwd|pwd|secret|token|api_?key|access_?key|auth)
 OTHER_FORMATS = (
     rb"[0-9.\-]+", rb"[^@]+@[^@]+\.[A-Za-z]+", rb"[0-9]{1,3}(?:\.[0-9]{1,3}){3}", rb"[0-9]{4}-[0-9]{2}-[0-9]{2}.*", rb"[a-z]+[0-9]{1,3}",
 )
+CLOSING = b".,;:!?)]}>"  # trimmed from the end of values without quotes
 _SECRET = re.compile(b"|".join(SECRET_FORMATS))
-_NAMED = re.compile(SECRET_NAMES + rb"\s*[=:]\s*[\"']?$", re.I)
+_ASSIGNED = re.compile(SECRET_NAMES + rb"""[\"']?[ \t]*[=:][ \t]*(?:"([^"\n]+)"|'([^'\n]+)'|([^\s"']\S*))""", re.I)
+_NAMED = re.compile(SECRET_NAMES + rb"[\"']?[ \t]*[=:][ \t]*[\"']?$", re.I)
 _OTHER = re.compile(b"|".join(OTHER_FORMATS))
 
-NUMERIC = ("length", "digits", "upper", "lower", "other", "transitions", "distinct", "entropy", "longest_digits", "coverage", "assigned", "quoted")
+NUMERIC = ("length", "digits", "upper", "lower", "other", "changes", *(f"{a}_{b}" for a in "dulo" for b in "dulo"), "distinct", "entropy", "longest_digits", "coverage", "assigned", "quoted")
 CONTEXT = ("path", "before", "after")
 
 
 def rule_label(value: bytes, before: bytes) -> int | None:
-    """1: of a secret's format or assigned to a secret's name; 0: another known form; None: neither."""
-    if _SECRET.fullmatch(value) or (_NAMED.search(before) and len(value) >= 16):
+    """1: of a secret's format, or assigned to a secret's name and of 16 bytes or of
+    8 bytes in two classes of characters; 0: another known form; None: neither, so only scored."""
+    if _SECRET.fullmatch(value):
+        return 1
+    if _NAMED.search(before) and (len(value) >= 16 or len(value) >= 8 and len(set(_CLASS[np.frombuffer(value, np.uint8)])) > 1):
         return 1
     return 0 if _OTHER.fullmatch(value) else None
 
 
+def spans(text: bytes) -> list[tuple[int, int]]:
+    """Places of the findings of a text, ascending, without overlap."""
+    named = []
+    for m in _ASSIGNED.finditer(text):
+        lo, hi = m.span(m.lastindex)
+        if m.lastindex == 3:
+            hi = lo + len(text[lo:hi].rstrip(CLOSING + b"\"'"))
+        named.append((lo, hi))
+    runs = []
+    for m in FINDING.finditer(text):
+        v = m.group().rstrip(b".-/")
+        if _DIGIT.search(v):
+            runs.append((m.start(), m.start() + len(v)))
+    kept: list[tuple[int, int]] = []
+    for found in ([m.span() for m in _SECRET.finditer(text)], named, runs):
+        starts = [lo for lo, _ in kept]
+        new = []
+        for lo, hi in found:
+            at = bisect_left(starts, hi)  # of the kept ones, which do not overlap, only the last that starts before hi can reach in
+            if hi > lo and not (at and kept[at - 1][1] > lo):
+                new.append((lo, hi))
+        kept = sorted(kept + new)
+    return kept
+
+
 def frequent_words(docs: DataFrame, text_col: str = "text", words: int = DICTIONARY_WORDS) -> frozenset[bytes]:
     """The most frequent words (three letters or more) of all texts, at most ``words``; ties to the smaller word."""
 
@@ -96,11 +130,13 @@ def describe(value: bytes, words: frozenset[bytes]) -> list[float]:
     kind = _CLASS[a]
     n = len(a)
     share = np.bincount(kind, minlength=4) / n
+    steps = np.bincount(kind[:-1].astype(int) * 4 + kind[1:], minlength=16) / max(1, n - 1)
     counts = np.bincount(a)
     p = counts[counts > 0] / n
     digits = max(map(len, re.findall(rb"[0-9]+", value)), default=0)
     covered = sum(len(w) for w in _WORD.findall(value) if w.lower() in words)
-    return [n, *share, float((kind[1:] != kind[:-1]).sum()) / (n - 1), len(p) / n, float(-(p * np.log2(p)).sum()), digits / n, covered / n]
+    changes = float(steps.sum() - steps[[0, 5, 10, 15]].sum())
+    return [n, *share, changes, *steps, len(p) / n, float(-(p * np.log2(p)).sum()), digits / n, covered / n]
 
 
 def findings(docs: DataFrame, words: frozenset[bytes], id_col: str = "doc_id", text_col: str = "text", path_col: str = "source") -> DataFrame:
@@ -115,17 +151,14 @@ def findings(docs: DataFrame, words: frozenset[bytes], id_col: str = "doc_id", t
             rows = []
             for d, t, path in zip(b.column(0).to_pylist(), b.column(1), b.column(2).to_pylist()):
                 t = t.as_py()
-                for m in FINDING.finditer(t):
-                    v = m.group()
-                    if not _DIGIT.search(v):
-                        continue
-                    lead, tail = t[max(0, m.start() - 48) : m.start()], t[m.end() : m.end() + 32]
+                for lo, hi in spans(t):
+                    v, lead, tail = t[lo:hi], t[max(0, lo - 48) : lo], t[hi : hi + 32]
                     near, then = _WORD.findall(lead), _WORD.findall(tail)
                     assigned = lead.rstrip(b" \t\"'")[-1:] in (b"=", b":")
                     quoted = lead[-1:] in (b'"', b"'")
                     x = [*describe(v, words), float(assigned), float(quoted)]
                     rows.append(
-                        (d, m.start(), len(v), zlib.crc32(v), rule_label(v, lead), x, path, (near[-1] if near else b"").lower().decode("utf-8", "replace"), (then[0] if then else b"").lower().decode("utf-8", "replace"))
+                        (d, lo, len(v), zlib.crc32(v), rule_label(v, lead), x, path, (near[-1] if near else b"").lower().decode("utf-8", "replace"), (then[0] if then else b"").lower().decode("utf-8", "replace"))
                     )
             cols = list(zip(*rows)) if rows else [()] * 9
             kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.list_(pa.float32()), pa.string(), pa.string(), pa.string()]
@@ -249,8 +282,11 @@ def score_findings(found: DataFrame, forest: Forest) -> DataFrame:
 def secret_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_col: str = "source") -> DataFrame:
     """One row per finding: (doc_id, start, length, value_crc32, label, held_out, score, is_secret).
 
-    Whole texts are scanned; NULL and empty ones have no findings. Rows that
-    repeat an id are scanned each on its own.
+    Whole texts are scanned, however long; NULL and empty ones have no findings.
+    Rows that repeat an id are scanned each on its own, equal findings are rows
+    each. The sample of labelled findings is taken in hash order, ties by id and
+    place. An empty table, and one without labelled findings, has no forest:
+    scores are 0. Other columns are not read, so their names do not matter.
     """
     words = frequent_words(docs, text_col)
     found = stage(findings(docs, words, id_col, text_col, path_col), "findings")
