@@ -43,9 +43,9 @@ from .common import drop_staged, stage, text_or_empty
 END_ID = 2
 MAGIC = b"FRV1"
 BLOCK_IDS = 1 << 16  # a block ends with the document that reaches so many ids
-FILE_IDS = 1 << 24  # ids aimed at in one file
-KEPT = 3 << 17  # pieces of a generation that a worker remembers
-CHUNK_CHARS = 1 << 22  # text encoded at once; a longer text is a chunk of its own
+FILE_IDS = 1 << 23  # ids aimed at in one file: a reading task holds a file several times over
+KEPT = 1 << 18  # pieces of a generation that a worker remembers
+CHUNK_CHARS = 1 << 21  # text encoded at once; a longer text is a chunk of its own
 _HEAD = "<4sIQQ"
 
 # Decoding tables, by control byte: the four lengths.
@@ -143,9 +143,15 @@ class WordIds:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _learn(self, pieces: list[str]) -> None:
-        """Encode distinct plain pieces as one spaced text; each ends with its word-end token."""
-        for i in range(0, len(pieces), 4096):
-            new = pieces[i : i + 4096]
+        """Encode distinct plain pieces. They are split and in lower case already, so
+        those in ASCII, whose bytes are their own letters, go to the tokenizer's model
+        itself; others go through all of it, as one spaced text, and each ends with
+        its word-end token."""
+        encode = self.tokenizer.model.tokenize
+        self.now.update((p, np.array([t.id for t in encode(p)], "<u4").tobytes()) for p in pieces if p.isascii())
+        others = [p for p in pieces if not p.isascii()]
+        for i in range(0, len(others), 4096):
+            new = others[i : i + 4096]
             ids = np.array(self.tokenizer.encode(" ".join(new), add_special_tokens=False).ids, "<u4")
             cuts = np.flatnonzero(self.ends[ids]) + 1
             if len(cuts) != len(new):
@@ -258,33 +264,30 @@ def rank_order(encoded: DataFrame) -> np.ndarray:
 def write_ids(encoded: DataFrame, order: np.ndarray, path: str, files: int) -> None:
     """Write ``encoded`` (staged by the caller) under ``path`` in ascending id
     over ``files`` files; rows that share an id are ordered by a hash of their
-    ids and then the ids themselves, so a repeated id is spread over files too.
-    What is shuffled is the packed form."""
+    ids and then the ids themselves, so a repeated id is spread over files too."""
     rank = np.zeros(int(order.max()) + 1 if len(order) else 1, "<u4")
     rank[order] = np.arange(len(order), dtype="<u4")
 
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            packed = [pack_values(rank[np.frombuffer(x.as_py(), _kind(w))]) for w, x in zip(b.column(2).to_pylist(), b.column(3))]
-            cols = [b.column(0), b.column(1), *[pa.array([p[i] for p in packed], pa.binary()) for i in (0, 1)]]
-            yield pa.RecordBatch.from_arrays(cols, ["doc_id", "n_tokens", "control", "data"])
-
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         size = 0
+
+        def block():
+            return pa.RecordBatch.from_arrays([pa.array([write_block(*zip(*held))], pa.binary())], ["block"])
+
         for b in batches:
-            for row in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), b.column(3).to_pylist()):
-                held.append(row)
-                size += row[1]
+            for d, width, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
+                ids = np.frombuffer(x.as_py(), _kind(width))
+                held.append((d, len(ids), *pack_values(rank[ids])))
+                size += len(ids)
                 if size >= BLOCK_IDS:
-                    yield pa.RecordBatch.from_arrays([pa.array([write_block(*zip(*held))], pa.binary())], ["block"])
+                    yield block()
                     held, size = [], 0
         if held:
-            yield pa.RecordBatch.from_arrays([pa.array([write_block(*zip(*held))], pa.binary())], ["block"])
+            yield block()
 
-    packed = encoded.select("doc_id", "n_tokens", "width", "ids").mapInArrow(pack, "doc_id bigint, n_tokens bigint, control binary, data binary")
-    keyed = packed.withColumn("_h", F.xxhash64("control", "data"))
-    ordered = keyed.repartitionByRange(files, "doc_id", "_h").sortWithinPartitions("doc_id", "_h", "data", "control").drop("_h")
+    keyed = encoded.select("doc_id", "width", "ids", F.xxhash64("ids").alias("_h"))
+    ordered = keyed.repartitionByRange(files, "doc_id", "_h").sortWithinPartitions("doc_id", "_h", "ids").drop("_h")
     _write_raw(ordered.mapInArrow(blocks, "block binary"), f"{path}/ids")
     control, data = pack_values(order)
     table = encoded.sparkSession.createDataFrame([(write_block([0], [len(order)], [control], [data]),)], "block binary")
