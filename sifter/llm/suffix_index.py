@@ -37,9 +37,9 @@ from .features import _mix, _powers
 
 LONG = 50
 SEED = 26
-CHUNK = 1 << 20  # bytes hashed at once
+CHUNK = 1 << 18  # bytes hashed at once
 BATCH_BYTES = 4 << 20  # text of one batch
-SHARD_BYTES = 16 << 20  # text whose anchors one shard holds, about
+SHARD_BYTES = 4 << 20  # text whose anchors one shard holds, about
 _P = np.uint64(0xD1342543DE82EF95)
 _POW = _powers(_P, CHUNK + LONG + 1)
 _INV = _powers(np.uint64(pow(int(_P), -1, 1 << 64)), CHUNK + LONG + 1)
@@ -192,35 +192,31 @@ def matched(arrays: list[np.ndarray]) -> np.ndarray:
     return np.unique(np.concatenate(found)) if found else np.empty(0, np.uint64)
 
 
-def _matches_of_shard(pdf):
-    import pandas as pd
-
-    pdf = pdf.sort_values("batch")
-    arrays = [np.cumsum(_unpack(k, "<u8"), dtype=np.uint64) for k in pdf["keys"]]
+def _matches_of_shard(shard: pa.Table) -> pa.Table:
+    """Of one shard's arrays: each batch's places whose key occurs elsewhere."""
+    shard = shard.sort_by("batch")
+    arrays = [np.cumsum(_unpack(k.as_buffer(), "<u8"), dtype=np.uint64) for k in shard["keys"]]
     shared = matched(arrays)
-    out = []
-    for batch, key, places in zip(pdf["batch"], arrays, pdf["places"]):
+    batches, found = [], []
+    for batch, key, places in zip(shard["batch"].to_pylist(), arrays, shard["places"]):
         at = np.minimum(np.searchsorted(shared, key), max(0, len(shared) - 1))
         hit = shared[at] == key if len(shared) else np.zeros(len(key), bool)
         if hit.any():
-            out.append((batch, _pack(np.sort(_unpack(places, "<u4")[hit]))))
-    return pd.DataFrame(out, columns=["batch", "places"]).astype({"batch": "int64"})
+            batches.append(batch)
+            found.append(_pack(np.sort(_unpack(places.as_buffer(), "<u4")[hit])))
+    return pa.table([pa.array(batches, pa.int64()), pa.array(found, pa.binary())], names=["batch", "places"])
 
 
-def _by_document(key, meta, found):
+def _by_document(meta: pa.Table, found: pa.Table) -> pa.Table:
     """A batch's matched places, dealt to its documents as places inside them."""
-    import pandas as pd
-
-    raw = meta["keys"].iloc[0]
-    did, th = np.frombuffer(raw, np.int64).reshape(2, -1)
-    firsts = np.frombuffer(meta["places"].iloc[0], np.int64)
-    if not len(found):
-        return pd.DataFrame({"did": did[:0], "th": th[:0], "places": np.empty(0, object)})
-    place = np.sort(np.concatenate([_unpack(p, "<u4") for p in found["places"]]).astype(np.int64))
-    cuts = np.searchsorted(place, firsts[1:])
-    parts = np.split(place, cuts)
-    rows = [(did[i], th[i], (p - firsts[i]).astype("<u4").tobytes()) for i, p in enumerate(parts) if len(p)]
-    return pd.DataFrame(rows, columns=["did", "th", "places"]).astype({"did": "int64", "th": "int64"})
+    did, th = np.frombuffer(meta["keys"][0].as_buffer(), np.int64).reshape(2, -1)
+    firsts = np.frombuffer(meta["places"][0].as_buffer(), np.int64)
+    place = [_unpack(p.as_buffer(), "<u4").astype(np.int64) for p in found["places"]]
+    place = np.sort(np.concatenate([np.empty(0, np.int64), *place]))
+    parts = np.split(place, np.searchsorted(place, firsts[1:]))
+    have = [i for i, p in enumerate(parts) if len(p)]
+    inside = [(parts[i] - firsts[i]).astype("<u4").tobytes() for i in have]
+    return pa.table([pa.array(did[have]), pa.array(th[have]), pa.array(inside, pa.binary())], names=["did", "th", "places"])
 
 
 def with_text(texts: DataFrame, rows: DataFrame) -> DataFrame:
@@ -321,9 +317,9 @@ def repeated_ranges(texts: DataFrame, total_bytes: int) -> tuple[DataFrame, list
     that repeat strings of smaller ids; and the staged tables they are read from."""
     shards = 1 << max(0, (total_bytes // SHARD_BYTES).bit_length())
     arrays = stage(suffix_arrays(texts, shards), "suffix-arrays")
-    found = arrays.filter("shard >= 0").groupBy("shard").applyInPandas(_matches_of_shard, "batch bigint, places binary")
+    found = arrays.filter("shard >= 0").groupBy("shard").applyInArrow(_matches_of_shard, "batch bigint, places binary")
     meta = arrays.filter("shard < 0").select("batch", "keys", "places")
-    docs = meta.groupBy("batch").cogroup(found.groupBy("batch")).applyInPandas(_by_document, "did bigint, th bigint, places binary")
+    docs = meta.groupBy("batch").cogroup(found.groupBy("batch")).applyInArrow(_by_document, "did bigint, th bigint, places binary")
     docs = stage(docs, "suffix-matches")
     drop_staged(texts.sparkSession, arrays)
     runs = with_text(texts, docs).select("did", "th", "t", "places").mapInArrow(_runs, _RUN_SCHEMA)
