@@ -227,14 +227,19 @@ def with_text(texts: DataFrame, rows: DataFrame) -> DataFrame:
     return near.join(rows, ["did", "th"])
 
 
-_RUN_SCHEMA = "did bigint, th bigint, lo bigint, n int, seed bigint, run binary, t binary"
+_RUN_SCHEMA = "did bigint, th bigint, lo bigint, n int, seed bigint, r1 bigint, r2 bigint, t binary"
+
+
+def _digests(parts: list[bytes]) -> tuple[pa.Array, pa.Array]:
+    """128-bit hashes, as two columns of whole numbers."""
+    h = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, parts)), "<i8").reshape(-1, 2)
+    return pa.array(np.ascontiguousarray(h[:, 0])), pa.array(np.ascontiguousarray(h[:, 1]))
 
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """From (did, th, t, places): the run of text around each matched anchor, with its hash."""
-    digest = xxhash.xxh3_128_digest
     for b in batches:
-        texts = [t.as_py() for t in b.column(2)]
+        texts = b.column(2).to_pylist()
         firsts = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
         want = np.concatenate(
             [np.frombuffer(p.as_py(), "<u4").astype(np.int64) + at for p, at in zip(b.column(3), firsts)] or [np.empty(0, np.int64)]
@@ -253,41 +258,38 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(
                 [
                     b.column(0).take(take), b.column(1).take(take), pa.array(lo), pa.array((hi - lo).astype(np.int32)),
-                    pa.array(h[first].view(np.int64)), pa.array([digest(c) for c in cut], pa.binary()), pa.array(cut, pa.binary()),
+                    pa.array(h[first].view(np.int64)), *_digests(cut), pa.array(cut, pa.binary()),
                 ],
-                ["did", "th", "lo", "n", "seed", "run", "t"],
+                ["did", "th", "lo", "n", "seed", "r1", "r2", "t"],
             )
 
 
 def _strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """From (did, th, lo, t): the single ``LONG``-byte strings of a run."""
-    digest = xxhash.xxh3_128_digest
     for b in batches:
-        row, place, name = [], [], []
-        for i, (lo, t) in enumerate(zip(b.column(2).to_pylist(), b.column(3).to_pylist())):
-            for k in range(len(t) - LONG + 1):
-                row.append(i)
-                place.append(lo + k)
-                name.append(digest(t[k : k + LONG]))
-        take = pa.array(row, pa.int64())
-        yield pa.RecordBatch.from_arrays(
-            [b.column(0).take(take), b.column(1).take(take), pa.array(place, pa.int64()), pa.array(name, pa.binary())], ["did", "th", "lo", "s"]
-        )
+        texts = b.column(3).to_pylist()
+        n = np.array([len(t) - LONG + 1 for t in texts], np.int64)
+        row = np.repeat(np.arange(len(n)), n)
+        lo = b.column(2).to_numpy()[row] + np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+        names = _digests([t[k : k + LONG] for t, m in zip(texts, n.tolist()) for k in range(m)])
+        take = pa.array(row)
+        yield pa.RecordBatch.from_arrays([b.column(0).take(take), b.column(1).take(take), pa.array(lo), *names], ["did", "th", "lo", "s1", "s2"])
 
 
 def _later(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by (s, did): those whose string a smaller did has. Nothing but the current string is held."""
-    name, least = None, None
+    """Of rows sorted by (s1, s2, did): those whose string a smaller did has. Only a batch and the last string's least did are held."""
+    name, least = None, 0
     for b in batches:
-        keep = np.zeros(b.num_rows, bool)
-        for i, (d, s) in enumerate(zip(b.column(0).to_pylist(), b.column(3).to_pylist())):
-            if s != name:
-                name, least = s, d
-            else:
-                keep[i] = d > least
-        at = pa.array(np.flatnonzero(keep))
+        if not b.num_rows:
+            continue
+        did, s1, s2 = (b.column(i).to_numpy() for i in (0, 3, 4))
+        new = np.concatenate([[(s1[0], s2[0]) != name], (s1[1:] != s1[:-1]) | (s2[1:] != s2[:-1])])
+        start = np.maximum.accumulate(np.where(new, np.arange(len(did)), -1))
+        first = np.where(start >= 0, did[start], least)
+        name, least = (s1[-1], s2[-1]), first[-1]
+        at = pa.array(np.flatnonzero(did > first))
         lo = b.column(2).take(at)
-        hi = pa.array(lo.to_numpy(zero_copy_only=False) + LONG)
+        hi = pa.array(lo.to_numpy() + LONG)
         yield pa.RecordBatch.from_arrays([b.column(0).take(at), b.column(1).take(at), lo, hi], ["did", "th", "lo", "hi"])
 
 
@@ -325,21 +327,22 @@ def repeated_ranges(texts: DataFrame, total_bytes: int) -> tuple[DataFrame, list
     runs = with_text(texts, docs).select("did", "th", "t", "places").mapInArrow(_runs, _RUN_SCHEMA)
     runs = stage(runs, "suffix-runs")
     # what a join looks up is staged: its other side is then read straight from the shuffle, where AQE can split a hot key
-    owner = runs.groupBy("run").agg(F.min("did").alias("owner"), F.count(F.lit(1)).alias("held")).filter("held > 1")
-    owner = stage(owner.select("run", "owner"), "suffix-owners")
-    whole = runs.select("did", "th", "lo", "n", "run").join(owner, "run").filter("did > owner")
+    owner = runs.groupBy("r1", "r2").agg(F.min("did").alias("owner"), F.count(F.lit(1)).alias("held")).filter("held > 1")
+    owner = stage(owner.select("r1", "r2", "owner"), "suffix-owners")
+    whole = runs.select("did", "th", "lo", "n", "r1", "r2").join(owner, ["r1", "r2"]).filter("did > owner")
     whole = stage(whole.select("did", "th", "lo", (F.col("lo") + F.col("n")).alias("hi")), "suffix-whole")
-    several = runs.groupBy("seed").agg(F.min("run").alias("a"), F.max("run").alias("z")).filter("a < z").select("seed")
+    ends = [f(c).alias(f"{f.__name__}_{c}") for c in ("r1", "r2") for f in (F.min, F.max)]
+    several = runs.groupBy("seed").agg(*ends).filter("min_r1 < max_r1 OR min_r2 < max_r2").select("seed")
     several = stage(several, "suffix-seeds")
     # a bitmap first, so that only runs that may have such a seed are moved with their text
     seed = [F.col("seed")]
     first = with_slot_flag(runs, slot_of(seed), slot_filter(several.select(slot_of(seed).alias("slot")), at_least=1), "_near").filter("_near")
-    first = first.join(several, "seed", "left_semi").join(owner, "run", "left").filter("owner IS NULL OR did = owner")
+    first = first.join(several, "seed", "left_semi").join(owner, ["r1", "r2"], "left").filter("owner IS NULL OR did = owner")
     first = stage(first.select("did", "th", "lo", "t"), "suffix-first")
     drop_staged(texts.sparkSession, docs, runs, owner, several)
-    strings = first.mapInArrow(_strings, "did bigint, th bigint, lo bigint, s binary")
+    strings = first.mapInArrow(_strings, "did bigint, th bigint, lo bigint, s1 bigint, s2 bigint")
     parts = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    single = strings.repartition(parts, "s").sortWithinPartitions("s", "did").mapInArrow(_later, "did bigint, th bigint, lo bigint, hi bigint")
+    single = strings.repartition(parts, "s1").sortWithinPartitions("s1", "s2", "did").mapInArrow(_later, "did bigint, th bigint, lo bigint, hi bigint")
     single = stage(single, "suffix-single")
     return whole.unionByName(single), [whole, first, single]
 
