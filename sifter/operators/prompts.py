@@ -10,9 +10,12 @@ from __future__ import annotations
 import string
 from collections.abc import Callable
 
+import pyarrow as pa
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.tables import MISSING
 from .rank import global_rank, pos_bucket
 
 # Sampling and plan defaults of the generator.
@@ -207,15 +210,73 @@ def apply_generator(
         return ask(texts[:half]) + ask(texts[half:])
 
     def run(batches):
-        for pdf in batches:
-            texts = pdf[col].tolist()
+        for b in batches:
+            texts = b.column(len(keys)).to_pylist()
             answers = [a for at in range(0, len(texts), batch) for a in ask(texts[at : at + batch])]
-            out = pdf[keys].copy()
-            out["body"] = [a[0] for a in answers]
-            out["error"] = [a[1] for a in answers]
-            yield out
-
-    return df.select(*keys, col).mapInPandas(run, schema)
+            told = [pa.array([a[i] for a in answers], pa.string()) for i in (0, 1)]
+            yield pa.RecordBatch.from_arrays([*b.columns[: len(keys)], *told], [*keys, "body", "error"])
+
+    return df.select(*keys, col).mapInArrow(run, schema)
+
+
+def _held_answers(prompts: DataFrame, key: str, path: str) -> DataFrame | None:
+    """Answers written under ``path`` so far, None if there is no such folder."""
+    kind = dict(prompts.dtypes)[key]
+    schema = f"`{key}` {kind}, body string, error string, attempt int, wave int"
+    try:
+        return prompts.sparkSession.read.schema(schema).parquet(path)
+    except PySparkException as exc:
+        if MISSING in str(exc):
+            return None
+        raise
+
+
+def answer_prompts(
+    prompts: DataFrame,
+    fn: Callable[[list[str]], list[str]],
+    path: str,
+    key: str = "prompt_id",
+    col: str = "prompt",
+    waves: int = 16,
+    at_once: int = 8,
+    batch: int = 64,
+) -> DataFrame:
+    """Answers to ``prompts``, kept in a table at ``path`` so that a restarted
+    run asks only for what is missing (P4, S6).
+
+    Prompts are dealt to ``waves`` by a hash of their key. A wave is one job
+    with at most ``at_once`` tasks, so at most that many calls are under way;
+    its answers are written to their own folder when it ends. A run that is
+    stopped has lost the wave under way alone: the next one takes the prompts
+    that an anti-join with the table leaves, and writes to a folder of a new
+    attempt, so it replaces nothing. An error is written too, and asked again
+    by the next run. The table is never taken for empty because it can't be
+    read: that is raised.
+
+    -> (key, body, error, attempt), one row per key: its answer, else its last
+    error. Rows that share a key (NULL is one) are asked once, with the least
+    prompt; a NULL prompt is passed to ``fn`` as None.
+    """
+    spark = prompts.sparkSession
+    held = _held_answers(prompts, key, path)
+    last = held.agg(F.max("attempt")).first()[0] if held is not None else None
+    todo = prompts.groupBy(key).agg(F.min(col).alias(col))
+    if held is not None:
+        done = held.filter("error IS NULL").select(F.col(key).alias("_done"))
+        todo = todo.join(done, F.col(key).eqNullSafe(F.col("_done")), "left_anti")
+    todo_path = f"{path.rstrip('/')}-todo"
+    wave = F.pmod(F.xxhash64(key), F.lit(waves)).cast("int")
+    todo.withColumn("wave", wave).repartition(waves, "wave").write.mode("overwrite").partitionBy("wave").parquet(todo_path)
+    schema = f"`{key}` {dict(prompts.dtypes)[key]}, `{col}` string, wave int"
+    todo = spark.read.schema(schema).parquet(todo_path)
+    for w in sorted(r[0] for r in todo.select("wave").distinct().collect()):  # at most `waves` numbers
+        asked = todo.filter(F.col("wave") == w).repartition(at_once, key)
+        apply_generator(asked, fn, col, [key], batch).write.parquet(f"{path.rstrip('/')}/attempt={(last or 0) + 1}/wave={w}")
+    held = _held_answers(prompts, key, path)
+    if held is None:
+        return prompts.select(key, *[F.lit(None).cast(t).alias(c) for c, t in (("body", "string"), ("error", "string"), ("attempt", "int"))]).limit(0)
+    best = F.min_by(F.struct("body", "error", "attempt"), F.struct(F.col("error").isNotNull(), -F.col("attempt")))
+    return held.groupBy(key).agg(best.alias("_a")).select(key, "_a.*")
 
 
 def echo_generator(texts: list[str]) -> list[str]:

@@ -305,6 +305,23 @@ def p4_generate_parse(spark, sf):
     return items
 
 
+@query("p4_resume_answers")
+def p4_resume_answers(spark, sf):
+    """A run whose generator refuses every prompt with an odd number of characters, then one that answers the rest."""
+
+    def busy(texts):
+        if any(len(t) % 2 for t in texts):
+            raise RuntimeError("HTTP 503 busy")
+        return P.echo_generator(texts)
+
+    path = X_.stream_location(spark, "p4")
+    prompts = _prompts(spark, sf)
+    P.answer_prompts(prompts, busy, path, waves=2)
+    answers = P.answer_prompts(prompts, P.echo_generator, path, waves=2)
+    items, _ = R.parse_responses(answers.select("prompt_id", "attempt", "body"))
+    return items
+
+
 @query("p5_procedural")
 def p5_procedural(spark, sf):
     from ..operators.prompts import generate_from_templates

@@ -660,6 +660,12 @@ SELECT prompt_id, CAST(0 AS BIGINT) AS item_idx, 'echo' AS instruction, 'prompt
   '{"task_type": "echo", "agents_config": [], "rl_parameters": {"chars": ' || CAST(length(prompt) AS VARCHAR) || '}}' AS output
 FROM prompts"""
 
+ORACLE["p4_resume_answers"] = PROMPTS + """
+SELECT prompt_id, CAST(1 + length(prompt) % 2 AS INTEGER) AS attempt, CAST(0 AS BIGINT) AS item_idx, 'echo' AS instruction,
+  'prompt ' || substr(md5(prompt), 1, 8) AS input,
+  '{"task_type": "echo", "agents_config": [], "rl_parameters": {"chars": ' || CAST(length(prompt) AS VARCHAR) || '}}' AS output
+FROM prompts"""
+
 # ----------------------------------------------------------------- metrics
 
 METRIC_LOG = """

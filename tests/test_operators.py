@@ -2,8 +2,10 @@
 import json
 import os
 import random
+import uuid
 
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -326,6 +328,49 @@ def test_apply_generator_captures_errors(spark):
     assert got == {1: ("OK", None), 2: (None, "HTTP 503 upstream"), 3: ("FINE", None)}
 
 
+def test_answers_survive_a_restart(spark, scratch):
+    """Calls are counted in a folder: one file per prompt asked."""
+    calls, path = os.path.join(scratch, "calls"), os.path.join(scratch, "answers")
+    os.makedirs(calls)
+    rows = [(i, f"prompt {i}") for i in range(40)] + [(3, "prompt 3"), (3, "a second text"), (None, "no key"), (90, None), (2**60 + 1, "long key")]
+    df = spark.createDataFrame(rows, "prompt_id bigint, prompt string")
+
+    def generator(stopped, refused):
+        def gen(texts):
+            if any(t in refused for t in texts):
+                raise RuntimeError("HTTP 429")
+            for t in texts:
+                with open(os.path.join(calls, uuid.uuid4().hex), "w") as f:
+                    f.write(str(t))
+                if t == stopped:
+                    raise SystemExit("lost")  # no answer: the whole run ends
+            return [f"<{t}>" for t in texts]
+
+        return gen
+
+    def asked():
+        return sorted(open(os.path.join(calls, f)).read() for f in os.listdir(calls))
+
+    waves = df.select("prompt", F.pmod(F.xxhash64("prompt_id"), F.lit(4)).alias("w")).filter("prompt LIKE 'prompt%'")
+    last = waves.orderBy(F.desc("w"), "prompt").first()["prompt"]  # in the last wave
+    with pytest.raises(PySparkException):
+        P.answer_prompts(df, generator(last, ("prompt 7",)), path, waves=4, at_once=2, batch=1)
+    held = {r.prompt_id for r in spark.read.parquet(path).filter("error IS NULL").collect()}
+    before = asked()
+    assert held and len(held) < 43
+    got = P.answer_prompts(df, generator(None, ()), path, waves=4, at_once=2, batch=1).collect()
+    again = asked()
+    assert len(again) - len(before) == 43 - len(held)  # what is held is not asked again
+    answers = {r.prompt_id: (r.body, r.error) for r in got}
+    want = {i: (f"<prompt {i}>", None) for i in range(40)}
+    assert len(got) == 43 and answers == {**want, 3: ("<a second text>", None), None: ("<no key>", None), 90: ("<None>", None), 2**60 + 1: ("<long key>", None)}
+    assert {r.attempt for r in got if r.prompt_id not in held} == {2}
+    P.answer_prompts(df, generator(None, ()), path, waves=4, batch=1)
+    assert asked() == again  # nothing is left to ask
+    none = P.answer_prompts(df.limit(0), generator(None, ()), os.path.join(scratch, "empty"))
+    assert none.columns == ["prompt_id", "body", "error", "attempt"] and none.count() == 0
+
+
 def test_plan_requests(spark):
     t = spark.createDataFrame([(1, 120), (2, 0), (3, 50)], "run_id bigint, target bigint")
     got = sorted(tuple(r) for r in P.plan_requests(t, 50).collect())
