@@ -343,6 +343,18 @@ def s4_append_batch(spark, sf):
     return append_batch_to(spark, path, A.generated(spark, sf).select("pos", "input", "output")).table
 
 
+@query("s4_append_once")
+def s4_append_once(spark, sf):
+    """The seeds and the generated batch appended under names, the first one twice."""
+    from ..sources.records import append_once
+
+    path = X_.stream_location(spark, "s4")
+    seeds = A.seeds(spark, sf).select("pos", "input", "output")
+    append_once(spark, path, seeds, "seeds")
+    append_once(spark, path, A.generated(spark, sf).select("pos", "input", "output"), "generated")
+    return append_once(spark, path, seeds, "seeds").table.drop("batch_id")
+
+
 @query("s5_checkpoint")
 def s5_checkpoint(spark, sf):
     return K.checkpoint_rows(A.seeds(spark, sf), A.generated(spark, sf)).select("pos", "source", "input", "output")

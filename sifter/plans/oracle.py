@@ -605,6 +605,8 @@ ckpt AS (
   UNION ALL SELECT (SELECT count(*) FROM seeds) + row_number() OVER (ORDER BY pos) - 1, 'generated', input, output FROM generated
 )""")
 
+ORACLE["s4_append_once"] = ORACLE["s4_append_batch"]
+
 ORACLE["s5_checkpoint"] = _CKPT + "SELECT pos, source, input, output FROM ckpt"
 
 ORACLE["s6_resume"] = _CKPT + """

@@ -222,3 +222,38 @@ def append_batch_to(spark: SparkSession, path: str, batch: DataFrame, on_corrupt
         out.write.mode("overwrite" if fresh else "append").parquet(path)
     table = spark.read.parquet(path)
     return Appended(appended, table.count(), table)
+
+
+BATCH_ID = re.compile(r"[A-Za-z0-9-][A-Za-z0-9_-]*")  # a folder name that readers do not hide
+
+
+def append_once(spark: SparkSession, path: str, batch: DataFrame, batch_id: str) -> Appended:
+    """Append ``batch`` to the Parquet dataset at ``path`` under a name of its own.
+
+    The rows are one folder ``batch_id=<name>``, whose success mark says that
+    it is whole. A replay of a whole batch writes nothing and does not compute
+    ``batch``; what a stopped run left of one is replaced. Positions follow
+    those of all other batches, so a batch that is written again after a later
+    one comes behind it. Appends must not run at the same time: both would
+    start at the same position.
+
+    -> rows of this batch, rows now held, the table (with ``batch_id``). An
+    empty batch is a batch of no rows; NULL positions stay NULL.
+    """
+    if not BATCH_ID.fullmatch(batch_id):
+        raise ValueError(f"not a batch name (letters, digits, - and _): {batch_id!r}")
+    if "batch_id" in batch.columns:
+        raise ValueError("the batch has a column batch_id, which names the batches here")
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(conf)
+    folder = f"{path.rstrip('/')}/batch_id={batch_id}"
+    own = F.col("batch_id") == batch_id
+    held = spark.read.schema(T.StructType([*batch.schema.fields, T.StructField("batch_id", T.StringType())]))
+    if not fs.exists(jvm.org.apache.hadoop.fs.Path(folder, "_SUCCESS")):
+        last = held.parquet(path).filter(~own).agg(F.max("pos")).first()[0] if fs.exists(root) else None
+        offset = F.lit(0 if last is None else last + 1).cast("bigint")
+        batch.withColumn("pos", F.col("pos") + offset).write.mode("overwrite").parquet(folder)
+    table = held.parquet(path)
+    n = table.agg(F.count_if(own).alias("own"), F.count(F.lit(1)).alias("every")).first()
+    return Appended(n["own"], n["every"], table)

@@ -389,6 +389,37 @@ def test_rank_and_running_keep_null_keys(spark):
     assert {(row.g, row.seq): row.s for row in run.collect()}[(1, 5)] == 10
 
 
+def test_append_once(spark, scratch):
+    path = os.path.join(scratch, "named")
+    a = spark.createDataFrame([(0, "a"), (1, "b")], "pos bigint, v string")
+    b = spark.createDataFrame([(0, "c"), (1, "d"), (2, None)], "pos bigint, v string")
+
+    def rows():
+        return sorted((r.pos, r.v, r.batch_id) for r in spark.read.parquet(path).collect())
+
+    done = IO.append_once(spark, path, a, "one")
+    assert (done.appended, done.total) == (2, 2)
+    # a run that was stopped: some rows of the batch, no success mark
+    marks = "mapreduce.fileoutputcommitter.marksuccessfuljobs"
+    b.limit(1).write.option(marks, "false").parquet(os.path.join(path, "batch_id=two"))
+    done = IO.append_once(spark, path, a, "three")
+    assert (done.appended, done.total) == (2, 5)
+    done = IO.append_once(spark, path, b, "two")
+    assert (done.appended, done.total) == (3, 7)
+    held = rows()
+    assert held == [(0, "a", "one"), (1, "b", "one"), (2, "a", "three"), (3, "b", "three"), (4, "c", "two"), (5, "d", "two"), (6, None, "two")]
+    never = a.withColumn("v", F.raise_error(F.lit("computed again")).cast("string"))
+    done = IO.append_once(spark, path, never, "one")  # a replay
+    assert (done.appended, done.total) == (2, 7) and rows() == held
+    done = IO.append_once(spark, path, a.limit(0), "none")
+    assert (done.appended, done.total) == (0, 7) and sorted(done.table.columns) == ["batch_id", "pos", "v"]
+    for name in ("", "a/b", "_x", "a=b"):
+        with pytest.raises(ValueError):
+            IO.append_once(spark, path, a, name)
+    with pytest.raises(ValueError):
+        IO.append_once(spark, path, a.withColumn("batch_id", F.lit(1)), "four")
+
+
 def test_append_to_path_and_parquet_landing(spark, scratch):
     batch = spark.createDataFrame([(0, "c"), (1, "d")], "pos bigint, v string")
     missing = os.path.join(scratch, "nothing-here")
