@@ -27,11 +27,12 @@ TIMEOUT_MARKERS = ("timed out", "timeout", "timeouterror", "read timed out", "co
 MODEL_UNAVAILABLE_MARKERS = (
     "no longer available", "model is no longer available", "please switch to", "switch to",
 )
-# Keys tried in order for a retry delay given as a duration text, then the
-# integer key.
+# Keys tried in order for a retry delay given as a duration text,
+# then the integer key.
 DELAY_KEYS = ("retryDelay", "quotaResetDelay", "reset_time", "resetTime")
 SECONDS_KEY = "reset_seconds"
 
+# Forms of a duration text.
 NUM = "(\\d+(?:\\.\\d+)?)"
 SECONDS_ONLY = f"^{NUM}s$"
 HMS = f"^(?:{NUM}h)?(?:{NUM}m)?(?:{NUM}s)?$"
