@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import errors as E
@@ -463,6 +463,29 @@ def s1_read_array_files(spark, sf):
     return C.classify(raw).select(chunk, "pos", "label", F.md5("text").alias("text_md5"))
 
 
+@query("s1_read_large_array")
+def s1_read_large_array(spark, sf):
+    """Land the records as array files of up to 100,000 records each (a file is
+    written row by row), read them back in splits: places, labels, texts."""
+    from ..sources.arrays import read_large_arrays
+
+    land = X_.stream_location(spark, "landing-large-arrays")
+    rec = A.raw_records_text(spark, sf).withColumn("chunk", F.floor(F.col("pos") / 100_000).cast("bigint"))
+    places = Window.partitionBy("chunk").orderBy("pos")
+    lines = rec.select(
+        "chunk", "pos",
+        F.concat(
+            F.when(F.row_number().over(places) == 1, "[").otherwise(","),
+            "item_text",
+            F.when(F.lead("pos").over(places).isNull(), "]").otherwise(""),
+        ).alias("value"),
+    )
+    lines.repartition("chunk").sortWithinPartitions("chunk", "pos").select("chunk", "value").write.partitionBy("chunk").text(land)
+    raw = read_large_arrays(spark, f"{land}/*/*.txt")
+    chunk = F.regexp_extract("file", "chunk=([0-9]+)", 1).cast("bigint").alias("chunk")
+    return C.classify(raw).select(chunk, "pos", "label", F.md5("text").alias("text_md5"))
+
+
 @query("s2_read_lines")
 def s2_read_lines(spark, sf):
     """Write the records as JSON Lines (S3), read them back line by line (S2): labels and texts."""

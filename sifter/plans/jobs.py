@@ -85,8 +85,8 @@ def _outputs(classified: DataFrame, minify_output: bool, exact: bool):
 def clean_files(
     spark: SparkSession, source, target: str, fmt: str = "json", minify_output: bool = False, exact: bool = False, required: dict | None = None
 ) -> DataFrame:
-    """The clean job from path to path (C11): read ``source`` (``array`` files
-    or JSON Lines, ``json``), classify once, write ``target``/clean (JSON Lines
+    """The clean job from path to path (C11): read ``source`` (``array`` files,
+    ``large_array`` files read in splits, or JSON Lines, ``json``), classify once, write ``target``/clean (JSON Lines
     in position order of each file, records as they were written),
     ``target``/quarantine (JSON Lines with the label and the record's text) and
     ``target``/report; returns the report.
@@ -94,8 +94,12 @@ def clean_files(
     The classified rows are staged, so the input is read and parsed once.
     """
     from ..sources import records as IO
+    from ..sources.arrays import read_large_arrays
 
-    raw = IO.read_records(spark, source, with_text=True) if fmt == "array" else IO.read_records_lines(spark, source)
+    if fmt == "large_array":
+        raw = read_large_arrays(spark, source)
+    else:
+        raw = IO.read_records(spark, source, with_text=True) if fmt == "array" else IO.read_records_lines(spark, source)
     classified = C.classify(raw, required=required, exact=exact)
     kept, rejected, report = _outputs(stage(classified.drop("doc"), "classified"), minify_output, exact)
     IO.write_records(kept.select("file", "pos", "item", "text").sortWithinPartitions("file", "pos"), f"{target}/clean", "jsonl")

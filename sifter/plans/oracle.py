@@ -706,6 +706,9 @@ ORACLE["x3_stream_histories"] = ORACLE["h3_histories"]
 ORACLE["s1_read_array_files"] = with_(RAW_RECORDS, CLASSIFIED) + """
 SELECT pos // 1000 AS chunk, row_number() OVER (PARTITION BY pos // 1000 ORDER BY pos) - 1 AS pos, label, md5(item) AS text_md5
 FROM classified"""
+ORACLE["s1_read_large_array"] = with_(RAW_RECORDS, CLASSIFIED) + """
+SELECT pos // 100000 AS chunk, row_number() OVER (PARTITION BY pos // 100000 ORDER BY pos) - 1 AS pos, label, md5(item) AS text_md5
+FROM classified"""
 ORACLE["s2_read_lines"] = with_(RAW_RECORDS, CLASSIFIED) + "SELECT label, md5(item) AS text_md5, count(*) AS n FROM classified GROUP BY ALL"
 
 
