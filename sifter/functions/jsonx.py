@@ -19,7 +19,7 @@ WS_CLASS = (
     "[\\t-\\r\\x1c-\\x20\\x85\\xa0\\x{1680}\\x{2000}-\\x{200a}"
     "\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]"
 )
-STRIP_PATTERN = f"^{WS_CLASS}+|{WS_CLASS}+$"
+WS_CHARS = "".join(c for c in map(chr, range(0x3001)) if c.isspace())  # the same characters, one by one
 NOT_WS_PATTERN = "[^" + WS_CLASS[1:]  # any character outside the class
 
 # Quoted JSON string (unrolled loop, possessive: no per-character recursion in
@@ -43,8 +43,8 @@ def let(value: Column, fn) -> Column:
 
 
 def ustrip(c) -> Column:
-    """Python ``str.strip()`` over the full Unicode whitespace set."""
-    return F.regexp_replace(_c(c), STRIP_PATTERN, "")
+    """Python ``str.strip()`` over the full Unicode whitespace set (F3), reading the two ends only."""
+    return F.btrim(_c(c), F.lit(WS_CHARS))
 
 
 def is_blank(c) -> Column:

@@ -6,14 +6,13 @@ from pyspark.sql import functions as F
 
 from .jsonx import _c, let, strict_json, ustrip
 
-# Fence and JSON-span patterns of the response parser.
+# Fence patterns of the response parser.
 FENCE_OPEN = "^```[a-zA-Z]*\\n?"
 FENCE_CLOSE = "\\n?```$"
-ARRAY_SPAN = "\\[[\\s\\S]*\\]"
-OBJECT_SPAN = "\\{[\\s\\S]*\\}"
 
 
-def _strip_fence(s: Column) -> Column:
+def drop_fence(s: Column) -> Column:
+    """The second half of :func:`strip_fence`, for text that is trimmed."""
     inner = ustrip(F.regexp_replace(F.regexp_replace(s, FENCE_OPEN, ""), FENCE_CLOSE, ""))
     return F.when(s.startswith("```"), inner).otherwise(s)
 
@@ -21,14 +20,19 @@ def _strip_fence(s: Column) -> Column:
 def strip_fence(c) -> Column:
     """Trim; if the text starts with a code fence, drop the opening fence (with
     its language tag and one newline) and the closing fence; trim again (G2)."""
-    return let(ustrip(_c(c)), _strip_fence)
+    return let(ustrip(_c(c)), drop_fence)
 
 
-def _span(s: Column) -> Column:
-    return (
-        F.when(s.rlike(ARRAY_SPAN), F.regexp_extract(s, ARRAY_SPAN, 0))
-        .when(s.rlike(OBJECT_SPAN), F.regexp_extract(s, OBJECT_SPAN, 0))
-    )
+def json_span(s: Column) -> Column:
+    """First ``[`` to last ``]``, else first ``{`` to last ``}``, else NULL. Both
+    ends are found by position, so the time is linear in the text."""
+
+    def span(opening: str, closing: str) -> Column:
+        start = F.instr(s, opening)
+        end = F.length(s) - F.length(F.substring_index(s, closing, -1))  # 0 if there is none
+        return F.when((start > 0) & (end > start), F.substring(s, start, end - start + 1))
+
+    return F.coalesce(span("[", "]"), span("{", "}"))
 
 
 def extract_json_text(c) -> Column:
@@ -39,7 +43,7 @@ def extract_json_text(c) -> Column:
     Arrays are tried first, so prose around ``{"a":[1]}`` yields ``[1]``.
     The de-fenced text is computed once per row (``let``).
     """
-    return let(strip_fence(c), lambda s: F.when(strict_json(s).isNotNull(), s).otherwise(F.coalesce(_span(s), s)))
+    return let(strip_fence(c), lambda s: F.when(strict_json(s).isNotNull(), s).otherwise(F.coalesce(json_span(s), s)))
 
 
 def parse_json_text(c) -> Column:
@@ -47,4 +51,4 @@ def parse_json_text(c) -> Column:
     parses, else the array span, else the object span (the value of
     ``strict_json(extract_json_text(c))``, parsing each candidate at most once).
     """
-    return let(strip_fence(c), lambda s: F.coalesce(strict_json(s), let(_span(s), strict_json)))
+    return let(strip_fence(c), lambda s: F.coalesce(strict_json(s), let(json_span(s), strict_json)))

@@ -50,6 +50,24 @@ def response_content(df: DataFrame, col: str = "body") -> DataFrame:
     return out
 
 
+def json_text(df: DataFrame, col: str = "content") -> DataFrame:
+    """Add ``stripped`` (G2), ``extracted`` and ``parsed`` (G3), the text and value
+    of a response's JSON part: :func:`sifter.functions.text.extract_json_text` with
+    each step computed once per row, and each candidate parsed once."""
+    cols = [c for c in df.columns if c not in ("stripped", "extracted", "parsed")]
+    step = once(df.select(*cols, J.ustrip(col).alias("_trimmed")))
+    step = once(step.select(*cols, X.drop_fence(F.col("_trimmed")).alias("stripped")))
+    step = once(step.select(*cols, "stripped", J.strict_json("stripped").alias("_whole")))
+    whole, span = F.col("_whole"), X.json_span(F.col("stripped"))
+    step = once(step.select(*cols, "stripped", "_whole", F.when(whole.isNull(), span).alias("_span")))
+    return step.select(
+        *cols,
+        "stripped",
+        F.when(whole.isNotNull(), F.col("stripped")).otherwise(F.coalesce("_span", "stripped")).alias("extracted"),
+        F.coalesce(whole, J.strict_json("_span")).alias("parsed"),
+    )
+
+
 def n_elements(arr: Column) -> Column:
     """Array length, NULL for a NULL array under any ANSI setting (plain
     ``size`` returns -1 for NULL when ANSI mode is off)."""
@@ -117,8 +135,8 @@ def parse_responses(df: DataFrame, col: str = "body", exact: bool = False):
     env = response_content(df, col)
     # the parse is materialised once (generator barrier) because the item
     # array reads it in several CASE branches, which codegen cannot share
-    written = [X.extract_json_text(F.col("content")).alias("_written")] if exact else []
-    parsed = once(env.select(*keys, "envelope_error", X.parse_json_text(F.col("content")).alias("_parsed"), *written))
+    written = [F.col("extracted").alias("_written")] if exact else []
+    parsed = once(json_text(env.select(*keys, "envelope_error", "content")).select(*keys, "envelope_error", F.col("parsed").alias("_parsed"), *written))
     written = [_outputs_exact("_written").alias("_exact")] if exact else []
     parsed = once(parsed.select(*keys, "envelope_error", _items_array(F.col("_parsed")).alias("_items"), *written))
     n_ok = n_elements(F.filter("_items", _item_ok))

@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import errors as E
-from ..functions import text as X
 from ..operators import chat as H
 from ..operators import checkpoints as K
 from ..operators import clean as C
@@ -91,12 +90,8 @@ def g1_response_content(spark, sf):
 
 @query("g3_extract_json_text")
 def g3_extract_json_text(spark, sf):
-    c = R.response_content(A.responses(spark, sf))
-    return c.select(
-        "request_id",
-        X.strip_fence(F.col("content")).alias("stripped"),
-        X.extract_json_text(F.col("content")).alias("extracted"),
-    )
+    c = R.response_content(A.responses(spark, sf)).select("request_id", "content")
+    return R.json_text(c).select("request_id", "stripped", "extracted")
 
 
 @query("g6_items")

@@ -94,7 +94,7 @@ def test_small_arrays(spark, small_splits, tmp_path):
 def test_clean_job_reads_large_arrays(spark, small_splits, tmp_path):
     from sifter.plans import jobs
 
-    good = [{"instruction": f"do {i}", "input": "a, b", "output": '{"x": [1, 2]}'} for i in range(20)]
+    good = [{"instruction": f"do {i}", "input": "a, b", "output": '{"task_type": "t", "agents_config": [], "rl_parameters": {}}'} for i in range(20)]
     path = write(tmp_path / "a.json", json.dumps([*good, 7, {"instruction": "no"}]))
     found = {}
     for fmt in ("array", "large_array"):
