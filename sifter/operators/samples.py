@@ -10,9 +10,13 @@ window). Padding is a window per batch, and a batch holds at most
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
+import os
+from collections.abc import Callable, Iterator
+from functools import lru_cache
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -176,6 +180,57 @@ def tokenizer_udf(fn: Callable[[list[str]], list[list[int]]]):
     return _enc
 
 
+@lru_cache(maxsize=2)
+def _vocabulary(path: str):
+    """The tokenizer of a vocabulary file, loaded once per Python worker; one thread, as Spark fills the cores."""
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(path)
+
+
+BATCH_CHARS = 1 << 22  # characters given to the tokenizer at once
+
+
+def _text_groups(texts: list):
+    """``texts`` in runs of about ``BATCH_CHARS`` characters (a longer text is a run of its own)."""
+    run, size = [], 0
+    for t in texts:
+        if run and size + len(t) > BATCH_CHARS:
+            yield run
+            run, size = [], 0
+        run.append(t)
+        size += len(t)
+    if run:
+        yield run
+
+
+def vocabulary_encoder(path: str):
+    """Encoder for :func:`encode` from a ``tokenizers`` vocabulary file.
+
+    An Arrow iterator UDF: each Python worker loads ``path`` (a file that every
+    executor has) once and keeps it over batches and tasks. No special tokens
+    are added, as the chat template writes its own. NULL stays NULL, empty text
+    has no tokens, and a text of any length is encoded whole.
+    """
+
+    @F.arrow_udf(T.ArrayType(T.IntegerType()))
+    def _ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        vocabulary = _vocabulary(path)
+        for texts in batches:
+            ids, ends = [], [np.zeros(1, np.int64)]
+            for run in _text_groups(texts.fill_null("").to_pylist()):
+                found = [np.array(e.ids, np.int32) for e in vocabulary.encode_batch(run, add_special_tokens=False)]
+                ends.append(ends[-1][-1] + np.cumsum([len(f) for f in found], dtype=np.int64))
+                ids.extend(found)
+            offsets = np.concatenate(ends)
+            values = pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int32))
+            mask = texts.is_null() if texts.null_count else None
+            yield pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values, mask=mask)
+
+    return _ids
+
+
 def encode(df: DataFrame, encoder: Callable[[Column], Column] = code_points, max_length: int = MAX_LENGTH) -> DataFrame:
     """Encode prompt and answer, mask the prompt, keep the last ``max_length``
     tokens, drop samples with nothing left to learn (T6-T9).

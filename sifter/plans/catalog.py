@@ -236,6 +236,16 @@ def t10_samples(spark, sf):
     )
 
 
+@query("t6_vocabulary_samples")
+def t6_vocabulary_samples(spark, sf):
+    """Samples of all raw records, with the ids of a byte-pair vocabulary."""
+    import public_tokenizers
+
+    encoder = S.vocabulary_encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    samples, _ = S.build_samples(S.records_from_items(A.raw_records(spark, sf)), encoder=encoder)
+    return samples.select("pos", "n_tokens", "n_masked", _md5_ints("input_ids").alias("ids_md5"), _md5_ints("labels").alias("labels_md5"))
+
+
 @query("a3_sample_drops")
 def a3_sample_drops(spark, sf):
     _, drops = S.build_samples(S.records_from_items(A.raw_records(spark, sf)))
