@@ -8,6 +8,9 @@ from sifter.plans.catalog import QUERIES
 from .conftest import SF001
 
 
+NO_SQL = {"t6_vocabulary_samples"}  # a tokenizer; tests/test_vocabulary.py compares every row with its library
+
+
 def test_entry_runs(spark):
     df = E.entry(spark)
     rows = df.collect()
@@ -17,7 +20,7 @@ def test_entry_runs(spark):
 
 def test_every_sql_has_a_query():
     assert set(E.oracle_sql()) <= set(E.queries())
-    assert set(QUERIES) <= set(E.oracle_sql())
+    assert set(QUERIES) - NO_SQL <= set(E.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
