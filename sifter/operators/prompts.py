@@ -22,6 +22,7 @@ from .rank import global_rank, pos_bucket
 SAMPLE_SIZE = 3
 BATCH_SIZE = 50
 REQUEST_BLOCK = 10_000  # requests planned from one array
+CALL_BYTES = 64 << 20  # prompt text that one task of a wave is given, about
 SEED = 42
 
 # The few-shot prompt text, as format strings.
@@ -244,7 +245,8 @@ def answer_prompts(
     """Answers to ``prompts``, kept in a table at ``path`` so that a restarted
     run asks only for what is missing (P4, S6).
 
-    Prompts are dealt to ``waves`` by a hash of their key. A wave is one job
+    Prompts are dealt to waves by a hash of their key: to ``waves``, or to more
+    if a task would else get over ``CALL_BYTES`` of text. A wave is one job
     with at most ``at_once`` tasks, so at most that many calls are under way;
     its answers are written to their own folder when it ends. A run that is
     stopped has lost the wave under way alone: the next one takes the prompts
@@ -260,17 +262,26 @@ def answer_prompts(
     spark = prompts.sparkSession
     held = _held_answers(prompts, key, path)
     last = held.agg(F.max("attempt")).first()[0] if held is not None else None
-    todo = prompts.groupBy(key).agg(F.min(col).alias(col))
-    if held is not None:
+
+    def missing(rows):
+        if held is None:
+            return rows
         done = held.filter("error IS NULL").select(F.col(key).alias("_done"))
-        todo = todo.join(done, F.col(key).eqNullSafe(F.col("_done")), "left_anti")
+        return rows.join(done, F.col(key).eqNullSafe(F.col("_done")), "left_anti")
+
+    size = missing(prompts.select(key, F.octet_length(col).alias("_n"))).agg(F.sum("_n")).first()[0] or 0
+    waves = max(waves, -(-size // (at_once * CALL_BYTES)))
+    todo = missing(prompts.select(key, col)).groupBy(key).agg(F.min(col).alias(col))
     todo_path = f"{path.rstrip('/')}-todo"
-    wave = F.pmod(F.xxhash64(key), F.lit(waves)).cast("int")
-    todo.withColumn("wave", wave).repartition(waves, "wave").write.mode("overwrite").partitionBy("wave").parquet(todo_path)
+    h = F.xxhash64(key)
+    wave = F.pmod(h, F.lit(waves)).cast("int")
+    part = F.pmod(F.xxhash64(h), F.lit(at_once)).cast("int")  # of a wave: one task writes it, and asks it
+    dealt = todo.withColumn("wave", wave).repartitionById(waves * at_once, F.col("wave") * at_once + part)
+    dealt.write.mode("overwrite").partitionBy("wave").parquet(todo_path)
     schema = f"`{key}` {dict(prompts.dtypes)[key]}, `{col}` string, wave int"
     todo = spark.read.schema(schema).parquet(todo_path)
     for w in sorted(r[0] for r in todo.select("wave").distinct().collect()):  # at most `waves` numbers
-        asked = todo.filter(F.col("wave") == w).repartition(at_once, key)
+        asked = todo.filter(F.col("wave") == w).coalesce(at_once)
         apply_generator(asked, fn, col, [key], batch).write.parquet(f"{path.rstrip('/')}/attempt={(last or 0) + 1}/wave={w}")
     held = _held_answers(prompts, key, path)
     if held is None:

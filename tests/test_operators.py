@@ -371,6 +371,29 @@ def test_answers_survive_a_restart(spark, scratch):
     assert none.columns == ["prompt_id", "body", "error", "attempt"] and none.count() == 0
 
 
+def test_waves_grow_with_the_prompts(spark, scratch, monkeypatch):
+    monkeypatch.setattr(P, "CALL_BYTES", 2000)
+    df = spark.range(400).select(F.col("id").alias("prompt_id"), F.rpad(F.concat(F.lit("p"), "id"), 100, "x").alias("prompt")).union(
+        spark.createDataFrame([(None, "no key"), (7, "a"), (401, None)], "prompt_id bigint, prompt string")
+    )
+
+    def gen(texts):
+        if any(t and t.startswith("p1") for t in texts):
+            raise RuntimeError("HTTP 429")
+        return [f"<{t}>" for t in texts]
+
+    path = os.path.join(scratch, "answers")
+    asked = lambda: spark.read.parquet(path).groupBy("attempt", "wave", F.input_file_name().alias("f")).count().collect()
+    P.answer_prompts(df, gen, path, waves=1, at_once=2)
+    first = asked()
+    assert sum(r["count"] for r in first) == 402 and max(r["count"] for r in first) <= 60  # 20 on average, by a hash
+    assert {sum(r.wave == w for r in first) for w in range(10)} <= {1, 2}  # tasks of a wave
+    got = P.answer_prompts(df, lambda texts: [f"<{t}>" for t in texts], path, waves=1, at_once=2).collect()
+    assert {r.prompt_id: r.body for r in got} == {r.prompt_id: f"<{r.prompt}>" for r in df.groupBy("prompt_id").agg(F.min("prompt").alias("prompt")).collect()}
+    refused = [r for r in asked() if r.attempt == 2]
+    assert sum(r["count"] for r in refused) == 111 and len({r.wave for r in refused}) == 3  # fewer are left, so fewer waves
+
+
 def test_plan_requests(spark):
     t = spark.createDataFrame([(1, 120), (2, 0), (3, 50)], "run_id bigint, target bigint")
     got = sorted(tuple(r) for r in P.plan_requests(t, 50).collect())
