@@ -9,8 +9,10 @@ window). Padding is a window per batch, and a batch holds at most
 """
 from __future__ import annotations
 
+import json
 import math
 import os
+import re
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
@@ -180,13 +182,61 @@ def tokenizer_udf(fn: Callable[[list[str]], list[list[int]]]):
     return _enc
 
 
+WORDS_KEPT = 1 << 17  # words whose ids a Python worker keeps
+LONG_WORD = 64  # characters from which a word's ids are not kept
+# White space and what follows it, up to the next white space. U+001C to U+001F are white space to Python alone.
+_WORD = re.compile("\\s*[\\S\x1c-\x1f]+|\\s+")
+
+
+def _splits_at_spaces(tokenizer) -> bool:
+    """Whether ids of a text are those of its words (``_WORD``) in order: a
+    byte-level BPE whose own split has white space at the start of pieces alone,
+    with nothing before or after it that reads across words."""
+    spec = json.loads(tokenizer.to_str())
+    split, model = spec["pre_tokenizer"] or {}, spec["model"]
+    return (
+        split.get("type") == "ByteLevel" and split.get("use_regex") is True and split.get("add_prefix_space") is False
+        and model.get("type") == "BPE" and not model.get("dropout")
+        and not any(spec.get(k) for k in ("normalizer", "truncation", "padding"))
+        and not any(t["lstrip"] or t["rstrip"] or t["single_word"] or re.search("\\s", t["content"]) for t in spec["added_tokens"])
+    )
+
+
+class _Vocabulary:
+    """Ids of texts by a tokenizer, as bytes of int32. Where the tokenizer allows
+    it, each distinct word of a run of texts goes to it once, and ids of words
+    met lately are kept; else it gets the texts."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer = tokenizer
+        self.by_word = _splits_at_spaces(tokenizer)
+        self.kept: dict[str, bytes] = {}
+
+    def _whole(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, np.int32).tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        if not self.by_word:
+            return self._whole(texts)
+        if len(self.kept) > WORDS_KEPT:
+            self.kept = {}
+        words = [_WORD.findall(t) for t in texts]
+        new = list(set().union(*words).difference(self.kept))
+        self.kept.update(zip(new, self._whole(new)))
+        out = [b"".join(map(self.kept.__getitem__, w)) for w in words]
+        for w in new:
+            if len(w) > LONG_WORD:
+                del self.kept[w]
+        return out
+
+
 @lru_cache(maxsize=2)
-def _vocabulary(path: str):
+def _vocabulary(path: str) -> _Vocabulary:
     """The tokenizer of a vocabulary file, loaded once per Python worker; one thread, as Spark fills the cores."""
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     from tokenizers import Tokenizer
 
-    return Tokenizer.from_file(path)
+    return _Vocabulary(Tokenizer.from_file(path))
 
 
 BATCH_CHARS = 1 << 22  # characters given to the tokenizer at once
@@ -220,11 +270,11 @@ def vocabulary_encoder(path: str):
         for texts in batches:
             ids, ends = [], [np.zeros(1, np.int64)]
             for run in _text_groups(texts.fill_null("").to_pylist()):
-                found = [np.array(e.ids, np.int32) for e in vocabulary.encode_batch(run, add_special_tokens=False)]
-                ends.append(ends[-1][-1] + np.cumsum([len(f) for f in found], dtype=np.int64))
+                found = vocabulary(run)
+                ends.append(ends[-1][-1] + np.cumsum([len(f) // 4 for f in found], dtype=np.int64))
                 ids.extend(found)
             offsets = np.concatenate(ends)
-            values = pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int32))
+            values = pa.array(np.frombuffer(b"".join(ids), np.int32))
             mask = texts.is_null() if texts.null_count else None
             yield pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values, mask=mask)
 

@@ -242,7 +242,7 @@ def t6_vocabulary_samples(spark, sf):
     import public_tokenizers
 
     encoder = S.vocabulary_encoder(public_tokenizers.path("byte_bpe_50k.json"))
-    samples, _ = S.build_samples(S.records_from_items(A.raw_records(spark, sf)), encoder=encoder)
+    samples, _ = S.build_samples(S.records_from_items(A.raw_records(spark, sf, spread=True)), encoder=encoder)
     return samples.select("pos", "n_tokens", "n_masked", _md5_ints("input_ids").alias("ids_md5"), _md5_ints("labels").alias("labels_md5"))
 
 

@@ -38,6 +38,7 @@ def qs(c) -> Column:
 # ---------------------------------------------------------------- raw_records
 # One record per event, shaped by event_id % 20 into every contract case.
 
+SPREAD_ROWS = 100_000  # events of one task where a view is spread
 INSTRUCTION = "Convert the tactical intent into a JSON scheduling document."
 
 
@@ -58,9 +59,13 @@ def _doc(e: DataFrame, task_type: Column | str = None, agents: Column | str = No
     return cat('{"task_type": ', tt, ', "agents_config": ', ag, ', "rl_parameters": ', pr, "}")
 
 
-def raw_records_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(pos, item_text): one JSON record text per event."""
+def raw_records_text(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
+    """(pos, item_text): one JSON record text per event. ``spread`` deals the
+    events evenly to tasks of at most ``SPREAD_ROWS``, for costly steps that
+    would else get as many tasks as the file has row groups."""
     e = table(spark, sf_dir, "events", ["event_id", "user_id", "event_type", "props"])
+    if spread:
+        e = e.repartition(max(spark.sparkContext.defaultParallelism, -(-e.count() // SPREAD_ROWS)))
     # shared pieces first, so the CASE below refers to them instead of
     # repeating the builders in every branch (keeps generated code small)
     e = e.select(
@@ -105,9 +110,9 @@ def raw_records_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select(F.col("event_id").alias("pos"), item.alias("item_text"))
 
 
-def raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_records(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
     """(pos, item VARIANT) — the raw_records view."""
-    return raw_records_text(spark, sf_dir).select("pos", F.parse_json("item_text").alias("item"))
+    return raw_records_text(spark, sf_dir, spread).select("pos", F.parse_json("item_text").alias("item"))
 
 
 # ------------------------------------------------------------------ responses
