@@ -296,18 +296,23 @@ def _later(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """From (did, th, t, ranges): what is left of each text."""
     for b in batches:
-        removed, spans, kept = [], [], []
-        for t, ranges in zip(b.column(2), b.column(3)):
-            t = t.as_py()
-            r = np.array([(x["lo"], x["hi"]) for x in ranges.as_py()])
-            r = r[np.argsort(r[:, 0], kind="stable")]
-            reach = np.maximum.accumulate(r[:, 1])
-            new = np.flatnonzero(np.concatenate([[True], r[1:, 0] > reach[:-1]]))
-            lo, hi = r[new, 0], reach[np.append(new[1:], len(r)) - 1]
-            left = b"".join(t[a:z] for a, z in zip(np.append(0, hi), np.append(lo, len(t))))
-            removed.append(int((hi - lo).sum()))
-            spans.append(len(lo))
-            kept.append(left)
+        if not b.num_rows:
+            continue
+        texts, ranges = b.column(2).to_pylist(), b.column(3)
+        # places in all texts of the batch, one apart, so that no range touches one of the next text
+        base = np.cumsum([0] + [len(t) + 1 for t in texts])
+        n = np.diff(ranges.offsets.to_numpy())
+        lo, hi = (x.to_numpy() + np.repeat(base[:-1], n) for x in ranges.flatten().flatten())
+        order = np.argsort(lo, kind="stable")
+        lo, reach = lo[order], np.maximum.accumulate(hi[order])
+        new = np.flatnonzero(np.concatenate([[True], lo[1:] > reach[:-1]]))
+        lo, hi = lo[new], reach[np.append(new[1:], len(lo)) - 1]
+        first = np.searchsorted(lo, base)
+        size = np.concatenate([[0], np.cumsum(hi - lo)])
+        removed, spans, kept = np.diff(size[first]), np.diff(first), []
+        lo, hi = (lo - base[:-1].repeat(spans)).tolist(), (hi - base[:-1].repeat(spans)).tolist()
+        for t, i, j in zip(texts, first[:-1].tolist(), first[1:].tolist()):
+            kept.append(b"".join([t[a:z] for a, z in zip([0, *hi[i:j]], [*lo[i:j], len(t)])]))
         yield pa.RecordBatch.from_arrays(
             [b.column(0), b.column(1), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(kept, pa.binary())],
             ["did", "th", "n_removed", "n_spans", "kept"],

@@ -216,6 +216,30 @@ def test_logarithmic_family_finds_what_sets_find():
         assert suffix_index.matched(arrays).tolist() == sorted(k for k, c in count.items() if c > 1)
 
 
+def test_cut_lays_out_the_ranges_of_a_batch():
+    import time
+
+    import pyarrow as pa
+
+    kind = pa.list_(pa.struct([("lo", pa.int64()), ("hi", pa.int64())]))
+
+    def cut(texts, ranges):
+        ranges = pa.array([[{"lo": a, "hi": z} for a, z in r] for r in ranges], kind)
+        n = pa.array(range(len(texts)), pa.int64())
+        b = pa.RecordBatch.from_arrays([n, n, pa.array(texts, pa.binary()), ranges], ["did", "th", "t", "ranges"])
+        start = time.process_time()
+        rows = [tuple(r.values())[2:] for out in suffix_index._cut([b, b.slice(0, 0), b.slice(1)]) for r in out.to_pylist()]
+        return rows, time.process_time() - start
+
+    # a whole text, one up to its end, one from its start, overlapping and touching ranges out of order
+    got, _ = cut([b"abcd", b"efgh", b"ijkl", b"mnopqr"], [[(0, 4)], [(2, 4)], [(0, 1), (2, 3)], [(3, 4), (1, 3), (1, 2), (5, 6)]])
+    want = [(4, 1, b""), (2, 1, b"ef"), (2, 2, b"jl"), (4, 2, b"mq")]
+    assert got == want + want[1:]
+    # a range a byte, as many single strings leave it
+    rows, seconds = cut([b"x" * 1000] * 500, [[(i, i + 50) for i in range(0, 950)]] * 500)
+    assert set(rows) == {(999, 1, b"x")} and seconds < 1
+
+
 def test_anchors_do_not_depend_on_chunks(monkeypatch):
     text = bytes(np.random.default_rng(2).integers(97, 101, 5000).astype(np.uint8))
     whole = [(s.tolist(), a.tolist()) for s, a, _ in suffix_index.windows_of([text])][0]
