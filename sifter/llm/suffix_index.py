@@ -15,7 +15,8 @@ the same anchor at the same place, so a repeat can't hide between samples.
 3. Around each such anchor lies the group of strings that it stands for, one
    short run of text. A run that also occurs, whole, in a smaller document is
    removed. Where runs with the same anchor differ, their single strings are
-   compared, once for each distinct run.
+   compared, once for each distinct run, in the task that has the anchor's runs
+   (of an anchor with over ``SEED_RUNS``, in tasks by string).
 4. The covered ranges go back to their document, which is cut.
 
 All matching after step 2 is by 128-bit hashes of whole strings.
@@ -40,6 +41,7 @@ SEED = 26
 CHUNK = 1 << 18  # bytes hashed at once
 BATCH_BYTES = 4 << 20  # text of one batch
 SHARD_BYTES = 4 << 20  # text whose anchors one shard holds, about
+SEED_RUNS = 1 << 13  # runs of a seed that one task compares; those of a seed with more go to tasks string by string
 _P = np.uint64(0xD1342543DE82EF95)
 _POW = _powers(_P, CHUNK + LONG + 1)
 _INV = _powers(np.uint64(pow(int(_P), -1, 1 << 64)), CHUNK + LONG + 1)
@@ -293,6 +295,52 @@ def _later(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([b.column(0).take(at), b.column(1).take(at), lo, hi], ["did", "th", "lo", "hi"])
 
 
+def _later_in(rows: pa.RecordBatch) -> pa.RecordBatch:
+    """Of runs (did, th, lo, seed, t), all of their seeds: the ranges of strings that a smaller did has."""
+    texts = rows.column(4).to_pylist()
+    n = np.array([len(t) - LONG + 1 for t in texts], np.int64)
+    row = np.repeat(np.arange(len(n)), n)
+    lo = rows.column(2).to_numpy()[row] + np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+    did = rows.column(0).to_numpy()[row]
+    h = np.frombuffer(b"".join(xxhash.xxh3_128_digest(t[k : k + LONG]) for t, m in zip(texts, n.tolist()) for k in range(m)), "<i8").reshape(-1, 2)
+    one, two = np.ascontiguousarray(h[:, 0]), np.ascontiguousarray(h[:, 1])
+    order = np.argsort(one)
+    new = one[order[1:]] != one[order[:-1]]
+    if (~new & (two[order[1:]] != two[order[:-1]])).any():  # the first half alone does not tell these strings apart
+        order = np.lexsort((two, one))
+        new = (one[order[1:]] != one[order[:-1]]) | (two[order[1:]] != two[order[:-1]])
+    new = np.concatenate([[True], new])
+    least = np.minimum.reduceat(did[order], np.flatnonzero(new))[np.cumsum(new) - 1]
+    at = np.sort(order[did[order] > least])
+    # neighbours of one run are one range
+    new = np.concatenate([[True], (at[1:] != at[:-1] + 1) | (row[at[1:]] != row[at[:-1]])]) if len(at) else np.empty(0, bool)
+    first = np.flatnonzero(new)
+    last = np.append(first[1:], len(at))[: len(first)] - 1
+    take = pa.array(row[at[first]])
+    return pa.RecordBatch.from_arrays(
+        [rows.column(0).take(take), rows.column(1).take(take), pa.array(lo[at[first]]), pa.array(lo[at[last]] + LONG)], ["did", "th", "lo", "hi"]
+    )
+
+
+def _later_by_seed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """:func:`_later_in` over rows sorted by seed. A batch and the rows of its last seed are held."""
+    held: list[pa.RecordBatch] = []
+    for b in batches:
+        if not b.num_rows:
+            continue
+        seed = b.column(3).to_numpy()
+        if held and held[0].column(3)[0].as_py() != seed[0]:
+            yield _later_in(pa.concat_batches(held))
+            held = []
+        cut = int(np.searchsorted(seed, seed[-1]))  # the last seed may go on in the next batch
+        if cut:
+            yield _later_in(pa.concat_batches([*held, b.slice(0, cut)]))
+            held = []
+        held.append(b.slice(cut))
+    if held:
+        yield _later_in(pa.concat_batches(held))
+
+
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """From (did, th, t, ranges): what is left of each text."""
     for b in batches:
@@ -337,18 +385,22 @@ def repeated_ranges(texts: DataFrame, total_bytes: int) -> tuple[DataFrame, list
     whole = runs.select("did", "th", "lo", "n", "r1", "r2").join(owner, ["r1", "r2"]).filter("did > owner")
     whole = stage(whole.select("did", "th", "lo", (F.col("lo") + F.col("n")).alias("hi")), "suffix-whole")
     ends = [f(c).alias(f"{f.__name__}_{c}") for c in ("r1", "r2") for f in (F.min, F.max)]
-    several = runs.groupBy("seed").agg(*ends).filter("min_r1 < max_r1 OR min_r2 < max_r2").select("seed")
+    several = runs.groupBy("seed").agg(*ends, F.count(F.lit(1)).alias("held")).filter("min_r1 < max_r1 OR min_r2 < max_r2")
+    several = several.select("seed", (F.col("held") > SEED_RUNS).alias("many"))
     several = stage(several, "suffix-seeds")
     # a bitmap first, so that only runs that may have such a seed are moved with their text
     seed = [F.col("seed")]
     first = with_slot_flag(runs, slot_of(seed), slot_filter(several.select(slot_of(seed).alias("slot")), at_least=1), "_near").filter("_near")
-    first = first.join(several, "seed", "left_semi").join(owner, ["r1", "r2"], "left").filter("owner IS NULL OR did = owner")
-    first = stage(first.select("did", "th", "lo", "t"), "suffix-first")
+    first = first.join(several, "seed").join(owner, ["r1", "r2"], "left").filter("owner IS NULL OR did = owner")
+    first = stage(first.select("did", "th", "lo", "seed", "t", "many"), "suffix-first")
     drop_staged(texts.sparkSession, docs, runs, owner, several)
-    strings = first.mapInArrow(_strings, "did bigint, th bigint, lo bigint, s1 bigint, s2 bigint")
     parts = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    single = strings.repartition(parts, "s1").sortWithinPartitions("s1", "s2", "did").mapInArrow(_later, "did bigint, th bigint, lo bigint, hi bigint")
-    single = stage(single, "suffix-single")
+    found = "did bigint, th bigint, lo bigint, hi bigint"
+    # equal strings have one seed, so its runs are compared where they meet; strings of a seed with many runs meet by their hash
+    few = first.filter("NOT many").select("did", "th", "lo", "seed", "t").repartition(parts, "seed").sortWithinPartitions("seed")
+    strings = first.filter("many").select("did", "th", "lo", "t").mapInArrow(_strings, "did bigint, th bigint, lo bigint, s1 bigint, s2 bigint")
+    strings = strings.repartition(parts, "s1").sortWithinPartitions("s1", "s2", "did").mapInArrow(_later, found)
+    single = stage(few.mapInArrow(_later_by_seed, found).unionByName(strings), "suffix-single")
     return whole.unionByName(single), [whole, first, single]
 
 

@@ -208,6 +208,38 @@ def test_repeats_of_every_kind(spark):
     assert sorted(got) == sorted(reference_repeats(rows))
 
 
+def test_strings_of_a_seed_are_compared_where_its_runs_meet(spark, monkeypatch):
+    import pyarrow as pa
+
+    rng = np.random.default_rng(9)
+    word = lambda n: bytes(rng.integers(97, 123, n).astype(np.uint8))
+    cores = [word(26) for _ in range(6)]
+    sides = [(word(24), word(24)) for _ in range(4)]
+    rows = []
+    for i in range(120):
+        seed, (l, r) = int(rng.integers(0, 6)), sides[int(rng.integers(0, 4))]
+        a, z = int(rng.integers(12, 25)), int(rng.integers(12, 25))
+        rows.append((int(rng.integers(0, 40)), i, 7 * i, seed - 3, (l[-a:] + cores[seed] + r[:z])))
+    rows.sort(key=lambda x: x[3])
+    strings = [(t[k : k + 50], did, th, lo + k) for did, th, lo, _, t in rows for k in range(len(t) - 49)]
+    least = {}
+    for s, did, *_ in strings:
+        least[s] = min(did, least.get(s, did))
+    want = {(th, lo + n) for s, did, th, lo in strings if did > least[s] for n in range(50)}
+    b = pa.RecordBatch.from_arrays([pa.array(c, pa.binary() if n == 4 else pa.int64()) for n, c in enumerate(zip(*rows))], ["did", "th", "lo", "seed", "t"])
+    for step in (1, 7, 50, 120):
+        parts = [b.slice(at, step) for at in range(0, 120, step)]
+        got = [r for out in suffix_index._later_by_seed([b.slice(0, 0), *parts]) for r in out.to_pylist()]
+        assert {(r["th"], n) for r in got for n in range(r["lo"], r["hi"])} == want
+        assert 0 < len(got) <= len(rows)  # a range a run, not a row a string
+    passage = "".join(chr(97 + int(c)) for c in rng.integers(0, 26, 130))
+    docs = [(i, passage[i % 7 : 60 + 9 * (i % 5)] + str(i) * 20 + passage[i % 3 * 20 :]) for i in range(30)]
+    d = spark.createDataFrame(docs, "doc_id bigint, text string")
+    for runs in (1 << 13, 12, 0):
+        monkeypatch.setattr(suffix_index, "SEED_RUNS", runs)
+        assert sorted(map(tuple, suffix_index.repeat_report(d).collect())) == sorted(reference_repeats(docs))
+
+
 def test_logarithmic_family_finds_what_sets_find():
     rng = np.random.default_rng(0)
     for n in (0, 1, 2, 3, 7, 16):
