@@ -386,6 +386,43 @@ def test_fuzzy_lines_repeated_rows(spark):
     assert {(r.doc_id, r.n_words, r.keep_doc_id, r.group_lines) for r in got} == {(i, 20, None, 3) for i in (None, 20, 21)} and len(got) == 3
 
 
+def test_fuzzy_lines_split_a_line_once(spark):
+    d = spark.createDataFrame([(1, "a b c\n\n---\nd 4 e")], "doc_id bigint, text string")
+    for letters_only, regexes in ((True, 1), (False, 2)):
+        rows = fuzzy_lines.occurrences_of(fuzzy_lines.raw_lines(d), letters_only)
+        plan = rows._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("split(") == regexes + 1  # and the lines
+    assert sorted((r.line_no, r.n_words) for r in rows.collect()) == [(0, 3), (2, 1), (3, 3)]
+
+
+def test_fuzzy_lines_are_verified_by_codes_first(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    forms = []
+    for n in (5, 12, 30, 60):
+        for _ in range(6):
+            base = [f"w{int(rng.integers(0, 400))}" for _ in range(n)]
+            forms += [base, edited(base, n // 5, rng), edited(base, n // 5 + 1, rng)]
+    forms = [list(f) for f in dict.fromkeys(map(tuple, forms))]
+    d = spark.createDataFrame([(n, " ".join(f)) for n, f in enumerate(forms)], "doc_id bigint, text string")
+    want = similar_groups(forms)
+    assert sum(len(g) > 1 for g in want) > 5
+    by_words = []
+    verified = fuzzy_lines._verified_words
+    monkeypatch.setattr(fuzzy_lines, "_verified_words", lambda pairs, coded: by_words.append(pairs.count()) or verified(pairs, coded))
+    counts = []
+    for codes, long_line in ((27648, 500), (40, 500), (27648, 10)):  # few codes: nearly every pair has words that share one
+        by_words.clear()
+        monkeypatch.setattr(fuzzy_lines, "CODES", codes)
+        monkeypatch.setattr(fuzzy_lines, "LONG_LINE", long_line)
+        monkeypatch.setattr(fuzzy_lines, "PAIRS_A_LINE", 4 if codes == 40 else 0.1)  # one wave, or some
+        got = collections.defaultdict(set)
+        for r in fuzzy_lines.line_report(d, letters_only=False).collect():
+            got[r.keep_doc_id].add(r.doc_id)
+        assert {frozenset(g) for g in got.values()} == want
+        counts.append(sum(by_words))
+    assert counts[0] < 5 < counts[1] and counts[2] > 5
+
+
 def test_fuzzy_lines_keep_numbers(spark):
     text = "Invoice 17 total 40\nInvoice 99 total 8500\n1999 2000 2001\n---\n \n1999 2000 2001\ninvoice 17, total 40!\n---"
     d = spark.createDataFrame([(1, text)], "doc_id bigint, text string")
