@@ -423,6 +423,47 @@ def test_fuzzy_lines_are_verified_by_codes_first(spark, monkeypatch):
     assert counts[0] < 5 < counts[1] and counts[2] > 5
 
 
+@pytest.mark.parametrize("shared, table, most", [("pairs", "line-keys-held", 40), ("passages", "line-pairs", 10)])
+def test_fuzzy_lines_that_share_words_are_no_candidates(spark, monkeypatch, shared, table, most):
+    rng = np.random.default_rng(8)
+    if shared == "pairs":  # most pairs stand in several lines, with other neighbours
+        pairs = [f"left{n} right{n}" for n in range(200)]
+        lines = [" ".join(pairs[int(i)] for i in rng.permutation(200)[:10]) for _ in range(30)]
+    else:  # three lines with one passage, and so many words that 128 parities are left to chance
+        lines = [" ".join([f"in{n // 3}and{k}" for k in range(6)] + [f"w{int(i)}" for i in rng.integers(0, 5000, 194)]) for n in range(60)]
+    staged, stage = collections.Counter(), fuzzy_lines.stage
+
+    def counted(df, name):
+        out = stage(df, name)
+        staged[name] += out.count()
+        return out
+
+    monkeypatch.setattr(fuzzy_lines, "stage", counted)
+    d = spark.createDataFrame(list(enumerate(lines)), "doc_id bigint, text string")
+    assert all(r.kept and r.group_lines == 1 for r in fuzzy_lines.line_report(d, letters_only=False).collect())
+    assert staged[table] < most, staged
+
+
+@pytest.mark.parametrize("waves", [1, 4])
+def test_fuzzy_lines_over_ranges_of_lengths(spark, monkeypatch, waves):
+    monkeypatch.setattr(fuzzy_lines, "KEY_WAVES", waves)
+    rng = np.random.default_rng(waves)
+    forms = []
+    for n in [*range(4, 16), 19, 24, 40, 63, 64, 65, 66, 80, 90] * 2:
+        base = [f"w{int(i)}" for i in rng.integers(0, 300, n)]
+        forms += [base, edited(base, max(1, n // 5), rng), edited(base, n // 5 + 1, rng)]
+        longer = list(base)
+        for at in sorted(rng.permutation(n)[: n // 4], reverse=True):  # as many more words as a partner may have
+            longer.insert(int(at), f"neu{int(at)}")
+        forms.append(longer)
+    forms = [list(f) for f in dict.fromkeys(map(tuple, forms))]
+    d = spark.createDataFrame([(n, " ".join(f)) for n, f in enumerate(forms)], "doc_id bigint, text string")
+    got = collections.defaultdict(set)
+    for r in fuzzy_lines.line_report(d, letters_only=False).collect():
+        got[r.keep_doc_id].add(r.doc_id)
+    assert {frozenset(g) for g in got.values()} == similar_groups(forms)
+
+
 def test_fuzzy_lines_keep_numbers(spark):
     text = "Invoice 17 total 40\nInvoice 99 total 8500\n1999 2000 2001\n---\n \n1999 2000 2001\ninvoice 17, total 40!\n---"
     d = spark.createDataFrame([(1, text)], "doc_id bigint, text string")
